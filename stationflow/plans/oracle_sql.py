@@ -108,3 +108,24 @@ def with_blocks(upto: str, body: str) -> str:
 
 def r9(expr: str, alias: str) -> str:
     return f"round({expr}, 9) AS {alias}"
+
+
+def iso_text(ts: str) -> str:
+    """DuckDB twin of ``iso_utc``: ISO text with ``Z``, zero fraction dropped."""
+    return (f"strftime({ts}, '%Y-%m-%dT%H:%M:%S') || CASE WHEN strftime({ts}, '%f') = '000000' "
+            f"THEN '' ELSE '.' || strftime({ts}, '%f') END || 'Z'")
+
+
+SLOTS = "(SELECT DISTINCT ts, CAST(floor(epoch(ts) / 900) AS BIGINT) AS n FROM snaps)"
+
+FORECAST = """
+fc AS (
+  SELECT CAST(timestamp AS DATE) AS day,
+         CAST(temperature AS DOUBLE) AS temperature,
+         CAST(wind_speed AS DOUBLE) AS wind_speed,
+         CAST(cloudiness AS INTEGER) AS cloudiness,
+         timestamp AS forecast_time,
+         row_number() OVER (PARTITION BY CAST(timestamp AS DATE) ORDER BY timestamp) - 1
+           AS horizon
+  FROM weather
+  WHERE minute(timestamp) = 0 AND hour(timestamp) % 3 = 0)"""

@@ -123,3 +123,108 @@ def q_utilization_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The flagship: J3, P5, P10 over A1..W2."""
     return round9(report_from_events(spark, sf_dir),
                   "avg_utilization", "std_dev_docking_station_utilisation")
+
+
+# --- normalization: payloads -> messages -> parsed feeds --------------------------
+
+from stationflow.operators import normalize as N  # noqa: E402
+from stationflow.sources import events as E  # noqa: E402
+
+
+def ensure_utc(spark: SparkSession) -> None:
+    """The library reads and writes instants in UTC."""
+    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def as_ntz(df: DataFrame, *cols: str) -> DataFrame:
+    """UTC instants -> wall-clock timestamps, comparable with the oracle's."""
+    return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in cols})
+
+
+def _snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ensure_utc(spark)
+    return E.station_snapshots(E.read_table(spark, sf_dir, "events"))
+
+
+@register("flatten_stations", O.with_blocks("info", "SELECT * FROM info"))
+def q_flatten_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Station-information payloads -> messages -> parsed."""
+    msgs = N.flatten_station_payloads(E.station_payloads(_snapshots(spark, sf_dir), "info"), "info")
+    return as_ntz(N.parse_info(msgs), "info_timestamp")
+
+
+@register("flatten_station_status", O.with_blocks("status", "SELECT * FROM status"))
+def q_flatten_station_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S4 status variant -> messages -> parsed."""
+    msgs = N.flatten_station_payloads(E.station_payloads(_snapshots(spark, sf_dir), "status"),
+                                      "status")
+    return as_ntz(N.parse_status(msgs), "status_timestamp")
+
+
+def _weather_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return N.flatten_weather_payloads(E.weather_payloads(E.weather_feed(_snapshots(spark, sf_dir))))
+
+
+@register("flatten_weather", O.with_blocks("weather", "SELECT * FROM weather"))
+def q_flatten_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weather payloads -> messages -> parsed and renamed."""
+    return as_ntz(N.parse_weather(_weather_messages(spark, sf_dir)), "timestamp")
+
+
+@register("weather_key_fallback", O.with_blocks("snaps", f"""
+SELECT CASE WHEN n % 5 = 0 THEN 'weather' ELSE '{E.WEATHER_ID}' END || '_' || {O.iso_text('ts')}
+         AS key,
+       ts AS timestamp
+FROM {O.SLOTS}"""))
+def q_weather_key_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``{id}_{ts}``, or ``weather_{ts}`` for readings without an id."""
+    parsed = N.parse_weather(_weather_messages(spark, sf_dir), keep_key=True)
+    return as_ntz(parsed.select("key", "timestamp"), "timestamp")
+
+
+@register("parse_props_json", """
+SELECT event_id,
+       CASE WHEN json_valid(props) THEN CAST(json_extract(props, '$.k') AS INTEGER) END AS k
+FROM events""")
+def q_parse_props_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON text parsed by a fixed schema; unreadable text gives NULL."""
+    ev = E.read_table(spark, sf_dir, "events")
+    return ev.select("event_id", F.from_json("props", "k INT").getField("k").alias("k"))
+
+
+@register("parse_timestamp_safe", f"""
+SELECT event_id,
+       CASE WHEN event_type = 'error' THEN 'not a time ' || {O.iso_text('ts')}
+            ELSE {O.iso_text('ts')} END AS ts_text,
+       CASE WHEN event_type = 'error' THEN NULL ELSE ts END AS parsed
+FROM events""")
+def q_parse_timestamp_safe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ISO text -> timestamp; unreadable text (here: every error event's
+    text is prefixed) gives NULL rather than failing the job."""
+    from stationflow.functions import iso_utc, safe_timestamp
+    ensure_utc(spark)
+    ev = E.read_table(spark, sf_dir, "events")
+    text = F.when(F.col("event_type") == "error",
+                  F.concat(F.lit("not a time "), iso_utc("ts"))).otherwise(iso_utc("ts"))
+    out = ev.select("event_id", text.alias("ts_text"))
+    return as_ntz(out.withColumn("parsed", safe_timestamp("ts_text")), "parsed")
+
+
+def _forecasts(spark: SparkSession, sf_dir: str, horizons: str) -> DataFrame:
+    payloads = E.forecast_payloads(E.weather_feed(_snapshots(spark, sf_dir)))
+    return as_ntz(N.flatten_forecast(payloads, horizons=horizons), "forecast_time")
+
+
+@register("forecast_first", O.with_blocks("weather", ", " + O.FORECAST.strip() + """
+SELECT day, temperature, wind_speed, cloudiness, forecast_time FROM fc WHERE horizon = 0"""))
+def q_forecast_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First horizon of each forecast; missing clouds -> 0."""
+    return _forecasts(spark, sf_dir, "first")
+
+
+@register("forecast_all", O.with_blocks("weather", ", " + O.FORECAST.strip() + """
+SELECT day, horizon, temperature, wind_speed, cloudiness, forecast_time FROM fc"""))
+def q_forecast_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S7 with every horizon (posexplode)."""
+    return _forecasts(spark, sf_dir, "all")

@@ -20,7 +20,7 @@ most one row per snap per map task.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stationflow.functions import iso_utc, message_key
@@ -69,3 +69,58 @@ def weather_feed(snapshots: DataFrame) -> DataFrame:
                     ((n % 61) * 0.5 - 5).cast("float").alias("temperature"),
                     ((n % 17) * 0.5).cast("float").alias("wind_speed"),
                     ((n % 11) * 10).cast("float").alias("cloudiness")))
+
+
+# --- landed raw payloads derived from the feeds (test conventions) -----------
+# Station payloads list at most STATIONS_PER_PAYLOAD stations: stations are
+# grouped per snap by floor(user_id / STATIONS_PER_PAYLOAD), so a payload's size
+# is bounded however many stations a snap holds. Weather readings carry the id
+# WEATHER_ID except when n % 5 = 0 (to exercise the ``weather_`` key fallback).
+# Forecast payloads hold, per day, the readings at 00, 03, ... 21 h (at most 8),
+# omitting ``clouds`` when it is 0.
+STATIONS_PER_PAYLOAD = 100
+WEATHER_ID = 42
+
+
+def station_payloads(snapshots: DataFrame, variant: str) -> DataFrame:
+    """stamp (ISO text), payload (JSON text) - one per snap and station group."""
+    field = {"info": "capacity", "status": "num_bikes_available"}[variant]
+    group = F.floor(F.col("station_id").cast("bigint") / STATIONS_PER_PAYLOAD)
+    return (snapshots
+            .groupBy("ts", group.alias("_grp"))
+            .agg(F.collect_list(F.struct("station_id", field)).alias("stations"))
+            .select(iso_utc("ts").alias("stamp"),
+                    F.to_json(F.struct(F.struct("stations").alias("data"))).alias("payload")))
+
+
+def _epoch_slot(ts: str) -> Column:
+    return F.floor(F.expr(f"timestampdiff(SECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', "
+                          f"CAST({ts} AS TIMESTAMP_NTZ))") / SNAPSHOT_SECONDS)
+
+
+def weather_payloads(weather: DataFrame) -> DataFrame:
+    """stamp, payload - one current-weather document per reading."""
+    ident = F.when(_epoch_slot("timestamp") % 5 != 0, F.lit(WEATHER_ID))
+    doc = F.struct(ident.alias("id"),
+                   F.struct(F.col("temperature").alias("temp")).alias("main"),
+                   F.struct(F.col("wind_speed").alias("speed")).alias("wind"),
+                   F.struct(F.col("cloudiness").alias("all")).alias("clouds"))
+    return weather.select(iso_utc("timestamp").alias("stamp"),
+                          F.to_json(doc).alias("payload"))
+
+
+def forecast_payloads(weather: DataFrame) -> DataFrame:
+    """day, payload - one forecast document per day with up to 8 horizons."""
+    ts = F.col("timestamp")
+    at3h = (F.minute(ts) == 0) & (F.hour(ts) % 3 == 0)
+    entry = F.struct(
+        F.expr("timestampdiff(SECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', "
+               "CAST(timestamp AS TIMESTAMP_NTZ))").alias("dt"),
+        F.struct(F.col("temperature").alias("temp")).alias("main"),
+        F.struct(F.col("wind_speed").alias("speed")).alias("wind"),
+        F.when(F.col("cloudiness") != 0, F.struct(F.col("cloudiness").alias("all")))
+        .alias("clouds"))
+    return (weather.where(at3h)
+            .groupBy(F.to_date(ts).alias("day"))
+            .agg(F.array_sort(F.collect_list(entry)).alias("list"))
+            .select("day", F.to_json(F.struct("list")).alias("payload")))
