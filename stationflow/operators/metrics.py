@@ -95,25 +95,32 @@ def citywide_utilization(util: DataFrame, *, windows_bound: int | None = None) -
     return join_small(util, totals, "window", rows_bound=windows_bound)
 
 
+def report_from_hourly(hourly: DataFrame, *, windows_bound: int | None) -> DataFrame:
+    """Report columns from A1 output (station rates, window totals, join back)."""
+    util = station_utilization(hourly)
+    totals = window_totals(util)
+    report = join_small(util, totals, "window", rows_bound=windows_bound)
+    return report.select(
+        *REPORT_COLUMNS[:4], "station_utilization_rate", "citywide_utilization_rate",
+        "min_utilization", "max_utilization", "avg_utilization",
+        "std_dev_docking_station_utilisation",
+        F.col("window.start").alias("window_start"),
+        F.col("window.end").alias("window_end"),
+    )
+
+
 def utilization_report(joined: DataFrame, *, window_duration: str = WINDOW_DURATION,
                        windows_bound: int | None = None) -> DataFrame:
     """The full report (A1, P7, W1, W2, P8, A2, J3, P10), one row per
     station / window / capacity / weather group, columns in ``REPORT_COLUMNS``.
 
     ``windows_bound`` caps the number of windows (for the broadcast of the
-    totals); when omitted it is measured from the input's event times.
+    totals); when omitted it is measured from the input's event times, which
+    costs one extra pass over ``joined`` - pass it when it is known.
     """
     clean = clean_joined(joined)
     if windows_bound is None and not joined.isStreaming:
         windows_bound = time_buckets_bound(clean, "event_timestamp",
                                            duration_seconds(window_duration))
-    util = station_utilization(station_hourly(clean, window_duration))
-    totals = window_totals(util)
-    report = join_small(util, totals, "window", rows_bound=windows_bound)
-    return report.select(
-        *REPORT_COLUMNS[:4], "station_utilization_rate", "citywide_utilization_rate",
-        "min_utilization", "max_utilization", "avg_utilization",
-        "std_dev_docking_station_utilisation",
-        F.col("window.start").alias("window_start"),
-        F.col("window.end").alias("window_end"),
-    )
+    return report_from_hourly(station_hourly(clean, window_duration),
+                              windows_bound=windows_bound)

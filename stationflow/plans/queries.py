@@ -228,3 +228,36 @@ SELECT day, horizon, temperature, wind_speed, cloudiness, forecast_time FROM fc"
 def q_forecast_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S7 with every horizon (posexplode)."""
     return _forecasts(spark, sf_dir, "all")
+
+
+# --- streaming ------------------------------------------------------------------
+
+from stationflow.schemas import REPORT_COLUMNS as STREAM_REPORT_COLUMNS  # noqa: E402
+
+
+def _stream(spark: SparkSession, sf_dir: str, mode: str) -> DataFrame:
+    from stationflow.plans.utilization import stream_report_from_events
+    ensure_utc(spark)
+    out = stream_report_from_events(spark, sf_dir, mode).select(*STREAM_REPORT_COLUMNS)
+    return round9(as_ntz(out, "window_start", "window_end"),
+                  "avg_utilization", "std_dev_docking_station_utilisation")
+
+
+@register("stream_snapshot", REPORT_SQL)
+def q_stream_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The streaming job in snapshot mode; all landed messages are
+    read in one availableNow micro-batch, so it equals the batch report."""
+    return _stream(spark, sf_dir, "snapshot")
+
+
+@register("stream_event_time", O.with_blocks("report", f"""
+SELECT * EXCLUDE (avg_utilization, std_dev_docking_station_utilisation),
+       {O.r9('avg_utilization', 'avg_utilization')},
+       {O.r9('std_dev_docking_station_utilisation', 'std_dev_docking_station_utilisation')}
+FROM report
+WHERE window_end <= (SELECT max(ts) FROM snaps) - INTERVAL 1 MINUTE"""))
+def q_stream_event_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event-time mode - each hour is emitted once the watermark
+    (latest event time - 1 minute) passes its end, so the last, still open
+    hour is not in the output."""
+    return _stream(spark, sf_dir, "event_time")

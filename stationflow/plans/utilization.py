@@ -56,3 +56,36 @@ def flatten_window(df: DataFrame, col: str = "window") -> DataFrame:
     rest = [c for c in df.columns if c != col]
     return df.select(*rest, F.col(f"{col}.start").alias("window_start"),
                      F.col(f"{col}.end").alias("window_end"))
+
+
+def land_feed_messages(spark: SparkSession, sf_dir: str, base: str) -> dict[str, str]:
+    """Land the three events-derived feeds as keyed JSON messages under
+    ``base`` (as producers would) and return the folder of each feed."""
+    from stationflow.operators import normalize as N
+    from stationflow.sources.sinks import write_messages
+
+    snaps = E.station_snapshots(E.read_table(spark, sf_dir, "events"))
+    paths = {f: f"{base}/{f}" for f in ("info", "status", "weather")}
+    for variant in ("info", "status"):
+        write_messages(N.flatten_station_payloads(E.station_payloads(snaps, variant), variant),
+                       path=paths[variant])
+    write_messages(N.flatten_weather_payloads(E.weather_payloads(E.weather_feed(snaps))),
+                   path=paths["weather"])
+    return paths
+
+
+def stream_report_from_events(spark: SparkSession, sf_dir: str, mode: str) -> DataFrame:
+    """Run the streaming job over the landed feeds until all landed data is
+    processed (``availableNow``) and return what its sink holds."""
+    from stationflow.session import shared_path
+    from stationflow.sources.feeds import read_messages
+    from stationflow.streaming.utilization import start_utilization_stream
+
+    base = shared_path(spark, f"stream_{mode}")
+    paths = land_feed_messages(spark, sf_dir, base)
+    query = start_utilization_stream(
+        *(read_messages(spark, path=paths[f]) for f in ("info", "status", "weather")),
+        sink_path=f"{base}/report", checkpoint_path=f"{base}/checkpoint", mode=mode,
+        trigger={"availableNow": True})
+    query.awaitTermination()
+    return spark.read.parquet(f"{base}/report")
