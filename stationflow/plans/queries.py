@@ -261,3 +261,39 @@ def q_stream_event_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     (latest event time - 1 minute) passes its end, so the last, still open
     hour is not in the output."""
     return _stream(spark, sf_dir, "event_time")
+
+
+# --- history compaction -------------------------------------------------------------
+
+def _history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report written as CSV parts in two column orders (so every row is
+    duplicated across parts with different headers), then compacted."""
+    from stationflow.operators.history import combine_history
+    from stationflow.session import shared_path
+    from stationflow.sources.sinks import append_csv
+
+    ensure_utc(spark)
+    report = report_from_events(spark, sf_dir)
+    base = shared_path(spark, "history")
+    append_csv(report, base)
+    append_csv(report.select(*reversed(report.columns)), base)
+    return combine_history(spark, base)
+
+
+@register("combine_history", O.with_blocks("report", f"""
+SELECT DISTINCT * EXCLUDE (avg_utilization, std_dev_docking_station_utilisation),
+       {O.r9('avg_utilization', 'avg_utilization')},
+       {O.r9('std_dev_docking_station_utilisation', 'std_dev_docking_station_utilisation')}
+FROM report"""))
+def q_combine_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CSV parts aligned by header name, union, distinct."""
+    return round9(as_ntz(_history(spark, sf_dir), "window_start", "window_end"),
+                  "avg_utilization", "std_dev_docking_station_utilisation")
+
+
+@register("distinct_citywide", O.with_blocks("report", """
+SELECT DISTINCT citywide_utilization_rate FROM report"""))
+def q_distinct_citywide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A5: distinct values of one column of the compacted history."""
+    from stationflow.operators.history import distinct_values
+    return distinct_values(_history(spark, sf_dir), "citywide_utilization_rate")
