@@ -129,3 +129,44 @@ fc AS (
            AS horizon
   FROM weather
   WHERE minute(timestamp) = 0 AND hour(timestamp) % 3 = 0)"""
+
+
+def training_rows(train_fraction_tenths: int = 7) -> str:
+    """Report rows with a reproducible window split (hour number mod 10)."""
+    return f"""
+rows AS (
+  SELECT CAST(temperature AS DOUBLE) AS x1, CAST(wind_speed AS DOUBLE) AS x2,
+         CAST(cloudiness AS DOUBLE) AS x3, avg_utilization AS y,
+         CASE WHEN CAST(floor(epoch(window_start) / 3600) AS BIGINT) % 10
+                   < {train_fraction_tenths}
+              THEN 'train' ELSE 'test' END AS side
+  FROM report
+  WHERE temperature IS NOT NULL AND wind_speed IS NOT NULL AND cloudiness IS NOT NULL
+    AND avg_utilization IS NOT NULL)"""
+
+
+# Ordinary least squares from the normal equations: the 3x3 covariance matrix
+# of the features is inverted through its adjugate.
+OLS = """
+m AS (
+  SELECT covar_pop(x1, x1) AS s11, covar_pop(x1, x2) AS s12, covar_pop(x1, x3) AS s13,
+         covar_pop(x2, x2) AS s22, covar_pop(x2, x3) AS s23, covar_pop(x3, x3) AS s33,
+         covar_pop(x1, y) AS c1, covar_pop(x2, y) AS c2, covar_pop(x3, y) AS c3,
+         avg(x1) AS m1, avg(x2) AS m2, avg(x3) AS m3, avg(y) AS my
+  FROM rows WHERE side = 'train'),
+adj AS (
+  SELECT *, s22 * s33 - s23 * s23 AS a11, s13 * s23 - s12 * s33 AS a12,
+         s12 * s23 - s13 * s22 AS a13, s11 * s33 - s13 * s13 AS a22,
+         s12 * s13 - s11 * s23 AS a23, s11 * s22 - s12 * s12 AS a33
+  FROM m),
+beta AS (
+  SELECT (a11 * c1 + a12 * c2 + a13 * c3) / det AS b1,
+         (a12 * c1 + a22 * c2 + a23 * c3) / det AS b2,
+         (a13 * c1 + a23 * c2 + a33 * c3) / det AS b3, m1, m2, m3, my
+  FROM (SELECT *, s11 * a11 + s12 * a12 + s13 * a13 AS det FROM adj)),
+coef AS (
+  SELECT my - b1 * m1 - b2 * m2 - b3 * m3 AS b0, b1, b2, b3 FROM beta)"""
+
+
+def r8(expr: str, alias: str) -> str:
+    return f"round({expr}, 8) AS {alias}"

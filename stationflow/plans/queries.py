@@ -297,3 +297,81 @@ def q_distinct_citywide(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A5: distinct values of one column of the compacted history."""
     from stationflow.operators.history import distinct_values
     return distinct_values(_history(spark, sf_dir), "citywide_utilization_rate")
+
+
+# --- model --------------------------------------------------------------------------
+
+from stationflow.operators import model as ML  # noqa: E402
+
+_COEF_SQL = """SELECT round(b0, 8) AS intercept, round(b1, 8) AS coef_temperature,
+       round(b2, 8) AS coef_wind_speed, round(b3, 8) AS coef_cloudiness FROM coef"""
+
+
+def _model_sql(body: str, extra: str = "") -> str:
+    return O.with_blocks("report", "," + extra + O.training_rows().rstrip() + "," +
+                         O.OLS.strip() + "\n" + body)
+
+
+def _training(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ensure_utc(spark)
+    return ML.training_rows(report_from_events(spark, sf_dir))
+
+
+def _fit(spark: SparkSession, sf_dir: str):
+    train, test = ML.window_split(_training(spark, sf_dir))
+    return ML.train(train), test
+
+
+@register("split_counts", O.with_blocks("report", "," + O.training_rows() + """
+SELECT side, count(*) AS n FROM rows GROUP BY side"""))
+def q_split_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M4, A3: sizes of the reproducible 70/30 window split."""
+    side = F.when(ML.is_train_window(), F.lit("train")).otherwise(F.lit("test"))
+    return _training(spark, sf_dir).groupBy(side.alias("side")).agg(F.count("*").alias("n"))
+
+
+@register("random_split_counts")
+def q_random_split_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M4 as the reference does it: randomSplit([0.7, 0.3], seed=42). Its rows
+    depend on the partitioning, so there is no oracle - rows only."""
+    train, test = ML.random_split(_training(spark, sf_dir))
+    return (train.select(F.lit("train").alias("side"))
+            .unionByName(test.select(F.lit("test").alias("side")))
+            .groupBy("side").agg(F.count("*").alias("n")))
+
+
+@register("ols_coefficients", _model_sql(_COEF_SQL))
+def q_ols_coefficients(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M1-M3: VectorAssembler + LinearRegression fitted on the training side."""
+    model, _ = _fit(spark, sf_dir)
+    coefs = ML.coefficients(model)
+    cols = ["intercept", "coef_temperature", "coef_wind_speed", "coef_cloudiness"]
+    row = spark.createDataFrame([tuple(coefs[c] for c in cols)],
+                                ", ".join(f"{c} double" for c in cols))
+    return row.select(*[F.round(c, 8).alias(c) for c in cols])
+
+
+@register("rmse", _model_sql("""
+SELECT round(sqrt(avg(power(b0 + b1 * x1 + b2 * x2 + b3 * x3 - y, 2))), 8) AS rmse
+FROM rows, coef WHERE side = 'test'"""))
+def q_rmse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """RMSE of the fitted model on the test side."""
+    model, test = _fit(spark, sf_dir)
+    return ML.rmse(model.transform(test)).select(F.round("rmse", 8).alias("rmse"))
+
+
+@register("score_forecasts", _model_sql("""
+SELECT day, horizon, forecast_time, temperature, wind_speed, cloudiness,
+       round(b0 + b1 * temperature + b2 * wind_speed + b3 * cloudiness, 8) AS prediction
+FROM fc, coef""", extra=O.FORECAST.rstrip() + ","))
+def q_score_forecasts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M7-M9: save the fitted pipeline, load it back and score every forecast
+    horizon derived from the weather feed."""
+    from stationflow.session import shared_path
+    model, _ = _fit(spark, sf_dir)
+    path = shared_path(spark, "model")
+    ML.save(model, path)
+    forecasts = _forecasts(spark, sf_dir, "all")
+    scored = ML.score(ML.load(path), forecasts)
+    return scored.select("day", "horizon", "forecast_time", "temperature", "wind_speed",
+                         "cloudiness", F.round("prediction", 8).alias("prediction"))
