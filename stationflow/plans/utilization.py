@@ -5,6 +5,7 @@ is the one-row span aggregate that bounds the broadcast sides."""
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,7 +20,13 @@ class Feeds:
     info: DataFrame
     status: DataFrame
     weather: DataFrame
-    span_seconds: int | None
+    events: DataFrame
+
+    @cached_property
+    def span_seconds(self) -> int | None:
+        """Event-time span of the source, measured on first use (one global
+        min/max aggregate over the ``ts`` column only)."""
+        return J.time_span_seconds(self.events, "ts")
 
     @property
     def weather_bound(self) -> int:
@@ -32,8 +39,7 @@ class Feeds:
 def feeds_from_events(spark: SparkSession, sf_dir: str) -> Feeds:
     events = E.read_table(spark, sf_dir, "events")
     snaps = E.station_snapshots(events)
-    return Feeds(E.info_feed(snaps), E.status_feed(snaps), E.weather_feed(snaps),
-                 J.time_span_seconds(events, "ts"))
+    return Feeds(E.info_feed(snaps), E.status_feed(snaps), E.weather_feed(snaps), events)
 
 
 def joined_from_events(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Feeds]:
