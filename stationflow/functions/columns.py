@@ -54,6 +54,12 @@ def iso_utc(ts: ColumnOrName) -> Column:
         F.concat(F.lit("."), micros)), F.lit("Z"))
 
 
+def ingest_stamp() -> Column:
+    """One ISO stamp per micro-batch / job (``current_timestamp`` is fixed
+    for the whole query), for payloads landed without their own stamp."""
+    return iso_utc(F.current_timestamp())
+
+
 def epoch_to_timestamp(col: ColumnOrName) -> Column:
     """Unix seconds -> timestamp (zone independent)."""
     return F.timestamp_seconds(_c(col))

@@ -99,6 +99,16 @@ def load(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
+def scoring_rows(spark, rows) -> DataFrame:
+    """Literal forecast rows ``(temperature, wind_speed, cloudiness)`` with
+    the fixed scoring schema; Python ints are widened for the double columns
+    (a bare int in a DoubleType column is rejected by ``createDataFrame``)."""
+    from stationflow.schemas import SCORING_ROW
+    fixed = [(None if t is None else float(t), None if w is None else float(w),
+              None if c is None else int(c)) for t, w, c in rows]
+    return spark.createDataFrame(fixed, SCORING_ROW)
+
+
 def score(model: PipelineModel, forecasts: DataFrame) -> DataFrame:
     """M9: predictions for any frame (or stream) of forecast rows; an int
     ``cloudiness`` is accepted by the assembler."""

@@ -46,15 +46,17 @@ def read_csv(spark: SparkSession, path, *, schema: StructType | None = None,
 
 
 def read_csv_parts(spark: SparkSession, paths, schema: StructType = REPORT_SCHEMA, *,
-                   with_quarantine: bool = False):
+                   with_quarantine: bool = False, skip_unreadable: bool = True):
     """S3 + A6: union by column name of all CSV parts under ``paths``.
 
     Raises ``FileNotFoundError`` when no part exists (the union of nothing).
-    Returns the typed rows, plus the lines of unusable parts when
-    ``with_quarantine`` is set.
+    Unreadable files (corrupt compressed parts) are skipped when
+    ``skip_unreadable``. Returns the typed rows, plus the lines of unusable
+    parts when ``with_quarantine`` is set.
     """
     names = [f.name for f in schema.fields]
-    lines = (spark.read.text(paths)
+    reader = spark.read.option("ignoreCorruptFiles", str(skip_unreadable).lower())
+    lines = (reader.text(paths)
              .select(F.input_file_name().alias("_file"), F.col("value").alias("_line")))
     n_files = len(lines.inputFiles())
     if n_files == 0:

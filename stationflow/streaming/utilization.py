@@ -115,3 +115,10 @@ def start_utilization_stream(info_msgs: DataFrame, status_msgs: DataFrame,
     if trigger:
         writer = writer.trigger(**trigger)
     return writer.start()
+
+
+def dropped_by_watermark(query: StreamingQuery) -> int:
+    """Rows dropped as late by the stateful operators, summed over the
+    progress reports the query still holds."""
+    return sum(op.get("numRowsDroppedByWatermark", 0) or 0
+               for p in query.recentProgress for op in p.get("stateOperators", []))

@@ -117,3 +117,12 @@ def test_failing_batch_fails_the_query(spark, tmp_shared):
     land_poll(spark, tmp_shared, T0)
     with pytest.raises(StreamingQueryException):
         run(spark, tmp_shared, "snapshot", fmt="bogus")
+
+
+def test_late_rows_are_counted(spark, tmp_shared):
+    from stationflow.streaming.utilization import dropped_by_watermark
+    for i in range(3):
+        land_poll(spark, tmp_shared, T0 + dt.timedelta(minutes=30 * i))
+    land_poll(spark, tmp_shared, T0)  # the same instant again, now behind the watermark
+    q = run(spark, tmp_shared, "event_time")
+    assert dropped_by_watermark(q) > 0
