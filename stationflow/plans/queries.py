@@ -273,10 +273,13 @@ def _history(spark: SparkSession, sf_dir: str) -> DataFrame:
     from stationflow.sources.sinks import append_csv
 
     ensure_utc(spark)
-    report = report_from_events(spark, sf_dir)
-    base = shared_path(spark, "history")
-    append_csv(report, base)
-    append_csv(report.select(*reversed(report.columns)), base)
+    report = report_from_events(spark, sf_dir).persist()
+    try:
+        base = shared_path(spark, "history")
+        append_csv(report, base)
+        append_csv(report.select(*reversed(report.columns)), base)
+    finally:
+        report.unpersist()
     return combine_history(spark, base)
 
 
@@ -375,3 +378,16 @@ def q_score_forecasts(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = ML.score(ML.load(path), forecasts)
     return scored.select("day", "horizon", "forecast_time", "temperature", "wind_speed",
                          "cloudiness", F.round("prediction", 8).alias("prediction"))
+
+
+@register("landed_report", REPORT_SQL)
+def q_landed_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S1 (file source, batch), P1-P4, F2, J1-J3: the report recomputed from
+    landed message files, as a backfill over the landing zone would run."""
+    from stationflow.plans.utilization import land_feed_messages, report_from_messages
+    from stationflow.session import shared_path
+    ensure_utc(spark)
+    paths = land_feed_messages(spark, sf_dir, shared_path(spark, "landed"))
+    out = report_from_messages(spark, paths["info"], paths["status"], paths["weather"])
+    return round9(as_ntz(out, "window_start", "window_end"),
+                  "avg_utilization", "std_dev_docking_station_utilisation")

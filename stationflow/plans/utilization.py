@@ -95,3 +95,30 @@ def stream_report_from_events(spark: SparkSession, sf_dir: str, mode: str) -> Da
         trigger={"availableNow": True})
     query.awaitTermination()
     return spark.read.parquet(f"{base}/report")
+
+
+def report_from_messages(spark: SparkSession, info_path: str, status_path: str,
+                         weather_path: str, *,
+                         window_duration: str = M.WINDOW_DURATION) -> DataFrame:
+    """Batch report over landed message files (a backfill of the landing zone).
+
+    The weather feed is small (one reading per poll), so its exact row count
+    is the bound for its broadcast; the window bound comes from the span of
+    the weather readings, whose instants are the only ones that can join.
+    """
+    from stationflow.operators import normalize as N
+    from stationflow.sources.feeds import read_messages
+
+    def parsed(path, parse):
+        return parse(read_messages(spark, path=path, streaming=False))
+
+    info, _ = N.quarantine_parsed(parsed(info_path, N.parse_info), "info_timestamp")
+    status, _ = N.quarantine_parsed(parsed(status_path, N.parse_status), "status_timestamp")
+    weather, _ = N.quarantine_parsed(parsed(weather_path, N.parse_weather), "timestamp",
+                                     id_col=None)
+    bounds = weather.agg(F.count("*").alias("n"), F.expr(
+        "timestampdiff(SECOND, min(timestamp), max(timestamp))").alias("span")).first()
+    joined = J.join_feeds(info, status, weather, weather_rows_bound=bounds["n"])
+    return M.utilization_report(
+        joined, window_duration=window_duration,
+        windows_bound=J.buckets_in_span(bounds["span"], M.duration_seconds(window_duration)))
