@@ -70,13 +70,16 @@ def land_feed_messages(spark: SparkSession, sf_dir: str, base: str) -> dict[str,
     from stationflow.operators import normalize as N
     from stationflow.sources.sinks import write_messages
 
-    snaps = E.station_snapshots(E.read_table(spark, sf_dir, "events"))
+    snaps = E.station_snapshots(E.read_table(spark, sf_dir, "events")).persist()
     paths = {f: f"{base}/{f}" for f in ("info", "status", "weather")}
-    for variant in ("info", "status"):
-        write_messages(N.flatten_station_payloads(E.station_payloads(snaps, variant), variant),
-                       path=paths[variant])
-    write_messages(N.flatten_weather_payloads(E.weather_payloads(E.weather_feed(snaps))),
-                   path=paths["weather"])
+    try:
+        for variant in ("info", "status"):
+            write_messages(N.flatten_station_payloads(E.station_payloads(snaps, variant),
+                                                      variant), path=paths[variant])
+        write_messages(N.flatten_weather_payloads(E.weather_payloads(E.weather_feed(snaps))),
+                       path=paths["weather"])
+    finally:
+        snaps.unpersist()
     return paths
 
 
