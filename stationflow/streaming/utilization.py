@@ -37,14 +37,26 @@ WATERMARK = "1 minute"
 
 
 def watermarked_feeds(info_msgs: DataFrame, status_msgs: DataFrame, weather_msgs: DataFrame,
-                      watermark: str = WATERMARK) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Parse the three message streams, keep joinable rows, set watermarks."""
+                      watermark: str = WATERMARK, *, dedupe_messages: bool = False
+                      ) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Parse the three message streams, keep joinable rows, set watermarks.
+
+    ``dedupe_messages`` drops repeated deliveries of a message (same station
+    and instant; same instant for weather) within the watermark delay, with
+    state bounded by the watermark. Off by default: repeated readings then
+    fan out in the joins, as an equi-join does.
+    """
     info, _ = N.quarantine_parsed(N.parse_info(info_msgs), "info_timestamp")
     status, _ = N.quarantine_parsed(N.parse_status(status_msgs), "status_timestamp")
     weather, _ = N.quarantine_parsed(N.parse_weather(weather_msgs), "timestamp", id_col=None)
-    return (info.withWatermark("info_timestamp", watermark),
-            status.withWatermark("status_timestamp", watermark),
-            weather.withWatermark("timestamp", watermark))
+    info = info.withWatermark("info_timestamp", watermark)
+    status = status.withWatermark("status_timestamp", watermark)
+    weather = weather.withWatermark("timestamp", watermark)
+    if dedupe_messages:
+        info = info.dropDuplicatesWithinWatermark(["station_id", "info_timestamp"])
+        status = status.dropDuplicatesWithinWatermark(["station_id", "status_timestamp"])
+        weather = weather.dropDuplicatesWithinWatermark(["timestamp"])
+    return info, status, weather
 
 
 def _report_batch(builder, sink_path: str, fmt: str, window_seconds: int):
@@ -88,14 +100,16 @@ def start_utilization_stream(info_msgs: DataFrame, status_msgs: DataFrame,
                              watermark: str = WATERMARK,
                              window_duration: str = M.WINDOW_DURATION,
                              trigger: dict | None = None, fmt: str = "parquet",
-                             query_name: str | None = None) -> StreamingQuery:
+                             query_name: str | None = None,
+                             dedupe_messages: bool = False) -> StreamingQuery:
     """Start the job; returns the running query.
 
     ``trigger`` is passed to ``DataStreamWriter.trigger`` (for example
     ``{"processingTime": "5 minutes"}`` or ``{"availableNow": True}``); the
     default runs batches as fast as data arrives.
     """
-    info, status, weather = watermarked_feeds(info_msgs, status_msgs, weather_msgs, watermark)
+    info, status, weather = watermarked_feeds(info_msgs, status_msgs, weather_msgs, watermark,
+                                              dedupe_messages=dedupe_messages)
     joined = join_feeds(info, status, weather)
     seconds = M.duration_seconds(window_duration)
     if mode == "snapshot":
