@@ -9,12 +9,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stationflow.functions import iso_utc, safe_timestamp
 from stationflow.operators import join as J
 from stationflow.operators import metrics as M
+from stationflow.operators import model as ML
+from stationflow.operators import normalize as N
+from stationflow.operators.history import combine_history, distinct_values
 from stationflow.plans import oracle_sql as O
 from stationflow.plans.utilization import (
-    feeds_from_events, flatten_window, joined_from_events, report_from_events,
+    feeds_from_events, flatten_window, joined_from_events, land_feed_messages,
+    report_from_events, report_from_messages, stream_report_from_events,
 )
+from stationflow.schemas import REPORT_COLUMNS
+from stationflow.session import shared_path
+from stationflow.sources import events as E
+from stationflow.sources.sinks import append_csv
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -127,9 +136,6 @@ def q_utilization_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- normalization: payloads -> messages -> parsed feeds --------------------------
 
-from stationflow.operators import normalize as N  # noqa: E402
-from stationflow.sources import events as E  # noqa: E402
-
 
 def ensure_utc(spark: SparkSession) -> None:
     """The library reads and writes instants in UTC."""
@@ -202,7 +208,6 @@ FROM events""")
 def q_parse_timestamp_safe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ISO text -> timestamp; unreadable text (here: every error event's
     text is prefixed) gives NULL rather than failing the job."""
-    from stationflow.functions import iso_utc, safe_timestamp
     ensure_utc(spark)
     ev = E.read_table(spark, sf_dir, "events")
     text = F.when(F.col("event_type") == "error",
@@ -232,13 +237,10 @@ def q_forecast_all(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- streaming ------------------------------------------------------------------
 
-from stationflow.schemas import REPORT_COLUMNS as STREAM_REPORT_COLUMNS  # noqa: E402
-
 
 def _stream(spark: SparkSession, sf_dir: str, mode: str) -> DataFrame:
-    from stationflow.plans.utilization import stream_report_from_events
     ensure_utc(spark)
-    out = stream_report_from_events(spark, sf_dir, mode).select(*STREAM_REPORT_COLUMNS)
+    out = stream_report_from_events(spark, sf_dir, mode).select(*REPORT_COLUMNS)
     return round9(as_ntz(out, "window_start", "window_end"),
                   "avg_utilization", "std_dev_docking_station_utilisation")
 
@@ -268,9 +270,6 @@ def q_stream_event_time(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The report written as CSV parts in two column orders (so every row is
     duplicated across parts with different headers), then compacted."""
-    from stationflow.operators.history import combine_history
-    from stationflow.session import shared_path
-    from stationflow.sources.sinks import append_csv
 
     ensure_utc(spark)
     report = report_from_events(spark, sf_dir).persist()
@@ -298,13 +297,11 @@ def q_combine_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT DISTINCT citywide_utilization_rate FROM report"""))
 def q_distinct_citywide(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A5: distinct values of one column of the compacted history."""
-    from stationflow.operators.history import distinct_values
     return distinct_values(_history(spark, sf_dir), "citywide_utilization_rate")
 
 
 # --- model --------------------------------------------------------------------------
 
-from stationflow.operators import model as ML  # noqa: E402
 
 _COEF_SQL = """SELECT round(b0, 8) AS intercept, round(b1, 8) AS coef_temperature,
        round(b2, 8) AS coef_wind_speed, round(b3, 8) AS coef_cloudiness FROM coef"""
@@ -370,7 +367,6 @@ FROM fc, coef""", extra=O.FORECAST.rstrip() + ","))
 def q_score_forecasts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M7-M9: save the fitted pipeline, load it back and score every forecast
     horizon derived from the weather feed."""
-    from stationflow.session import shared_path
     model, _ = _fit(spark, sf_dir)
     path = shared_path(spark, "model")
     ML.save(model, path)
@@ -384,8 +380,6 @@ def q_score_forecasts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_landed_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S1 (file source, batch), P1-P4, F2, J1-J3: the report recomputed from
     landed message files, as a backfill over the landing zone would run."""
-    from stationflow.plans.utilization import land_feed_messages, report_from_messages
-    from stationflow.session import shared_path
     ensure_utc(spark)
     paths = land_feed_messages(spark, sf_dir, shared_path(spark, "landed"))
     out = report_from_messages(spark, paths["info"], paths["status"], paths["weather"])
