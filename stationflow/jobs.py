@@ -1,10 +1,10 @@
 """spark-submit entry points for the five jobs:
 
-    spark-submit -m stationflow.jobs ingest  --feed info --payloads P --messages M --checkpoint C
-    spark-submit -m stationflow.jobs stream  --info I --status S --weather W --out O --checkpoint C
-    spark-submit -m stationflow.jobs compact --parts P --out O
-    spark-submit -m stationflow.jobs train   --history H --model M [--split window|random]
-    spark-submit -m stationflow.jobs score   --forecasts F --model M --out O [--horizons all]
+    spark-submit --py-files stationflow.zip stationflow/jobs.py ingest  --feed info --payloads P --messages M --checkpoint C
+    spark-submit --py-files stationflow.zip stationflow/jobs.py stream  --info I --status S --weather W --out O --checkpoint C
+    spark-submit --py-files stationflow.zip stationflow/jobs.py compact --parts P --out O
+    spark-submit --py-files stationflow.zip stationflow/jobs.py train   --history H --model M [--split window|random]
+    spark-submit --py-files stationflow.zip stationflow/jobs.py score   --forecasts F --model M --out O [--horizons all]
 
 Message and payload folders can be replaced by Kafka topics (``--source kafka
 --bootstrap-servers ...``; topic names in place of folders). Every endpoint
