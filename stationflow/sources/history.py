@@ -57,7 +57,7 @@ def read_csv_parts(spark: SparkSession, paths, schema: StructType = REPORT_SCHEM
     names = [f.name for f in schema.fields]
     reader = spark.read.option("ignoreCorruptFiles", str(skip_unreadable).lower())
     lines = (reader.text(paths)
-             .select(F.input_file_name().alias("_file"), F.col("value").alias("_line")))
+             .select(F.col("_metadata.file_path").alias("_file"), F.col("value").alias("_line")))
     n_files = len(lines.inputFiles())
     if n_files == 0:
         raise FileNotFoundError(f"no CSV parts under {paths}")
