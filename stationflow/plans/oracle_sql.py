@@ -131,12 +131,13 @@ fc AS (
   WHERE minute(timestamp) = 0 AND hour(timestamp) % 3 = 0)"""
 
 
-def training_rows(train_fraction_tenths: int = 7) -> str:
-    """Report rows with a reproducible window split (hour number mod 10)."""
+def training_rows(train_fraction_tenths: int = 7, distinct: bool = False) -> str:
+    """Report rows with a reproducible window split (hour number mod 10);
+    ``distinct`` keeps one row per window / weather / label."""
     return f"""
 rows AS (
-  SELECT CAST(temperature AS DOUBLE) AS x1, CAST(wind_speed AS DOUBLE) AS x2,
-         CAST(cloudiness AS DOUBLE) AS x3, avg_utilization AS y,
+  SELECT {'DISTINCT ' if distinct else ''}CAST(temperature AS DOUBLE) AS x1, CAST(wind_speed AS DOUBLE) AS x2,
+         CAST(cloudiness AS DOUBLE) AS x3, avg_utilization AS y, window_start,
          CASE WHEN CAST(floor(epoch(window_start) / 3600) AS BIGINT) % 10
                    < {train_fraction_tenths}
               THEN 'train' ELSE 'test' END AS side

@@ -307,21 +307,29 @@ _COEF_SQL = """SELECT round(b0, 8) AS intercept, round(b1, 8) AS coef_temperatur
        round(b2, 8) AS coef_wind_speed, round(b3, 8) AS coef_cloudiness FROM coef"""
 
 
-def _model_sql(body: str, extra: str = "") -> str:
-    return O.with_blocks("report", "," + extra + O.training_rows().rstrip() + "," +
-                         O.OLS.strip() + "\n" + body)
+def _model_sql(body: str, extra: str = "", distinct: bool = False) -> str:
+    return O.with_blocks("report", "," + extra + O.training_rows(distinct=distinct).rstrip() +
+                         "," + O.OLS.strip() + "\n" + body)
 
 
-def _training(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _training(spark: SparkSession, sf_dir: str, grain: str = "station") -> DataFrame:
     ensure_utc(spark)
-    return ML.training_rows(report_from_events(spark, sf_dir))
+    return ML.training_rows(report_from_events(spark, sf_dir), grain=grain)
 
 
-def _fit(spark: SparkSession, sf_dir: str):
-    train, test = ML.window_split(_training(spark, sf_dir))
+def _fit(spark: SparkSession, sf_dir: str, grain: str = "station"):
+    train, test = ML.window_split(_training(spark, sf_dir, grain))
     return ML.train(train), test
 
 
+def _coefficients_frame(spark: SparkSession, model) -> DataFrame:
+    coefs = ML.coefficients(model)
+    cols = ["intercept", "coef_temperature", "coef_wind_speed", "coef_cloudiness"]
+    row = spark.createDataFrame([tuple(coefs[c] for c in cols)],
+                                ", ".join(f"{c} double" for c in cols))
+    return row.select(*[F.round(c, 8).alias(c) for c in cols])
+
+
 @register("split_counts", O.with_blocks("report", "," + O.training_rows() + """
 SELECT side, count(*) AS n FROM rows GROUP BY side"""))
 def q_split_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -343,12 +351,14 @@ def q_random_split_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("ols_coefficients", _model_sql(_COEF_SQL))
 def q_ols_coefficients(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M1-M3: VectorAssembler + LinearRegression fitted on the training side."""
-    model, _ = _fit(spark, sf_dir)
-    coefs = ML.coefficients(model)
-    cols = ["intercept", "coef_temperature", "coef_wind_speed", "coef_cloudiness"]
-    row = spark.createDataFrame([tuple(coefs[c] for c in cols)],
-                                ", ".join(f"{c} double" for c in cols))
-    return row.select(*[F.round(c, 8).alias(c) for c in cols])
+    return _coefficients_frame(spark, _fit(spark, sf_dir)[0])
+
+
+@register("ols_coefficients_window_grain", _model_sql(_COEF_SQL, distinct=True))
+def q_ols_coefficients_window_grain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M1-M3 with one training row per window / weather / label instead of one
+    per station (so windows do not weigh by their station count)."""
+    return _coefficients_frame(spark, _fit(spark, sf_dir, grain="window")[0])
 
 
 @register("rmse", _model_sql("""
