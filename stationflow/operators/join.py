@@ -1,7 +1,8 @@
 """Event-time joins of the three feeds, and size-checked small-side joins.
 
 J1  info x status   on (station_id, event time)   - both sides large, shuffle join
-J2  pair x weather  on event time                 - weather is one reading per poll
+J2  pair x weather  on event time                 - weather is one reading per poll;
+                                                    broadcast, or salted when streaming
 J3  rows x totals   on window                      - one totals row per window
 
 A side is broadcast only when a row bound for it is known and below
@@ -73,16 +74,34 @@ def join_info_status(info: DataFrame, status: DataFrame) -> DataFrame:
 
 
 def join_weather(pair: DataFrame, weather: DataFrame, *,
-                 weather_rows_bound: int | None = None) -> DataFrame:
+                 weather_rows_bound: int | None = None,
+                 salt_buckets: int | None = None) -> DataFrame:
     """Attach the weather reading taken at the same instant.
 
     Several readings at one instant fan the row out, as an equi-join does.
+    Every station row of a poll shares its instant, so the instant alone is a
+    hot key (a 5-minute micro-batch may hold a single instant). When weather
+    is not broadcast (streams; batches beyond the bound) the join is salted:
+    station rows get ``pmod(xxhash64(station_id), n)``, each weather reading is
+    repeated once per salt value, and the join runs on (instant, salt). The
+    instant stays in the key, so streaming state is still purged by the
+    watermark. ``n`` defaults to ``spark.sql.shuffle.partitions``.
     Output: key, station_id, capacity, num_bikes_available, timestamp,
     temperature, wind_speed, cloudiness.
     """
     w = weather.select(F.col("timestamp").alias("event_timestamp"),
                        "temperature", "wind_speed", "cloudiness")
-    joined = join_small(pair, w, "event_timestamp", rows_bound=weather_rows_bound)
+    spark = pair.sparkSession
+    streaming = pair.isStreaming or weather.isStreaming
+    if (not streaming and weather_rows_bound is not None
+            and weather_rows_bound <= broadcast_max_rows(spark)):
+        joined = pair.join(F.broadcast(w), "event_timestamp", "inner")
+    else:
+        n = salt_buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        salted = pair.withColumn("_salt", F.pmod(F.xxhash64("station_id"), F.lit(n)))
+        replicated = w.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"),
+                                                                F.lit(n - 1).cast("long"))))
+        joined = salted.join(replicated, ["event_timestamp", "_salt"], "inner")
     return joined.select(
         "key", "station_id", "capacity", "num_bikes_available",
         F.col("event_timestamp").alias("timestamp"),
@@ -90,7 +109,8 @@ def join_weather(pair: DataFrame, weather: DataFrame, *,
 
 
 def join_feeds(info: DataFrame, status: DataFrame, weather: DataFrame, *,
-               weather_rows_bound: int | None = None) -> DataFrame:
+               weather_rows_bound: int | None = None,
+               salt_buckets: int | None = None) -> DataFrame:
     """J1 then J2; the same code serves batch frames and streams."""
     return join_weather(join_info_status(info, status), weather,
-                        weather_rows_bound=weather_rows_bound)
+                        weather_rows_bound=weather_rows_bound, salt_buckets=salt_buckets)

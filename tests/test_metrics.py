@@ -136,3 +136,21 @@ def test_window_totals_join_is_broadcast_within_bound(spark):
     plan = M.utilization_report(df, windows_bound=10)._jdf.queryExecution() \
         .executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "Window " not in plan
+
+
+def test_salted_weather_join_equals_broadcast_join(spark):
+    info = spark.createDataFrame(
+        [(f"s{i}_t", f"s{i}", 10, T0) for i in range(40)],
+        "key string, station_id string, capacity int, info_timestamp timestamp")
+    status = spark.createDataFrame(
+        [(f"s{i}_t", f"s{i}", i % 7, T0) for i in range(40)],
+        "key string, station_id string, num_bikes_available int, status_timestamp timestamp")
+    weather = spark.createDataFrame([(T0, 1.0, 2.0, 3.0), (T0, 4.0, 5.0, 6.0)],
+                                    "timestamp timestamp, temperature float, wind_speed float, "
+                                    "cloudiness float")
+    broadcast = J.join_feeds(info, status, weather, weather_rows_bound=2)
+    salted = J.join_feeds(info, status, weather, salt_buckets=5)
+    assert sorted(map(tuple, broadcast.collect())) == sorted(map(tuple, salted.collect()))
+    assert salted.count() == 80
+    plan = salted._jdf.queryExecution().executedPlan().toString()
+    assert "xxhash64" in plan
