@@ -9,9 +9,9 @@ A side is broadcast only when a row bound for it is known and below
 ``stationflow.broadcast.maxRows``. Both small sides here are keyed by time
 (one weather reading per poll instant, one totals row per window), so their
 bound is the number of time buckets in the data's span, which
-``time_buckets_bound`` measures with one min/max aggregate. Beyond the limit
-the join is left to the planner: a shuffle join that AQE may still turn into
-a broadcast at run time, with skewed partitions split.
+``time_buckets_bound`` measures with one min/max aggregate. Beyond the limit,
+and always in streams, the join is salted by station: every row of a time key
+would otherwise meet in one task.
 """
 
 from __future__ import annotations
@@ -43,17 +43,31 @@ def time_buckets_bound(df: DataFrame, ts_col: str, bucket_seconds: int) -> int:
 
 
 def join_small(big: DataFrame, small: DataFrame, on, *, rows_bound: int | None,
-               how: str = "inner") -> DataFrame:
+               how: str = "inner", spread_by: str | None = None,
+               salt_buckets: int | None = None) -> DataFrame:
     """Join ``big`` with ``small`` whose row count is at most ``rows_bound``.
 
-    Broadcasts ``small`` when the bound is known and within the session limit;
-    otherwise plans a shuffle join. Streaming sides are never broadcast.
+    Broadcasts ``small`` when the bound is known and within the session limit
+    (never for streams). Otherwise, when ``spread_by`` names a column of
+    ``big`` that spreads a hot join key (the station of a row keyed by time),
+    the join is salted: ``big`` rows get ``pmod(xxhash64(spread_by), n)``,
+    ``small`` rows are repeated once per salt value, and the join runs on the
+    keys plus the salt, so one hot key is shared by ``n`` tasks; ``n``
+    defaults to ``spark.sql.shuffle.partitions``. Without ``spread_by`` it
+    is a plain shuffle join (AQE may still split skewed partitions).
     """
-    limit = broadcast_max_rows(big.sparkSession)
-    if (rows_bound is not None and rows_bound <= limit
-            and not small.isStreaming and not big.isStreaming):
-        small = F.broadcast(small)
-    return big.join(small, on, how)
+    keys = [on] if isinstance(on, str) else list(on)
+    spark = big.sparkSession
+    streaming = big.isStreaming or small.isStreaming
+    if not streaming and rows_bound is not None and rows_bound <= broadcast_max_rows(spark):
+        return big.join(F.broadcast(small), keys, how)
+    if spread_by is None or how != "inner":
+        return big.join(small, keys, how)
+    n = salt_buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    salted = big.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(n)))
+    repeated = small.withColumn("_salt", F.explode(
+        F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long"))))
+    return salted.join(repeated, [*keys, "_salt"], how).drop("_salt")
 
 
 def join_info_status(info: DataFrame, status: DataFrame) -> DataFrame:
@@ -81,27 +95,16 @@ def join_weather(pair: DataFrame, weather: DataFrame, *,
     Several readings at one instant fan the row out, as an equi-join does.
     Every station row of a poll shares its instant, so the instant alone is a
     hot key (a 5-minute micro-batch may hold a single instant). When weather
-    is not broadcast (streams; batches beyond the bound) the join is salted:
-    station rows get ``pmod(xxhash64(station_id), n)``, each weather reading is
-    repeated once per salt value, and the join runs on (instant, salt). The
-    instant stays in the key, so streaming state is still purged by the
-    watermark. ``n`` defaults to ``spark.sql.shuffle.partitions``.
+    is not broadcast (streams; batches beyond the bound) the join is salted by
+    station (see ``join_small``). The instant stays in the key, so streaming
+    state is still purged by the watermark.
     Output: key, station_id, capacity, num_bikes_available, timestamp,
     temperature, wind_speed, cloudiness.
     """
     w = weather.select(F.col("timestamp").alias("event_timestamp"),
                        "temperature", "wind_speed", "cloudiness")
-    spark = pair.sparkSession
-    streaming = pair.isStreaming or weather.isStreaming
-    if (not streaming and weather_rows_bound is not None
-            and weather_rows_bound <= broadcast_max_rows(spark)):
-        joined = pair.join(F.broadcast(w), "event_timestamp", "inner")
-    else:
-        n = salt_buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-        salted = pair.withColumn("_salt", F.pmod(F.xxhash64("station_id"), F.lit(n)))
-        replicated = w.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"),
-                                                                F.lit(n - 1).cast("long"))))
-        joined = salted.join(replicated, ["event_timestamp", "_salt"], "inner")
+    joined = join_small(pair, w, "event_timestamp", rows_bound=weather_rows_bound,
+                        spread_by="station_id", salt_buckets=salt_buckets)
     return joined.select(
         "key", "station_id", "capacity", "num_bikes_available",
         F.col("event_timestamp").alias("timestamp"),

@@ -92,14 +92,16 @@ def window_stats(util: DataFrame) -> DataFrame:
 def citywide_utilization(util: DataFrame, *, windows_bound: int | None = None) -> DataFrame:
     """Every station row with its window's totals and citywide rate."""
     totals = window_totals(util, with_stats=False)
-    return join_small(util, totals, "window", rows_bound=windows_bound)
+    return join_small(util, totals, "window", rows_bound=windows_bound,
+                      spread_by="station_id")
 
 
 def report_from_hourly(hourly: DataFrame, *, windows_bound: int | None) -> DataFrame:
     """Report columns from A1 output (station rates, window totals, join back)."""
     util = station_utilization(hourly)
     totals = window_totals(util)
-    report = join_small(util, totals, "window", rows_bound=windows_bound)
+    report = join_small(util, totals, "window", rows_bound=windows_bound,
+                        spread_by="station_id")
     return report.select(
         *REPORT_COLUMNS[:4], "station_utilization_rate", "citywide_utilization_rate",
         "min_utilization", "max_utilization", "avg_utilization",

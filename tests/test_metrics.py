@@ -154,3 +154,23 @@ def test_salted_weather_join_equals_broadcast_join(spark):
     assert salted.count() == 80
     plan = salted._jdf.queryExecution().executedPlan().toString()
     assert "xxhash64" in plan
+
+
+def test_report_beyond_broadcast_limit_is_salted_and_equal(spark):
+    rnd = random.Random(11)
+    rows = [_row(f"s{rnd.randrange(25)}", rnd.choice([0, 10, 20]), rnd.choice([None, 2, 9]),
+                 T0 + dt.timedelta(minutes=15 * rnd.randrange(8)), (1.0, 2.0, 3.0))
+            for _ in range(150)]
+    df = spark.createDataFrame(rows, JOINED)
+    cols = ["station_id", "window_start", "station_utilization_rate",
+            "citywide_utilization_rate", "min_utilization", "max_utilization"]
+    expected = sorted(map(tuple, M.utilization_report(df, windows_bound=10)
+                          .select(*cols).collect()), key=repr)
+    spark.conf.set("stationflow.broadcast.maxRows", "0")
+    try:
+        salted = M.utilization_report(df, windows_bound=10)
+        got = sorted(map(tuple, salted.select(*cols).collect()), key=repr)
+        plan = salted._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("stationflow.broadcast.maxRows")
+    assert got == expected and "xxhash64" in plan
