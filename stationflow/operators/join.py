@@ -53,15 +53,17 @@ def join_small(big: DataFrame, small: DataFrame, on, *, rows_bound: int | None,
     the join is salted: ``big`` rows get ``pmod(xxhash64(spread_by), n)``,
     ``small`` rows are repeated once per salt value, and the join runs on the
     keys plus the salt, so one hot key is shared by ``n`` tasks; ``n``
-    defaults to ``spark.sql.shuffle.partitions``. Without ``spread_by`` it
-    is a plain shuffle join (AQE may still split skewed partitions).
+    defaults to ``spark.sql.shuffle.partitions``. Salting keeps inner and
+    left joins exact (a ``big`` row meets one replica of each match). Without
+    ``spread_by`` it is a plain shuffle join (AQE may still split skewed
+    partitions).
     """
     keys = [on] if isinstance(on, str) else list(on)
     spark = big.sparkSession
     streaming = big.isStreaming or small.isStreaming
     if not streaming and rows_bound is not None and rows_bound <= broadcast_max_rows(spark):
         return big.join(F.broadcast(small), keys, how)
-    if spread_by is None or how != "inner":
+    if spread_by is None or how not in ("inner", "left"):
         return big.join(small, keys, how)
     n = salt_buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     salted = big.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(n)))

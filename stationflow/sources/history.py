@@ -67,7 +67,7 @@ def read_csv_parts(spark: SparkSession, paths, schema: StructType = REPORT_SCHEM
     headers = (lines.where(is_header)
                .groupBy("_file").agg(F.first(fields).alias("_names")))
     body = join_small(lines.where(~is_header), headers, "_file",
-                      rows_bound=n_files, how="left")
+                      rows_bound=n_files, how="left", spread_by="_line")
     positional = ", ".join(f"_c{i} STRING" for i in range(len(names)))
     parsed = body.select("_file", "_names", "_line",
                          F.from_csv("_line", positional).alias("_v"))

@@ -60,3 +60,17 @@ def test_distinct_values_keeps_null(spark):
     df = spark.createDataFrame([(1.0,), (None,), (1.0,), (0.5,)], "r double")
     got = [tuple(r) for r in distinct_values(df, "r").collect()]
     assert len(got) == 3 and set(got) == {(0.5,), (1.0,), (None,)}
+
+
+def test_many_parts_beyond_broadcast_limit_use_salted_join(spark, tmp_shared):
+    _write(tmp_shared, "p1.csv", "a,b,c\nx,1,u\n")
+    _write(tmp_shared, "p2.csv", "c,b,a\nv,2,y\n")
+    _write(tmp_shared, "p3.csv", "q,r\n1,2\n")
+    spark.conf.set("stationflow.broadcast.maxRows", "0")
+    try:
+        good, bad = read_csv_parts(spark, tmp_shared, SCHEMA, with_quarantine=True)
+        rows = sorted(tuple(r) for r in good.collect())
+        n_bad = bad.count()
+    finally:
+        spark.conf.unset("stationflow.broadcast.maxRows")
+    assert rows == [("x", 1, "u"), ("y", 2, "v")] and n_bad == 2
