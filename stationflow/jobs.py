@@ -57,8 +57,11 @@ def cmd_stream(spark: SparkSession, args) -> None:
 
 
 def cmd_compact(spark: SparkSession, args) -> None:
-    from stationflow.operators.history import combine_history
-    combine_history(spark, args.parts, out_path=args.out)
+    from stationflow.operators.history import combine_history, distinct_values
+    combined = combine_history(spark, args.parts, out_path=args.out)
+    if args.distinct:
+        (distinct_values(combined, args.distinct).orderBy(args.distinct)
+         .write.mode("overwrite").parquet(args.distinct_out or f"{args.out}_distinct"))
 
 
 def _history(spark: SparkSession, path: str, fmt: str):
@@ -72,7 +75,8 @@ def cmd_train(spark: SparkSession, args) -> dict:
                             grain=args.grain)
     train, test = (ML.random_split(rows) if args.split == "random" else ML.window_split(rows))
     model = ML.train(train)
-    result = {"rmse": ML.evaluate(model, test), **ML.coefficients(model)}
+    result = {"train_rows": train.count(), "test_rows": test.count(),
+              "rmse": ML.evaluate(model, test), **ML.coefficients(model)}
     ML.save(model, args.model)
     print(json.dumps(result))
     return result
@@ -123,6 +127,8 @@ def parser() -> argparse.ArgumentParser:
     cmp_ = sub.add_parser("compact", help="CSV report parts -> distinct Parquet table")
     cmp_.add_argument("--parts", required=True)
     cmp_.add_argument("--out", required=True)
+    cmp_.add_argument("--distinct", help="also write the distinct values of this column")
+    cmp_.add_argument("--distinct-out")
 
     trn = sub.add_parser("train", help="history -> regression model")
     trn.add_argument("--history", required=True, help="compacted Parquet or CSV parts")

@@ -16,12 +16,15 @@ def test_stream_compact_train_score(spark, tmp_shared):
                "--checkpoint", f"{tmp_shared}/ckpt", "--mode", "snapshot",
                "--format", "csv", "--available-now"], spark)
     jobs.main(["compact", "--parts", f"{tmp_shared}/csv/*/*.csv",
-               "--out", f"{tmp_shared}/history"], spark)
+               "--out", f"{tmp_shared}/history",
+               "--distinct", "citywide_utilization_rate"], spark)
     history = spark.read.parquet(f"{tmp_shared}/history")
     assert history.count() > 0
+    distinct = spark.read.parquet(f"{tmp_shared}/history_distinct")
+    assert distinct.count() == history.select("citywide_utilization_rate").distinct().count()
     result = jobs.main(["train", "--history", f"{tmp_shared}/history",
                         "--model", f"{tmp_shared}/model"], spark)
-    assert result["rmse"] >= 0
+    assert result["rmse"] >= 0 and result["train_rows"] + result["test_rows"] > 0
     weather = E.weather_feed(E.station_snapshots(E.read_table(spark, SF, "events")))
     E.forecast_payloads(weather).select("payload").write.json(f"{tmp_shared}/fc")
     jobs.main(["score", "--forecasts", f"{tmp_shared}/fc", "--model", f"{tmp_shared}/model",
