@@ -72,12 +72,16 @@ def _history(spark: SparkSession, path: str, fmt: str):
 def cmd_train(spark: SparkSession, args) -> dict:
     from stationflow.operators import model as ML
     rows = ML.training_rows(_history(spark, args.history, args.history_format),
-                            grain=args.grain)
-    train, test = (ML.random_split(rows) if args.split == "random" else ML.window_split(rows))
-    model = ML.train(train)
-    result = {"train_rows": train.count(), "test_rows": test.count(),
-              "rmse": ML.evaluate(model, test), **ML.coefficients(model)}
-    ML.save(model, args.model)
+                            grain=args.grain).persist()
+    try:
+        train, test = (ML.random_split(rows) if args.split == "random"
+                       else ML.window_split(rows))
+        model = ML.train(train)
+        result = {"train_rows": train.count(), "test_rows": test.count(),
+                  "rmse": ML.evaluate(model, test), **ML.coefficients(model)}
+        ML.save(model, args.model)
+    finally:
+        rows.unpersist()
     print(json.dumps(result))
     return result
 
