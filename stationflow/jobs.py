@@ -44,7 +44,9 @@ def cmd_ingest(spark: SparkSession, args) -> None:
 
 def cmd_stream(spark: SparkSession, args) -> None:
     from stationflow.sources.feeds import read_messages
-    from stationflow.streaming.utilization import start_utilization_stream
+    from stationflow.streaming.utilization import (
+        start_quarantine_stream, start_utilization_stream,
+    )
     feeds = [read_messages(spark, source=args.source, path=loc, topic=loc,
                            bootstrap_servers=args.bootstrap_servers,
                            starting_offsets=args.starting_offsets)
@@ -53,7 +55,13 @@ def cmd_stream(spark: SparkSession, args) -> None:
                                  mode=args.mode, watermark=args.watermark,
                                  trigger=_trigger(args), fmt=args.format,
                                  dedupe_messages=args.dedupe)
-    q.awaitTermination()
+    queries = [q]
+    if args.quarantine:
+        queries.append(start_quarantine_stream(
+            *feeds, path=args.quarantine,
+            checkpoint_path=f"{args.checkpoint.rstrip('/')}_quarantine", trigger=_trigger(args)))
+    for query in queries:
+        query.awaitTermination()
 
 
 def cmd_compact(spark: SparkSession, args) -> None:
@@ -126,6 +134,7 @@ def parser() -> argparse.ArgumentParser:
     stm.add_argument("--watermark", default="1 minute")
     stm.add_argument("--format", choices=["parquet", "csv"], default="parquet")
     stm.add_argument("--dedupe", action="store_true")
+    stm.add_argument("--quarantine", help="folder for messages the report cannot use")
     triggers(stm)
 
     cmp_ = sub.add_parser("compact", help="CSV report parts -> distinct Parquet table")

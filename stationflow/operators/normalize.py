@@ -124,26 +124,34 @@ def flatten_forecast(payloads: DataFrame, *, horizons: str = "first",
 
 def _value(messages: DataFrame, schema) -> DataFrame:
     return messages.select(F.col("key").cast("string").alias("key"),
+                           F.col("value").cast("string").alias("value"),
                            F.from_json(F.col("value").cast("string"), schema).alias("d"))
 
 
-def parse_info(messages: DataFrame) -> DataFrame:
+def _raw(keep_value: bool) -> list[str]:
+    return ["value"] if keep_value else []
+
+
+def parse_info(messages: DataFrame, *, keep_value: bool = False) -> DataFrame:
     """key, station_id, capacity, info_timestamp (NULL when unreadable)."""
     return _value(messages, S.STATION_INFO_MESSAGE).select(
         "key", F.col("d.station_id").alias("station_id"),
         F.col("d.capacity").alias("capacity"),
-        safe_timestamp(F.col("d.metadata.timestamp")).alias("info_timestamp"))
+        safe_timestamp(F.col("d.metadata.timestamp")).alias("info_timestamp"),
+        *_raw(keep_value))
 
 
-def parse_status(messages: DataFrame) -> DataFrame:
+def parse_status(messages: DataFrame, *, keep_value: bool = False) -> DataFrame:
     """key, station_id, num_bikes_available, status_timestamp."""
     return _value(messages, S.STATION_STATUS_MESSAGE).select(
         "key", F.col("d.station_id").alias("station_id"),
         F.col("d.num_bikes_available").alias("num_bikes_available"),
-        safe_timestamp(F.col("d.timestamp")).alias("status_timestamp"))
+        safe_timestamp(F.col("d.timestamp")).alias("status_timestamp"),
+        *_raw(keep_value))
 
 
-def parse_weather(messages: DataFrame, *, keep_key: bool = False) -> DataFrame:
+def parse_weather(messages: DataFrame, *, keep_key: bool = False,
+                  keep_value: bool = False) -> DataFrame:
     """timestamp, temperature, wind_speed, cloudiness (renamed from the message);
     ``keep_key`` adds the message key in front."""
     return _value(messages, S.WEATHER_MESSAGE).select(
@@ -151,7 +159,8 @@ def parse_weather(messages: DataFrame, *, keep_key: bool = False) -> DataFrame:
         safe_timestamp(F.col("d.metadata.timestamp")).alias("timestamp"),
         F.col("d.temperature").alias("temperature"),
         F.col("d.windspeed").alias("wind_speed"),
-        F.col("d.clouds").alias("cloudiness"))
+        F.col("d.clouds").alias("cloudiness"),
+        *_raw(keep_value))
 
 
 def quarantine_parsed(parsed: DataFrame, ts_col: str,
@@ -164,6 +173,23 @@ def quarantine_parsed(parsed: DataFrame, ts_col: str,
     return split(parsed, ok)
 
 
+def unusable_messages(messages: DataFrame, feed: str) -> DataFrame:
+    """feed, key, value of the messages of one feed that ``quarantine_parsed``
+    rejects (the rows no join can match)."""
+    if feed == "info":
+        parsed, ts, ident = parse_info(messages, keep_value=True), "info_timestamp", "station_id"
+    elif feed == "status":
+        parsed, ts, ident = (parse_status(messages, keep_value=True), "status_timestamp",
+                             "station_id")
+    elif feed == "weather":
+        parsed, ts, ident = (parse_weather(messages, keep_key=True, keep_value=True),
+                             "timestamp", None)
+    else:
+        raise ValueError(f"unknown feed {feed!r}")
+    _, bad = quarantine_parsed(parsed, ts, ident)
+    return bad.select(F.lit(feed).alias("feed"), "key", "value")
+
+
 # --- S6: keyed messages from typed rows ---------------------------------------------
 
 def to_messages(df: DataFrame, key: Column, value_cols: list[str | Column]) -> DataFrame:

@@ -59,6 +59,22 @@ def watermarked_feeds(info_msgs: DataFrame, status_msgs: DataFrame, weather_msgs
     return info, status, weather
 
 
+def start_quarantine_stream(info_msgs: DataFrame, status_msgs: DataFrame,
+                            weather_msgs: DataFrame, *, path: str, checkpoint_path: str,
+                            trigger: dict | None = None) -> StreamingQuery:
+    """Append the messages the report cannot use (malformed JSON, no station
+    id, unreadable time) to JSON files under ``path`` with their feed name.
+    Stateless; run it beside the report query on the same message sources."""
+    bad = (N.unusable_messages(info_msgs, "info")
+           .unionByName(N.unusable_messages(status_msgs, "status"))
+           .unionByName(N.unusable_messages(weather_msgs, "weather")))
+    writer = (bad.writeStream.outputMode("append").format("json")
+              .option("path", path).option("checkpointLocation", checkpoint_path))
+    if trigger:
+        writer = writer.trigger(**trigger)
+    return writer.start()
+
+
 def _report_batch(builder, sink_path: str, fmt: str, window_seconds: int):
     """foreachBatch body: persist once, skip empty, report, write idempotently."""
     def run(batch: DataFrame, batch_id: int) -> None:

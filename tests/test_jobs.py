@@ -14,7 +14,8 @@ def test_stream_compact_train_score(spark, tmp_shared):
     jobs.main(["stream", "--info", paths["info"], "--status", paths["status"],
                "--weather", paths["weather"], "--out", f"{tmp_shared}/csv",
                "--checkpoint", f"{tmp_shared}/ckpt", "--mode", "snapshot",
-               "--format", "csv", "--available-now"], spark)
+               "--format", "csv", "--available-now",
+               "--quarantine", f"{tmp_shared}/quarantine"], spark)
     jobs.main(["compact", "--parts", f"{tmp_shared}/csv/*/*.csv",
                "--out", f"{tmp_shared}/history",
                "--distinct", "citywide_utilization_rate"], spark)

@@ -129,3 +129,19 @@ def test_late_rows_are_counted(spark, tmp_shared):
     land_poll(spark, tmp_shared, T0)  # the same instant again, now behind the watermark
     q = run(spark, tmp_shared, "event_time")
     assert dropped_by_watermark(q) > 0
+
+
+def test_quarantine_stream_keeps_unusable_messages(spark, tmp_shared):
+    from stationflow.streaming.utilization import start_quarantine_stream
+    land_poll(spark, tmp_shared, T0)
+    spark.createDataFrame([("x", "{broken"), ("y", json.dumps({"station_id": "a",
+                                                                "timestamp": "never"}))],
+                          "key string, value string").coalesce(1) \
+        .write.mode("append").json(f"{tmp_shared}/status")
+    q = start_quarantine_stream(
+        *(read_messages(spark, path=f"{tmp_shared}/{f}") for f in ("info", "status", "weather")),
+        path=f"{tmp_shared}/quarantine", checkpoint_path=f"{tmp_shared}/qckpt",
+        trigger={"availableNow": True})
+    q.awaitTermination()
+    bad = spark.read.json(f"{tmp_shared}/quarantine").collect()
+    assert sorted((r.feed, r.key) for r in bad) == [("status", "x"), ("status", "y")]
