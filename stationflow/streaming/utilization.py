@@ -30,7 +30,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from stationflow.operators import metrics as M
 from stationflow.operators import normalize as N
-from stationflow.operators.join import join_feeds, time_buckets_bound
+from stationflow.operators.join import buckets_in_span, join_feeds, time_span_seconds
 from stationflow.sources.sinks import write_batch
 
 WATERMARK = "1 minute"
@@ -76,13 +76,19 @@ def start_quarantine_stream(info_msgs: DataFrame, status_msgs: DataFrame,
 
 
 def _report_batch(builder, sink_path: str, fmt: str, window_seconds: int):
-    """foreachBatch body: persist once, skip empty, report, write idempotently."""
+    """foreachBatch body: persist once, skip empty, report, write idempotently.
+
+    One global min/max over the batch's time column both detects an empty
+    batch (no span: joined rows always carry a time) and bounds the number of
+    windows for the broadcast of the window totals.
+    """
     def run(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         try:
-            if batch.isEmpty():
+            span = time_span_seconds(batch, builder.ts_col)
+            if span is None:
                 return
-            bound = time_buckets_bound(batch, builder.ts_col, window_seconds)
+            bound = buckets_in_span(span, window_seconds)
             write_batch(builder(batch, bound), sink_path, batch_id, fmt=fmt)
         finally:
             batch.unpersist()
