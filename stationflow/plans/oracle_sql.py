@@ -125,8 +125,8 @@ fc AS (
          CAST(wind_speed AS DOUBLE) AS wind_speed,
          CAST(cloudiness AS INTEGER) AS cloudiness,
          timestamp AS forecast_time,
-         row_number() OVER (PARTITION BY CAST(timestamp AS DATE) ORDER BY timestamp) - 1
-           AS horizon
+         CAST(row_number() OVER (PARTITION BY CAST(timestamp AS DATE) ORDER BY timestamp) - 1
+              AS INTEGER) AS horizon
   FROM weather
   WHERE minute(timestamp) = 0 AND hour(timestamp) % 3 = 0)"""
 
