@@ -7,7 +7,7 @@ import pytest
 
 import __spark_entry__ as E
 from conftest import SF_SMALL
-from tools.check_oracle import TABLES, digest
+from tools.check_oracle import TABLES, digest, type_diffs
 
 QUERIES = E.queries()
 ORACLE = E.oracle_sql()
@@ -30,6 +30,7 @@ def test_query_matches_oracle(spark, duck, name):
     res = duck.sql(ORACLE[name])
     drows = res.fetchall()
     assert sorted(sdf.columns) == sorted(res.columns)
+    assert type_diffs(sdf, res) == []
     assert len(srows) == len(drows)
     assert digest(srows, sdf.columns)[0] == digest(drows, res.columns)[0]
 
