@@ -32,7 +32,7 @@ def split(df: DataFrame, ok: Column) -> tuple[DataFrame, DataFrame]:
 
 def _stations(payloads: DataFrame, payload_col: str, stamp_col: str) -> DataFrame:
     return payloads.select(
-        F.col(stamp_col).alias("_stamp"),
+        F.col(stamp_col).alias("_stamp"), F.col(payload_col).alias("_payload"),
         F.from_json(payload_col, S.STATION_PAYLOAD).getField("data").getField("stations")
         .alias("_stations"))
 
@@ -45,12 +45,12 @@ def flatten_station_payloads(payloads: DataFrame, variant: str, *,
     ``variant`` is ``"info"`` (station_id, metadata.timestamp, capacity) or
     ``"status"`` (station_id, timestamp, num_bikes_available). Payloads without
     ``data.stations`` give no message (F2) and stations without an id are not
-    keyed; both go to the quarantine when ``with_quarantine`` is set.
-    Output: key, value (JSON text).
+    keyed; both go to the quarantine (reason, stamp, payload) when
+    ``with_quarantine`` is set. Output: key, value (JSON text).
     """
     parsed = _stations(payloads, payload_col, stamp_col)
     has_list, no_list = split(parsed, F.col("_stations").isNotNull())
-    st = has_list.select("_stamp", F.explode("_stations").alias("s"))
+    st = has_list.select("_stamp", "_payload", F.explode("_stations").alias("s"))
     good, no_id = split(st, F.col("s.station_id").isNotNull())
     if variant == "info":
         value = F.struct(F.col("s.station_id").alias("station_id"),
@@ -66,10 +66,10 @@ def flatten_station_payloads(payloads: DataFrame, variant: str, *,
                        F.to_json(value, _KEEP_NULLS).alias("value"))
     if not with_quarantine:
         return msgs
-    bad = (no_list.select(F.lit("no data.stations").alias("reason"),
-                          F.col("_stamp").alias("stamp"))
-           .unionByName(no_id.select(F.lit("no station_id").alias("reason"),
-                                     F.col("_stamp").alias("stamp"))))
+    def reason(df: DataFrame, text: str) -> DataFrame:
+        return df.select(F.lit(text).alias("reason"), F.col("_stamp").alias("stamp"),
+                         F.col("_payload").alias("payload"))
+    bad = reason(no_list, "no data.stations").unionByName(reason(no_id, "no station_id"))
     return msgs, bad
 
 
