@@ -35,7 +35,9 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def station_snapshots(events: DataFrame) -> DataFrame:
     """station_id, ts, capacity, num_bikes_available - one row per station and snap."""
-    k = F.from_json("props", "k INT").getField("k")
+    # One field per event: get_json_object stays inside whole-stage codegen
+    # (from_json is evaluated outside it in Spark 4.1).
+    k = F.get_json_object("props", "$.k").try_cast("int")
     uid = F.col("user_id")
     capacity = F.when(uid % 50 == 0, F.lit(0)).otherwise(15 + uid % 45).cast("int")
     return (events
