@@ -69,7 +69,18 @@ def pipeline(handle_invalid: str = "error") -> Pipeline:
 
 
 def train(rows: DataFrame, handle_invalid: str = "error") -> PipelineModel:
-    return pipeline(handle_invalid).fit(rows)
+    """Fit the pipeline. Spark ML makes several passes over its input, so
+    uncached rows are persisted for the fit (lost blocks are recomputed from
+    lineage) and released afterwards."""
+    level = rows.storageLevel
+    cached = level.useMemory or level.useDisk
+    if not cached:
+        rows = rows.persist()
+    try:
+        return pipeline(handle_invalid).fit(rows)
+    finally:
+        if not cached:
+            rows.unpersist()
 
 
 def rmse(predictions: DataFrame, label: str = LABEL_COLUMN) -> DataFrame:
