@@ -1,6 +1,11 @@
 """Composed plans over the test tables: events -> three feeds -> joined feed
--> utilization report. Each step returns a lazy DataFrame; the only eager step
-is the one-row span aggregate that bounds the broadcast sides."""
+-> utilization report, and the same report from landed message files or from
+the streaming job.
+
+The batch plans return lazy DataFrames; their only eager step is the one-row
+span aggregate that bounds the broadcast sides. ``land_feed_messages`` and
+``stream_report_from_events`` write files (landed messages, the stream's sink
+and checkpoint) under ``spark.checkpoint.dir`` before returning a reader."""
 
 from __future__ import annotations
 
