@@ -71,21 +71,23 @@ def flatten_window(df: DataFrame, col: str = "window") -> DataFrame:
 
 def land_feed_messages(spark: SparkSession, sf_dir: str, base: str) -> dict[str, str]:
     """Land the three events-derived feeds as keyed JSON messages under
-    ``base`` (as producers would) and return the folder of each feed."""
+    ``base`` (as producers would) and return the folder of each feed.
+
+    One write job: the three message frames are unioned with their feed name
+    and written partitioned by it, so their stages run side by side.
+    """
     from stationflow.operators import normalize as N
-    from stationflow.sources.sinks import write_messages
-
-    snaps = E.station_snapshots(E.read_table(spark, sf_dir, "events")).persist()
-    paths = {f: f"{base}/{f}" for f in ("info", "status", "weather")}
-    try:
-        for variant in ("info", "status"):
-            write_messages(N.flatten_station_payloads(E.station_payloads(snaps, variant),
-                                                      variant), path=paths[variant])
-        write_messages(N.flatten_weather_payloads(E.weather_payloads(E.weather_feed(snaps))),
-                       path=paths["weather"])
-    finally:
-        snaps.unpersist()
-    return paths
+
+    snaps = E.station_snapshots(E.read_table(spark, sf_dir, "events"))
+    frames = {v: N.flatten_station_payloads(E.station_payloads(snaps, v), v)
+              for v in ("info", "status")}
+    frames["weather"] = N.flatten_weather_payloads(E.weather_payloads(E.weather_feed(snaps)))
+    union = None
+    for feed, msgs in frames.items():
+        tagged = msgs.select(F.lit(feed).alias("feed"), "key", "value")
+        union = tagged if union is None else union.unionByName(tagged)
+    union.write.partitionBy("feed").json(base)
+    return {f: f"{base}/feed={f}" for f in frames}
 
 
 def stream_report_from_events(spark: SparkSession, sf_dir: str, mode: str) -> DataFrame:
