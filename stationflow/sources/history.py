@@ -63,22 +63,32 @@ def read_csv_parts(spark: SparkSession, paths, schema: StructType = REPORT_SCHEM
         raise FileNotFoundError(f"no CSV parts under {paths}")
     fields = F.split(F.col("_line"), ",")
     wanted = F.array_sort(F.array(*[F.lit(n) for n in names]))
-    is_header = F.array_sort(fields) == wanted
+    # cheap test first (AND short-circuits per row): only lines that start
+    # with a column name and have as many fields get the full set comparison
+    candidate = (F.substring_index(F.col("_line"), ",", 1).isin(names)
+                 & (F.size(fields) == len(names)))
+    is_header = candidate & (F.array_sort(fields) == wanted)
+    # Per file, where each target column sits in that file's header (+1, so 0
+    # is never used: slot 1 of the value array below is a NULL for columns a
+    # part lacks). Computed once per file on the small header table.
     headers = (lines.where(is_header)
-               .groupBy("_file").agg(F.first(fields).alias("_names")))
+               .groupBy("_file").agg(F.first(fields).alias("_names"))
+               .select("_file", *[(F.array_position("_names", n) + 1).cast("int").alias(f"_p{i}")
+                                  for i, n in enumerate(names)]))
     body = join_small(lines.where(~is_header), headers, "_file",
                       rows_bound=n_files, how="left", spread_by="_line")
     positional = ", ".join(f"_c{i} STRING" for i in range(len(names)))
-    parsed = body.select("_file", "_names", "_line",
+    parsed = body.select("_file", "_line", *[f"_p{i}" for i in range(len(names))],
                          F.from_csv("_line", positional).alias("_v"))
-    values = F.array(*[F.col(f"_v._c{i}") for i in range(len(names))])
-    typed = []
-    for f in schema.fields:
-        pos = F.array_position(F.col("_names"), f.name)
-        text = F.when(pos > 0, F.element_at(values, pos.cast("int")))
-        typed.append(text.try_cast(f.dataType).alias(f.name))
-    good = parsed.where(F.col("_names").isNotNull() & (F.col("_line") != "")).select(*typed)
+    values = F.array(F.lit(None).cast("string"),
+                     *[F.col(f"_v._c{i}") for i in range(len(names))])
+    parsed = parsed.select("_file", "_line", *[f"_p{i}" for i in range(len(names))],
+                           values.alias("_vals"))
+    # no conditional branches here: the parsed array is shared by all columns
+    typed = [F.element_at("_vals", F.col(f"_p{i}")).try_cast(f.dataType).alias(f.name)
+             for i, f in enumerate(schema.fields)]
+    good = parsed.where(F.col("_p0").isNotNull() & (F.col("_line") != "")).select(*typed)
     if not with_quarantine:
         return good
-    bad = parsed.where(F.col("_names").isNull()).select("_file", "_line")
+    bad = parsed.where(F.col("_p0").isNull()).select("_file", "_line")
     return good, bad
