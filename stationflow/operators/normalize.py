@@ -22,6 +22,13 @@ from stationflow.functions import epoch_to_timestamp, message_key, safe_timestam
 _KEEP_NULLS = {"ignoreNullFields": "false"}
 
 
+def parsed_once(df: DataFrame, *cols: Column) -> DataFrame:
+    """``df.select(*cols)`` through a one-element ``inline``. Filters on the
+    resulting columns then stay above it: pushed below a plain projection,
+    they would evaluate its JSON parsing a second time."""
+    return df.select(F.inline(F.array(F.struct(*cols))))
+
+
 def split(df: DataFrame, ok: Column) -> tuple[DataFrame, DataFrame]:
     """(rows where ``ok`` is true, the rest). The rest is the quarantine."""
     ok = F.coalesce(ok, F.lit(False))
@@ -31,8 +38,8 @@ def split(df: DataFrame, ok: Column) -> tuple[DataFrame, DataFrame]:
 # --- S4: station payloads ------------------------------------------------------
 
 def _stations(payloads: DataFrame, payload_col: str, stamp_col: str) -> DataFrame:
-    return payloads.select(
-        F.col(stamp_col).alias("_stamp"), F.col(payload_col).alias("_payload"),
+    return parsed_once(
+        payloads, F.col(stamp_col).alias("_stamp"), F.col(payload_col).alias("_payload"),
         F.from_json(payload_col, S.STATION_PAYLOAD).getField("data").getField("stations")
         .alias("_stations"))
 
@@ -112,7 +119,8 @@ def flatten_forecast(payloads: DataFrame, *, horizons: str = "first",
     keep = [c for c in payloads.columns if c != payload_col]
     if horizons == "first":
         first = F.try_element_at(lst, F.lit(1))
-        return (payloads.select(*keep, first.alias("_f")).where(F.col("_f").isNotNull())
+        return (parsed_once(payloads, *[F.col(c) for c in keep], first.alias("_f"))
+                .where(F.col("_f").isNotNull())
                 .select(*keep, *_forecast_cols(F.col("_f"))))
     if horizons == "all":
         return (payloads.select(*keep, F.posexplode(lst).alias("horizon", "_f"))
@@ -123,14 +131,11 @@ def flatten_forecast(payloads: DataFrame, *, horizons: str = "first",
 # --- P1-P4: parse messages ---------------------------------------------------------
 
 def _value(messages: DataFrame, schema) -> DataFrame:
-    """key, value and the parsed value ``d``. The row comes out of a
-    one-element ``inline`` so that filters on parsed fields (quarantine, the
-    joins' inferred not-null checks) stay above the parse: pushed below a plain
-    projection they would parse every message a second time."""
+    """key, value and the parsed value ``d``, parsed once even under the
+    quarantine filter and the joins' inferred not-null checks."""
     value = F.col("value").cast("string")
-    row = F.struct(F.col("key").cast("string").alias("key"), value.alias("value"),
-                   F.from_json(value, schema).alias("d"))
-    return messages.select(F.inline(F.array(row)))
+    return parsed_once(messages, F.col("key").cast("string").alias("key"),
+                       value.alias("value"), F.from_json(value, schema).alias("d"))
 
 
 def _raw(keep_value: bool) -> list[str]:
