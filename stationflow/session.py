@@ -24,9 +24,10 @@ DEFAULT_CONF = {
 }
 
 # Largest number of rows a side may have to be broadcast by our own joins
-# (window totals, weather readings). Override per session with this key.
+# (window totals, weather readings: fixed-width rows of about 100 bytes, so at
+# most ~100 MB). Override per session with this key.
 BROADCAST_MAX_ROWS_KEY = "stationflow.broadcast.maxRows"
-BROADCAST_MAX_ROWS_DEFAULT = 2_000_000
+BROADCAST_MAX_ROWS_DEFAULT = 1_000_000
 
 
 def build_session(master: str | None = None, app_name: str = "stationflow",
