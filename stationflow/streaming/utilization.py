@@ -116,22 +116,16 @@ class _ClosedWindowReport:
                                     windows_bound=bound)
 
 
-def start_utilization_stream(info_msgs: DataFrame, status_msgs: DataFrame,
-                             weather_msgs: DataFrame, *, sink_path: str,
-                             checkpoint_path: str, mode: str = "event_time",
-                             watermark: str = WATERMARK,
-                             window_duration: str = M.WINDOW_DURATION,
-                             trigger: dict | None = None, fmt: str = "parquet",
-                             query_name: str | None = None,
-                             dedupe_messages: bool = False) -> StreamingQuery:
-    """Start the job; returns the running query.
-
-    ``trigger`` is passed to ``DataStreamWriter.trigger`` (for example
-    ``{"processingTime": "5 minutes"}`` or ``{"availableNow": True}``); the
-    default runs batches as fast as data arrives.
-    """
-    info, status, weather = watermarked_feeds(info_msgs, status_msgs, weather_msgs, watermark,
-                                              dedupe_messages=dedupe_messages)
+def start_feeds_stream(info: DataFrame, status: DataFrame, weather: DataFrame, *,
+                       sink_path: str, checkpoint_path: str, mode: str = "event_time",
+                       window_duration: str = M.WINDOW_DURATION,
+                       trigger: dict | None = None, fmt: str = "parquet",
+                       query_name: str | None = None) -> StreamingQuery:
+    """Start the report over parsed, watermarked feed streams (info:
+    key, station_id, capacity, info_timestamp; status: key, station_id,
+    num_bikes_available, status_timestamp; weather: timestamp, temperature,
+    wind_speed, cloudiness) - from ``watermarked_feeds`` or from any typed
+    streaming source with watermarks on those time columns."""
     joined = join_feeds(info, status, weather)
     seconds = M.duration_seconds(window_duration)
     if mode == "snapshot":
@@ -153,6 +147,28 @@ def start_utilization_stream(info_msgs: DataFrame, status_msgs: DataFrame,
     return writer.start()
 
 
+def start_utilization_stream(info_msgs: DataFrame, status_msgs: DataFrame,
+                             weather_msgs: DataFrame, *, sink_path: str,
+                             checkpoint_path: str, mode: str = "event_time",
+                             watermark: str = WATERMARK,
+                             window_duration: str = M.WINDOW_DURATION,
+                             trigger: dict | None = None, fmt: str = "parquet",
+                             query_name: str | None = None,
+                             dedupe_messages: bool = False) -> StreamingQuery:
+    """Start the job on the three keyed message streams; returns the query.
+
+    ``trigger`` is passed to ``DataStreamWriter.trigger`` (for example
+    ``{"processingTime": "5 minutes"}`` or ``{"availableNow": True}``); the
+    default runs batches as fast as data arrives.
+    """
+    info, status, weather = watermarked_feeds(info_msgs, status_msgs, weather_msgs, watermark,
+                                              dedupe_messages=dedupe_messages)
+    return start_feeds_stream(info, status, weather, sink_path=sink_path,
+                              checkpoint_path=checkpoint_path, mode=mode,
+                              window_duration=window_duration, trigger=trigger, fmt=fmt,
+                              query_name=query_name)
+
+
 def dropped_by_watermark(query: StreamingQuery) -> int:
     """Rows dropped as late by the stateful operators, summed over the
     progress reports the query still holds."""

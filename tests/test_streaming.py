@@ -145,3 +145,26 @@ def test_quarantine_stream_keeps_unusable_messages(spark, tmp_shared):
     q.awaitTermination()
     bad = spark.read.json(f"{tmp_shared}/quarantine").collect()
     assert sorted((r.feed, r.key) for r in bad) == [("status", "x"), ("status", "y")]
+
+
+def test_typed_feed_streams(spark, tmp_shared):
+    """The report runs on typed feed streams too (here: Parquet folders)."""
+    from stationflow.streaming.utilization import start_feeds_stream
+    for i in range(2):
+        land_poll(spark, tmp_shared, T0 + dt.timedelta(minutes=45 * i))
+    msgs = {f: read_messages(spark, path=f"{tmp_shared}/{f}", streaming=False)
+            for f in ("info", "status", "weather")}
+    N.parse_info(msgs["info"]).write.parquet(f"{tmp_shared}/t_info")
+    N.parse_status(msgs["status"]).write.parquet(f"{tmp_shared}/t_status")
+    N.parse_weather(msgs["weather"]).write.parquet(f"{tmp_shared}/t_weather")
+
+    def typed(name, ts):
+        schema = spark.read.parquet(f"{tmp_shared}/t_{name}").schema
+        return spark.readStream.schema(schema).parquet(f"{tmp_shared}/t_{name}") \
+            .withWatermark(ts, "1 minute")
+    q = start_feeds_stream(typed("info", "info_timestamp"), typed("status", "status_timestamp"),
+                           typed("weather", "timestamp"), sink_path=f"{tmp_shared}/out",
+                           checkpoint_path=f"{tmp_shared}/ckpt", mode="snapshot",
+                           trigger={"availableNow": True})
+    q.awaitTermination()
+    assert spark.read.parquet(f"{tmp_shared}/out").count() == 2 * len(STATIONS)
