@@ -69,9 +69,11 @@ def flatten_window(df: DataFrame, col: str = "window") -> DataFrame:
                      F.col(f"{col}.end").alias("window_end"))
 
 
-def land_feed_messages(spark: SparkSession, sf_dir: str, base: str) -> dict[str, str]:
+def land_feed_messages(spark: SparkSession, sf_dir: str, base: str,
+                       copies: int = 1) -> dict[str, str]:
     """Land the three events-derived feeds as keyed JSON messages under
     ``base`` (as producers would) and return the folder of each feed.
+    ``copies`` > 1 lands every message that many times (repeated delivery).
 
     One write job: the three message frames are unioned with their feed name
     and written partitioned by it, so their stages run side by side.
@@ -85,12 +87,14 @@ def land_feed_messages(spark: SparkSession, sf_dir: str, base: str) -> dict[str,
     union = None
     for feed, msgs in frames.items():
         tagged = msgs.select(F.lit(feed).alias("feed"), "key", "value")
-        union = tagged if union is None else union.unionByName(tagged)
+        for _ in range(copies):
+            union = tagged if union is None else union.unionByName(tagged)
     union.write.partitionBy("feed").json(base)
     return {f: f"{base}/feed={f}" for f in frames}
 
 
-def stream_report_from_events(spark: SparkSession, sf_dir: str, mode: str) -> DataFrame:
+def stream_report_from_events(spark: SparkSession, sf_dir: str, mode: str, *,
+                              copies: int = 1, dedupe: bool = False) -> DataFrame:
     """Run the streaming job over the landed feeds until all landed data is
     processed (``availableNow``) and return what its sink holds."""
     from stationflow.session import shared_path
@@ -98,11 +102,11 @@ def stream_report_from_events(spark: SparkSession, sf_dir: str, mode: str) -> Da
     from stationflow.streaming.utilization import start_utilization_stream
 
     base = shared_path(spark, f"stream_{mode}")
-    paths = land_feed_messages(spark, sf_dir, base)
+    paths = land_feed_messages(spark, sf_dir, base, copies=copies)
     query = start_utilization_stream(
         *(read_messages(spark, path=paths[f]) for f in ("info", "status", "weather")),
         sink_path=f"{base}/report", checkpoint_path=f"{base}/checkpoint", mode=mode,
-        trigger={"availableNow": True})
+        trigger={"availableNow": True}, dedupe_messages=dedupe)
     query.awaitTermination()
     return spark.read.parquet(f"{base}/report")
 
