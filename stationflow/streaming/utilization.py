@@ -36,6 +36,21 @@ from stationflow.sources.sinks import write_batch
 WATERMARK = "1 minute"
 
 
+def drop_batch_copies(messages: DataFrame) -> DataFrame:
+    """Map-side combine for repeated deliveries: within every Arrow batch of
+    every input partition, keep one copy of identical ``(key, value)``
+    messages. Stateless and vectorized; memory is bounded by one batch
+    (``spark.sql.execution.arrow.maxRecordsPerBatch``). The stateful
+    de-duplication after it then receives at most one copy per batch."""
+    def first_copies(batches):
+        for pdf in batches:
+            yield pdf[~pdf.duplicated(subset=["key", "value"])]
+
+    msgs = messages.select(F.col("key").cast("string").alias("key"),
+                           F.col("value").cast("string").alias("value"))
+    return msgs.mapInPandas(first_copies, schema="key string, value string")
+
+
 def watermarked_feeds(info_msgs: DataFrame, status_msgs: DataFrame, weather_msgs: DataFrame,
                       watermark: str = WATERMARK, *, dedupe_messages: bool = False
                       ) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -43,9 +58,14 @@ def watermarked_feeds(info_msgs: DataFrame, status_msgs: DataFrame, weather_msgs
 
     ``dedupe_messages`` drops repeated deliveries of a message (same station
     and instant; same instant for weather) within the watermark delay, with
-    state bounded by the watermark. Off by default: repeated readings then
-    fan out in the joins, as an equi-join does.
+    state bounded by the watermark; identical copies are first collapsed
+    map-side (``drop_batch_copies``), so a message repeated across a third of
+    the input does not land whole on one state partition. Off by default:
+    repeated readings then fan out in the joins, as an equi-join does.
     """
+    if dedupe_messages:
+        info_msgs, status_msgs, weather_msgs = (
+            drop_batch_copies(m) for m in (info_msgs, status_msgs, weather_msgs))
     info, _ = N.quarantine_parsed(N.parse_info(info_msgs), "info_timestamp")
     status, _ = N.quarantine_parsed(N.parse_status(status_msgs), "status_timestamp")
     weather, _ = N.quarantine_parsed(N.parse_weather(weather_msgs), "timestamp", id_col=None)

@@ -48,3 +48,11 @@ def test_dedupe_within_watermark_drops_repeated_messages(spark, tmp_shared):
     q.awaitTermination()
     got = spark.sql("SELECT * FROM dedupe_status").collect()
     assert len(got) == 1 and got[0].status_timestamp == dt.datetime(2025, 1, 5, 10, 0)
+
+
+def test_batch_copies_are_collapsed_map_side(spark):
+    from stationflow.streaming.utilization import drop_batch_copies
+    rows = [("k", "v")] * 50 + [("k", "w"), ("j", "v")]
+    df = spark.createDataFrame(rows, "key string, value string").coalesce(1)
+    assert sorted(map(tuple, drop_batch_copies(df).collect())) == [("j", "v"), ("k", "v"),
+                                                                    ("k", "w")]
