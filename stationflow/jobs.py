@@ -132,7 +132,8 @@ def parser() -> argparse.ArgumentParser:
     stm.add_argument("--checkpoint", required=True)
     stm.add_argument("--mode", choices=["snapshot", "event_time"], default="event_time")
     stm.add_argument("--watermark", default="1 minute")
-    stm.add_argument("--format", choices=["parquet", "csv"], default="parquet")
+    stm.add_argument("--format", choices=["parquet", "csv", "console"], default="parquet",
+                     help="console: preview each batch's report instead of writing it")
     stm.add_argument("--dedupe", action="store_true")
     stm.add_argument("--quarantine", help="folder for messages the report cannot use")
     triggers(stm)

@@ -34,6 +34,7 @@ from stationflow.operators.join import buckets_in_span, join_feeds, time_span_se
 from stationflow.sources.sinks import write_batch
 
 WATERMARK = "1 minute"
+PREVIEW_ROWS = 20
 
 
 def drop_batch_copies(messages: DataFrame) -> DataFrame:
@@ -109,7 +110,11 @@ def _report_batch(builder, sink_path: str, fmt: str, window_seconds: int):
             if span is None:
                 return
             bound = buckets_in_span(span, window_seconds)
-            write_batch(builder(batch, bound), sink_path, batch_id, fmt=fmt)
+            if fmt == "console":  # S11 preview, opt-in: first rows to the driver log
+                print(f"--- batch {batch_id} ---")
+                builder(batch, bound).show(PREVIEW_ROWS, truncate=False)
+            else:
+                write_batch(builder(batch, bound), sink_path, batch_id, fmt=fmt)
         finally:
             batch.unpersist()
     return run

@@ -168,3 +168,10 @@ def test_typed_feed_streams(spark, tmp_shared):
                            trigger={"availableNow": True})
     q.awaitTermination()
     assert spark.read.parquet(f"{tmp_shared}/out").count() == 2 * len(STATIONS)
+
+
+def test_console_preview(spark, tmp_shared, capfd):
+    land_poll(spark, tmp_shared, T0)
+    run(spark, tmp_shared, "snapshot", fmt="console")
+    out = capfd.readouterr().out
+    assert "--- batch 0 ---" in out and "station_utilization_rate" in out
