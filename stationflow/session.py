@@ -21,6 +21,9 @@ DEFAULT_CONF = {
     # Stream-stream join and aggregation state lives in RocksDB, off the JVM heap.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # Commit only each micro-batch's changes; full snapshots are made in the
+    # background instead of on every batch.
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 # Largest number of rows a side may have to be broadcast by our own joins
