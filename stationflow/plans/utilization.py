@@ -103,10 +103,20 @@ def stream_report_from_events(spark: SparkSession, sf_dir: str, mode: str, *,
 
     base = shared_path(spark, f"stream_{mode}")
     paths = land_feed_messages(spark, sf_dir, base, copies=copies)
-    query = start_utilization_stream(
-        *(read_messages(spark, path=paths[f]) for f in ("info", "status", "weather")),
-        sink_path=f"{base}/report", checkpoint_path=f"{base}/checkpoint", mode=mode,
-        trigger={"availableNow": True}, dedupe_messages=dedupe)
+    # A stream fixes its state partitions from the session when it starts;
+    # more of them than cores only adds per-batch state-store work. The
+    # running query keeps its own copy of the session settings, so the
+    # caller's value is restored right after the start.
+    key = "spark.sql.shuffle.partitions"
+    previous = spark.conf.get(key)
+    spark.conf.set(key, str(min(int(previous), spark.sparkContext.defaultParallelism)))
+    try:
+        query = start_utilization_stream(
+            *(read_messages(spark, path=paths[f]) for f in ("info", "status", "weather")),
+            sink_path=f"{base}/report", checkpoint_path=f"{base}/checkpoint", mode=mode,
+            trigger={"availableNow": True}, dedupe_messages=dedupe)
+    finally:
+        spark.conf.set(key, previous)
     query.awaitTermination()
     return spark.read.parquet(f"{base}/report")
 

@@ -175,3 +175,15 @@ def test_console_preview(spark, tmp_shared, capfd):
     run(spark, tmp_shared, "snapshot", fmt="console")
     out = capfd.readouterr().out
     assert "--- batch 0 ---" in out and "station_utilization_rate" in out
+
+
+def test_stream_query_restores_shuffle_partitions(spark):
+    from stationflow.plans.utilization import stream_report_from_events
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "37")
+    try:
+        out = stream_report_from_events(spark, "/root/testdata/sf0.001", "snapshot")
+        assert out.count() > 0 and spark.conf.get(key) == "37"
+    finally:
+        spark.conf.set(key, before)
