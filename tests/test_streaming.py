@@ -187,3 +187,19 @@ def test_stream_query_restores_shuffle_partitions(spark):
         assert out.count() > 0 and spark.conf.get(key) == "37"
     finally:
         spark.conf.set(key, before)
+
+
+def test_backfill_from_landed_messages_ignores_unusable_ones(spark, tmp_shared):
+    from stationflow.plans.utilization import report_from_messages
+    for i in range(3):
+        land_poll(spark, tmp_shared, T0 + dt.timedelta(minutes=15 * i))
+    clean = report_from_messages(spark, *(f"{tmp_shared}/{f}" for f in
+                                          ("info", "status", "weather")))
+    expected = _rows(clean)
+    junk = [("x", "{broken"), ("y", json.dumps({"station_id": None, "timestamp": "never"}))]
+    for feed in ("info", "status", "weather"):
+        spark.createDataFrame(junk, "key string, value string").coalesce(1) \
+            .write.mode("append").json(f"{tmp_shared}/{feed}")
+    got = report_from_messages(spark, *(f"{tmp_shared}/{f}" for f in
+                                        ("info", "status", "weather")))
+    assert _rows(got) == expected and len(expected) == 6
