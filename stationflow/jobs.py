@@ -42,11 +42,29 @@ def cmd_ingest(spark: SparkSession, args) -> None:
     q.awaitTermination()
 
 
+def _typed_feeds(spark: SparkSession, args):
+    """Parsed feed tables landed as Parquet, read as streams with watermarks."""
+    from stationflow import schemas as S
+    out = []
+    for loc, schema, ts in ((args.info, S.PARSED_INFO, "info_timestamp"),
+                            (args.status, S.PARSED_STATUS, "status_timestamp"),
+                            (args.weather, S.PARSED_WEATHER, "timestamp")):
+        out.append(spark.readStream.schema(schema).parquet(loc)
+                   .withWatermark(ts, args.watermark))
+    return out
+
+
 def cmd_stream(spark: SparkSession, args) -> None:
     from stationflow.sources.feeds import read_messages
     from stationflow.streaming.utilization import (
-        start_quarantine_stream, start_utilization_stream,
+        start_feeds_stream, start_quarantine_stream, start_utilization_stream,
     )
+    if args.source == "parquet":
+        q = start_feeds_stream(*_typed_feeds(spark, args), sink_path=args.out,
+                               checkpoint_path=args.checkpoint, mode=args.mode,
+                               trigger=_trigger(args), fmt=args.format)
+        q.awaitTermination()
+        return
     feeds = [read_messages(spark, source=args.source, path=loc, topic=loc,
                            bootstrap_servers=args.bootstrap_servers,
                            starting_offsets=args.starting_offsets)
@@ -125,7 +143,8 @@ def parser() -> argparse.ArgumentParser:
     stm = sub.add_parser("stream", help="messages -> utilization report")
     for name in ("info", "status", "weather"):
         stm.add_argument(f"--{name}", required=True, help="folder, or topic with --source kafka")
-    stm.add_argument("--source", choices=["files", "kafka"], default="files")
+    stm.add_argument("--source", choices=["files", "kafka", "parquet"], default="files",
+                     help="files/kafka: keyed JSON messages; parquet: parsed feed tables")
     stm.add_argument("--bootstrap-servers")
     stm.add_argument("--starting-offsets", default="earliest")
     stm.add_argument("--out", required=True)

@@ -6,7 +6,7 @@ the producer's message layout for the messages to parse.
 
 from pyspark.sql.types import (
     ArrayType, DoubleType, FloatType, IntegerType, LongType, StringType,
-    StructField, StructType,
+    StructField, StructType, TimestampType,
 )
 
 
@@ -69,11 +69,15 @@ FORECAST_PAYLOAD = _s(
 MESSAGE = _s(_f("key", StringType()), _f("value", StringType()))
 
 # --- parsed feeds -------------------------------------------------------------
-# info:    key, station_id, capacity, info_timestamp
-# status:  key, station_id, num_bikes_available, status_timestamp
-# weather: timestamp, temperature, wind_speed, cloudiness
 # joined:  key, station_id, capacity, num_bikes_available, timestamp,
 #          temperature, wind_speed, cloudiness
+PARSED_INFO = _s(_f("key", StringType()), _f("station_id", StringType()),
+                 _f("capacity", IntegerType()), _f("info_timestamp", TimestampType()))
+PARSED_STATUS = _s(_f("key", StringType()), _f("station_id", StringType()),
+                   _f("num_bikes_available", IntegerType()),
+                   _f("status_timestamp", TimestampType()))
+PARSED_WEATHER = _s(_f("timestamp", TimestampType()), _f("temperature", FloatType()),
+                    _f("wind_speed", FloatType()), _f("cloudiness", FloatType()))
 
 # --- scoring rows (forecast features) ----------------------------------------
 SCORING_ROW = _s(

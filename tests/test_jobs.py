@@ -42,3 +42,18 @@ def test_ingest_job(spark, tmp_shared):
                "--messages", f"{tmp_shared}/msgs", "--checkpoint", f"{tmp_shared}/ckpt",
                "--available-now"], spark)
     assert spark.read.json(f"{tmp_shared}/msgs").count() == 1
+
+
+def test_stream_job_on_parsed_parquet_feeds(spark, tmp_shared):
+    from stationflow.operators import normalize as N
+    from stationflow.sources.feeds import read_messages
+    paths = land_feed_messages(spark, SF, f"{tmp_shared}/land")
+    parse = {"info": N.parse_info, "status": N.parse_status, "weather": N.parse_weather}
+    for feed, fn in parse.items():
+        fn(read_messages(spark, path=paths[feed], streaming=False)) \
+            .write.parquet(f"{tmp_shared}/typed_{feed}")
+    jobs.main(["stream", "--source", "parquet", "--info", f"{tmp_shared}/typed_info",
+               "--status", f"{tmp_shared}/typed_status", "--weather", f"{tmp_shared}/typed_weather",
+               "--out", f"{tmp_shared}/out", "--checkpoint", f"{tmp_shared}/ckpt",
+               "--mode", "snapshot", "--available-now"], spark)
+    assert spark.read.parquet(f"{tmp_shared}/out").count() == 987
