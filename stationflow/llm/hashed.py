@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stationflow.llm import textarrays as T
-from stationflow.llm.store import saved
+from stationflow.llm.store import hash_below, saved
 
 # Tasks that share the training rows, and rounds of mixing.
 PARTS = 4
@@ -148,19 +148,21 @@ def adagrad(rows: Rows, labels: np.ndarray, start: np.ndarray, slope: Slope,
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, rows_per_class: int) -> DataFrame:
-    """At most ``rows_per_class`` labelled documents of each class, those with
-    the least hash of their id: columns doc_id, text, label, fold (0..4).
-    ``labels`` has doc_id and label (others than 0 and 1 are left out; of several
-    labels of a document the largest counts)."""
+    """About ``rows_per_class`` labelled documents of each class at most, those
+    whose id's hash lies in the share of hashes that this number is of the class:
+    columns doc_id, text, label, fold (0..4). ``labels`` has doc_id and label
+    (others than 0 and 1 are left out; of several labels of a document the
+    largest counts)."""
     known = (labels.where("doc_id IS NOT NULL AND label IN (0, 1)")
              .groupBy(F.col("doc_id").cast("long").alias("doc_id"))
              .agg(F.max("label").cast("int").alias("label"))
              .join(docs.select(F.col("doc_id").cast("long").alias("doc_id")).distinct(), "doc_id", "left_semi"))
-    order = F.xxhash64(F.lit("train"), "doc_id")
-    picked = None
-    for c in (0, 1):
-        own = known.where(F.col("label") == c).orderBy(order, "doc_id").limit(rows_per_class)
-        picked = own if picked is None else picked.unionByName(own)
+    known = saved(known, "labelled")
+    size = {r.label: r["count"] for r in known.groupBy("label").count().collect()}
+    h = F.xxhash64(F.lit("train"), "doc_id")
+    picked = known.where(F.lit(False))
+    for c, n in sorted(size.items()):
+        picked = picked.unionByName(known.where((F.col("label") == c) & hash_below(h, rows_per_class / n)))
     # The two lists are bounded by the parameter, so they may go to every task.
     joined = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
               .join(F.broadcast(picked), "doc_id"))

@@ -34,11 +34,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stationflow.llm.store import saved
+from stationflow.llm.store import hash_below, saved
 from stationflow.llm.units import units_for
 
 MAGIC = b"SFID0001"
-# Documents whose ids the dictionary is trained on: those with the least hash.
+# Documents whose ids the dictionary is trained on (about so many: those whose
+# hash lies in the share of hashes that this number is of all documents).
 TRAINING_DOCUMENTS = 1000
 DICTIONARY_BYTES = 1 << 16
 # Id bytes that close a chunk (a longer document has a chunk of its own).
@@ -118,9 +119,11 @@ class Chunk:
 
 
 def sample_dictionary(docs: DataFrame, encoding: Encoding, width: int) -> bytes:
-    rows = (docs.where(F.length("text") > 0)
-            .select("text", F.xxhash64(F.lit("dictionary"), "doc_id", "text").alias("h"))
-            .orderBy("h").limit(TRAINING_DOCUMENTS).select("text").collect())
+    share = TRAINING_DOCUMENTS / max(docs.count(), 1)
+    # Equal rows share their hash and count once, so the sample stays near its bound.
+    rows = (docs.select("text", F.xxhash64(F.lit("dictionary"), "doc_id", "text").alias("h"))
+            .where(hash_below(F.col("h"), share) & (F.length("text") > 0))
+            .groupBy("h").agg(F.min("text").alias("text")).orderBy("h").collect())
     units = units_for(encoding.path, encoding.kind)
     kind = "<u2" if width == 2 else "<u4"
     samples = []

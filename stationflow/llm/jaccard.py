@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stationflow.llm import textarrays as T
-from stationflow.llm.store import saved
+from stationflow.llm.store import least_step, saved
 
 WORDS = 3
 PERCENT = 90
@@ -295,12 +295,7 @@ def common_order(common: DataFrame) -> Order:
     """At most ``COMMON_LIMIT`` common shingles: those from the step of counts on
     (an eighth of a doubling) that keeps within it."""
     step = F.floor(F.log2("n") * 8).cast("int")
-    left, bound = COMMON_LIMIT, 1 << 30
-    for r in sorted(common.groupBy(step.alias("o")).count().collect(), key=lambda r: -r["o"]):
-        left -= r["count"]
-        if left < 0:
-            break
-        bound = r["o"]
+    bound = least_step(common, step, COMMON_LIMIT)
     got = common.where(step >= bound).select("s1", "n").toArrow()
     return Order(got.column("s1").to_numpy().astype(np.int64).astype(np.uint64), got.column("n").to_numpy())
 

@@ -10,7 +10,8 @@ import shutil
 import tempfile
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 import stationflow
 from stationflow.session import shared_path
@@ -52,3 +53,21 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def least_step(df: DataFrame, step: Column, limit: int) -> int:
+    """The least value of the integer ``step`` (of which there are few) such that
+    the rows from it on are at most ``limit``: a top list without a sort, whose
+    size is proven before it is brought together."""
+    left, bound = limit, 1 << 30
+    for r in sorted(df.groupBy(step.alias("o")).count().collect(), key=lambda r: -r["o"]):
+        left -= r["count"]
+        if left < 0:
+            break
+        bound = r["o"]
+    return bound
+
+
+def hash_below(h: Column, share: float) -> Column:
+    """Rows whose 64-bit hash lies in the lowest ``share`` of all values."""
+    return h < F.lit(max(-(1 << 63), min((1 << 63) - 1, int(share * 2.0 ** 64) - (1 << 63)))) if share < 1 else F.lit(True)

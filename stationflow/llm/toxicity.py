@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 from stationflow.llm import hashed as H
 from stationflow.llm import textarrays as T
 from stationflow.llm.quality_rank import remainder
+from stationflow.llm.store import least_step, saved
 
 # Training rows of each label at most.
 ROWS_PER_CLASS = 20_000
@@ -230,8 +231,10 @@ def lexicon(rows: DataFrame) -> Model:
     scored = (counted.where(F.col("n1") >= MIN_DOCS)
               .withColumn("odds", side(F.col("n1"), d1) - side(F.col("n0"), d0))
               .withColumn("z", F.col("odds") / F.sqrt(1 / (F.col("n1") + prior) + 1 / (F.col("n0") + prior)))
-              .where(F.col("z") >= MIN_Z).orderBy(F.desc("z"), "h").limit(LEXICON))
-    got = scored.select("h", "odds", "z").collect()
+              .where(F.col("z") >= MIN_Z).select("h", "odds", "z"))
+    scored = saved(scored, "lexicon")
+    step = F.floor(F.col("z") * 16).cast("int")
+    got = scored.where(step >= least_step(scored, step, LEXICON)).collect()
     h = np.array([r.h for r in got], np.int64).astype(np.uint64)
     order = np.argsort(h)
     return Model(h[order], np.array([r.odds for r in got])[order], np.array([r.z for r in got])[order])

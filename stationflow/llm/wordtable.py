@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from stationflow.llm import textarrays as T
 from stationflow.llm.idfiles import Encoding
-from stationflow.llm.store import saved
+from stationflow.llm.store import least_step, saved
 from stationflow.llm.units import SLICE_BYTES, alphabet, gather, not_plain, pre_tokens, units_for
 
 # Largest number of frequent words that are broadcast (about 40 bytes each).
@@ -137,18 +137,6 @@ def _octave(n: str = "n"):
     return F.floor(F.log2(F.col(n)) * 8).cast("int")
 
 
-def head_bound(table: DataFrame, head_words: int) -> int:
-    """The least step such that words from it on number at most ``head_words``."""
-    rows = table.groupBy(_octave().alias("o")).count().collect()
-    left, bound = head_words, 1 << 30
-    for r in sorted(rows, key=lambda r: -r["o"]):
-        left -= r["count"]
-        if left < 0:
-            break
-        bound = r["o"]
-    return bound
-
-
 class Head:
     """Frequent words by hash, with their ids."""
 
@@ -207,7 +195,7 @@ def encode_documents(docs: DataFrame, encoding: Encoding, head_words: int = HEAD
     """doc_id, ids (binary, unsigned 32-bit little-endian) of every row."""
     spark = docs.sparkSession
     table = word_table(docs, encoding)
-    bound = head_bound(table, head_words)
+    bound = least_step(table, _octave(), head_words)
     top = table.where(_octave() >= bound).select("word", "ids").toArrow()
     head = spark.sparkContext.broadcast(Head(*(top.column(i).combine_chunks() for i in range(2))))
 
