@@ -11,15 +11,19 @@ class, so copies are never compared), columns are shingles. Two sets link when
    then by hash. The order only decides how much work there is; any order that
    is the same for all documents gives the same links.
 3. Linked sets share a shingle among their first ``n - ceil(t * n) + 1`` in this
-   order. A second pass writes these (shingle, class) entries. Columns with one
-   class can link nothing and go; of columns with the same classes one stays.
+   order. A second pass writes these prefixes, the only columns of the matrix
+   that are looked at first. Columns with one class can link nothing and go; of
+   columns with the same classes one stays.
 4. A column's classes are cut into blocks of about ``BLOCK``; every pair of
-   blocks is a tile, so a hot column becomes many small tasks. A tile
-   multiplies the incidence matrices of its two blocks, a range of shingles at a
-   time, adds up the overlap counts, and drops pairs as soon as what is left
-   cannot reach the bound that their sizes demand. A pair that shares several
-   columns belongs to the tile of the smallest one.
-5. A tile returns, for each class, its number of links and the smallest class it
+   blocks is a tile, so a hot column becomes many small tasks. A tile multiplies
+   the incidence matrices of its two blocks, a range of columns at a time, adds
+   up the overlap counts, and drops pairs as soon as what is left cannot reach
+   the bound that their sizes demand.
+5. Tiles are worked twice: on the prefixes, where the bound leaves hardly a pair
+   but near duplicates, and then, for classes with a pair left, on whole sets,
+   for which the texts of these classes are read again. There a pair that
+   shares several columns belongs to the tile of the smallest one.
+6. A tile returns, for each class, its number of links and the smallest class it
    is connected with in the tile; so its output is linear in its classes. (With
    ``pairs=True`` it returns the links themselves.) Connected components of these
    edges are found by alternating large and small stars.
@@ -44,6 +48,7 @@ from pyspark.sql import functions as F
 
 from stationflow.llm import textarrays as T
 from stationflow.llm.store import least_step, saved
+from stationflow.session import broadcast_max_rows
 
 WORDS = 3
 PERCENT = 90
@@ -130,30 +135,33 @@ class Order:
     def __init__(self, hashes: np.ndarray, counts: np.ndarray):
         at = np.argsort(hashes)
         self.hash = hashes[at]
-        self.level = (1 + np.log2(np.maximum(counts[at], 1))).astype(np.int8)
+        self.level = np.minimum(31, 1 + np.log2(np.maximum(counts[at], 1))).astype(np.uint64)
 
     def first(self, s: np.ndarray, n: int) -> np.ndarray:
+        """The ``n`` first shingles of a set, as sorted keys: five bits of level and
+        58 of the hash. (Two shingles that share a key count as one column, which
+        may leave a pair too many to the whole sets, never one too few.)"""
+        key = s >> np.uint64(6)
         if len(self.hash):
             at = np.minimum(np.searchsorted(self.hash, s), len(self.hash) - 1)
-            level = np.where(self.hash[at] == s, self.level[at], 0)
-            if level.any():
-                return s[np.argsort(level, kind="stable")[:n]]
-        return s[:n]
+            level = np.where(self.hash[at] == s, self.level[at], np.uint64(0))
+            key = np.sort(key | level << np.uint64(58))
+        return key[:n].astype(np.int64)
 
 
-def _entries(n_words: int, percent: int, order):
+def _prefixes(n_words: int, percent: int, order):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for t in T.slices(batch.column("text")):
                 sets = shingle_sets(t, n_words)
-                picked = [order.value.first(s, prefix_size(percent, len(s))) for s in sets]
-                size = np.array([len(p) for p in picked])
+                keys = [order.value.first(s, prefix_size(percent, len(s))) for s in sets]
                 sig = [signature(s) for s in sets]
+                edge = np.concatenate(([0], np.cumsum([len(k) for k in keys]))).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(picked).astype(np.int64)),
-                     pa.array(np.repeat(np.array([a for a, _ in sig], np.int64), size)),
-                     pa.array(np.repeat(np.array([b for _, b in sig], np.int64), size))],
-                    names=["h", "s1", "s2"])
+                    [pa.array([a for a, _ in sig], pa.int64()), pa.array([b for _, b in sig], pa.int64()),
+                     pa.array([len(s) for s in sets], pa.int64()),
+                     pa.ListArray.from_arrays(pa.array(edge), pa.array(np.concatenate(keys)))],
+                    names=["s1", "s2", "n", "keys"])
     return run
 
 
@@ -169,21 +177,14 @@ def _sets(n_words: int):
     return run
 
 
-def overlaps(sets: list[np.ndarray], alive: np.ndarray, percent: int) -> np.ndarray:
-    """Links among ``sets`` where ``alive`` (upper triangle): the product of the
-    incidence matrix with itself, a block of columns at a time."""
+def products(sets: list[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The incidence matrix of ``sets`` times itself, a block of columns at a time:
+    the overlaps so far, and the columns that each set has left. Columns of one
+    set are in no overlap and left out."""
     m = len(sets)
-    size = np.array([len(s) for s in sets], np.int64)
-    need = overlap_needed(percent, size[:, None], size[None, :])
-    alive = alive & (np.minimum(size[:, None], size[None, :]) >= need)
-    if not alive.any():
-        return alive
-    if m == 2:
-        common = len(np.intersect1d(sets[0], sets[1], assume_unique=True))
-        return alive & (common >= need)
-    row = np.repeat(np.arange(m), size)
+    row = np.repeat(np.arange(m), [len(s) for s in sets])
     codes, distinct = pd.factorize(np.concatenate(sets))
-    shared = np.bincount(codes, minlength=len(distinct)) > 1     # others are in no overlap
+    shared = np.bincount(codes, minlength=len(distinct)) > 1
     column = np.cumsum(shared) - 1
     keep = shared[codes]
     row, col = row[keep], column[codes[keep]]
@@ -192,16 +193,49 @@ def overlaps(sets: list[np.ndarray], alive: np.ndarray, percent: int) -> np.ndar
     row, col = row[order], col[order]
     count = np.zeros((m, m), np.float32)
     total = int(shared.sum())
-    for lo in range(0, total, COLUMNS):
+    for lo in range(0, max(total, 1), COLUMNS):
         a, b = np.searchsorted(col, [lo, lo + COLUMNS])
         block = np.zeros((m, min(COLUMNS, total - lo)), np.float32)
         block[row[a:b], col[a:b] - lo] = 1
         count += block @ block.T
         left = left - np.bincount(row[a:b], minlength=m)
+        yield count, left
+
+
+def overlaps(sets: list[np.ndarray], alive: np.ndarray, percent: int) -> np.ndarray:
+    """Links among ``sets`` where ``alive`` (upper triangle)."""
+    size = np.array([len(s) for s in sets], np.int64)
+    need = overlap_needed(percent, size[:, None], size[None, :])
+    alive = alive & (np.minimum(size[:, None], size[None, :]) >= need)
+    if not alive.any():
+        return alive
+    if len(sets) == 2:
+        return alive & (len(np.intersect1d(sets[0], sets[1], assume_unique=True)) >= need)
+    for count, left in products(sets):
         alive &= count + np.minimum(left[:, None], left[None, :]) >= need
         if not alive.any():
-            break
-    return alive & (count >= need)
+            return alive
+    return alive
+
+
+def prefix_bound(sets: list[np.ndarray], size: np.ndarray, alive: np.ndarray, percent: int) -> np.ndarray:
+    """Pairs that may still link, by their sorted prefixes. Up to the smaller of
+    the two last keys both sets are known; the rest can at most all agree."""
+    need = overlap_needed(percent, size[:, None], size[None, :])
+    alive = alive & (np.minimum(size[:, None], size[None, :]) >= need)
+    if not alive.any():
+        return alive
+    last = np.array([s[-1] for s in sets])
+    known = np.stack([np.searchsorted(s, last, "right") for s in sets])
+    rest = size[:, None] - known
+    rest = np.minimum(rest, rest.T)
+    if len(sets) == 2:
+        return alive & (len(np.intersect1d(sets[0], sets[1], assume_unique=True)) + rest >= need)
+    for count, left in products(sets):
+        alive &= count + np.minimum(left[:, None], left[None, :]) + rest >= need
+        if not alive.any():
+            return alive
+    return alive
 
 
 def smallest_reached(links: np.ndarray) -> np.ndarray:
@@ -216,20 +250,40 @@ def smallest_reached(links: np.ndarray) -> np.ndarray:
         label = new
 
 
-def _tile(percent: int, pairs: bool):
-    """Rows of a partition, sorted by tile, to edges (and link counts)."""
+def _candidates(block: np.ndarray, cross: bool) -> np.ndarray:
+    alive = np.triu(np.ones((len(block), len(block)), bool), 1)
+    return alive & (block[:, None] != block[None, :]) if cross else alive
+
+
+def _longs(rows: list[tuple], k: int) -> pa.Array:
+    return pa.array([r[k] for r in rows], pa.int64())
+
+
+def _bound_tile(percent: int):
+    """Rows (block, s1, s2, n, keys): the classes that have a pair left."""
+
+    def solve(h: int, cross: bool, rows: list[tuple]) -> pa.RecordBatch | None:
+        keys = [r[4] for r in rows]
+        size = np.array([r[3] for r in rows], np.int64)
+        left = prefix_bound(keys, size, _candidates(np.array([r[0] for r in rows]), cross), percent)
+        who = [r for r, ok in zip(rows, (left | left.T).any(1)) if ok]
+        return pa.RecordBatch.from_arrays(
+            [pa.array([h] * len(who), pa.int64()), _longs(who, 1), _longs(who, 2)],
+            names=["h", "s1", "s2"]) if who else None
+
+    return solve
+
+
+def _link_tile(percent: int, pairs: bool):
+    """Rows (block, s1, s2, shingles, cols): edges and numbers of links."""
 
-    def solve(h: int, cross: bool, rows: list[tuple]) -> tuple | None:
+    def solve(h: int, cross: bool, rows: list[tuple]) -> pa.RecordBatch | None:
         rows.sort(key=lambda r: (r[1], r[2]))
         sets = [np.frombuffer(r[3], np.uint64) for r in rows]
         m = len(rows)
-        block = np.array([r[0] for r in rows])
-        alive = np.triu(np.ones((m, m), bool), 1)
-        if cross:
-            alive &= block[:, None] != block[None, :]
+        alive = _candidates(np.array([r[0] for r in rows]), cross)
         # Pairs with a smaller column in common belong to that column's tile.
-        smaller = [np.array(r[4], np.int64) for r in rows]
-        smaller = [c[c < h] for c in smaller]
+        smaller = [r[4][r[4] < h] for r in rows]
         if any(map(len, smaller)):
             row = np.repeat(np.arange(m), [len(c) for c in smaller])
             codes, distinct = pd.factorize(np.concatenate(smaller))
@@ -241,45 +295,79 @@ def _tile(percent: int, pairs: bool):
             return None
         if pairs:
             a, b = np.nonzero(links)
-            return a, b, None
-        links = links | links.T
-        root = smallest_reached(links)
-        who = np.flatnonzero(links.any(1))
-        return who, root[who], links.sum(1)[who]
-
-    def emit(h: int, ti: int, tj: int, rows: list[tuple]) -> pa.RecordBatch | None:
-        got = solve(h, ti != tj, rows) if len(rows) > 1 else None
-        if got is None:
-            return None
-        a, b, degree = got
-        take = lambda which, k: pa.array([rows[i][k] for i in which], pa.int64())
+            degree = np.ones(len(a), np.int64)
+        else:
+            links = links | links.T
+            a = np.flatnonzero(links.any(1))
+            b, degree = smallest_reached(links)[a], links.sum(1)[a].astype(np.int64)
+        one, two = [rows[i] for i in a], [rows[i] for i in b]
         return pa.RecordBatch.from_arrays(
-            [take(a, 1), take(a, 2), take(b, 1), take(b, 2),
-             pa.array(np.ones(len(a), np.int64) if degree is None else degree.astype(np.int64))],
+            [_longs(one, 1), _longs(one, 2), _longs(two, 1), _longs(two, 2), pa.array(degree)],
             names=["a1", "a2", "b1", "b2", "n_links"])
 
+    return solve
+
+
+def _values(column: pa.Array) -> list:
+    """The values of a column; lists of numbers as views of one array."""
+    if not pa.types.is_list(column.type):
+        return column.to_pylist()
+    flat = column.values.to_numpy(zero_copy_only=False)
+    edge = column.offsets.to_numpy()
+    return [flat[a:b] for a, b in zip(edge[:-1].tolist(), edge[1:].tolist())]
+
+
+def _by_tile(columns: list[str], solve):
+    """Work through the rows of a partition, sorted by tile."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, rows, out, held = None, [], [], 0
+
+        def close() -> None:
+            nonlocal held
+            done = solve(key[0], key[1] != key[2], rows) if len(rows) > 1 else None
+            if done is not None:
+                out.append(done)
+                held += done.num_rows
+
         for batch in batches:
-            cols = [batch.column(c).to_pylist() for c in ("h", "ti", "tj", "block", "s1", "s2", "shingles", "cols")]
-            for h, ti, tj, *row in zip(*cols):
+            for h, ti, tj, *row in zip(*(_values(batch.column(c)) for c in ["h", "ti", "tj", *columns])):
                 if (h, ti, tj) != key:
-                    if key is not None and (done := emit(*key, rows)) is not None:
-                        out.append(done)
-                        held += done.num_rows
+                    if key is not None:
+                        close()
                     key, rows = (h, ti, tj), []
                 rows.append(tuple(row))
-            if held > 4096:
-                yield pa.Table.from_batches(out).combine_chunks().to_batches()[0]
-                out, held = [], 0
-        if key is not None and (done := emit(*key, rows)) is not None:
-            out.append(done)
+                if held > 4096:
+                    yield pa.Table.from_batches(out).combine_chunks().to_batches()[0]
+                    out, held = [], 0
+        if key is not None:
+            close()
         if out:
             yield pa.Table.from_batches(out).combine_chunks().to_batches()[0]
 
     return run
 
 
+def _distinct_columns(members: DataFrame, name: str) -> DataFrame:
+    """(h, s1, s2, m): of columns with the same classes one stays; columns with
+    one class go. ``m`` is the number of classes."""
+    columns = members.groupBy("h").agg(F.count(F.lit(1)).alias("m"), F.bit_xor("s1").alias("x1"),
+                                       F.bit_xor("s2").alias("x2")).where("m > 1")
+    columns = saved(columns.groupBy("m", "x1", "x2").agg(F.min("h").alias("h")).select("h", "m"), name)
+    return members.join(columns, "h")
+
+
+def _tiles(members: DataFrame, rows: DataFrame) -> DataFrame:
+    """Members with what ``rows`` has of their class, dealt out by tile."""
+    placed = (members.withColumn("k", F.ceil(F.col("m") / F.lit(BLOCK)).cast("long"))
+              .withColumn("block", F.pmod(F.xxhash64("s1", "s2"), F.col("k")))
+              .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("k") - 1)))
+              .select("h", "s1", "s2", "block", F.least("block", "other").alias("ti"),
+                      F.greatest("block", "other").alias("tj")))
+    return (placed.join(rows, ["s1", "s2"]).repartition("h", "ti", "tj")
+            .sortWithinPartitions("h", "ti", "tj"))
+
+
 def classes(docs: DataFrame, n_words: int = WORDS) -> tuple[DataFrame, DataFrame]:
     """(doc_id, th, n, s1, s2) of every document, and the common shingles (s1: its
     hash, n: documents that showed it)."""
@@ -306,38 +394,33 @@ def jaccard_edges(docs: DataFrame, described: DataFrame, common: DataFrame, n_wo
     connected with in a tile, with its links there; or all links (``pairs``)."""
     spark = docs.sparkSession
     order = spark.sparkContext.broadcast(common_order(common))
-    entries = saved(docs.select("text").mapInArrow(_entries(n_words, percent, order), "h long, s1 long, s2 long"),
-                    "shingle_entries")
+    prefixes = saved(docs.select("text").mapInArrow(
+        _prefixes(n_words, percent, order), "s1 long, s2 long, n long, keys array<long>"), "shingle_prefixes")
+    entries = prefixes.select(F.explode("keys").alias("h"), "s1", "s2")
     several = (entries.groupBy("h").agg(F.min("s1").alias("lo"), F.max("s1").alias("hi"))
                .where("lo < hi").select("h"))
     members = saved(entries.join(several, "h", "left_semi").distinct(), "shingle_members")
-    columns = members.groupBy("h").agg(F.count(F.lit(1)).alias("m"), F.bit_xor("s1").alias("x1"),
-                                       F.bit_xor("s2").alias("x2"))
-    columns = saved(columns.groupBy("m", "x1", "x2").agg(F.min("h").alias("h")).select("h", "m"),
-                    "shingle_columns")
-    members = members.join(columns, "h")
-
-    needed = members.groupBy("s1", "s2").agg(F.sort_array(F.collect_set("h")).alias("cols"))
-    # One document of each class that has a column left gives its set.
-    giver = (described.join(needed.select("s1", "s2"), ["s1", "s2"], "left_semi")
-             .groupBy("s1", "s2").agg(F.min(F.struct("doc_id", "th")).alias("g"))
-             .select("s1", "s2", F.col("g.doc_id").alias("d"), F.col("g.th").alias("t")))
+    members = _distinct_columns(members, "prefix_columns")
+    own = members.select("s1", "s2").distinct()
+    rows = prefixes.join(own, ["s1", "s2"], "left_semi").dropDuplicates(["s1", "s2"])
+    left = _tiles(members, rows).mapInArrow(
+        _by_tile(["block", "s1", "s2", "n", "keys"], _bound_tile(percent)), "h long, s1 long, s2 long")
+    members = _distinct_columns(saved(left.distinct(), "near_members"), "near_columns")
+
+    # One document of each class that has a pair left gives its set.
+    cols = members.groupBy("s1", "s2").agg(F.sort_array(F.collect_set("h")).alias("cols"))
+    giver = saved(described.join(cols.select("s1", "s2"), ["s1", "s2"], "left_semi")
+                  .groupBy("s1", "s2").agg(F.min(F.struct("doc_id", "th")).alias("g"))
+                  .select("s1", "s2", F.col("g.doc_id").alias("d"), F.col("g.th").alias("t")), "givers")
+    if giver.count() <= broadcast_max_rows(spark):      # four numbers a row
+        giver = F.broadcast(giver)
     texts = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("th"))
              .join(giver, F.expr("th = t AND doc_id <=> d")).select("s1", "s2", "text"))
     sets = (texts.mapInArrow(_sets(n_words), "s1 long, s2 long, shingles binary")
-            .groupBy("s1", "s2").agg(F.first("shingles").alias("shingles")))
-    sets = sets.join(needed, ["s1", "s2"])
-
-    k = F.ceil(F.col("m") / F.lit(BLOCK)).cast("long")
-    placed = (members.withColumn("k", k)
-              .withColumn("block", F.pmod(F.xxhash64("s1", "s2"), F.col("k")))
-              .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("k") - 1)))
-              .select("h", "s1", "s2", "block", F.least("block", "other").alias("ti"),
-                      F.greatest("block", "other").alias("tj")))
-    tiles = (placed.join(sets, ["s1", "s2"]).repartition("h", "ti", "tj")
-             .sortWithinPartitions("h", "ti", "tj"))
-    return saved(tiles.mapInArrow(_tile(percent, pairs), "a1 long, a2 long, b1 long, b2 long, n_links long"),
-                 "jaccard_edges")
+            .dropDuplicates(["s1", "s2"]).join(cols, ["s1", "s2"]))
+    return saved(_tiles(members, sets).mapInArrow(
+        _by_tile(["block", "s1", "s2", "shingles", "cols"], _link_tile(percent, pairs)),
+        "a1 long, a2 long, b1 long, b2 long, n_links long"), "jaccard_edges")
 
 
 def components(edges: DataFrame) -> DataFrame:
