@@ -23,11 +23,13 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from functools import lru_cache, partial
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,10 +39,9 @@ from stationflow.llm.store import least_step, saved
 from stationflow.llm.units import SLICE_BYTES, alphabet, gather, not_plain, pre_tokens, units_for
 
 # Largest number of frequent words that are broadcast (about 40 bytes each).
-HEAD_WORDS = 1_000_000
+HEAD_WORDS = 500_000
 
 _PLAIN_WORD = re.compile(rb" ?[A-Za-z]+\Z")
-_HEX = pa.string()
 
 
 class WordList:
@@ -137,22 +138,29 @@ def _octave(n: str = "n"):
     return F.floor(F.log2(F.col(n)) * 8).cast("int")
 
 
+def _flat(values: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Bytes, begins and sizes of a binary column, without a Python object each."""
+    values = values.cast(pa.large_binary())
+    _, offsets, data = values.buffers()
+    edge = np.frombuffer(offsets, np.int64)[values.offset:values.offset + len(values) + 1]
+    raw = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
+    return raw, edge[:-1], np.diff(edge)
+
+
 class Head:
     """Frequent words by hash, with their ids."""
 
     def __init__(self, words: pa.Array, ids: pa.Array):
-        blob = np.frombuffer(b"".join(words.to_pylist()), np.uint8)
-        size = pc.binary_length(words).to_numpy().astype(np.int64)
-        start = np.cumsum(size) - size
-        hashes = T.span_hashes(blob, start, start + size) if len(size) else np.zeros(0, np.uint64)
+        raw, start, size = _flat(words)
+        hashes = T.span_hashes(raw, start, start + size) if len(size) else np.zeros(0, np.uint64)
         order = np.argsort(hashes)
-        count = pc.binary_length(ids).to_numpy().astype(np.int64)[order] >> 2
-        kept = ids.take(pa.array(order))
-        self.hash, self.start, self.size = hashes[order], start[order], size[order]
-        self.blob = blob
-        self.ids = np.frombuffer(b"".join(kept.to_pylist()), "<u4")
-        self.count = count
-        self.begin = np.cumsum(count) - count
+        self.hash = hashes[order]
+        self.blob = raw.copy()
+        self.start, self.size = start[order].astype(np.int32), size[order].astype(np.int32)
+        raw, start, size = _flat(ids)
+        table, edge = gather(raw, start, size, order, np.arange(len(order) + 1))
+        self.ids = np.frombuffer(table.tobytes(), "<u4")
+        self.begin, self.count = (edge[:-1] >> 2).astype(np.int32), (np.diff(edge) >> 2).astype(np.int32)
 
     def find(self, words: WordList) -> np.ndarray:
         """Place of each word in the head, or -1."""
@@ -161,7 +169,7 @@ class Head:
         at = np.minimum(np.searchsorted(self.hash, words.hash), len(self.hash) - 1)
         same = (self.hash[at] == words.hash) & (self.size[at] == words.size)
         w = np.flatnonzero(same)
-        size = words.size[w]
+        size = words.size[w].astype(np.int64)
         k = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
         differ = words.data[np.repeat(words.start[w], size) + k] != self.blob[np.repeat(self.start[at[w]], size) + k]
         first = np.concatenate(([0], np.cumsum(size)))
@@ -191,30 +199,30 @@ class Pieces:
         return np.frombuffer(b"".join(values), np.uint8), np.cumsum(size) - size, size
 
 
-def encode_documents(docs: DataFrame, encoding: Encoding, head_words: int = HEAD_WORDS) -> DataFrame:
-    """doc_id, ids (binary, unsigned 32-bit little-endian) of every row."""
+def skeletons(docs: DataFrame, encoding: Encoding, head_words: int) -> DataFrame:
+    """Every row with its ids but for the words outside the head (skeleton), and
+    the ids of those words by position (found)."""
     spark = docs.sparkSession
     table = word_table(docs, encoding)
     bound = least_step(table, _octave(), head_words)
     top = table.where(_octave() >= bound).select("word", "ids").toArrow()
     head = spark.sparkContext.broadcast(Head(*(top.column(i).combine_chunks() for i in range(2))))
+    del top
 
     def skeleton(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Per row: its ids with one placeholder for each word outside the head,
         or those words with their places."""
         units, h = units_for(encoding.path, encoding.kind), head.value
+        small = units.tokenizer.get_vocab_size() < HOLE_16
         table = np.concatenate((h.ids, [HOLE])).astype("<u4")
         for batch in batches:
             for first_row, codes, found, first in split_slices(units, batch.column("text")):
                 at = h.find(found)
-                if len(h.hash):
-                    begin = np.where(at < 0, len(table) - 1, h.begin[at])
-                    size = np.where(at < 0, 1, h.count[at])
-                else:
-                    begin, size = np.full(len(at), len(table) - 1), np.ones(len(at), np.int64)
+                begin, size = np.full(len(at), len(table) - 1, np.int64), np.ones(len(at), np.int64)
+                hit = np.flatnonzero(at >= 0)
+                begin[hit], size[hit] = h.begin[at[hit]], h.count[at[hit]]
                 ids, edge = gather(table, begin, size, codes, first)
-                kind = "<u2" if units.tokenizer.get_vocab_size() < HOLE_16 else "<u4"
-                raw = np.minimum(ids, HOLE_16).astype(kind) if kind == "<u2" else ids
+                raw = np.minimum(ids, HOLE_16).astype("<u2") if small else ids
                 rare_at = np.flatnonzero(at[codes] < 0)
                 rare = np.searchsorted(rare_at, first)
                 words = found.raw(codes[rare_at])
@@ -236,10 +244,18 @@ def encode_documents(docs: DataFrame, encoding: Encoding, head_words: int = HEAD
         answers.select(F.col("doc_id").alias("d"), F.col("h").alias("g"), "found"),
         F.expr("h = g AND doc_id <=> d"), "left")
 
-    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        small = units_for(encoding.path, encoding.kind).tokenizer.get_vocab_size() < HOLE_16
-        for batch in batches:
-            out = []
+    return joined.select("doc_id", "skeleton", "found")
+
+
+Batches = Iterator[pa.RecordBatch]
+
+
+def _fill(encoding: Encoding, batches: Batches) -> Batches:
+    """Put the ids of the other words into the placeholders: doc_id, ids."""
+    small = units_for(encoding.path, encoding.kind).tokenizer.get_vocab_size() < HOLE_16
+    for every in batches:
+        for lo in range(0, every.num_rows, 500):
+            batch, out = every.slice(lo, 500), []
             for raw, found in zip(batch.column("skeleton"), batch.column("found")):
                 ids = np.frombuffer(expand(raw.as_py()), "<u2" if small else "<u4").astype("<u4")
                 if found.is_valid:
@@ -251,42 +267,76 @@ def encode_documents(docs: DataFrame, encoding: Encoding, head_words: int = HEAD
                     keep[hole] = [len(p) for p in parts]
                     to = np.cumsum(keep) - keep
                     full = np.repeat(ids, keep)
-                    if parts:
-                        where = np.repeat(to[hole] - (np.cumsum(keep[hole]) - keep[hole]), keep[hole])
-                        full[where + np.arange(len(where))] = np.concatenate(parts)
+                    where = np.repeat(to[hole] - (np.cumsum(keep[hole]) - keep[hole]), keep[hole])
+                    full[where + np.arange(len(where))] = np.concatenate(parts)
                     ids = full
                 out.append(ids.astype("<u4").tobytes())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(out, pa.binary())],
                                              names=["doc_id", "ids"])
 
-    return joined.select("doc_id", "skeleton", "found").mapInArrow(fill, "doc_id long, ids binary")
+
+def _decode(pieces: Pieces, batches: Batches) -> Batches:
+    """Join ids with their pieces: doc_id, ids, text."""
+    for every in batches:
+        for lo in range(0, every.num_rows, 500):
+            batch = every.slice(lo, 500)
+            arrays = [np.frombuffer(x.as_py(), "<u4") for x in batch.column("ids")]
+            texts = [t.decode("utf-8", "replace") for t in decode_arrays(pieces, arrays)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("ids"), pa.array(texts, pa.string())],
+                names=["doc_id", "ids", "text"])
 
 
-# Marks of a word that is not in the head; no id has these values.
-HOLE, HOLE_16 = 0xFFFFFFFF, 0xFFFF
+def _digest(pieces: Pieces, batches: Batches) -> Batches:
+    sha = lambda b: hashlib.sha256(b).hexdigest()
+    for rows in batches:
+        arrays = [np.frombuffer(x.as_py(), "<u4") for x in rows.column("ids")]
+        yield pa.RecordBatch.from_arrays(
+            [rows.column("doc_id"), pa.array([len(a) for a in arrays], pa.int64()),
+             pa.array([sha(x[:-1]) for x in decode_arrays(pieces, arrays, "number")], pa.string()),
+             pa.array([sha(t.as_py().encode()) for t in rows.column("text")], pa.string())],
+            names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
 
-def squeeze(raw: bytes) -> bytes:
-    return _compressor().compress(raw)
+def encode_documents(docs: DataFrame, encoding: Encoding, head_words: int = HEAD_WORDS) -> DataFrame:
+    """doc_id, ids (binary, unsigned 32-bit little-endian) of every row."""
+    return skeletons(docs, encoding, head_words).mapInArrow(
+        partial(_fill, encoding), "doc_id long, ids binary")
 
 
-def expand(raw: bytes) -> bytes:
-    import zstandard
-    global _DECOMPRESSOR
-    if _DECOMPRESSOR is None:
-        _DECOMPRESSOR = zstandard.ZstdDecompressor()
-    return _DECOMPRESSOR.decompress(raw)
+def decode_documents(encoded: DataFrame, encoding: Encoding) -> DataFrame:
+    """Adds ``text``: the pieces of each row's ids, joined with the piece table.
+    Bytes that are no UTF-8 become replacement characters, as in the library."""
+    shared = encoded.sparkSession.sparkContext.broadcast(Pieces(encoding.path, encoding.kind))
+    return encoded.mapInArrow(lambda batches: _decode(shared.value, batches),
+                              "doc_id long, ids binary, text string")
 
 
-_COMPRESSOR = _DECOMPRESSOR = None
+def op8_digests(docs: DataFrame, encoding: Encoding, head_words: int = HEAD_WORDS) -> DataFrame:
+    """Contract columns: counts and digests of the ids and of the decoded texts.
+    Encoding, decoding and digests are one step of the plan: every step of its
+    own would add a Python process to each core."""
+    shared = docs.sparkSession.sparkContext.broadcast(Pieces(encoding.path, encoding.kind))
+    return skeletons(docs, encoding, head_words).mapInArrow(
+        lambda batches: _digest(shared.value, _decode(shared.value, _fill(encoding, batches))),
+        "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
-def _compressor():
-    import zstandard
-    global _COMPRESSOR
-    if _COMPRESSOR is None:
-        _COMPRESSOR = zstandard.ZstdCompressor(level=1)
-    return _COMPRESSOR
+# Marks of a word that is not in the head; no id has these values.
+HOLE, HOLE_16 = 0xFFFFFFFF, 0xFFFF
+
+
+@lru_cache(maxsize=1)
+def _codecs() -> tuple[zstandard.ZstdCompressor, zstandard.ZstdDecompressor]:
+    return zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
+
+
+def squeeze(raw: bytes) -> bytes:
+    return _codecs()[0].compress(raw)
+
+
+def expand(raw: bytes) -> bytes:
+    return _codecs()[1].decompress(raw)
 
 
 def decode_arrays(pieces: Pieces, arrays: list[np.ndarray], part: str = "text") -> list[bytes]:
@@ -299,40 +349,3 @@ def decode_arrays(pieces: Pieces, arrays: list[np.ndarray], part: str = "text")
     out, edge = gather(*table, flat, first)
     raw = out.tobytes()
     return [raw[a:b] for a, b in zip(edge[:-1].tolist(), edge[1:].tolist())]
-
-
-def decode_documents(encoded: DataFrame, encoding: Encoding) -> DataFrame:
-    """Adds ``text``: the pieces of each row's ids, joined with the piece table.
-    Bytes that are no UTF-8 become replacement characters, as in the library."""
-    sc = encoded.sparkSession.sparkContext
-    shared = sc.broadcast(Pieces(encoding.path, encoding.kind))
-
-    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            arrays = [np.frombuffer(x.as_py(), "<u4") for x in batch.column("ids")]
-            texts = [t.decode("utf-8", "replace") for t in decode_arrays(shared.value, arrays)]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("ids"), pa.array(texts, pa.string())],
-                                             names=["doc_id", "ids", "text"])
-
-    return encoded.mapInArrow(decode, "doc_id long, ids binary, text string")
-
-
-def op8_digests(docs: DataFrame, encoding: Encoding) -> DataFrame:
-    """Contract columns: counts and digests of the ids and of the decoded texts."""
-    sc = docs.sparkSession.sparkContext
-    decoded = decode_documents(encode_documents(docs, encoding), encoding)
-    shared = sc.broadcast(Pieces(encoding.path, encoding.kind))
-
-    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sha = lambda b: hashlib.sha256(b).hexdigest()
-        for batch in batches:
-            for lo in range(0, batch.num_rows, 500):
-                rows = batch.slice(lo, 500)
-                arrays = [np.frombuffer(x.as_py(), "<u4") for x in rows.column("ids")]
-                yield pa.RecordBatch.from_arrays(
-                    [rows.column("doc_id"), pa.array([len(a) for a in arrays], pa.int64()),
-                     pa.array([sha(x[:-1]) for x in decode_arrays(shared.value, arrays, "number")], _HEX),
-                     pa.array([sha(t.as_py().encode()) for t in rows.column("text")], _HEX)],
-                    names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
-
-    return decoded.mapInArrow(digest, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
