@@ -178,10 +178,12 @@ def encode_documents(docs: DataFrame, encoding: Encoding) -> tuple[DataFrame, by
     return saved(ordered.mapInArrow(write, CHUNK_SCHEMA), "id_files"), dictionary
 
 
-def read_documents(chunks: DataFrame, dictionary: bytes) -> DataFrame:
+def read_documents(chunks: DataFrame, dictionary: bytes, then=lambda batches: batches,
+                   schema: str = ROW_SCHEMA) -> DataFrame:
     """All documents of the files: doc_id, part, start, n_tokens, ids (little-endian
     unsigned 32-bit). ``start`` counts the ids of all documents before it. Only
-    one total per part is brought to the driver."""
+    one total per part is brought to the driver. ``then`` may turn the batches
+    into others of ``schema`` in the same step."""
     sc = chunks.sparkSession.sparkContext
     totals = chunks.groupBy("part").agg(F.sum("n_tokens").alias("n")).orderBy("part").collect()
     base, before = {}, 0
@@ -203,7 +205,8 @@ def read_documents(chunks: DataFrame, dictionary: bytes) -> DataFrame:
                      pa.array([c.ids(i).tobytes() for i in range(len(c))], pa.binary())],
                     names=["doc_id", "part", "start", "n_tokens", "ids"])
 
-    return chunks.select("part", "chunk", "start", "payload").mapInArrow(read, ROW_SCHEMA)
+    return chunks.select("part", "chunk", "start", "payload").mapInArrow(
+        lambda batches: then(read(batches)), schema)
 
 
 def read_document(chunks: DataFrame, dictionary: bytes, doc_id: int) -> list[np.ndarray]:
@@ -226,5 +229,5 @@ def op2_token_files(spark: SparkSession, docs: DataFrame, encoding: Encoding) ->
                 [b.column("doc_id"), b.column("start"), b.column("n_tokens"), pa.array(sums, pa.int64())],
                 names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    return read_documents(chunks, dictionary).mapInArrow(
-        crc, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return read_documents(chunks, dictionary, then=crc,
+                          schema="doc_id long, start long, n_tokens long, ids_crc32 long")
