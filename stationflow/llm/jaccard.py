@@ -9,7 +9,8 @@ class, so copies are never compared), columns are shingles. Two sets link when
    Arrow batch).
 2. All shingles are ordered: uncommon ones first, common ones by their count,
    then by hash. The order only decides how much work there is; any order that
-   is the same for all documents gives the same links.
+   is the same for all documents gives the same links. It is refined once by the
+   shingles that several documents show at its beginning.
 3. Linked sets share a shingle among their first ``n - ceil(t * n) + 1`` in this
    order. A second pass writes these prefixes, the only columns of the matrix
    that are looked at first. Columns with one class can link nothing and go; of
@@ -55,6 +56,7 @@ PERCENT = 90
 # A shingle is common if so many documents of one batch have it. At most
 # COMMON_LIMIT of them, those with the most, are sent to every task.
 COMMON_IN_BATCH = 4
+COMMON_IN_PREFIX = 3
 COMMON_LIMIT = 500_000
 BLOCK = 256
 # Columns of a block of the product.
@@ -132,9 +134,10 @@ def _describe(n_words: int):
 class Order:
     """The common order of shingles: a level for common ones, 0 for the others."""
 
-    def __init__(self, hashes: np.ndarray, counts: np.ndarray):
-        at = np.argsort(hashes)
-        self.hash = hashes[at]
+    def __init__(self, keys: np.ndarray, counts: np.ndarray):
+        """``keys`` are 58-bit hashes, each once."""
+        at = np.argsort(keys)
+        self.key = keys[at].astype(np.uint64)
         self.level = np.minimum(31, 1 + np.log2(np.maximum(counts[at], 1))).astype(np.uint64)
 
     def first(self, s: np.ndarray, n: int) -> np.ndarray:
@@ -142,9 +145,9 @@ class Order:
         58 of the hash. (Two shingles that share a key count as one column, which
         may leave a pair too many to the whole sets, never one too few.)"""
         key = s >> np.uint64(6)
-        if len(self.hash):
-            at = np.minimum(np.searchsorted(self.hash, s), len(self.hash) - 1)
-            level = np.where(self.hash[at] == s, self.level[at], np.uint64(0))
+        if len(self.key):
+            at = np.minimum(np.searchsorted(self.key, key), len(self.key) - 1)
+            level = np.where(self.key[at] == key, self.level[at], np.uint64(0))
             key = np.sort(key | level << np.uint64(58))
         return key[:n].astype(np.int64)
 
@@ -165,6 +168,12 @@ def _prefixes(n_words: int, percent: int, order):
     return run
 
 
+def _written_prefixes(docs: DataFrame, n_words: int, percent: int, order: Order, name: str) -> DataFrame:
+    shared = docs.sparkSession.sparkContext.broadcast(order)
+    return saved(docs.select("text").mapInArrow(
+        _prefixes(n_words, percent, shared), "s1 long, s2 long, n long, keys array<long>"), name)
+
+
 def _sets(n_words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -380,12 +389,12 @@ def classes(docs: DataFrame, n_words: int = WORDS) -> tuple[DataFrame, DataFrame
 
 
 def common_order(common: DataFrame) -> Order:
-    """At most ``COMMON_LIMIT`` common shingles: those from the step of counts on
-    (an eighth of a doubling) that keeps within it."""
+    """At most ``COMMON_LIMIT`` common shingles (key, n): those from the step of
+    counts on (an eighth of a doubling) that keeps within it."""
+    common = saved(common.groupBy("key").agg(F.max("n").alias("n")), "common_shingles")
     step = F.floor(F.log2("n") * 8).cast("int")
-    bound = least_step(common, step, COMMON_LIMIT)
-    got = common.where(step >= bound).select("s1", "n").toArrow()
-    return Order(got.column("s1").to_numpy().astype(np.int64).astype(np.uint64), got.column("n").to_numpy())
+    got = common.where(step >= least_step(common, step, COMMON_LIMIT)).select("key", "n").toArrow()
+    return Order(got.column("key").to_numpy(), got.column("n").to_numpy())
 
 
 def jaccard_edges(docs: DataFrame, described: DataFrame, common: DataFrame, n_words: int = WORDS,
@@ -393,9 +402,15 @@ def jaccard_edges(docs: DataFrame, described: DataFrame, common: DataFrame, n_wo
     """Edges between classes: (a1, a2) and the smallest class (b1, b2) it is
     connected with in a tile, with its links there; or all links (``pairs``)."""
     spark = docs.sparkSession
-    order = spark.sparkContext.broadcast(common_order(common))
-    prefixes = saved(docs.select("text").mapInArrow(
-        _prefixes(n_words, percent, order), "s1 long, s2 long, n long, keys array<long>"), "shingle_prefixes")
+    common = common.select(F.shiftrightunsigned("s1", 6).alias("key"), "n")
+    # Which shingles of the prefixes several documents share shows only now: those
+    # join the common ones, and the prefixes are taken again.
+    first = _written_prefixes(docs, n_words, percent, common_order(common), "first_prefixes")
+    again = (first.select(F.explode("keys").alias("h"))
+             .groupBy("h").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= COMMON_IN_PREFIX)
+             .select(F.col("h").bitwiseAND((1 << 58) - 1).alias("key"), "n"))
+    prefixes = _written_prefixes(docs, n_words, percent, common_order(common.unionByName(again)),
+                                 "shingle_prefixes")
     entries = prefixes.select(F.explode("keys").alias("h"), "s1", "s2")
     several = (entries.groupBy("h").agg(F.min("s1").alias("lo"), F.max("s1").alias("hi"))
                .where("lo < hi").select("h"))
