@@ -23,7 +23,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
-from functools import lru_cache, partial
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -39,7 +39,7 @@ from stationflow.llm.store import least_step, saved
 from stationflow.llm.units import SLICE_BYTES, alphabet, gather, not_plain, pre_tokens, units_for
 
 # Largest number of frequent words that are broadcast (about 40 bytes each).
-HEAD_WORDS = 500_000
+HEAD_WORDS = 1_000_000
 
 _PLAIN_WORD = re.compile(rb" ?[A-Za-z]+\Z")
 
@@ -148,26 +148,30 @@ def _flat(values: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 class Head:
-    """Frequent words by hash, with their ids."""
+    """Frequent words, the most frequent first, with their ids; found by hash."""
 
-    def __init__(self, words: pa.Array, ids: pa.Array):
+    def __init__(self, words: pa.Array, ids: pa.Array, n: np.ndarray):
+        by = np.argsort(-n, kind="stable")
         raw, start, size = _flat(words)
-        hashes = T.span_hashes(raw, start, start + size) if len(size) else np.zeros(0, np.uint64)
-        order = np.argsort(hashes)
-        self.hash = hashes[order]
+        hashes = T.span_hashes(raw, start, start + size)[by] if len(size) else np.zeros(0, np.uint64)
+        self.order = np.argsort(hashes).astype(np.int32)
+        self.hash = hashes[self.order]
         self.blob = raw.copy()
-        self.start, self.size = start[order].astype(np.int32), size[order].astype(np.int32)
+        self.start, self.size = start[by].astype(np.int32), size[by].astype(np.int32)
         raw, start, size = _flat(ids)
-        table, edge = gather(raw, start, size, order, np.arange(len(order) + 1))
-        self.ids = np.frombuffer(table.tobytes(), "<u4")
-        self.begin, self.count = (edge[:-1] >> 2).astype(np.int32), (np.diff(edge) >> 2).astype(np.int32)
+        table, edge = gather(raw, start, size, by, np.arange(len(by) + 1))
+        self.ids = np.concatenate((np.frombuffer(table.tobytes(), "<u4"), [HOLE])).astype("<u4")
+        # One more entry for the words outside: a placeholder.
+        self.begin = (edge >> 2).astype(np.int32)
+        self.count = np.append(np.diff(edge) >> 2, 1).astype(np.int32)
 
     def find(self, words: WordList) -> np.ndarray:
         """Place of each word in the head, or -1."""
         if not len(self.hash) or not len(words.hash):
             return np.full(len(words.hash), -1)
-        at = np.minimum(np.searchsorted(self.hash, words.hash), len(self.hash) - 1)
-        same = (self.hash[at] == words.hash) & (self.size[at] == words.size)
+        near = np.minimum(np.searchsorted(self.hash, words.hash), len(self.hash) - 1)
+        at = self.order[near]
+        same = (self.hash[near] == words.hash) & (self.size[at] == words.size)
         w = np.flatnonzero(same)
         size = words.size[w].astype(np.int64)
         k = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
@@ -176,6 +180,16 @@ class Head:
         same[w[T.per_row(differ, first) > 0]] = False
         return np.where(same, at, -1)
 
+    def skeleton(self, ranks: np.ndarray) -> bytes:
+        """Ranks of a text's words, byte plane by byte plane (frequent words have
+        only zeros in the higher ones), compressed."""
+        raw = ranks.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :3]
+        return _codecs()[0].compress(raw.T.tobytes())
+
+    def ranks(self, raw: bytes) -> np.ndarray:
+        planes = np.frombuffer(_codecs()[1].decompress(raw), np.uint8).reshape(3, -1).astype(np.int64)
+        return planes[0] | planes[1] << 8 | planes[2] << 16
+
 
 class Pieces:
     """Bytes of each id, as text piece and as decimal number with a comma."""
@@ -199,38 +213,32 @@ class Pieces:
         return np.frombuffer(b"".join(values), np.uint8), np.cumsum(size) - size, size
 
 
-def skeletons(docs: DataFrame, encoding: Encoding, head_words: int) -> DataFrame:
-    """Every row with its ids but for the words outside the head (skeleton), and
-    the ids of those words by position (found)."""
+def skeletons(docs: DataFrame, encoding: Encoding, head_words: int):
+    """Every row with the ranks of its words (skeleton) and the ids of the words
+    outside the head by position (found); and the head, sent to every task."""
     spark = docs.sparkSession
     table = word_table(docs, encoding)
     bound = least_step(table, _octave(), head_words)
-    top = table.where(_octave() >= bound).select("word", "ids").toArrow()
-    head = spark.sparkContext.broadcast(Head(*(top.column(i).combine_chunks() for i in range(2))))
+    top = table.where(_octave() >= bound).select("word", "ids", "n").toArrow()
+    head = spark.sparkContext.broadcast(Head(
+        top.column("word").combine_chunks(), top.column("ids").combine_chunks(), top.column("n").to_numpy()))
     del top
 
     def skeleton(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Per row: its ids with one placeholder for each word outside the head,
-        or those words with their places."""
+        """Per row: the ranks of its words, and the words outside the head."""
         units, h = units_for(encoding.path, encoding.kind), head.value
-        small = units.tokenizer.get_vocab_size() < HOLE_16
-        table = np.concatenate((h.ids, [HOLE])).astype("<u4")
         for batch in batches:
             for first_row, codes, found, first in split_slices(units, batch.column("text")):
                 at = h.find(found)
-                begin, size = np.full(len(at), len(table) - 1, np.int64), np.ones(len(at), np.int64)
-                hit = np.flatnonzero(at >= 0)
-                begin[hit], size[hit] = h.begin[at[hit]], h.count[at[hit]]
-                ids, edge = gather(table, begin, size, codes, first)
-                raw = np.minimum(ids, HOLE_16).astype("<u2") if small else ids
-                rare_at = np.flatnonzero(at[codes] < 0)
+                rank = np.where(at < 0, len(h.hash), at)[codes] if len(codes) else np.zeros(0, np.int64)
+                rare_at = np.flatnonzero(rank == len(h.hash))
                 rare = np.searchsorted(rare_at, first)
                 words = found.raw(codes[rare_at])
                 n = len(first) - 1
                 rows = batch.slice(first_row, n)
                 yield pa.RecordBatch.from_arrays(
                     [rows.column("doc_id"), rows.column("h"),
-                     pa.array([squeeze(raw[edge[i]:edge[i + 1]].tobytes()) for i in range(n)], pa.binary()),
+                     pa.array([h.skeleton(rank[first[i]:first[i + 1]]) for i in range(n)], pa.binary()),
                      pa.array([words[rare[i]:rare[i + 1]] for i in range(n)], pa.list_(pa.binary()))],
                     names=["doc_id", "h", "skeleton", "rare"])
 
@@ -244,22 +252,22 @@ def skeletons(docs: DataFrame, encoding: Encoding, head_words: int) -> DataFrame
         answers.select(F.col("doc_id").alias("d"), F.col("h").alias("g"), "found"),
         F.expr("h = g AND doc_id <=> d"), "left")
 
-    return joined.select("doc_id", "skeleton", "found")
+    return joined.select("doc_id", "skeleton", "found"), head
 
 
 Batches = Iterator[pa.RecordBatch]
 
 
-def _fill(encoding: Encoding, batches: Batches) -> Batches:
-    """Put the ids of the other words into the placeholders: doc_id, ids."""
-    small = units_for(encoding.path, encoding.kind).tokenizer.get_vocab_size() < HOLE_16
+def _fill(head: Head, batches: Batches) -> Batches:
+    """Ids of ranked words, and of the other words at their places: doc_id, ids."""
     for every in batches:
         for lo in range(0, every.num_rows, 500):
             batch, out = every.slice(lo, 500), []
             for raw, found in zip(batch.column("skeleton"), batch.column("found")):
-                ids = np.frombuffer(expand(raw.as_py()), "<u2" if small else "<u4").astype("<u4")
+                rank = head.ranks(raw.as_py())
+                ids, _ = gather(head.ids, head.begin, head.count, rank, np.array([0, len(rank)]))
                 if found.is_valid:
-                    hole = np.flatnonzero(ids == (HOLE_16 if small else HOLE))
+                    hole = np.flatnonzero(ids == HOLE)
                     values = found.values
                     order = np.argsort(values.field("pos").to_numpy())
                     parts = [np.frombuffer(values.field("ids")[int(i)].as_py(), "<u4") for i in order]
@@ -300,8 +308,8 @@ def _digest(pieces: Pieces, batches: Batches) -> Batches:
 
 def encode_documents(docs: DataFrame, encoding: Encoding, head_words: int = HEAD_WORDS) -> DataFrame:
     """doc_id, ids (binary, unsigned 32-bit little-endian) of every row."""
-    return skeletons(docs, encoding, head_words).mapInArrow(
-        partial(_fill, encoding), "doc_id long, ids binary")
+    rows, head = skeletons(docs, encoding, head_words)
+    return rows.mapInArrow(lambda batches: _fill(head.value, batches), "doc_id long, ids binary")
 
 
 def decode_documents(encoded: DataFrame, encoding: Encoding) -> DataFrame:
@@ -317,13 +325,14 @@ def op8_digests(docs: DataFrame, encoding: Encoding, head_words: int = HEAD_WORD
     Encoding, decoding and digests are one step of the plan: every step of its
     own would add a Python process to each core."""
     shared = docs.sparkSession.sparkContext.broadcast(Pieces(encoding.path, encoding.kind))
-    return skeletons(docs, encoding, head_words).mapInArrow(
-        lambda batches: _digest(shared.value, _decode(shared.value, _fill(encoding, batches))),
+    rows, head = skeletons(docs, encoding, head_words)
+    return rows.mapInArrow(
+        lambda batches: _digest(shared.value, _decode(shared.value, _fill(head.value, batches))),
         "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
-# Marks of a word that is not in the head; no id has these values.
-HOLE, HOLE_16 = 0xFFFFFFFF, 0xFFFF
+# Mark of a word that is not in the head; no id has this value.
+HOLE = 0xFFFFFFFF
 
 
 @lru_cache(maxsize=1)
@@ -331,14 +340,6 @@ def _codecs() -> tuple[zstandard.ZstdCompressor, zstandard.ZstdDecompressor]:
     return zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
 
 
-def squeeze(raw: bytes) -> bytes:
-    return _codecs()[0].compress(raw)
-
-
-def expand(raw: bytes) -> bytes:
-    return _codecs()[1].decompress(raw)
-
-
 def decode_arrays(pieces: Pieces, arrays: list[np.ndarray], part: str = "text") -> list[bytes]:
     """The pieces (or numbers) of each array of ids, joined."""
     if not arrays:
