@@ -39,7 +39,7 @@ from stationflow.llm.store import least_step, saved
 from stationflow.llm.units import SLICE_BYTES, alphabet, gather, not_plain, pre_tokens, units_for
 
 # Largest number of frequent words that are broadcast (about 40 bytes each).
-HEAD_WORDS = 1_000_000
+HEAD_WORDS = 800_000
 
 _PLAIN_WORD = re.compile(rb" ?[A-Za-z]+\Z")
 
@@ -147,13 +147,25 @@ def _flat(values: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return raw, edge[:-1], np.diff(edge)
 
 
+def _hashes(raw: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Hashes of consecutive strings, a slice at a time (the sums take eight
+    bytes for each byte)."""
+    out, first, end = [np.zeros(0, np.uint64)], 0, start + size
+    while first < len(start):
+        last = max(first + 1, int(np.searchsorted(end, start[first] + T.SLICE_BYTES, "right")))
+        base = start[first]
+        out.append(T.span_hashes(raw[base:end[last - 1]], start[first:last] - base, end[first:last] - base))
+        first = last
+    return np.concatenate(out)
+
+
 class Head:
     """Frequent words, the most frequent first, with their ids; found by hash."""
 
     def __init__(self, words: pa.Array, ids: pa.Array, n: np.ndarray):
         by = np.argsort(-n, kind="stable")
         raw, start, size = _flat(words)
-        hashes = T.span_hashes(raw, start, start + size)[by] if len(size) else np.zeros(0, np.uint64)
+        hashes = _hashes(raw, start, size)[by]
         self.order = np.argsort(hashes).astype(np.int32)
         self.hash = hashes[self.order]
         self.blob = raw.copy()
