@@ -21,6 +21,9 @@ from pyspark.sql import functions as F
 
 from stationflow.session import broadcast_max_rows
 
+# Copies of a small side in a salted join, and so the tasks that share a hot key.
+SALT_BUCKETS = 16
+
 
 def time_span_seconds(df: DataFrame, ts_col: str) -> int | None:
     """Seconds between the first and last ``ts_col`` value (None when empty).
@@ -53,7 +56,9 @@ def join_small(big: DataFrame, small: DataFrame, on, *, rows_bound: int | None,
     the join is salted: ``big`` rows get ``pmod(xxhash64(spread_by), n)``,
     ``small`` rows are repeated once per salt value, and the join runs on the
     keys plus the salt, so one hot key is shared by ``n`` tasks; ``n``
-    defaults to ``spark.sql.shuffle.partitions``. Salting keeps inner and
+    defaults to ``SALT_BUCKETS``. It is part of a stream's state: rows that
+    wait in the state carry their salt over a restart, so it must never
+    depend on a session setting. Salting keeps inner and
     left joins exact (a ``big`` row meets one replica of each match). Without
     ``spread_by`` it is a plain shuffle join (AQE may still split skewed
     partitions).
@@ -65,7 +70,7 @@ def join_small(big: DataFrame, small: DataFrame, on, *, rows_bound: int | None,
         return big.join(F.broadcast(small), keys, how)
     if spread_by is None or how not in ("inner", "left"):
         return big.join(small, keys, how)
-    n = salt_buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = salt_buckets or SALT_BUCKETS
     salted = big.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(n)))
     repeated = small.withColumn("_salt", F.explode(
         F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long"))))

@@ -49,10 +49,21 @@ def random_split(rows: DataFrame, fraction: float = TRAIN_FRACTION,
     return train, test
 
 
+def split_steps(fraction: float) -> int:
+    """The fewest parts (10 to 10,000) of which ``fraction`` is a whole number;
+    neither side of the split may be empty."""
+    for steps in (10, 100, 1_000, 10_000):
+        part = fraction * steps
+        if abs(part - round(part)) < 1e-9 and 0 < round(part) < steps:
+            return steps
+    raise ValueError(f"fraction must be a multiple of 1/10000 between 0 and 1, not {fraction}")
+
+
 def is_train_window(ts: str = "window_start", fraction: float = TRAIN_FRACTION) -> Column:
     hour = F.floor(F.expr(f"timestampdiff(SECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', "
                           f"CAST({ts} AS TIMESTAMP_NTZ))") / 3600)
-    return F.pmod(hour, F.lit(10)) < int(round(fraction * 10))
+    steps = split_steps(fraction)
+    return F.pmod(hour, F.lit(steps)) < int(round(fraction * steps))
 
 
 def window_split(rows: DataFrame, fraction: float = TRAIN_FRACTION,

@@ -83,18 +83,26 @@ def flatten_station_payloads(payloads: DataFrame, variant: str, *,
 # --- S5: weather payloads --------------------------------------------------------
 
 def flatten_weather_payloads(payloads: DataFrame, *, payload_col: str = "payload",
-                             stamp_col: str = "stamp") -> DataFrame:
+                             stamp_col: str = "stamp", with_quarantine: bool = False):
     """One keyed message per weather reading: ``{id}_{stamp}`` or, without an
-    id, ``weather_{stamp}``. Missing nested fields become NULL values.
-    Output: key, value (JSON text)."""
+    id, ``weather_{stamp}``. Missing nested fields become NULL values. A payload
+    that is no weather document (unreadable, or without ``main``) gives no
+    message; it goes to the quarantine (reason, stamp, payload) when
+    ``with_quarantine`` is set. Output: key, value (JSON text)."""
     w = F.from_json(payload_col, S.WEATHER_PAYLOAD)
-    p = payloads.select(F.col(stamp_col).alias("_stamp"), w.alias("w"))
+    every = payloads.select(F.col(stamp_col).alias("_stamp"), F.col(payload_col).alias("_payload"),
+                            w.alias("w"))
+    p, unreadable = split(every, F.col("w.main").isNotNull())
     value = F.struct(F.col("w.main.temp").cast("float").alias("temperature"),
                      F.col("w.wind.speed").cast("float").alias("windspeed"),
                      F.col("w.clouds.all").cast("float").alias("clouds"),
                      F.struct(F.col("_stamp").alias("timestamp")).alias("metadata"))
-    return p.select(message_key("w.id", "_stamp", fallback="weather").alias("key"),
+    msgs = p.select(message_key("w.id", "_stamp", fallback="weather").alias("key"),
                     F.to_json(value, _KEEP_NULLS).alias("value"))
+    if not with_quarantine:
+        return msgs
+    return msgs, unreadable.select(F.lit("no main").alias("reason"), F.col("_stamp").alias("stamp"),
+                                   F.col("_payload").alias("payload"))
 
 
 # --- S7: forecast payloads -------------------------------------------------------

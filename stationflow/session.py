@@ -51,12 +51,18 @@ def build_session(master: str | None = None, app_name: str = "stationflow",
     return spark
 
 
+def local_master(master: str) -> bool:
+    """True if driver and executors are one process on one machine."""
+    return master == "local" or master.startswith("local[")
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, creating a local one only when unset.
 
     On a cluster ``spark.checkpoint.dir`` names a shared file system folder and
-    is used as is. Only when nothing is configured (unit tests, a laptop) do we
-    create a fresh private folder under the system temp dir.
+    is used as is. Only in local mode (unit tests, a laptop) and when nothing is
+    configured do we create a fresh private folder under the system temp dir: on
+    a cluster executors would write to their own disks.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -64,6 +70,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not local_master(sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all "
+                               f"executors share (master: {sc.master})")
         configured = tempfile.mkdtemp(prefix="stationflow-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()

@@ -25,8 +25,7 @@ def flatten_feed(payloads: DataFrame, feed: str):
     if feed in ("info", "status"):
         return N.flatten_station_payloads(payloads, feed, with_quarantine=True)
     if feed == "weather":
-        msgs = N.flatten_weather_payloads(payloads)
-        return msgs, msgs.limit(0)
+        return N.flatten_weather_payloads(payloads, with_quarantine=True)
     raise ValueError(f"unknown feed {feed!r}")
 
 

@@ -72,3 +72,12 @@ def test_save_load_round_trip_and_int_cloudiness(spark):
     a = ML.score(model, fc).first()["prediction"]
     b = ML.score(loaded, fc).first()["prediction"]
     assert a == b == pytest.approx(0.4 + 0.1 - 0.06 + 0.04, abs=1e-9)
+
+
+def test_split_fractions_are_exact_or_refused():
+    import pytest
+    from stationflow.operators.model import split_steps
+    assert [split_steps(f) for f in (0.8, 0.75, 0.95, 0.125)] == [10, 100, 100, 1000]
+    for bad in (0.0, 1.0, 1 / 3):
+        with pytest.raises(ValueError):
+            split_steps(bad)

@@ -89,3 +89,11 @@ def test_to_messages_keeps_null_fields(spark):
     df = spark.createDataFrame([("a", None)], "station_id string, capacity int")
     [m] = N.to_messages(df, df.station_id, ["station_id", "capacity"]).collect()
     assert json.loads(m.value) == {"station_id": "a", "capacity": None}
+
+
+def test_unreadable_weather_is_quarantined(spark):
+    from stationflow.operators import normalize as N
+    rows = spark.createDataFrame([("t1", '{"main": {"temp": 1.5}}'), ("t1", "not json"), ("t1", "{}"), ("t1", None)],
+                                 "stamp string, payload string")
+    good, bad = N.flatten_weather_payloads(rows, with_quarantine=True)
+    assert good.count() == 1 and bad.count() == 3

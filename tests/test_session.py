@@ -16,3 +16,9 @@ def test_session_defaults(spark):
     assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
     assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
     assert broadcast_max_rows(spark) == BROADCAST_MAX_ROWS_DEFAULT
+
+
+def test_only_local_masters_may_use_a_private_folder():
+    from stationflow.session import local_master
+    assert local_master("local") and local_master("local[8]")
+    assert not any(map(local_master, ("yarn", "spark://h:7077", "local-cluster[3,2,3000]", "k8s://x")))

@@ -73,8 +73,8 @@ def test_event_time_multi_batch_equals_batch_and_state_drains(spark, tmp_shared)
     assert _rows(out) == _rows(expected) and out.count() == 8
     # join state is purged by the watermark: only the last poll is kept. J1
     # holds its info and status rows, J2 its joined rows and the weather
-    # reading once per salt value (spark.sql.shuffle.partitions).
-    salts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # reading once per salt value.
+    salts = J.SALT_BUCKETS
     last = q.recentProgress[-1]["stateOperators"]
     joins = [s["numRowsTotal"] for s in last if s["operatorName"] == "symmetricHashJoin"]
     assert sum(joins) <= 3 * len(STATIONS) + salts
