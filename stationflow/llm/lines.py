@@ -35,21 +35,33 @@ FAN_IN = 4
 FREQUENT = 50_000
 
 
-def line_key(line: Column) -> Column:
-    """Strip and lower-case; only A-Z change, also beside other letters."""
-    line = F.btrim(line, F.lit(SPACE))
-    ascii_only = F.length(line) == F.octet_length(line)
-    return F.when(ascii_only, F.lower(line)).otherwise(F.translate(line, UPPER, LOWER))
-
-
 def line_array(text: Column) -> Column:
     return F.split(F.coalesce(text, F.lit("")), "\n", -1)
 
 
-def line_hashes(key: Column) -> Column:
-    """(h1, h2) of a key; null for the empty key."""
-    return F.when(F.length(key) >= 1, F.struct(
-        F.xxhash64(key).alias("h1"), F.xxhash64(F.lit("second"), key).alias("h2")))
+def line_hashes(text: Column) -> Column:
+    """(h1, h2) of the key of each line; null for an empty key. Every step is a
+    pass of its own, so that no lambda works out its argument more than once."""
+    stripped = F.transform(line_array(text), lambda x: F.btrim(x, F.lit(SPACE)))
+    # Only A-Z change, also beside other letters.
+    keys = F.transform(stripped, lambda x: F.when(F.length(x) == F.octet_length(x), F.lower(x))
+                       .otherwise(F.translate(x, UPPER, LOWER)))
+    return F.transform(keys, lambda k: F.when(F.length(k) >= 1, F.struct(
+        F.xxhash64(k).alias("h1"), F.xxhash64(F.lit("second"), k).alias("h2"))))
+
+
+def without_lines(text: Column, drop: Column) -> Column:
+    """(n, text): the number of lines and the text without the lines at ``drop``.
+    The lines are bound once, as the element of a one-element array: named inside
+    a lambda, the split would run again for every line."""
+    def rest(lines: Column) -> Column:
+        places = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), drop)
+        return F.array_join(F.transform(places, lambda i: F.get(lines, i)), "\n")
+
+    bound = F.transform(F.array(line_array(text)), lambda lines: F.struct(
+        F.size(lines).alias("n"),
+        F.when(drop.isNull(), F.coalesce(text, F.lit(""))).otherwise(rest(lines)).alias("text")))
+    return F.get(bound, F.lit(0))
 
 
 class LineRuns:
@@ -92,10 +104,9 @@ class LineRuns:
 def common_places(docs: DataFrame, min_docs: int, batches: int = BATCHES) -> DataFrame:
     """(doc_id, t, drop): the places of the lines to drop, for rows that have any."""
     spark = docs.sparkSession
-    hashes = F.transform(line_array(F.col("text")), lambda x: line_hashes(line_key(x)))
     keys = saved(
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("t"),
-                    hashes.alias("lines"),
+                    line_hashes(F.col("text")).alias("lines"),
                     F.pmod(F.xxhash64("doc_id", "text"), F.lit(batches)).alias("batch")),
         "line_keys", partition_by="batch")
     runs = LineRuns(spark)
@@ -130,14 +141,10 @@ def drop_common_lines(docs: DataFrame, min_docs: int) -> DataFrame:
         F.col("doc_id").alias("_d"), F.col("t").alias("_t"), F.col("drop").alias("_drop"))
     joined = docs.withColumn("_x", F.xxhash64("text")).join(
         places, F.expr("_x = _t AND CAST(doc_id AS BIGINT) <=> _d"), "left")
-    lines = line_array(F.col("text"))
-    n = F.size(lines)
-    kept = F.transform(F.array_except(F.sequence(F.lit(0), n - 1), F.col("_drop")),
-                       lambda i: F.get(lines, i))
-    text = F.when(F.col("_drop").isNull(), F.coalesce("text", F.lit(""))).otherwise(F.array_join(kept, "\n"))
+    joined = joined.withColumn("_rest", without_lines(F.col("text"), F.col("_drop")))
     return joined.select(
-        *(text.alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns),
-        n.cast("long").alias("_n_lines"),
+        *(F.col("_rest.text").alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns),
+        F.col("_rest.n").cast("long").alias("_n_lines"),
         F.coalesce(F.size("_drop"), F.lit(0)).cast("long").alias("_n_dropped"))
 
 
