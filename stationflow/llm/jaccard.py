@@ -20,8 +20,9 @@ class, so copies are never compared), columns are shingles. Two sets link when
    the incidence matrices of its two blocks, a range of columns at a time, adds
    up the overlap counts, and drops pairs as soon as what is left cannot reach
    the bound that their sizes demand.
-5. Tiles are worked twice: on the prefixes, where the bound leaves hardly a pair
-   but near duplicates, and then, for classes with a pair left, on whole sets,
+5. Tiles are worked twice: on the prefixes from the tile's column on (a pair is
+   decided where its smallest common column is), where the bound leaves hardly a
+   pair but near duplicates, and then, for classes with a pair left, on whole sets,
    for which the texts of these classes are read again. There a pair that
    shares several columns belongs to the tile of the smallest one.
 6. A tile returns, for each class, its number of links and the smallest class it
@@ -227,16 +228,21 @@ def overlaps(sets: list[np.ndarray], alive: np.ndarray, percent: int) -> np.ndar
     return alive
 
 
-def prefix_bound(sets: list[np.ndarray], size: np.ndarray, alive: np.ndarray, percent: int) -> np.ndarray:
-    """Pairs that may still link, by their sorted prefixes. Up to the smaller of
-    the two last keys both sets are known; the rest can at most all agree."""
+def prefix_bound(sets: list[np.ndarray], size: np.ndarray, behind: np.ndarray, alive: np.ndarray,
+                 percent: int) -> np.ndarray:
+    """Pairs that may still link, by the sorted keys of their prefixes from a
+    column on. ``behind`` shingles of each set come from that column on; a pair
+    whose smallest common column it is has no others in common. Before the smaller
+    of the two last keys both sets are known; the rest can at most all agree.
+    Shortened keys that collide count as rest, so they never lower a bound."""
     need = overlap_needed(percent, size[:, None], size[None, :])
-    alive = alive & (np.minimum(size[:, None], size[None, :]) >= need)
+    alive = alive & (np.minimum(behind[:, None], behind[None, :]) >= need)
     if not alive.any():
         return alive
+    sets = [np.unique(s) for s in sets]
     last = np.array([s[-1] for s in sets])
-    known = np.stack([np.searchsorted(s, last, "right") for s in sets])
-    rest = size[:, None] - known
+    known = np.stack([np.searchsorted(s, last, "left") for s in sets])
+    rest = behind[:, None] - known
     rest = np.minimum(rest, rest.T)
     if len(sets) == 2:
         return alive & (len(np.intersect1d(sets[0], sets[1], assume_unique=True)) + rest >= need)
@@ -269,12 +275,12 @@ def _longs(rows: list[tuple], k: int) -> pa.Array:
 
 
 def _bound_tile(percent: int):
-    """Rows (block, s1, s2, n, keys): the classes that have a pair left."""
+    """Rows (block, s1, s2, n, behind, keys): the classes that have a pair left."""
 
     def solve(h: int, cross: bool, rows: list[tuple]) -> pa.RecordBatch | None:
-        keys = [r[4] for r in rows]
-        size = np.array([r[3] for r in rows], np.int64)
-        left = prefix_bound(keys, size, _candidates(np.array([r[0] for r in rows]), cross), percent)
+        keys = [r[5] for r in rows]
+        size, behind = np.array([r[3:5] for r in rows], np.int64).T
+        left = prefix_bound(keys, size, behind, _candidates(np.array([r[0] for r in rows]), cross), percent)
         who = [r for r, ok in zip(rows, (left | left.T).any(1)) if ok]
         return pa.RecordBatch.from_arrays(
             [pa.array([h] * len(who), pa.int64()), _longs(who, 1), _longs(who, 2)],
@@ -367,14 +373,26 @@ def _distinct_columns(members: DataFrame, name: str) -> DataFrame:
 
 
 def _tiles(members: DataFrame, rows: DataFrame) -> DataFrame:
-    """Members with what ``rows`` has of their class, dealt out by tile."""
+    """Members, once for every tile they are in, with what ``rows`` has of their class."""
     placed = (members.withColumn("k", F.ceil(F.col("m") / F.lit(BLOCK)).cast("long"))
               .withColumn("block", F.pmod(F.xxhash64("s1", "s2"), F.col("k")))
               .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("k") - 1)))
               .select("h", "s1", "s2", "block", F.least("block", "other").alias("ti"),
                       F.greatest("block", "other").alias("tj")))
-    return (placed.join(rows, ["s1", "s2"]).repartition("h", "ti", "tj")
-            .sortWithinPartitions("h", "ti", "tj"))
+    return placed.join(rows, ["s1", "s2"])
+
+
+def _dealt(tiles: DataFrame) -> DataFrame:
+    return tiles.repartition("h", "ti", "tj").sortWithinPartitions("h", "ti", "tj")
+
+
+def _from_column_on(tiles: DataFrame) -> DataFrame:
+    """What a tile needs of the prefixes: the keys from its column on, of which 31
+    bits keep their order and tell nearly all of them apart."""
+    at = F.array_position("keys", F.col("h")).cast("int")
+    later = F.transform(F.slice("keys", at, F.size("keys")), lambda k: F.shiftright(k, 32).cast("int"))
+    return tiles.select("h", "ti", "tj", "block", "s1", "s2", "n",
+                        (F.col("n") - at + 1).alias("behind"), later.alias("keys"))
 
 
 def classes(docs: DataFrame, n_words: int = WORDS) -> tuple[DataFrame, DataFrame]:
@@ -418,8 +436,8 @@ def jaccard_edges(docs: DataFrame, described: DataFrame, common: DataFrame, n_wo
     members = _distinct_columns(members, "prefix_columns")
     own = members.select("s1", "s2").distinct()
     rows = prefixes.join(own, ["s1", "s2"], "left_semi").dropDuplicates(["s1", "s2"])
-    left = _tiles(members, rows).mapInArrow(
-        _by_tile(["block", "s1", "s2", "n", "keys"], _bound_tile(percent)), "h long, s1 long, s2 long")
+    left = _dealt(_from_column_on(_tiles(members, rows))).mapInArrow(
+        _by_tile(["block", "s1", "s2", "n", "behind", "keys"], _bound_tile(percent)), "h long, s1 long, s2 long")
     members = _distinct_columns(saved(left.distinct(), "near_members"), "near_columns")
 
     # One document of each class that has a pair left gives its set.
@@ -433,7 +451,7 @@ def jaccard_edges(docs: DataFrame, described: DataFrame, common: DataFrame, n_wo
              .join(giver, F.expr("th = t AND doc_id <=> d")).select("s1", "s2", "text"))
     sets = (texts.mapInArrow(_sets(n_words), "s1 long, s2 long, shingles binary")
             .dropDuplicates(["s1", "s2"]).join(cols, ["s1", "s2"]))
-    return saved(_tiles(members, sets).mapInArrow(
+    return saved(_dealt(_tiles(members, sets)).mapInArrow(
         _by_tile(["block", "s1", "s2", "shingles", "cols"], _link_tile(percent, pairs)),
         "a1 long, a2 long, b1 long, b2 long, n_links long"), "jaccard_edges")
 
