@@ -41,6 +41,10 @@ from stationflow.llm.units import SLICE_BYTES, alphabet, gather, not_plain, pre_
 # Largest number of frequent words that are broadcast (about 40 bytes each).
 HEAD_WORDS = 800_000
 
+# Ranks from NEAR on have one low byte beside their symbol, from FAR on two; the
+# 256 symbols reach to rank MOST_RANKS.
+NEAR, FAR, MOST_RANKS = 160, 1 << 14, 1 << 21
+
 _PLAIN_WORD = re.compile(rb" ?[A-Za-z]+\Z")
 
 
@@ -193,14 +197,27 @@ class Head:
         return np.where(same, at, -1)
 
     def skeleton(self, ranks: np.ndarray) -> bytes:
-        """Ranks of a text's words, byte plane by byte plane (frequent words have
-        only zeros in the higher ones), compressed."""
-        raw = ranks.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :3]
-        return _codecs()[0].compress(raw.T.tobytes())
+        """Ranks of a text's words: one symbol a word, which is the whole rank of a
+        frequent word and else says how many low bytes follow. Symbols and low
+        bytes are compressed apart, as the latter are close to noise."""
+        one, two = ranks >= NEAR, ranks >= FAR
+        symbol = np.where(two, NEAR + (FAR >> 8) + (ranks >> 16), np.where(one, NEAR + (ranks >> 8), ranks))
+        first = _codecs()[0].compress(symbol.astype(np.uint8).tobytes())
+        low = (ranks[one] & 255).astype(np.uint8).tobytes() + (ranks[two] >> 8 & 255).astype(np.uint8).tobytes()
+        packed = _codecs()[0].compress(low)
+        return len(first).to_bytes(4, "little") + first + (packed if len(packed) < len(low) else low)
 
     def ranks(self, raw: bytes) -> np.ndarray:
-        planes = np.frombuffer(_codecs()[1].decompress(raw), np.uint8).reshape(3, -1).astype(np.int64)
-        return planes[0] | planes[1] << 8 | planes[2] << 16
+        edge = 4 + int.from_bytes(raw[:4], "little")
+        rank = np.frombuffer(_codecs()[1].decompress(raw[4:edge]), np.uint8).astype(np.int64)
+        one, two = rank >= NEAR, rank >= NEAR + (FAR >> 8)
+        n, low = int(one.sum()), raw[edge:]
+        if len(low) < n + int(two.sum()):
+            low = _codecs()[1].decompress(low)
+        rank = np.where(two, (rank - NEAR - (FAR >> 8)) << 16, np.where(one, (rank - NEAR) << 8, rank))
+        rank[one] |= np.frombuffer(low, np.uint8, n)
+        rank[two] |= np.frombuffer(low, np.uint8, offset=n).astype(np.int64) << 8
+        return rank
 
 
 class Pieces:
@@ -227,7 +244,9 @@ class Pieces:
 
 def skeletons(docs: DataFrame, encoding: Encoding, head_words: int):
     """Every row with the ranks of its words (skeleton) and the ids of the words
-    outside the head by position (found); and the head, sent to every task."""
+    outside the head, each after its position in four bytes (found); and the head, sent to every task."""
+    if head_words >= MOST_RANKS:
+        raise ValueError(f"head_words must be below {MOST_RANKS}")
     spark = docs.sparkSession
     table = word_table(docs, encoding)
     bound = least_step(table, _octave(), head_words)
@@ -257,12 +276,13 @@ def skeletons(docs: DataFrame, encoding: Encoding, head_words: int):
     rows = docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("doc_id", "text").alias("h"))
     split = rows.mapInArrow(skeleton, "doc_id long, h long, skeleton binary, rare array<binary>")
     # Equal rows have equal words at equal places: one answer serves all of them.
-    places = split.select("doc_id", "h", F.posexplode("rare").alias("pos", "word"))
+    # Places are grouped by the join's own keys, so the answers stay where they are.
+    keyed = split.withColumn("k", F.coalesce("doc_id", F.lit(0)))
+    places = keyed.select("h", "k", F.posexplode("rare").alias("pos", "word"))
+    at = F.unhex(F.lpad(F.hex("pos"), 8, "0"))
     answers = (places.join(table.where(_octave() < bound).select("word", "ids"), "word")
-               .groupBy("doc_id", "h").agg(F.collect_set(F.struct("pos", "ids")).alias("found")))
-    joined = split.select("doc_id", "h", "skeleton").join(
-        answers.select(F.col("doc_id").alias("d"), F.col("h").alias("g"), "found"),
-        F.expr("h = g AND doc_id <=> d"), "left")
+               .groupBy("h", "k").agg(F.collect_set(F.concat(at, "ids")).alias("found")))
+    joined = keyed.select("doc_id", "h", "k", "skeleton").join(answers, ["h", "k"], "left")
 
     return joined.select("doc_id", "skeleton", "found"), head
 
@@ -280,9 +300,8 @@ def _fill(head: Head, batches: Batches) -> Batches:
                 ids, _ = gather(head.ids, head.begin, head.count, rank, np.array([0, len(rank)]))
                 if found.is_valid:
                     hole = np.flatnonzero(ids == HOLE)
-                    values = found.values
-                    order = np.argsort(values.field("pos").to_numpy())
-                    parts = [np.frombuffer(values.field("ids")[int(i)].as_py(), "<u4") for i in order]
+                    # Position (big-endian, so bytes sort as numbers) and ids of each.
+                    parts = [np.frombuffer(x, "<u4", offset=4) for x in sorted(found.as_py())]
                     keep = np.ones(len(ids), np.int64)
                     keep[hole] = [len(p) for p in parts]
                     to = np.cumsum(keep) - keep

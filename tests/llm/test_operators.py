@@ -284,6 +284,14 @@ def test_word_table(docs, empty, head):
     assert wordtable.op8_digests(empty, Encoding(BYTE, "byte"), head).count() == 0
 
 
+def test_ranks_of_every_size_come_back():
+    edges = [0, 159, 160, 255, 256, wordtable.FAR - 1, wordtable.FAR, wordtable.MOST_RANKS - 1]
+    mixed = np.random.default_rng(1).integers(0, wordtable.MOST_RANKS, 5000)
+    for ranks in (np.array(edges), mixed, np.zeros(0, np.int64), np.full(3000, wordtable.FAR)):
+        raw = wordtable.Head.skeleton(None, ranks)
+        assert wordtable.Head.ranks(None, raw).tolist() == ranks.tolist()
+
+
 def test_top_k(spark, monkeypatch):
     monkeypatch.setattr(topk, "SHARD_ROWS", 7)
     monkeypatch.setattr(topk, "FAN_IN", 2)
