@@ -6,8 +6,9 @@
     spark-submit --py-files stationflow.zip stationflow/jobs.py train   --history H --model M [--split window|random]
     spark-submit --py-files stationflow.zip stationflow/jobs.py score   --forecasts F --model M --out O [--horizons all]
 
-Message and payload folders can be replaced by Kafka topics (``--source kafka
---bootstrap-servers ...``; topic names in place of folders). Every endpoint
+Message folders can be replaced by Kafka topics (``stream --source kafka``,
+``ingest --sink kafka``, with ``--bootstrap-servers`` and topic names in place of
+folders); payloads are always read from a folder. Every endpoint
 and path comes from the command line.
 """
 
@@ -38,7 +39,8 @@ def cmd_ingest(spark: SparkSession, args) -> None:
     q = start_ingest_stream(spark, args.payloads, args.feed, checkpoint_path=args.checkpoint,
                             sink=args.sink, path=args.messages, topic=args.messages,
                             bootstrap_servers=args.bootstrap_servers,
-                            quarantine_path=args.quarantine, trigger=_trigger(args))
+                            quarantine_path=args.quarantine, trigger=_trigger(args),
+                            max_files_per_trigger=args.max_files_per_trigger)
     q.awaitTermination()
 
 
@@ -49,7 +51,10 @@ def _typed_feeds(spark: SparkSession, args):
     for loc, schema, ts in ((args.info, S.PARSED_INFO, "info_timestamp"),
                             (args.status, S.PARSED_STATUS, "status_timestamp"),
                             (args.weather, S.PARSED_WEATHER, "timestamp")):
-        out.append(spark.readStream.schema(schema).parquet(loc)
+        reader = spark.readStream.schema(schema)
+        if args.max_files_per_trigger:
+            reader = reader.option("maxFilesPerTrigger", args.max_files_per_trigger)
+        out.append(reader.parquet(loc)
                    .withWatermark(ts, args.watermark))
     return out
 
@@ -67,7 +72,10 @@ def cmd_stream(spark: SparkSession, args) -> None:
         return
     feeds = [read_messages(spark, source=args.source, path=loc, topic=loc,
                            bootstrap_servers=args.bootstrap_servers,
-                           starting_offsets=args.starting_offsets)
+                           starting_offsets=args.starting_offsets,
+                           max_files_per_trigger=args.max_files_per_trigger,
+                           max_offsets_per_trigger=args.max_offsets_per_trigger,
+                           min_partitions=args.min_partitions)
              for loc in (args.info, args.status, args.weather)]
     q = start_utilization_stream(*feeds, sink_path=args.out, checkpoint_path=args.checkpoint,
                                  mode=args.mode, watermark=args.watermark,
@@ -84,7 +92,8 @@ def cmd_stream(spark: SparkSession, args) -> None:
 
 def cmd_compact(spark: SparkSession, args) -> None:
     from stationflow.operators.history import combine_history, distinct_values
-    combined = combine_history(spark, args.parts, out_path=args.out)
+    combined = combine_history(spark, args.parts, out_path=args.out,
+                               quarantine_path=args.quarantine)
     if args.distinct:
         (distinct_values(combined, args.distinct).orderBy(args.distinct)
          .write.mode("overwrite").parquet(args.distinct_out or f"{args.out}_distinct"))
@@ -129,6 +138,8 @@ def parser() -> argparse.ArgumentParser:
         sp.add_argument("--every", help="processing-time trigger, e.g. '5 minutes'")
         sp.add_argument("--available-now", action="store_true",
                         help="process what has landed, then stop")
+        sp.add_argument("--max-files-per-trigger", type=int,
+                        help="bound on the files of one micro-batch")
 
     ing = sub.add_parser("ingest", help="landed payloads -> keyed messages")
     ing.add_argument("--feed", choices=["info", "status", "weather"], required=True)
@@ -147,6 +158,9 @@ def parser() -> argparse.ArgumentParser:
                      help="files/kafka: keyed JSON messages; parquet: parsed feed tables")
     stm.add_argument("--bootstrap-servers")
     stm.add_argument("--starting-offsets", default="earliest")
+    stm.add_argument("--max-offsets-per-trigger", type=int,
+                     help="bound on the Kafka records of one micro-batch")
+    stm.add_argument("--min-partitions", type=int, help="read tasks of a Kafka topic")
     stm.add_argument("--out", required=True)
     stm.add_argument("--checkpoint", required=True)
     stm.add_argument("--mode", choices=["snapshot", "event_time"], default="event_time")
@@ -160,6 +174,7 @@ def parser() -> argparse.ArgumentParser:
     cmp_ = sub.add_parser("compact", help="CSV report parts -> distinct Parquet table")
     cmp_.add_argument("--parts", required=True)
     cmp_.add_argument("--out", required=True)
+    cmp_.add_argument("--quarantine", help="folder that lists the parts that could not be used")
     cmp_.add_argument("--distinct", help="also write the distinct values of this column")
     cmp_.add_argument("--distinct-out")
 

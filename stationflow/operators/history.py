@@ -26,11 +26,16 @@ def distinct_values(df: DataFrame, column: str) -> DataFrame:
 
 
 def combine_history(spark: SparkSession, paths, schema: StructType = REPORT_SCHEMA,
-                    out_path: str | None = None) -> DataFrame:
+                    out_path: str | None = None,
+                    quarantine_path: str | None = None) -> DataFrame:
     """S3 + A6 + A4: CSV parts -> union by name -> distinct rows. With
     ``out_path`` the result is also written as Parquet (the compacted table)
-    and read back from there."""
-    combined = dedupe(read_csv_parts(spark, paths, schema))
+    and read back from there; with ``quarantine_path`` the parts that could not
+    be used are listed there (JSON)."""
+    rows, unusable = read_csv_parts(spark, paths, schema, with_quarantine=True)
+    if quarantine_path:
+        unusable.write.mode("overwrite").json(quarantine_path)
+    combined = dedupe(rows)
     if out_path is None:
         return combined
     combined.write.mode("overwrite").parquet(out_path)

@@ -23,7 +23,7 @@ from stationflow.plans.utilization import (
 from stationflow.schemas import REPORT_COLUMNS
 from stationflow.session import shared_path
 from stationflow.sources import events as E
-from stationflow.sources.sinks import append_csv
+from stationflow.sources.sinks import append_csv, flatten_structs
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -279,7 +279,8 @@ def q_stream_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The report written as CSV parts in two column orders (so every row is
-    duplicated across parts with different headers), then compacted."""
+    duplicated across parts with different headers), with a quoted header and a
+    column beyond the schema, and without one of its columns; then compacted."""
 
     ensure_utc(spark)
     report = report_from_events(spark, sf_dir).persist()
@@ -287,6 +288,9 @@ def _history(spark: SparkSession, sf_dir: str) -> DataFrame:
         base = shared_path(spark, "history")
         append_csv(report, base)
         append_csv(report.select(*reversed(report.columns)), base)
+        (flatten_structs(report).select(F.lit("a,b").alias("note"), "*").write.mode("append")
+         .option("header", "true").option("quoteAll", "true").csv(base))
+        append_csv(report.drop("cloudiness"), base)
     finally:
         report.unpersist()
     return combine_history(spark, base)
@@ -296,7 +300,7 @@ def _history(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT DISTINCT * EXCLUDE (avg_utilization, std_dev_docking_station_utilisation),
        {O.r9('avg_utilization', 'avg_utilization')},
        {O.r9('std_dev_docking_station_utilisation', 'std_dev_docking_station_utilisation')}
-FROM report"""))
+FROM (SELECT * FROM report UNION ALL SELECT * REPLACE (NULL AS cloudiness) FROM report)"""))
 def q_combine_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """CSV parts aligned by header name, union, distinct."""
     return round9(as_ntz(_history(spark, sf_dir), "window_start", "window_end"),

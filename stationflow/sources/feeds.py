@@ -19,6 +19,7 @@ def read_messages(spark: SparkSession, *, source: str = "files", path: str | Non
                   topic: str | None = None, bootstrap_servers: str | None = None,
                   streaming: bool = True, starting_offsets: str = "earliest",
                   max_files_per_trigger: int | None = None,
+                  max_offsets_per_trigger: int | None = None,
                   min_partitions: int | None = None,
                   options: dict[str, str] | None = None) -> DataFrame:
     """Messages of one feed as ``key string, value string``.
@@ -27,9 +28,13 @@ def read_messages(spark: SparkSession, *, source: str = "files", path: str | Non
     (no inference). ``source="kafka"``: one topic; ``min_partitions`` lets a
     single-partition topic fan out over many tasks. Offsets and file progress
     are tracked by the stream's checkpoint, so a restart resumes where it left.
+    ``max_files_per_trigger`` and ``max_offsets_per_trigger`` bound a micro-batch.
+    Folders are read with what lies below them (the ingest job writes one folder
+    per batch).
     """
     opts = dict(options or {})
     if source == "files":
+        opts.setdefault("recursiveFileLookup", "true")
         if not path:
             raise ValueError("files source needs a path")
         if streaming and max_files_per_trigger:
@@ -43,6 +48,8 @@ def read_messages(spark: SparkSession, *, source: str = "files", path: str | Non
                      "startingOffsets": starting_offsets})
         if min_partitions:
             opts["minPartitions"] = str(min_partitions)
+        if streaming and max_offsets_per_trigger:
+            opts["maxOffsetsPerTrigger"] = str(max_offsets_per_trigger)
         reader = spark.readStream if streaming else spark.read
         raw = reader.format("kafka").options(**opts).load()
         return raw.select(F.col("key").cast("string").alias("key"),

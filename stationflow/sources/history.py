@@ -1,15 +1,19 @@
 """Historical report files (S2, S3): CSV parts written batch after batch.
 
-``read_csv_parts`` aligns columns **by header name in every file**, in one
-distributed pass: lines are read with their file name, each file's header line
-is recognized (its fields are exactly the target columns, in any order), the
-small file -> header table is broadcast (one row per file), and every data
-line is parsed positionally with ``from_csv`` and re-ordered by its file's
-header. A plain multi-file ``spark.read.csv`` would map columns by position
-and silently mix up files whose headers differ.
+``read_csv_parts`` aligns columns **by header name in every file**: the first
+line of each file is its header (names may be quoted), the small file -> header
+table is joined to the lines (one row per file), and every data line is parsed
+positionally with ``from_csv`` and re-ordered by its file's header. A plain
+multi-file ``spark.read.csv`` would map columns by position and silently mix up
+files whose headers differ.
 
-Limits: values must not contain line breaks; parts whose header is not a
-permutation of the target columns are returned as quarantine.
+A column that a part lacks is NULL in its rows; columns beyond the schema are
+left out, their rows stay. Parts whose header names no column of the schema, and
+parts without a readable line (other than files of no bytes), are returned as
+quarantine. Limits: values must
+not contain line breaks; a data line equal to its file's header counts as a
+repeated header; a compressed part that breaks off in the middle gives its rows
+up to there.
 """
 
 from __future__ import annotations
@@ -45,50 +49,69 @@ def read_csv(spark: SparkSession, path, *, schema: StructType | None = None,
     return reader.csv(path)
 
 
+# A comma outside double quotes.
+_COMMA = ',(?=(?:[^"]*"[^"]*")*[^"]*$)'
+
+
+def _part_headers(lines: DataFrame, names: list[str]) -> DataFrame:
+    """Per file: its first line, its number of columns, whether it names any
+    target column, and where each target column sits (+1; slot 1 of the value
+    array is the NULL for columns the part lacks, hence 1 for a missing one)."""
+    # Rows of the block at offset 0 are in one partition in file order.
+    first = (lines.where((F.col("_block") == 0) & (F.trim("_line") != ""))
+             .withColumn("_order", F.monotonically_increasing_id())
+             .groupBy("_file").agg(F.min_by("_line", "_order").alias("_header")))
+    fields = F.transform(
+        F.split(F.regexp_replace("_header", "^\ufeff", ""), _COMMA),
+        lambda x: F.regexp_replace(F.trim(x), '^"|"$', ""))
+    placed = first.withColumn("_names", fields)
+    return placed.select(
+        "_file", "_header", F.size("_names").alias("_width"),
+        F.arrays_overlap("_names", F.array(*[F.lit(n) for n in names])).alias("_usable"),
+        *[(F.array_position("_names", n) + 1).cast("int").alias(f"_p{i}")
+          for i, n in enumerate(names)])
+
+
 def read_csv_parts(spark: SparkSession, paths, schema: StructType = REPORT_SCHEMA, *,
                    with_quarantine: bool = False, skip_unreadable: bool = True):
     """S3 + A6: union by column name of all CSV parts under ``paths``.
 
-    Raises ``FileNotFoundError`` when no part exists (the union of nothing).
-    Unreadable files (corrupt compressed parts) are skipped when
-    ``skip_unreadable``. Returns the typed rows, plus the lines of unusable
-    parts when ``with_quarantine`` is set.
+    Raises ``FileNotFoundError`` when no part holds a line (the union of
+    nothing). Unreadable files (corrupt compressed parts) are skipped when
+    ``skip_unreadable``. Returns the typed rows; with ``with_quarantine`` also
+    ``_file, _line, _reason``: the lines of parts without a target column, and
+    one row with a NULL line for each part that gave no line at all.
     """
     names = [f.name for f in schema.fields]
     reader = spark.read.option("ignoreCorruptFiles", str(skip_unreadable).lower())
-    lines = (reader.text(paths)
-             .select(F.col("_metadata.file_path").alias("_file"), F.col("value").alias("_line")))
-    n_files = len(lines.inputFiles())
+    lines = reader.text(paths).select(
+        F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_block"), F.col("value").alias("_line"))
+    # One row per file, found by a pass over the lines that is not repeated.
+    headers = _part_headers(lines, names).persist()
+    n_files, width = headers.agg(F.count("*"), F.max("_width")).first()
     if n_files == 0:
         raise FileNotFoundError(f"no CSV parts under {paths}")
-    fields = F.split(F.col("_line"), ",")
-    wanted = F.array_sort(F.array(*[F.lit(n) for n in names]))
-    # cheap test first (AND short-circuits per row): only lines that start
-    # with a column name and have as many fields get the full set comparison
-    candidate = (F.substring_index(F.col("_line"), ",", 1).isin(names)
-                 & (F.size(fields) == len(names)))
-    is_header = candidate & (F.array_sort(fields) == wanted)
-    # Per file, where each target column sits in that file's header (+1, so 0
-    # is never used: slot 1 of the value array below is a NULL for columns a
-    # part lacks). Computed once per file on the small header table.
-    headers = (lines.where(is_header)
-               .groupBy("_file").agg(F.first(fields).alias("_names"))
-               .select("_file", *[(F.array_position("_names", n) + 1).cast("int").alias(f"_p{i}")
-                                  for i, n in enumerate(names)]))
-    body = join_small(lines.where(~is_header), headers, "_file",
-                      rows_bound=n_files, how="left", spread_by="_line")
-    positional = ", ".join(f"_c{i} STRING" for i in range(len(names)))
-    parsed = body.select("_file", "_line", *[f"_p{i}" for i in range(len(names))],
-                         F.from_csv("_line", positional).alias("_v"))
-    values = F.array(F.lit(None).cast("string"),
-                     *[F.col(f"_v._c{i}") for i in range(len(names))])
-    parsed = parsed.select("_file", "_line", *[f"_p{i}" for i in range(len(names))],
-                           values.alias("_vals"))
+    body = join_small(lines.drop("_block"), headers, "_file", rows_bound=n_files, how="inner",
+                      spread_by="_line")
+    rows = body.where(F.col("_usable") & (F.col("_line") != F.col("_header"))
+                      & (F.trim("_line") != ""))
+    positional = ", ".join(f"_c{i} STRING" for i in range(width))
+    slots = [f"_p{i}" for i in range(len(names))]
+    parsed = rows.select(*slots, F.from_csv("_line", positional).alias("_v"))
+    values = F.array(F.lit(None).cast("string"), *[F.col(f"_v._c{i}") for i in range(width)])
+    parsed = parsed.select(*slots, values.alias("_vals"))
     # no conditional branches here: the parsed array is shared by all columns
-    typed = [F.element_at("_vals", F.col(f"_p{i}")).try_cast(f.dataType).alias(f.name)
-             for i, f in enumerate(schema.fields)]
-    good = parsed.where(F.col("_p0").isNotNull() & (F.col("_line") != "")).select(*typed)
+    good = parsed.select(*[F.element_at("_vals", F.col(f"_p{i}")).try_cast(f.dataType).alias(f.name)
+                           for i, f in enumerate(schema.fields)])
     if not with_quarantine:
         return good
-    bad = parsed.where(F.col("_p0").isNull()).select("_file", "_line")
-    return good, bad
+    foreign = (body.where(~F.col("_usable"))
+               .select("_file", "_line", F.lit("no column of the schema").alias("_reason")))
+    # Listed without reading their content.
+    listed = (spark.read.format("binaryFile").load(paths)
+              .select(F.col("_metadata.file_path").alias("_file")))
+    silent = (listed.join(headers.select("_file"), "_file", "left_anti")
+              .select("_file", F.lit(None).cast("string").alias("_line"),
+                      F.lit("no readable line").alias("_reason")))
+    return good, foreign.unionByName(silent)

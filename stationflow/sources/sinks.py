@@ -10,9 +10,13 @@ from pyspark.sql.types import StructType
 
 def write_messages(messages: DataFrame, *, sink: str = "files", path: str | None = None,
                    topic: str | None = None, bootstrap_servers: str | None = None,
-                   mode: str = "append") -> None:
-    """Batch write of ``key, value`` messages to a topic or a landing folder."""
-    if sink == "files":
+                   mode: str = "append", batch_id: int | None = None) -> None:
+    """Batch write of ``key, value`` messages to a topic or a landing folder. With
+    ``batch_id`` a folder gets each micro-batch once, however often it is replayed;
+    a topic has no such key and gets a replayed batch again."""
+    if sink == "files" and batch_id is not None:
+        write_batch(messages.select("key", "value"), path, batch_id, fmt="json")
+    elif sink == "files":
         messages.select("key", "value").write.mode(mode).json(path)
     elif sink == "kafka":
         (messages.select("key", "value").write.format("kafka")
@@ -50,7 +54,7 @@ def write_batch(df: DataFrame, path: str, batch_id: int, *, fmt: str = "parquet"
     """Write one micro-batch under ``batch_id=<n>`` with dynamic partition
     overwrite: a batch replayed after a failure replaces its own earlier output
     instead of duplicating it, so the sink is exactly-once per batch id."""
-    if fmt not in ("parquet", "csv"):
+    if fmt not in ("parquet", "csv", "json"):
         raise ValueError(f"unknown format {fmt!r}")
     out = df.withColumn("batch_id", F.lit(batch_id).cast("long"))
     if fmt == "csv":
@@ -60,4 +64,4 @@ def write_batch(df: DataFrame, path: str, batch_id: int, *, fmt: str = "parquet"
     if fmt == "csv":
         w.option("header", "true").csv(path)
     else:
-        w.parquet(path)
+        w.format(fmt).save(path)

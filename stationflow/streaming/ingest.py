@@ -7,7 +7,9 @@ lands each response as one JSON line ``{"stamp": "...Z", "payload": "..."}``
 payload into one message per station (or per weather reading) in parallel
 and publishes the messages. Payloads without a station list are written to a
 quarantine folder instead of being dropped. Progress is tracked by the
-checkpoint, so each landed payload is published once per successful batch.
+checkpoint, and both folders are written by batch id: a batch replayed after a
+failure replaces what it wrote before. A topic may get a replayed batch twice
+(the consumer's in-watermark de-duplication drops such copies).
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from stationflow.operators import normalize as N
 from stationflow.sources.feeds import read_payloads
-from stationflow.sources.sinks import write_messages
+from stationflow.sources.sinks import write_batch, write_messages
 
 
 def flatten_feed(payloads: DataFrame, feed: str):
@@ -43,10 +45,10 @@ def start_ingest_stream(spark, payload_path: str, feed: str, *, checkpoint_path:
         batch = batch.persist()
         try:
             msgs, bad = flatten_feed(batch, feed)
-            write_messages(msgs, sink=sink, path=path, topic=topic,
-                           bootstrap_servers=bootstrap_servers)
             if quarantine_path:
-                bad.write.mode("append").json(quarantine_path)
+                write_batch(bad, quarantine_path, batch_id, fmt="json")
+            write_messages(msgs, sink=sink, path=path, topic=topic,
+                           bootstrap_servers=bootstrap_servers, batch_id=batch_id)
         finally:
             batch.unpersist()
 

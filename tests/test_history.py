@@ -74,3 +74,24 @@ def test_many_parts_beyond_broadcast_limit_use_salted_join(spark, tmp_shared):
     finally:
         spark.conf.unset("stationflow.broadcast.maxRows")
     assert rows == [("x", 1, "u"), ("y", 2, "v")] and n_bad == 2
+
+
+def test_missing_extra_and_quoted_columns_keep_their_rows(spark, tmp_shared):
+    _write(tmp_shared, "p1.csv", "a,b,c\nx,1,u\n")
+    _write(tmp_shared, "p2.csv", "a,c\ny,v\n")
+    _write(tmp_shared, "p3.csv", "a,more,b,c\nz,q,3,w\n")
+    _write(tmp_shared, "p4.csv", '"c","b","a"\n"k,l",4,"t"\n')
+    _write(tmp_shared, "p5.csv", "\n\n")
+    good, bad = read_csv_parts(spark, tmp_shared, SCHEMA, with_quarantine=True)
+    rows = sorted(tuple(r) for r in good.collect())
+    assert rows == [("t", 4, "k,l"), ("x", 1, "u"), ("y", None, "v"), ("z", 3, "w")]
+    unread = bad.collect()
+    assert [r._line for r in unread] == [None] and unread[0]._file.endswith("p5.csv")
+
+
+def test_corrupt_part_is_listed(spark, tmp_shared):
+    _write(tmp_shared, "p1.csv", "a,b,c\nx,1,u\n")
+    _write(tmp_shared, "p2.csv.gz", "this is no gzip file")
+    combine_history(spark, tmp_shared, SCHEMA, quarantine_path=f"{tmp_shared}_bad")
+    listed = spark.read.json(f"{tmp_shared}_bad").collect()
+    assert len(listed) == 1 and listed[0]._file.endswith("p2.csv.gz")

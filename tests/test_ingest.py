@@ -3,6 +3,8 @@
 import datetime as dt
 import json
 
+import pytest
+
 from stationflow.sources.feeds import read_messages
 from stationflow.streaming.ingest import start_ingest_stream
 from stationflow.streaming.utilization import watermarked_feeds
@@ -31,6 +33,31 @@ def test_ingest_publishes_messages_and_quarantines(spark, tmp_shared):
     assert spark.read.json(f"{tmp_shared}/bad").count() == 1
 
 
+def test_replayed_batch_publishes_once(spark, tmp_shared, monkeypatch):
+    from stationflow.streaming import ingest
+    _land(spark, f"{tmp_shared}/raw", [{"data": {"stations": [{"station_id": "a", "capacity": 5}]}}])
+
+    def start():
+        q = start_ingest_stream(spark, f"{tmp_shared}/raw", "info",
+                                checkpoint_path=f"{tmp_shared}/ckpt", path=f"{tmp_shared}/msgs",
+                                quarantine_path=f"{tmp_shared}/bad", trigger={"availableNow": True})
+        q.awaitTermination()
+
+    whole = ingest.write_messages
+
+    def fails_after_writing(*args, **kwargs):
+        whole(*args, **kwargs)
+        raise RuntimeError("lost after the write")
+
+    monkeypatch.setattr(ingest, "write_messages", fails_after_writing)
+    with pytest.raises(Exception):
+        start()
+    monkeypatch.setattr(ingest, "write_messages", whole)
+    start()
+    assert [m.key for m in read_messages(spark, path=f"{tmp_shared}/msgs", streaming=False).collect()] \
+        == [f"a_{STAMP}"]
+
+
 def test_dedupe_within_watermark_drops_repeated_messages(spark, tmp_shared):
     status = json.dumps({"station_id": "a", "timestamp": STAMP, "num_bikes_available": 1})
     for _ in range(2):  # the same message delivered twice
