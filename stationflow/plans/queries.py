@@ -352,14 +352,22 @@ def q_split_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _training(spark, sf_dir).groupBy(side.alias("side")).agg(F.count("*").alias("n"))
 
 
-@register("random_split_counts")
+@register("random_split_counts", O.with_blocks("report", "," + O.training_rows() + """
+SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_on_both_sides, TRUE AS train_near_70_percent
+FROM rows"""))
 def q_random_split_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M4 as the reference does it: randomSplit([0.7, 0.3], seed=42). Its rows
-    depend on the partitioning, so there is no oracle - rows only."""
-    train, test = ML.random_split(_training(spark, sf_dir))
-    return (train.select(F.lit("train").alias("side"))
-            .unionByName(test.select(F.lit("test").alias("side")))
-            .groupBy("side").agg(F.count("*").alias("n")))
+    """M4 with randomSplit([0.7, 0.3], seed=42): which rows a side gets depends on
+    the partitioning, so what holds for any of them is returned: every row is on
+    a side, none on both. The rows are written once and read by both sides."""
+    path = shared_path(spark, "split")
+    _training(spark, sf_dir).withColumn("row_id", F.monotonically_increasing_id()).write.parquet(path)
+    train, test = ML.random_split(spark.read.parquet(path))
+    sides = (train.select("row_id", F.lit(1).alias("train"))
+             .unionByName(test.select("row_id", F.lit(0).alias("train")))
+             .groupBy("row_id").agg(F.max("train").alias("train"), F.count("*").alias("n")))
+    return sides.agg(F.count("*").alias("n_rows"),
+                     F.count_if(F.col("n") > 1).alias("n_on_both_sides"),
+                     (F.abs(F.avg("train") - 0.7) < 0.1).alias("train_near_70_percent"))
 
 
 @register("ols_coefficients", _model_sql(_COEF_SQL))
