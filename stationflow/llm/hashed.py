@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stationflow.llm import textarrays as T
-from stationflow.llm.store import hash_below, saved
+from stationflow.llm.store import hash_below, saved, tidy
 
 # Tasks that share the training rows, and rounds of mixing.
 PARTS = 4
@@ -192,7 +192,7 @@ def fit(train: DataFrame, f: Families, make_steps, slope: Slope, start: np.ndarr
             got = adagrad(rows, labels, shared.value, slope, make_steps(labels, r))
             yield pa.RecordBatch.from_arrays([pa.array([got.astype("<f4").tobytes()], pa.binary())], names=["w"])
 
-        parts = [np.frombuffer(x.w, "<f4") for x in dealt.mapInArrow(local, "w binary").collect()]
+        parts = [np.frombuffer(x.w, "<f4") for x in dealt.mapInArrow(tidy(local), "w binary").collect()]
         if not parts:
             break
         w = np.mean(parts, axis=0, dtype=np.float64)
@@ -219,7 +219,7 @@ def score_table(rows: DataFrame, f: Families, weights: np.ndarray, keep: str) ->
                     [*(batch.column(c) for c in names), pa.array(np.concatenate(out))],
                     names=[*names, "margin"])
 
-    return rows.mapInArrow(run, keep + ", margin double")
+    return rows.mapInArrow(tidy(run), keep + ", margin double")
 
 
 def logistic_steps(labels: np.ndarray, seed: int) -> Iterator[np.ndarray]:

@@ -49,7 +49,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stationflow.llm import textarrays as T
-from stationflow.llm.store import least_step, saved
+from stationflow.llm.store import least_step, saved, tidy
 from stationflow.session import broadcast_max_rows
 
 WORDS = 3
@@ -172,7 +172,7 @@ def _prefixes(n_words: int, percent: int, order):
 def _written_prefixes(docs: DataFrame, n_words: int, percent: int, order: Order, name: str) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(order)
     return saved(docs.select("text").mapInArrow(
-        _prefixes(n_words, percent, shared), "s1 long, s2 long, n long, keys array<long>"), name)
+        tidy(_prefixes(n_words, percent, shared)), "s1 long, s2 long, n long, keys array<long>"), name)
 
 
 def _sets(n_words: int):
@@ -400,7 +400,7 @@ def classes(docs: DataFrame, n_words: int = WORDS) -> tuple[DataFrame, DataFrame
     hash, n: documents that showed it)."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("th"))
     both = saved(rows.mapInArrow(
-        _describe(n_words), "kind int, doc_id long, th long, n long, s1 long, s2 long"),
+        tidy(_describe(n_words)), "kind int, doc_id long, th long, n long, s1 long, s2 long"),
         "shingle_classes", partition_by="kind")
     return (both.where("kind = 0").drop("kind"),
             both.where("kind = 1").groupBy("s1").agg(F.sum("n").alias("n")))
@@ -437,7 +437,7 @@ def jaccard_edges(docs: DataFrame, described: DataFrame, common: DataFrame, n_wo
     own = members.select("s1", "s2").distinct()
     rows = prefixes.join(own, ["s1", "s2"], "left_semi").dropDuplicates(["s1", "s2"])
     left = _dealt(_from_column_on(_tiles(members, rows))).mapInArrow(
-        _by_tile(["block", "s1", "s2", "n", "behind", "keys"], _bound_tile(percent)), "h long, s1 long, s2 long")
+        tidy(_by_tile(["block", "s1", "s2", "n", "behind", "keys"], _bound_tile(percent))), "h long, s1 long, s2 long")
     members = _distinct_columns(saved(left.distinct(), "near_members"), "near_columns")
 
     # One document of each class that has a pair left gives its set.
@@ -449,10 +449,10 @@ def jaccard_edges(docs: DataFrame, described: DataFrame, common: DataFrame, n_wo
         giver = F.broadcast(giver)
     texts = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("th"))
              .join(giver, F.expr("th = t AND doc_id <=> d")).select("s1", "s2", "text"))
-    sets = (texts.mapInArrow(_sets(n_words), "s1 long, s2 long, shingles binary")
+    sets = (texts.mapInArrow(tidy(_sets(n_words)), "s1 long, s2 long, shingles binary")
             .dropDuplicates(["s1", "s2"]).join(cols, ["s1", "s2"]))
     return saved(_dealt(_tiles(members, sets)).mapInArrow(
-        _by_tile(["block", "s1", "s2", "shingles", "cols"], _link_tile(percent, pairs)),
+        tidy(_by_tile(["block", "s1", "s2", "shingles", "cols"], _link_tile(percent, pairs))),
         "a1 long, a2 long, b1 long, b2 long, n_links long"), "jaccard_edges")
 
 

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stationflow.llm.idfiles import Encoding
-from stationflow.llm.store import saved
+from stationflow.llm.store import saved, tidy
 from stationflow.llm.units import units_for
 
 CAPACITY = 1024
@@ -219,7 +219,7 @@ def pieces(docs: DataFrame, encoding: Encoding, capacity: int = CAPACITY) -> Dat
                             pa.binary(), pa.int64()))],
                         names=["doc_id", "piece", "start", "length", "ids_crc32", "ids", "dealt"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(encode, PIECE_SCHEMA)
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(tidy(encode), PIECE_SCHEMA)
 
 
 def place(piece_rows: DataFrame, capacity: int = CAPACITY) -> DataFrame:
@@ -251,7 +251,7 @@ def place(piece_rows: DataFrame, capacity: int = CAPACITY) -> DataFrame:
                 [*(b.column(i) for i in range(5)), pa.array(sequence), pa.array(offset)],
                 names=["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"])
 
-    return ranked.mapInArrow(put, PLACED_SCHEMA)
+    return ranked.mapInArrow(tidy(put), PLACED_SCHEMA)
 
 
 def pack_documents(docs: DataFrame, encoding: Encoding, capacity: int = CAPACITY) -> tuple[DataFrame, DataFrame]:

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from stationflow.llm import hashed as H
 from stationflow.llm import textarrays as T
+from stationflow.llm.store import tidy
 
 FAMILIES = H.Families(words=(1, 2), chars=(3, 4))
 ROWS_PER_CLASS = 3000
@@ -127,7 +128,7 @@ def judge(docs: DataFrame, model: Model) -> DataFrame:
                     [batch.column("doc_id").slice(t.first, t.rows), *map(pa.array, measure(t, shared.value))],
                     names=[c.split()[0] for c in SCHEMA.split(", ")])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, SCHEMA)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(tidy(run), SCHEMA)
 
 
 def keep(docs: DataFrame, model: Model) -> DataFrame:
@@ -140,4 +141,4 @@ def keep(docs: DataFrame, model: Model) -> DataFrame:
             if kept:
                 yield batch.filter(pa.array(np.concatenate(kept)))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidy(run), docs.schema)
