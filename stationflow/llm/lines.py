@@ -148,6 +148,44 @@ def drop_common_lines(docs: DataFrame, min_docs: int) -> DataFrame:
         F.coalesce(F.size("_drop"), F.lit(0)).cast("long").alias("_n_dropped"))
 
 
+def drop_repeated_lines(docs: DataFrame, min_docs: int) -> DataFrame:
+    """All columns of ``docs``; of lines whose key ``min_docs`` distinct texts hold,
+    those of the first text that holds it stay (by its smallest doc_id, null ids
+    last, then by hash), the others go. Rows of one text count once and get equal
+    answers, so copies stay whole or lose the same lines, and no line is lost in
+    every text."""
+    ids = {"t1": F.xxhash64("text"), "t2": F.xxhash64(F.lit("second"), "text")}
+    doc_id = F.col("doc_id").cast("long")
+    texts = saved(
+        docs.select(*(v.alias(k) for k, v in ids.items()),
+                    F.struct(doc_id.isNull().alias("x"), doc_id.alias("id")).alias("d"),
+                    line_hashes(F.col("text")).alias("lines"))
+        .groupBy("t1", "t2").agg(F.min("d").alias("d"), F.first("lines").alias("lines")), "line_texts")
+    distinct = F.array_distinct(F.filter("lines", lambda x: x.isNotNull()))
+    common = saved(
+        texts.select(F.struct("d.x", "d.id", "t1", "t2").alias("t"), F.explode(distinct).alias("k"))
+        .groupBy("k.h1", "k.h2").agg(F.count(F.lit(1)).alias("n"), F.min("t").alias("f"))
+        .where(F.col("n") >= min_docs)
+        .select("h1", "h2", "n", F.col("f.t1").alias("f1"), F.col("f.t2").alias("f2")), "first_lines")
+    pairs = common.agg(F.sum("n")).first()[0] or 0
+    limit = max(min_docs, pairs // FREQUENT + 1)
+    frequent, other = common.where(F.col("n") >= limit).drop("n"), common.where(F.col("n") < limit).drop("n")
+    placed = (texts.select("t1", "t2", F.posexplode("lines").alias("pos", "k"))
+              .where("k IS NOT NULL").select("t1", "t2", "pos", "k.h1", "k.h2")
+              .join(F.broadcast(frequent), ["h1", "h2"], "left"))
+    found = (placed.where("f1 IS NOT NULL")
+             .unionByName(placed.where("f1 IS NULL").drop("f1", "f2").join(other, ["h1", "h2"]))
+             .where("t1 <> f1 OR t2 <> f2"))
+    # Written, so that both sides of the join below come straight from a shuffle
+    # and Spark can split a text with many copies.
+    places = saved(found.groupBy("t1", "t2").agg(F.collect_set("pos").alias("_drop"))
+                   .select(F.col("t1").alias("_t1"), F.col("t2").alias("_t2"), "_drop"), "line_places")
+    joined = (docs.withColumns({f"_{k}": v for k, v in ids.items()}).join(places, ["_t1", "_t2"], "left")
+              .withColumn("_rest", without_lines(F.col("text"), F.col("_drop"))))
+    return joined.select(*(F.col("_rest.text").alias("text") if c == "text" else F.col(f"`{c}`")
+                           for c in docs.columns))
+
+
 def op5_lines(docs: DataFrame, min_docs: int = 10) -> DataFrame:
     out = drop_common_lines(docs.select("doc_id", "text"), min_docs)
     return out.select("doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_dropped").alias("n_dropped"),

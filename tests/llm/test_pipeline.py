@@ -5,8 +5,10 @@ from __future__ import annotations
 import corpus_pipeline
 import duckdb
 import pytest
+from tokenizers import Tokenizer
 
 import __spark_entry__ as entry
+from stationflow.llm.queries import BYTE_FILE
 
 SF = "/root/testdata/sf0.001"
 
@@ -35,3 +37,69 @@ def test_sql_twins(spark, name):
     cols = sorted(want.columns)
     assert sorted(got.columns) == cols
     assert sorted(map(tuple, got[cols].values.tolist())) == sorted(map(tuple, want[cols].values.tolist()))
+
+
+def words(seed, n):
+    return [f"w{seed}x{i}" for i in range(n)]
+
+
+def fixture_rows():
+    """(doc_id, text): copies, near copies and common lines in groups of 10 or more."""
+    def para(seed, k=3, n=30):
+        return [" ".join(words(f"{seed}_{i}", n)) for i in range(k)]
+
+    rows = [(100 + i, "\n".join(para("copy"))) for i in range(12)]
+    # Distinct texts that share all lines but one; two rows repeat one of them whole.
+    rows += [(300 - i, "\n".join([*para("near"), f"own line {i} of this one"])) for i in range(11)]
+    rows += [rows[-1]] * 2
+    rows += [(400 + i, "\n".join(["  All Rights reserved\t", *para(f"ten{i}")])) for i in range(10)]
+    rows += [(500 + i, "\n".join(["nine hold this", *para(f"nine{i}")])) for i in range(9)]
+    # Changed words: one of 60 and two of 60 (0.8 on five words is passed by one of them).
+    for seed, at in (("a", [30]), ("b", [20, 40]), ("c", [0, 59])):
+        text = words(seed, 60)
+        rows += [(600 + ord(seed), " ".join(text)),
+                 (700 + ord(seed), " ".join("new" if i in at else w for i, w in enumerate(text)))]
+    return rows + [(None, "\n".join(para("copy"))), (None, "only line " * 9), (900, "a b c"), (901, "A b C")]
+
+
+def lines_brute(rows, min_docs):
+    def key(line):
+        return "".join(c.lower() if "A" <= c <= "Z" else c for c in line.strip(" \t\n\x0b\x0c\r"))
+
+    first = {}
+    for d, text in rows:
+        first[text] = min(first.get(text, (True, 0)), (d is None, d or 0))
+    holders = {}
+    for text, place in first.items():
+        for k in {key(x) for x in text.split("\n")} - {""}:
+            holders.setdefault(k, []).append((place, text))
+    gone = {k: min(h)[1] for k, h in holders.items() if len(h) >= min_docs}
+    return [(d, "\n".join(x for x in text.split("\n") if gone.get(key(x), text) == text)) for d, text in rows]
+
+
+def frame(spark, rows):
+    return spark.createDataFrame(rows, "doc_id long, text string").selectExpr(
+        "doc_id", "text", "'en' lang", "'test' source", "length(text) n_chars")
+
+
+def test_line_stage_equals_brute_force(spark):
+    rows = fixture_rows()
+    got = corpus_pipeline.lines_stage(spark, frame(spark, rows), SF).collect()
+    assert sorted(map(repr, [(r.doc_id, r.text) for r in got])) == sorted(map(repr, lines_brute(rows, 10)))
+    assert all(r.n_chars == len(r.text) for r in got)
+    assert not any(r.text == "" for r in got)
+
+
+def test_one_copy_of_large_groups_comes_out_of_run(spark, tmp_path, monkeypatch):
+    rows = fixture_rows()
+    frame(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    # The stages before take rows away as the models judge them.
+    monkeypatch.setattr(corpus_pipeline, "STAGES", corpus_pipeline.STAGES[2:])
+    got = {}
+    for r in corpus_pipeline.run(spark, str(tmp_path)).collect():
+        got[r.doc_id] = got.get(r.doc_id, 0) + r.length
+    whole = Tokenizer.from_file(BYTE_FILE)
+    for doc_id, group in ((100, range(100, 112)), (290, range(290, 291))):
+        text = next(t for d, t in rows if d == doc_id)
+        assert got[doc_id] == len(whole.encode(text, add_special_tokens=False).ids) + 1
+        assert [d for d in got if d in group] == [doc_id]
