@@ -10,7 +10,8 @@ Parquet cell, so that any store Spark writes to can hold it):
 
 Every document is a zstandard frame of its own, compressed with one dictionary
 that is trained on the serialized id arrays of a bounded sample of documents.
-With the offset index a short document is read by decompressing its frame only;
+With the offset index a short document is read by decompressing its frame only,
+and the least and greatest document id beside each chunk tell which to open;
 the hash in the header refuses a wrong dictionary.
 
 Defined results: a null text has no ids but the end id; a null doc_id sorts
@@ -47,7 +48,7 @@ CHUNK_BYTES = 4 << 20
 LEVEL = 1
 
 CHUNK_SCHEMA = ("part int, chunk int, start long, n_docs long, n_tokens long, "
-                "dict_sha256 string, payload binary")
+                "dict_sha256 string, first_id long, last_id long, payload binary")
 ROW_SCHEMA = "doc_id long, part int, start long, n_tokens long, ids binary"
 
 
@@ -151,13 +152,16 @@ def encode_documents(docs: DataFrame, encoding: Encoding) -> tuple[DataFrame, by
         def flush():
             nonlocal chunk, start, doc_ids, arrays, held
             n = sum(map(len, arrays))
-            row = [part, chunk, start, len(doc_ids), n, name,
+            known = [d for d in doc_ids if d is not None]
+            row = [part, chunk, start, len(doc_ids), n, name, min(known, default=None), max(known, default=None),
                    pack(doc_ids, arrays, shared.value, width)]
             chunk, start, doc_ids, arrays, held = chunk + 1, start + n, [], [], 0
             return pa.RecordBatch.from_arrays(
                 [pa.array([v], t) for v, t in zip(row, (
-                    pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()))],
-                names=["part", "chunk", "start", "n_docs", "n_tokens", "dict_sha256", "payload"])
+                    pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(),
+                    pa.binary()))],
+                names=["part", "chunk", "start", "n_docs", "n_tokens", "dict_sha256", "first_id", "last_id",
+                       "payload"])
 
         for batch in batches:
             keys = batch.column(0).to_pylist()
@@ -210,12 +214,24 @@ def read_documents(chunks: DataFrame, dictionary: bytes, then=lambda batches: ba
 
 
 def read_document(chunks: DataFrame, dictionary: bytes, doc_id: int) -> list[np.ndarray]:
-    """The ids of one document, decompressing its own frames only."""
-    out = []
-    for row in chunks.select("payload").toLocalIterator():
-        c = Chunk(bytes(row.payload), dictionary)
-        out += [c.ids(i) for i, d in enumerate(c.doc_ids) if d == doc_id]
-    return out
+    """The ids of one document, decompressing its own frames only, in the tasks.
+    Chunks whose range of document ids leaves it out are not unpacked."""
+    shared = chunks.sparkSession.sparkContext.broadcast(dictionary)
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                c = Chunk(row["payload"], shared.value)
+                at = [i for i, d in enumerate(c.doc_ids) if d == doc_id]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([row["part"]] * len(at), pa.int32()), pa.array([row["chunk"]] * len(at), pa.int32()),
+                     pa.array(at, pa.int32()), pa.array([c.ids(i).tobytes() for i in at], pa.binary())],
+                    names=["part", "chunk", "place", "ids"])
+
+    rows = (chunks.where(F.lit(doc_id).between(F.col("first_id"), F.col("last_id")))
+            .select("part", "chunk", "payload")
+            .mapInArrow(find, "part int, chunk int, place int, ids binary").collect())
+    return [np.frombuffer(r.ids, "<u4") for r in sorted(rows, key=lambda r: (r.part, r.chunk, r.place))]
 
 
 def op2_token_files(spark: SparkSession, docs: DataFrame, encoding: Encoding) -> DataFrame:

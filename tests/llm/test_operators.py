@@ -149,6 +149,22 @@ def test_id_files_round_trip(spark, docs, empty):
         idfiles.Chunk(bytes(chunks.first().payload), dictionary + b"x")
 
 
+def test_read_document_opens_only_chunks_with_its_id(spark, docs, monkeypatch):
+    monkeypatch.setattr(idfiles, "CHUNK_BYTES", 1)      # a chunk for every document
+    chunks, dictionary = idfiles.encode_documents(docs, Encoding(WORD, "word", 2))
+    assert chunks.count() == len(ROWS)
+    for doc_id in {i for i, _ in ROWS if i is not None}:
+        want = [word_ids(t) + [2] for i, t in ROWS if i == doc_id]
+        got = [a.tolist() for a in idfiles.read_document(chunks, dictionary, doc_id)]
+        assert sorted(got) == sorted(want)
+    # Payloads of other ids cannot be read at all; nor does the driver fetch any.
+    broken = chunks.withColumn("payload", F.when(F.expr("first_id <=> 5 AND last_id <=> 5"), F.col("payload"))
+                               .otherwise(F.lit(b"x")))
+    monkeypatch.setattr(type(chunks), "toLocalIterator", None)
+    assert [a.tolist() for a in idfiles.read_document(broken, dictionary, 5)] == [word_ids(BASE) + [2]]
+    assert idfiles.read_document(broken, dictionary, 1 << 60) == []
+
+
 def jaccard_brute(rows):
     sets = []
     for _, t in rows:
