@@ -80,12 +80,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def least_step(df: DataFrame, step: Column, limit: int) -> int:
+def least_step(df: DataFrame, step: Column, limit: int, weight: Column | None = None) -> int:
     """The least value of the integer ``step`` (of which there are few) such that
-    the rows from it on are at most ``limit``: a top list without a sort, whose
-    size is proven before it is brought together."""
+    the rows from it on (or the sum of their ``weight``) are at most ``limit``: a
+    top list without a sort, whose size is proven before it is brought together."""
     left, bound = limit, 1 << 30
-    for r in sorted(df.groupBy(step.alias("o")).count().collect(), key=lambda r: -r["o"]):
+    size = F.count(F.lit(1)) if weight is None else F.sum(weight)
+    for r in sorted(df.groupBy(step.alias("o")).agg(size.alias("count")).collect(), key=lambda r: -r["o"]):
         left -= r["count"]
         if left < 0:
             break

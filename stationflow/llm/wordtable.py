@@ -40,6 +40,10 @@ from stationflow.llm.units import SLICE_BYTES, alphabet, gather, not_plain, pre_
 
 # Largest number of frequent words that are broadcast (about 40 bytes each).
 HEAD_WORDS = 800_000
+# Words of more than SHORT_BYTES bytes have LONG_SHARE bytes for each word of the
+# head (16 MB in all): those that do not fit go by the shuffle join.
+SHORT_BYTES = 64
+LONG_SHARE = 20
 
 # Ranks from NEAR on have one low byte beside their symbol, from FAR on two; the
 # 256 symbols reach to rank MOST_RANKS.
@@ -242,6 +246,18 @@ class Pieces:
         return np.frombuffer(b"".join(values), np.uint8), np.cumsum(size) - size, size
 
 
+def head_rule(table: DataFrame, head_words: int):
+    """Which words of the table are in the head: the most frequent, at most
+    ``head_words`` in all. Words over ``SHORT_BYTES`` bytes (whole texts may be
+    words) are also held to ``LONG_SHARE`` bytes for each word of the head."""
+    size = F.octet_length("word")
+    short = size <= SHORT_BYTES
+    long_bound = least_step(table.where(~short), _octave(), head_words * LONG_SHARE, weight=size)
+    n_long = table.where(~short & (_octave() >= long_bound)).count()
+    bound = least_step(table.where(short), _octave(), head_words - n_long)
+    return F.when(short, _octave() >= bound).otherwise(_octave() >= long_bound)
+
+
 def skeletons(docs: DataFrame, encoding: Encoding, head_words: int):
     """Every row with the ranks of its words (skeleton) and the ids of the words
     outside the head, each after its position in four bytes (found); and the head, sent to every task."""
@@ -249,8 +265,8 @@ def skeletons(docs: DataFrame, encoding: Encoding, head_words: int):
         raise ValueError(f"head_words must be below {MOST_RANKS}")
     spark = docs.sparkSession
     table = word_table(docs, encoding)
-    bound = least_step(table, _octave(), head_words)
-    top = table.where(_octave() >= bound).select("word", "ids", "n").toArrow()
+    in_head = head_rule(table, head_words)
+    top = table.where(in_head).select("word", "ids", "n").toArrow()
     head = spark.sparkContext.broadcast(Head(
         top.column("word").combine_chunks(), top.column("ids").combine_chunks(), top.column("n").to_numpy()))
     del top
@@ -280,7 +296,7 @@ def skeletons(docs: DataFrame, encoding: Encoding, head_words: int):
     keyed = split.withColumn("k", F.coalesce("doc_id", F.lit(0)))
     places = keyed.select("h", "k", F.posexplode("rare").alias("pos", "word"))
     at = F.unhex(F.lpad(F.hex("pos"), 8, "0"))
-    answers = (places.join(table.where(_octave() < bound).select("word", "ids"), "word")
+    answers = (places.join(table.where(~in_head).select("word", "ids"), "word")
                .groupBy("h", "k").agg(F.collect_set(F.concat(at, "ids")).alias("found")))
     joined = keyed.select("doc_id", "h", "k", "skeleton").join(answers, ["h", "k"], "left")
 

@@ -300,6 +300,27 @@ def test_word_table(docs, empty, head):
     assert wordtable.op8_digests(empty, Encoding(BYTE, "byte"), head).count() == 0
 
 
+def test_head_is_bounded_by_bytes(spark):
+    texts = [f"n\u00a0{i} " + "many words of one text " * 40 for i in range(60)]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(100 + i, "a b c") for i in range(5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    encoding, tokenizer = Encoding(BYTE, "byte"), Tokenizer.from_file(BYTE)
+    table = wordtable.word_table(docs, encoding)
+    assert table.where(F.octet_length("word") > 900).count() == 60
+    top = table.where(wordtable.head_rule(table, 1000))
+    assert top.agg(F.sum(F.octet_length("word"))).first()[0] <= 1000 * wordtable.LONG_SHARE + 1000 * wordtable.SHORT_BYTES
+    assert top.count() == table.count() - 60
+    # With room for them, long words are in the head as well.
+    assert table.where(wordtable.head_rule(table, 10_000)).count() == table.count()
+    _, head = wordtable.skeletons(docs, encoding, 1000)
+    assert len(head.value.hash) == top.count()
+    got = {r.doc_id: tuple(r)[1:] for r in wordtable.op8_digests(docs, encoding, 1000).collect()}
+    for i, t in rows:
+        ids = byte_ids(t)
+        assert got[i] == (len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(),
+                          hashlib.sha256(tokenizer.decode(ids, skip_special_tokens=False).encode()).hexdigest())
+
+
 def test_ranks_of_every_size_come_back():
     edges = [0, 159, 160, 255, 256, wordtable.FAR - 1, wordtable.FAR, wordtable.MOST_RANKS - 1]
     mixed = np.random.default_rng(1).integers(0, wordtable.MOST_RANKS, 5000)
