@@ -4,11 +4,12 @@ A line's key is the line stripped of ``[\\x20\\x09-\\x0D]`` at both ends with A-
 lower-cased; it is known by two 64-bit hashes. ``LineRuns`` keeps runs of
 (h1, h2, n_docs) sorted by hash, in levels. Every batch of documents adds a run
 to level 0; when a level has ``fan_in`` runs they are merged into one run of the
-next level, so a batch is rewritten only a logarithmic number of times. A batch
-is deduplicated by joining its sorted lines with the runs: lines whose key the
-runs hold for enough documents go, the others stay (merge anti-join).
+next level, so a batch is rewritten only a logarithmic number of times. Runs are
+merged by hash aggregation. As the rule needs the count over all documents, no
+batch is joined with earlier runs: once all are added, every line is joined with
+the total, and those whose key enough documents hold go.
 
-Skew: counting combines map-side. In the anti-join, keys held by a large share
+Skew: counting combines map-side. In the join, keys held by a large share
 of all lines are few by a counting bound (see ``FREQUENT``) and are sent to
 every task; all other keys are joined by a shuffle in which no key is hot.
 
@@ -119,7 +120,7 @@ def common_places(docs: DataFrame, min_docs: int, batches: int = BATCHES) -> Dat
 
 
 def drops(keys: DataFrame, runs: LineRuns, min_docs: int) -> DataFrame:
-    """Merge-join the lines of rows with the common keys of the runs."""
+    """Join the lines of rows with the common keys of all runs."""
     common = saved(runs.common(min_docs), "common_lines")
     pairs = common.agg(F.sum("n")).first()[0] or 0
     limit = max(min_docs, pairs // FREQUENT + 1)
