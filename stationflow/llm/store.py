@@ -97,3 +97,25 @@ def least_step(df: DataFrame, step: Column, limit: int, weight: Column | None =
 def hash_below(h: Column, share: float) -> Column:
     """Rows whose 64-bit hash lies in the lowest ``share`` of all values."""
     return h < F.lit(max(-(1 << 63), min((1 << 63) - 1, int(share * 2.0 ** 64) - (1 << 63)))) if share < 1 else F.lit(True)
+
+
+# Values of a key that count as hot, those with the most rows, and the tasks that
+# share the rows of one.
+HOT_VALUES = 100_000
+HOT_SPREAD = 64
+
+
+def joined_by_class(rows: DataFrame, answers: DataFrame, keys: list[str]) -> DataFrame:
+    """Inner join with ``answers``, which has one row for each value of ``keys``,
+    where a value may have very many ``rows`` (a written table). The answers for the
+    values with the most rows, a bounded list, are repeated, and their rows dealt
+    over the copies; all others meet in one task per value."""
+    size = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n >= 256")
+    step = F.floor(F.log2("n")).cast("int")
+    size = saved(size, "class_sizes")
+    hot = F.broadcast(size.where(step >= least_step(size, step, HOT_VALUES)).select(*keys, F.lit(True).alias("_hot")))
+    salt = F.when(F.col("_hot"), F.pmod(F.monotonically_increasing_id(), F.lit(HOT_SPREAD))).otherwise(F.lit(0))
+    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(HOT_SPREAD - 1))).otherwise(F.array(F.lit(0)))
+    dealt = rows.join(hot, keys, "left").withColumn("_salt", salt.cast("int")).drop("_hot")
+    many = answers.join(hot, keys, "left").withColumn("_salt", F.explode(copies)).drop("_hot")
+    return dealt.join(many, [*keys, "_salt"]).drop("_salt")

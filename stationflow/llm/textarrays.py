@@ -9,6 +9,7 @@ and code point words agree. A null text is an empty text.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -116,6 +117,45 @@ def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndar
     return mix(inside + (end - start).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
+def _pieces(data: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
+    """Cut the bytes of one text behind white space into pieces of at most ``limit``
+    bytes. A word of ``limit`` bytes or more is a piece of its own."""
+    a, n = 0, len(data)
+    while a < n:
+        b = min(n, a + limit)
+        if b < n:
+            blank = np.flatnonzero(SPACE[data[a:b]])
+            if len(blank):
+                b = a + int(blank[-1]) + 1
+            else:
+                while b < n and not len(blank):
+                    blank = np.flatnonzero(SPACE[data[b:b + limit]])
+                    b = b + int(blank[0]) if len(blank) else min(n, b + limit)
+        yield a, b
+        a = b
+
+
+def word_hashes(texts: Texts, lower: bool = False, limit: int = SLICE_BYTES) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words of a run of rows (A-Z lower-cased if asked), and the
+    index of the first word of each row, rows + 1 entries. A text longer than a
+    slice is worked a piece at a time: only its hashes are held whole."""
+    if texts.rows != 1 or len(texts.data) <= limit:
+        w = words(texts)
+        data = LOWER[texts.data] if lower else texts.data
+        return span_hashes(data, w.start, w.end) if len(w.start) else np.zeros(0, np.uint64), w.first
+    out = []
+    for a, b in _pieces(texts.data, limit):
+        data = LOWER[texts.data[a:b]] if lower else texts.data[a:b]
+        if b - a >= limit and not SPACE[data].any():
+            whole = hashlib.blake2b(data.tobytes(), digest_size=8).digest()
+            out.append(np.frombuffer(whole, np.uint64))
+        else:
+            w = words(Texts(0, data, np.array([0, b - a])))
+            out.append(span_hashes(data, w.start, w.end))
+    hashes = np.concatenate(out) if out else np.zeros(0, np.uint64)
+    return hashes, np.array([0, len(hashes)])
+
+
 def combine(hashes: np.ndarray, n: int) -> np.ndarray:
     """Hashes of every ``n`` consecutive entries (``len - n + 1`` of them)."""
     m = len(hashes) - n + 1
