@@ -23,6 +23,7 @@ UTF-8 order; an empty table gives no row; extra columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import groupby
 
 import numpy as np
 import pandas as pd
@@ -46,6 +47,7 @@ HELD = 1_500_000
 ID_BITS = 63 // MAX_WORDS
 WORDS_HELD = 500_000
 WORD_BYTES_HELD = 32 << 20
+RUN_ROWS = 1 << 16
 SPLIT = 64
 # Parts of the first step of a top list.
 TOP_PARTS = 64
@@ -69,42 +71,49 @@ class Container:
         self.below: dict[int, Container] | None = None
         self.entries = 0
 
-    def add(self, keys: np.ndarray, n: np.ndarray) -> int:
-        """Add counts of distinct, ascending keys; how many entries that makes more."""
-        before = self.entries
+    def add(self, keys: np.ndarray, n: np.ndarray) -> None:
+        """Add counts of distinct, ascending keys."""
         if self.below is None:
-            mine = self.counts
-            for k, c in zip(keys.tolist(), n.tolist()):
-                mine[k] = mine.get(k, 0) + c
-            self.entries = len(mine)
-            if self.entries > BURST and self.words > 1:
-                held, self.counts, self.below, self.entries = mine, {}, {}, 0
-                k = np.fromiter(held.keys(), np.int64, len(held))
-                c = np.fromiter(held.values(), np.int64, len(held))
-                order = np.argsort(k)
-                self._deal(k[order], c[order])
+            self._hold(keys.tolist(), n.tolist())
         else:
             self._deal(keys, n)
-        return self.entries - before
+
+    def _hold(self, keys: list[int], n: list[int]) -> None:
+        mine = self.counts
+        for k, c in zip(keys, n):
+            mine[k] = mine.get(k, 0) + c
+        self.entries = len(mine)
+        if self.entries > BURST and self.words > 1:
+            self.counts, self.below, self.entries = {}, {}, 0
+            k = np.array(sorted(mine), np.int64)
+            self._deal(k, np.array([mine[x] for x in k.tolist()], np.int64))
 
     def _deal(self, keys: np.ndarray, n: np.ndarray) -> None:
         shift = ID_BITS * (self.words - 1)
         head, rest = keys >> shift, keys & ((1 << shift) - 1)
         edge = np.flatnonzero(np.concatenate(([True], head[1:] != head[:-1], [True])))
-        for a, b in zip(edge[:-1].tolist(), edge[1:].tolist()):
-            child = self.below.setdefault(int(head[a]), Container(self.words - 1))
-            self.entries += child.add(rest[a:b], n[a:b])
-
-    def all(self) -> tuple[np.ndarray, np.ndarray]:
-        """Every key and its count, keys ascending."""
+        heads, edges, rests, counts = head[edge[:-1]].tolist(), edge.tolist(), rest.tolist(), n.tolist()
+        for h, a, b in zip(heads, edges[:-1], edges[1:]):
+            child = self.below.get(h)
+            if child is None:
+                child = self.below[h] = Container(self.words - 1)
+            before = child.entries
+            if child.below is None:
+                child._hold(rests[a:b], counts[a:b])
+            else:
+                child._deal(rest[a:b], n[a:b])
+            self.entries += child.entries - before
+
+    def walk(self, prefix: int, keys: list[int], n: list[int]) -> None:
+        """Every key behind ``prefix`` and its count, keys ascending."""
         if self.below is None:
-            k = np.fromiter(self.counts.keys(), np.int64, len(self.counts))
-            order = np.argsort(k)
-            return k[order], np.fromiter(self.counts.values(), np.int64, len(k))[order]
-        shift = ID_BITS * (self.words - 1)
-        parts = [(h, *c.all()) for h, c in sorted(self.below.items())]
-        return (np.concatenate([k | (h << shift) for h, k, _ in parts]),
-                np.concatenate([c for _, _, c in parts]))
+            for k in sorted(self.counts):
+                keys.append(prefix | k)
+                n.append(self.counts[k])
+        else:
+            shift = ID_BITS * (self.words - 1)
+            for h in sorted(self.below):
+                self.below[h].walk(prefix | h << shift, keys, n)
 
 
 class Counter:
@@ -128,48 +137,57 @@ class Counter:
         return out
 
     def add(self, lang: str, keys: np.ndarray) -> None:
-        distinct, n = np.unique(keys, return_counts=True)
-        self.entries += self.tries.setdefault(lang, Container(MAX_WORDS)).add(distinct, n)
+        trie = self.tries.setdefault(lang, Container(MAX_WORDS))
+        self.entries -= trie.entries
+        trie.add(*np.unique(keys, return_counts=True))
+        self.entries += trie.entries
 
     def full(self) -> bool:
         return len(self.ids) > WORDS_HELD or self.word_bytes > WORD_BYTES_HELD
 
-    def _run(self, lang: str, keys: np.ndarray, n: np.ndarray, names: pa.Array) -> Iterator[pa.RecordBatch]:
+    def _run(self, lang: str, key_list: list[int], counts: list[int], names: pa.Array) -> Iterator[pa.RecordBatch]:
         """One sorted run, a phrase a row."""
+        keys, n = np.array(key_list, np.int64), np.array(counts, np.int64)
         mask = (1 << ID_BITS) - 1
         ids = [(keys >> (ID_BITS * (MAX_WORDS - 1 - i))) & mask for i in range(MAX_WORDS)]
         length = sum((x > 0).astype(np.int64) for x in ids)
         for k in range(1, MAX_WORDS + 1):
             own = np.flatnonzero(length == k)
-            for at in range(0, len(own), 1 << 16):
-                rows = own[at:at + (1 << 16)]
+            for at in range(0, len(own), RUN_ROWS):
+                rows = own[at:at + RUN_ROWS]
                 parts = [names.take(pa.array(ids[i][rows] - 1)) for i in range(k)]
                 phrase = pc.binary_join_element_wise(*parts, b" ") if k > 1 else parts[0]
-                start = pc.binary_join_element_wise(*parts[:2], b" ") if k > 2 else phrase
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(rows), pa.string()), phrase.cast(pa.string()), start.cast(pa.string()),
+                    [pa.array([lang] * len(rows), pa.string()), phrase.cast(pa.string()),
                      pa.array(np.full(len(rows), k, np.int32)), pa.array(n[rows])],
-                    names=["lang", "phrase", "start", "words", "f"])
+                    names=["lang", "phrase", "words", "f"])
 
     def spill(self, keep: int) -> Iterator[pa.RecordBatch]:
         """Give whole first-word subtrees, the largest first, until ``keep`` entries
-        are left; with none left the word ids start anew."""
+        are left, as runs of many subtrees in the order of their first words; with
+        none left the word ids start anew."""
         names = pa.array(list(self.ids), pa.binary())
-        trees = [(c.entries, lang, h) for lang, t in self.tries.items() if t.below is not None
-                 for h, c in t.below.items()]
+        trees = sorted(((c.entries, lang, h) for lang, t in self.tries.items() if t.below is not None
+                        for h, c in t.below.items()), reverse=True)
+        size = np.cumsum([n for n, _, _ in trees], dtype=np.int64)
+        given = trees[:int(np.searchsorted(size, self.entries - keep, "left")) + 1] if self.entries > keep else []
         shift = ID_BITS * (MAX_WORDS - 1)
-        for size, lang, h in sorted(trees, reverse=True):
-            if self.entries <= keep:
-                break
-            trie = self.tries[lang]
-            keys, n = trie.below.pop(h).all()
-            trie.entries -= size
-            self.entries -= size
-            yield from self._run(lang, keys | (h << shift), n, names)
+        for lang, own in groupby(sorted((lang, h) for _, lang, h in given), lambda x: x[0]):
+            trie, keys, n = self.tries[lang], [], []
+            for _, h in own:
+                tree = trie.below.pop(h)
+                trie.entries -= tree.entries
+                self.entries -= tree.entries
+                tree.walk(h << shift, keys, n)
+                if len(n) >= RUN_ROWS:
+                    yield from self._run(lang, keys, n, names)
+                    keys, n = [], []
+            yield from self._run(lang, keys, n, names)
         if self.entries > keep:                     # tries that have not burst
             for lang, trie in self.tries.items():
-                if trie.entries:
-                    yield from self._run(lang, *trie.all(), names)
+                keys, n = [], []
+                trie.walk(0, keys, n)
+                yield from self._run(lang, keys, n, names)
             self.tries, self.entries = {}, 0
         if not self.entries:
             self.tries, self.ids, self.word_bytes = {}, {}, 0
@@ -265,9 +283,9 @@ def phrase_counts(docs: DataFrame, min_count: int = MIN_COUNT) -> tuple[DataFram
     (lang, n): how many words a language has."""
     rows = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"),
                        F.col("text").cast("string").alias("text")).where("length(text) > 0")
-    runs = rows.mapInArrow(tidy(count_phrases), "lang string, phrase string, start string, words int, f long")
+    runs = rows.mapInArrow(tidy(count_phrases), "lang string, phrase string, words int, f long")
     parted = runs.select(
-        "lang", "phrase", "words", "f", F.xxhash64("lang", "start").alias("prefix"),
+        "lang", "phrase", "words", "f", F.xxhash64("lang", F.substring_index("phrase", " ", 2)).alias("prefix"),
         F.pmod(F.xxhash64("phrase"), F.lit(SPLIT)).cast("int").alias("part"))
     merged = (parted.repartition("prefix", "part").groupBy("prefix", "part", "lang", "phrase", "words")
               .agg(F.sum("f").alias("f")).drop("prefix", "part"))
