@@ -1,18 +1,23 @@
 """Operator 13: phrase collocation mining by HAT-trie counting.
 
-1. A task finds the words of its texts, batch by batch, as ids of its own, and counts
-   all phrases of one to three words in a HAT-trie per language: a shallow trie over
-   word ids whose leaves are hash containers; a container that grows over ``BURST``
-   entries bursts into containers by the next word.
-2. When a task holds ``HELD`` entries, it spills its largest first-word subtrees
-   whole, as sorted runs, until half are left. Word ids end there: runs hold texts.
+1. A task finds the words of its texts, slice by slice, as ids of its own, and counts
+   phrases in a HAT-trie per language: a shallow trie over word ids whose leaves are
+   hash containers. A container holds the phrases of a range of word ids; when it
+   grows over ``BURST`` entries it bursts into two by the median id, and at a single
+   id by the ids of the next word.
+2. When a task holds ``HELD`` entries, it spills whole subtrees, the largest first,
+   as sorted runs, until half are left. Word ids end there: runs hold texts.
 3. The runs are merged per prefix partition: a phrase belongs to the partition of its
-   first two words, and that of a very frequent prefix is split by the hash of the
-   phrase into ``SPLIT`` parts.
-4. Candidates (two words and more, often enough) meet the counts of the two sides of
+   first two words (longer phrases to one of ``SPLIT`` parts of it, so that a very
+   frequent prefix is many tasks).
+4. Words and pairs are counted first. Both pairs of a frequent phrase of three words
+   are frequent; a bit per hash of a frequent pair, ``FILTER_BITS`` bits at any size of
+   the input, tells the second pass which phrases of three words cannot be. A
+   fuller filter only lets more phrases through to be counted.
+5. Candidates (two words and more, often enough) meet the counts of the two sides of
    each of their cuts, and the counts of longer candidates that hold them. All
    arithmetic is on integers and decimals of 38 digits.
-5. The first ``TOP`` of each language are taken in two steps, first within parts.
+6. The first ``TOP`` of each language are taken in two steps, first within parts.
 
 Defined results: a null or empty text has no word; a null language is ``und``; texts
 of any length are counted whole (one batch of them is in memory at a time, its words
@@ -22,8 +27,9 @@ UTF-8 order; an empty table gives no row; extra columns are ignored.
 
 from __future__ import annotations
 
+import hashlib
+import zlib
 from collections.abc import Iterator
-from itertools import groupby
 
 import numpy as np
 import pandas as pd
@@ -42,11 +48,13 @@ TOP = 2000
 SCALE = 1_000_000
 
 # Entries of a container before it bursts, entries and words of a task before it spills.
-BURST = 1 << 14
-HELD = 1_500_000
+BURST = 1 << 17
+HELD = 6_000_000
 ID_BITS = 63 // MAX_WORDS
-WORDS_HELD = 500_000
+WORDS_HELD = 1_000_000
 WORD_BYTES_HELD = 32 << 20
+SLICE = 4 << 20
+FILTER_BITS = 1 << 28
 RUN_ROWS = 1 << 16
 SPLIT = 64
 # Parts of the first step of a top list.
@@ -59,72 +67,98 @@ _GAP = _END.copy()
 _GAP[[0x20, 0x09]] = True
 
 
+_SCATTER = np.uint64(0x9E3779B97F4A7C15)
+
+
 class Container:
-    """Counts by the rest of the key: ``words`` ids of ``ID_BITS`` bits each, packed.
-    Bursts into containers by the first of these ids."""
+    """Counts of packed keys (``MAX_WORDS`` ids of ``ID_BITS`` bits, 0 behind the last
+    word) from ``low`` on, in a hash table with open addressing that takes many
+    distinct keys at once."""
 
-    __slots__ = ("below", "counts", "entries", "words")
+    __slots__ = ("keys", "low", "n", "size")
 
-    def __init__(self, words: int):
-        self.words = words
-        self.counts: dict[int, int] = {}
-        self.below: dict[int, Container] | None = None
-        self.entries = 0
+    def __init__(self, low: int, expected: int = 512):
+        self.low, self.size = low, 0
+        slots = 1 << (2 * expected - 1).bit_length()
+        self.keys, self.n = np.zeros(slots, np.int64), np.zeros(slots, np.int64)
 
     def add(self, keys: np.ndarray, n: np.ndarray) -> None:
-        """Add counts of distinct, ascending keys."""
-        if self.below is None:
-            self._hold(keys.tolist(), n.tolist())
-        else:
-            self._deal(keys, n)
-
-    def _hold(self, keys: list[int], n: list[int]) -> None:
-        mine = self.counts
-        for k, c in zip(keys, n):
-            mine[k] = mine.get(k, 0) + c
-        self.entries = len(mine)
-        if self.entries > BURST and self.words > 1:
-            self.counts, self.below, self.entries = {}, {}, 0
-            k = np.array(sorted(mine), np.int64)
-            self._deal(k, np.array([mine[x] for x in k.tolist()], np.int64))
-
-    def _deal(self, keys: np.ndarray, n: np.ndarray) -> None:
-        shift = ID_BITS * (self.words - 1)
-        head, rest = keys >> shift, keys & ((1 << shift) - 1)
-        edge = np.flatnonzero(np.concatenate(([True], head[1:] != head[:-1], [True])))
-        heads, edges, rests, counts = head[edge[:-1]].tolist(), edge.tolist(), rest.tolist(), n.tolist()
-        for h, a, b in zip(heads, edges[:-1], edges[1:]):
-            child = self.below.get(h)
-            if child is None:
-                child = self.below[h] = Container(self.words - 1)
-            before = child.entries
-            if child.below is None:
-                child._hold(rests[a:b], counts[a:b])
-            else:
-                child._deal(rest[a:b], n[a:b])
-            self.entries += child.entries - before
-
-    def walk(self, prefix: int, keys: list[int], n: list[int]) -> None:
-        """Every key behind ``prefix`` and its count, keys ascending."""
-        if self.below is None:
-            for k in sorted(self.counts):
-                keys.append(prefix | k)
-                n.append(self.counts[k])
-        else:
-            shift = ID_BITS * (self.words - 1)
-            for h in sorted(self.below):
-                self.below[h].walk(prefix | h << shift, keys, n)
+        if 2 * (self.size + len(keys)) > len(self.keys):
+            held, counts = self.sorted()
+            self.__init__(self.low, 2 * (len(held) + len(keys)))
+            self._put(held, counts)
+        self._put(keys, n)
+
+    def _put(self, keys: np.ndarray, n: np.ndarray) -> None:
+        mask = len(self.keys) - 1
+        shift = np.uint64(64 - mask.bit_length())
+        slot = (keys.astype(np.uint64) * _SCATTER >> shift).astype(np.int64)
+        while len(keys):
+            free = self.keys[slot] == 0
+            self.keys[slot[free]] = keys[free]          # of several keys for a slot the last one has it
+            mine = self.keys[slot] == keys
+            self.n[slot[mine]] += n[mine]
+            self.size += int((free & mine).sum())
+            left = ~mine
+            keys, n, slot = keys[left], n[left], (slot[left] + 1) & mask
+
+    def sorted(self) -> tuple[np.ndarray, np.ndarray]:
+        own = np.flatnonzero(self.keys)
+        own = own[np.argsort(self.keys[own])]
+        return self.keys[own], self.n[own]
+
+    def burst(self) -> list["Container"]:
+        """Two containers, cut at the middle entry: between first words, or within
+        one first word between second words, and so on."""
+        keys, n = self.sorted()
+        for level in range(MAX_WORDS - 1, -1, -1):
+            shift = ID_BITS * level
+            bound = int(keys[len(keys) // 2]) >> shift << shift
+            if bound <= keys[0]:                        # the half is one word: cut behind it
+                bound += 1 << shift
+            cut = int(np.searchsorted(keys, bound))
+            if 0 < cut < len(keys):
+                break
+        out = []
+        for low, a, b in ((self.low, 0, cut), (bound, cut, len(keys))):
+            out.append(Container(low, 2 * (b - a)))
+            out[-1].add(keys[a:b], n[a:b])
+        return out
+
+
+class Trie:
+    """The containers of a language, in the order of the ids they begin with."""
+
+    def __init__(self):
+        self.leaves = [Container(0)]
+
+    @property
+    def entries(self) -> int:
+        return sum(c.size for c in self.leaves)
+
+    def add(self, keys: np.ndarray) -> None:
+        distinct, n = np.unique(keys, return_counts=True)
+        edge = [0, *np.searchsorted(distinct, [c.low for c in self.leaves[1:]]).tolist(), len(distinct)]
+        for leaf, a, b in zip(list(self.leaves), edge[:-1], edge[1:]):
+            if b > a:
+                leaf.add(distinct[a:b], n[a:b])
+                if leaf.size > BURST:
+                    at = self.leaves.index(leaf)
+                    self.leaves[at:at + 1] = leaf.burst()
 
 
 class Counter:
     """The tries of a task, one per language, and the ids of its words."""
 
     def __init__(self):
-        self.tries: dict[str, Container] = {}
-        self.entries = 0
+        self.tries: dict[str, Trie] = {}
         self.ids: dict[bytes, int] = {}
         self.word_bytes = 0
 
+    @property
+    def entries(self) -> int:
+        return sum(t.entries for t in self.tries.values())
+
     def word_ids(self, words: list[bytes]) -> np.ndarray:
         """Ids from 1 on; 0 stands behind the last word of a phrase."""
         out = np.empty(len(words), np.int64)
@@ -136,60 +170,36 @@ class Counter:
             out[i] = found
         return out
 
-    def add(self, lang: str, keys: np.ndarray) -> None:
-        trie = self.tries.setdefault(lang, Container(MAX_WORDS))
-        self.entries -= trie.entries
-        trie.add(*np.unique(keys, return_counts=True))
-        self.entries += trie.entries
-
     def full(self) -> bool:
         return len(self.ids) > WORDS_HELD or self.word_bytes > WORD_BYTES_HELD
 
-    def _run(self, lang: str, key_list: list[int], counts: list[int], names: pa.Array) -> Iterator[pa.RecordBatch]:
-        """One sorted run, a phrase a row."""
-        keys, n = np.array(key_list, np.int64), np.array(counts, np.int64)
+    def _run(self, lang: str, keys: np.ndarray, n: np.ndarray, names: pa.Array) -> Iterator[pa.RecordBatch]:
+        """A sorted run, a phrase a row."""
         mask = (1 << ID_BITS) - 1
-        ids = [(keys >> (ID_BITS * (MAX_WORDS - 1 - i))) & mask for i in range(MAX_WORDS)]
-        length = sum((x > 0).astype(np.int64) for x in ids)
-        for k in range(1, MAX_WORDS + 1):
-            own = np.flatnonzero(length == k)
-            for at in range(0, len(own), RUN_ROWS):
-                rows = own[at:at + RUN_ROWS]
-                parts = [names.take(pa.array(ids[i][rows] - 1)) for i in range(k)]
-                phrase = pc.binary_join_element_wise(*parts, b" ") if k > 1 else parts[0]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(rows), pa.string()), phrase.cast(pa.string()),
-                     pa.array(np.full(len(rows), k, np.int32)), pa.array(n[rows])],
-                    names=["lang", "phrase", "words", "f"])
+        for at in range(0, len(keys), RUN_ROWS):
+            own = keys[at:at + RUN_ROWS]
+            ids = [(own >> (ID_BITS * (MAX_WORDS - 1 - i))) & mask for i in range(MAX_WORDS)]
+            words = [names.take(pa.array(np.maximum(x - 1, 0), mask=x == 0)) for x in ids]
+            phrase = pc.binary_join_element_wise(*words, b" ", null_handling="skip")
+            yield pa.RecordBatch.from_arrays(
+                [pa.DictionaryArray.from_arrays(pa.array(np.zeros(len(own), np.int32)), pa.array([lang])).cast(pa.string()),
+                 phrase.cast(pa.string()), pa.array(n[at:at + RUN_ROWS])], names=["lang", "phrase", "f"])
 
     def spill(self, keep: int) -> Iterator[pa.RecordBatch]:
-        """Give whole first-word subtrees, the largest first, until ``keep`` entries
-        are left, as runs of many subtrees in the order of their first words; with
-        none left the word ids start anew."""
+        """Give whole subtrees, the largest first, until ``keep`` entries are left;
+        with none left the word ids start anew."""
         names = pa.array(list(self.ids), pa.binary())
-        trees = sorted(((c.entries, lang, h) for lang, t in self.tries.items() if t.below is not None
-                        for h, c in t.below.items()), reverse=True)
-        size = np.cumsum([n for n, _, _ in trees], dtype=np.int64)
-        given = trees[:int(np.searchsorted(size, self.entries - keep, "left")) + 1] if self.entries > keep else []
-        shift = ID_BITS * (MAX_WORDS - 1)
-        for lang, own in groupby(sorted((lang, h) for _, lang, h in given), lambda x: x[0]):
-            trie, keys, n = self.tries[lang], [], []
-            for _, h in own:
-                tree = trie.below.pop(h)
-                trie.entries -= tree.entries
-                self.entries -= tree.entries
-                tree.walk(h << shift, keys, n)
-                if len(n) >= RUN_ROWS:
-                    yield from self._run(lang, keys, n, names)
-                    keys, n = [], []
-            yield from self._run(lang, keys, n, names)
-        if self.entries > keep:                     # tries that have not burst
-            for lang, trie in self.tries.items():
-                keys, n = [], []
-                trie.walk(0, keys, n)
-                yield from self._run(lang, keys, n, names)
-            self.tries, self.entries = {}, 0
-        if not self.entries:
+        left = self.entries
+        trees = [(c.size, lang, c.low) for lang, t in self.tries.items() for c in t.leaves if c.size]
+        for size, lang, low in sorted(trees, reverse=True):
+            if left <= keep:
+                break
+            leaves = self.tries[lang].leaves
+            at = next(i for i, c in enumerate(leaves) if c.low == low)
+            yield from self._run(lang, *leaves[at].sorted(), names)
+            leaves[at] = Container(low)
+            left -= size
+        if not left:
             self.tries, self.ids, self.word_bytes = {}, {}, 0
 
 
@@ -207,16 +217,29 @@ def _spans(t: T.Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return start, end, piece[start] + row * (np.int64(len(t.data)) + 1) if len(start) else start
 
 
-def _distinct_words(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, list[bytes]]:
+def _word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64 bits of every word; very long ones, which would stretch the slice, by a
+    digest of their own."""
+    long = end - start >= T.SLICE_BYTES
+    if not long.any():
+        return T.span_hashes(data, start, end)
+    out = np.empty(len(start), np.uint64)
+    for i in np.flatnonzero(long).tolist():
+        out[i] = int.from_bytes(hashlib.blake2b(data[start[i]:end[i]].tobytes(), digest_size=8).digest(), "little")
+    short = np.flatnonzero(~long)
+    if len(short):
+        size = end[short] - start[short]
+        first = np.cumsum(size) - size
+        at = np.repeat(start[short] - first, size) + np.arange(size.sum())
+        out[short] = T.span_hashes(data[at], first, first + size)
+    return out
+
+
+def _distinct_words(data: np.ndarray, start: np.ndarray, end: np.ndarray,
+                    hashes: np.ndarray) -> tuple[np.ndarray, list[bytes]]:
     """For every word the number of its form, and the forms. Forms are told apart by
     64 bits of hash within a slice."""
-    long = end - start >= T.SLICE_BYTES
-    if long.any():                                  # no hash of a slice reaches over such a word
-        forms: dict[bytes, int] = {}
-        codes = np.array([forms.setdefault(data[a:b].tobytes(), len(forms))
-                          for a, b in zip(start.tolist(), end.tolist())])
-        return codes, list(forms)
-    codes, distinct = pd.factorize(T.span_hashes(data, start, end))
+    codes, distinct = pd.factorize(hashes)
     place = np.zeros(len(distinct), np.int64)
     place[codes[::-1]] = np.arange(len(codes))[::-1]
     return codes, [data[a:b].tobytes() for a, b in zip(start[place].tolist(), end[place].tolist())]
@@ -224,58 +247,114 @@ def _distinct_words(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tup
 
 def _cut(t: T.Texts) -> Iterator[T.Texts]:
     """A run that is one long text, in parts that end behind the end of a piece."""
-    if t.rows != 1 or len(t.data) <= 2 * T.SLICE_BYTES:
+    if t.rows != 1 or len(t.data) <= SLICE:
         yield t
         return
     a, n = 0, len(t.data)
     while a < n:
-        b = min(n, a + T.SLICE_BYTES)
+        b = min(n, a + SLICE)
         while b < n:
-            ends = np.flatnonzero(_END[t.data[b:b + T.SLICE_BYTES]])
+            ends = np.flatnonzero(_END[t.data[b:b + SLICE]])
             if len(ends):
                 b += int(ends[0]) + 1
                 break
-            b = min(n, b + T.SLICE_BYTES)
+            b = min(n, b + SLICE)
         yield T.Texts(t.first, t.data[a:b], np.array([0, b - a]))
         a = b
 
 
-def _phrase_keys(ids: np.ndarray, piece: np.ndarray) -> np.ndarray:
-    """Packed ids of all phrases of up to ``MAX_WORDS`` words within a piece."""
+def pair_hashes(lang: str, hashes: np.ndarray) -> np.ndarray:
+    """The bit of the filter for every two consecutive words."""
+    salt = np.uint64(zlib.crc32(lang.encode()) * 2 + 1)
+    return (T.combine(hashes ^ salt, 2) % np.uint64(FILTER_BITS)).astype(np.int64)
+
+
+def _phrase_keys(ids: np.ndarray, piece: np.ndarray, lengths: range, may: np.ndarray | None) -> np.ndarray:
+    """Packed ids of all phrases of these lengths within a piece; ``may`` says of each
+    pair of words if it may be frequent."""
     out = []
-    for k in range(1, MAX_WORDS + 1):
+    for k in lengths:
         m = len(ids) - k + 1
         if m <= 0:
             break
-        same = piece[:m] == piece[k - 1:]
-        key = np.zeros(m, np.int64)
+        own = piece[:m] == piece[k - 1:]
+        for i in range(k - 1) if may is not None else ():
+            own &= may[i:i + m]
+        key = np.zeros(int(own.sum()), np.int64)
         for i in range(k):
-            key |= ids[i:i + m] << (ID_BITS * (MAX_WORDS - 1 - i))
-        out.append(key[same])
+            key |= ids[i:i + m][own] << (ID_BITS * (MAX_WORDS - 1 - i))
+        out.append(key)
     return np.concatenate(out) if out else np.zeros(0, np.int64)
 
 
-def count_phrases(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Batches of lang and text, sorted runs of phrases with their counts out."""
-    counter = Counter()
-    for batch in batches:
-        langs, codes = np.unique(batch.column("lang").to_numpy(zero_copy_only=False).astype(str), return_inverse=True)
-        for i, lang in enumerate(langs.tolist()):
-            for whole in T.slices(batch.column("text").take(pa.array(np.flatnonzero(codes == i))), 2 * T.SLICE_BYTES):
-                for t in _cut(whole):
-                    data = T.LOWER[t.data]
-                    start, end, piece = _spans(T.Texts(0, data, t.offsets))
-                    if not len(start):
-                        continue
-                    word, forms = _distinct_words(data, start, end)
-                    if len(counter.ids) + len(forms) >= 1 << ID_BITS:
-                        yield from counter.spill(0)
-                    counter.add(lang, _phrase_keys(counter.word_ids(forms)[word], piece))
-                    if counter.full():
-                        yield from counter.spill(0)
-                    elif counter.entries > HELD:
-                        yield from counter.spill(HELD // 2)
-    yield from counter.spill(0)
+def count_phrases(lengths: range, bits=None):
+    """A step from batches of lang and text to sorted runs of phrases of these lengths
+    with their counts; ``bits`` is a broadcast filter of pairs."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counter = Counter()
+        for batch in batches:
+            langs, codes = np.unique(batch.column("lang").to_numpy(zero_copy_only=False).astype(str), return_inverse=True)
+            for i, lang in enumerate(langs.tolist()):
+                for whole in T.slices(batch.column("text").take(pa.array(np.flatnonzero(codes == i))), SLICE):
+                    for t in _cut(whole):
+                        data = T.LOWER[t.data]
+                        start, end, piece = _spans(T.Texts(0, data, t.offsets))
+                        if not len(start):
+                            continue
+                        hashes = _word_hashes(data, start, end)
+                        may = None
+                        if bits is not None and len(hashes) > 1:
+                            at = pair_hashes(lang, hashes)
+                            may = (bits.value[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
+                        word, forms = _distinct_words(data, start, end, hashes)
+                        if len(counter.ids) + len(forms) >= 1 << ID_BITS:
+                            yield from counter.spill(0)
+                        keys = _phrase_keys(counter.word_ids(forms)[word], piece, lengths, may)
+                        if lang not in counter.tries:
+                            counter.tries[lang] = Trie()
+                        counter.tries[lang].add(keys)
+                        if counter.full():
+                            yield from counter.spill(0)
+                        elif counter.entries > HELD:
+                            yield from counter.spill(HELD // 2)
+        yield from counter.spill(0)
+
+    return run
+
+
+def pair_filter(pairs: DataFrame) -> np.ndarray:
+    """``FILTER_BITS`` bits, set for the (lang, phrase) of two words."""
+
+    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            langs = np.array(batch.column("lang").to_pylist(), object)
+            for t in T.slices(batch.column("phrase")):
+                w = T.words(t)
+                hashes = _word_hashes(t.data, w.start, w.end)
+                own = langs[t.first:t.first + t.rows]
+                for lang in set(own):
+                    first = w.first[:-1][own == lang]
+                    two = np.stack([hashes[first], hashes[first + 1]], 1).ravel()
+                    yield pa.RecordBatch.from_arrays([pa.array(pair_hashes(lang, two)[::2])], names=["bit"])
+
+    # Bitmaps of 4 KB, as many as the filter has at most.
+    bit = F.col("bit") + 1                          # Spark's buckets begin at 1
+    maps = (pairs.select("lang", "phrase").mapInArrow(tidy(places), "bit long")
+            .groupBy(F.bitmap_bucket_number(bit).alias("bucket"))
+            .agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("map"))).toArrow()
+    out = np.zeros(max(FILTER_BITS // 8, 4096), np.uint8)
+    for bucket, bitmap in zip(maps.column("bucket").to_pylist(), maps.column("map").to_pylist()):
+        at = (bucket - 1) * len(bitmap)
+        out[at:at + len(bitmap)] = np.frombuffer(bitmap, np.uint8)
+    return out
+
+
+def merged(runs: DataFrame, *parts: str) -> DataFrame:
+    """The runs of all tasks by prefix partition (words and pairs are prefixes of
+    their own), counts of equal phrases added."""
+    return (runs.repartition("lang", *(parts or ["phrase"])).groupBy("lang", *parts, "phrase")
+            .agg(F.sum("f").alias("f")))
 
 
 def phrase_counts(docs: DataFrame, min_count: int = MIN_COUNT) -> tuple[DataFrame, DataFrame]:
@@ -283,17 +362,19 @@ def phrase_counts(docs: DataFrame, min_count: int = MIN_COUNT) -> tuple[DataFram
     (lang, n): how many words a language has."""
     rows = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"),
                        F.col("text").cast("string").alias("text")).where("length(text) > 0")
-    runs = rows.mapInArrow(tidy(count_phrases), "lang string, phrase string, words int, f long")
-    parted = runs.select(
-        "lang", "phrase", "words", "f", F.xxhash64("lang", F.substring_index("phrase", " ", 2)).alias("prefix"),
-        F.pmod(F.xxhash64("phrase"), F.lit(SPLIT)).cast("int").alias("part"))
-    merged = (parted.repartition("prefix", "part").groupBy("prefix", "part", "lang", "phrase", "words")
-              .agg(F.sum("f").alias("f")).drop("prefix", "part"))
+    schema = "lang string, phrase string, f long"
+    words = (F.length("phrase") - F.length(F.replace(F.col("phrase"), F.lit(" "), F.lit("")))) + 1
+    short = merged(rows.mapInArrow(tidy(count_phrases(range(1, 3))), schema))
     # What is rarer counts only as a word of its language.
-    kept = saved(merged.groupBy("lang", "words", F.when(F.col("f") >= min_count, F.col("phrase")).alias("phrase"))
-                 .agg(F.sum("f").alias("f")), "phrase_counts")
-    return (kept.where("phrase IS NOT NULL").select("lang", "phrase", "words", "f"),
-            kept.where("words = 1").groupBy("lang").agg(F.sum("f").alias("n")))
+    kept = saved(short.select("lang", "f", words.alias("words"), F.when(F.col("f") >= min_count, F.col("phrase")).alias("phrase"))
+                 .groupBy("lang", "words", "phrase").agg(F.sum("f").alias("f")), "phrase_counts")
+    often = kept.where("phrase IS NOT NULL").select("lang", "phrase", "words", "f")
+    bits = docs.sparkSession.sparkContext.broadcast(pair_filter(often.where("words = 2")))
+    longer = merged(rows.mapInArrow(tidy(count_phrases(range(3, MAX_WORDS + 1), bits)), schema)
+                    .withColumns({"prefix": F.substring_index("phrase", " ", 2),
+                                  "part": F.pmod(F.xxhash64("phrase"), F.lit(SPLIT)).cast("int")}), "prefix", "part")
+    longer = saved(longer.where(F.col("f") >= min_count).select("lang", "phrase", words.alias("words"), "f"), "long_phrases")
+    return (often.unionByName(longer), kept.where("words = 1").groupBy("lang").agg(F.sum("f").alias("n")))
 
 
 def _side(parts: DataFrame, counts: DataFrame, text: str, name: str) -> DataFrame:
