@@ -10,10 +10,10 @@
 3. The runs are merged per prefix partition: a phrase belongs to the partition of its
    first two words (longer phrases to one of ``SPLIT`` parts of it, so that a very
    frequent prefix is many tasks).
-4. Words and pairs are counted first. Both pairs of a frequent phrase of three words
-   are frequent; a bit per hash of a frequent pair, ``FILTER_BITS`` bits at any size of
-   the input, tells the second pass which phrases of three words cannot be. A
-   fuller filter only lets more phrases through to be counted.
+4. Before that, one pass counts 64-bit hashes of all pairs of words. A phrase is
+   frequent only if all its pairs are; a bit for each frequent hash, ``FILTER_BITS``
+   bits at any size of the input, tells the trie which phrases cannot be. A fuller
+   filter only lets more phrases through to be counted.
 5. Candidates (two words and more, often enough) meet the counts of the two sides of
    each of their cuts, and the counts of longer candidates that hold them. All
    arithmetic is on integers and decimals of 38 digits.
@@ -49,11 +49,11 @@ SCALE = 1_000_000
 
 # Entries of a container before it bursts, entries and words of a task before it spills.
 BURST = 1 << 17
-HELD = 6_000_000
+HELD = 2_000_000
 ID_BITS = 63 // MAX_WORDS
-WORDS_HELD = 1_000_000
+WORDS_HELD = 500_000
 WORD_BYTES_HELD = 32 << 20
-SLICE = 4 << 20
+SLICE = 2 << 20
 FILTER_BITS = 1 << 28
 RUN_ROWS = 1 << 16
 SPLIT = 64
@@ -264,16 +264,16 @@ def _cut(t: T.Texts) -> Iterator[T.Texts]:
 
 
 def pair_hashes(lang: str, hashes: np.ndarray) -> np.ndarray:
-    """The bit of the filter for every two consecutive words."""
+    """64 bits, not 0, for every two consecutive words."""
     salt = np.uint64(zlib.crc32(lang.encode()) * 2 + 1)
-    return (T.combine(hashes ^ salt, 2) % np.uint64(FILTER_BITS)).astype(np.int64)
+    return (T.combine(hashes ^ salt, 2) | np.uint64(1 << 63)).astype(np.int64)
 
 
-def _phrase_keys(ids: np.ndarray, piece: np.ndarray, lengths: range, may: np.ndarray | None) -> np.ndarray:
-    """Packed ids of all phrases of these lengths within a piece; ``may`` says of each
-    pair of words if it may be frequent."""
+def _phrase_keys(ids: np.ndarray, piece: np.ndarray, may: np.ndarray | None) -> np.ndarray:
+    """Packed ids of all phrases within a piece; ``may`` says of each pair of words if
+    it may be frequent."""
     out = []
-    for k in lengths:
+    for k in range(1, MAX_WORDS + 1):
         m = len(ids) - k + 1
         if m <= 0:
             break
@@ -287,61 +287,73 @@ def _phrase_keys(ids: np.ndarray, piece: np.ndarray, lengths: range, may: np.nda
     return np.concatenate(out) if out else np.zeros(0, np.int64)
 
 
-def count_phrases(lengths: range, bits=None):
-    """A step from batches of lang and text to sorted runs of phrases of these lengths
-    with their counts; ``bits`` is a broadcast filter of pairs."""
+def _words_of(batch: pa.RecordBatch) -> Iterator[tuple]:
+    """lang, data, start and end of each word, its hash and the number of its piece,
+    a slice at a time."""
+    langs, codes = np.unique(batch.column("lang").to_numpy(zero_copy_only=False).astype(str), return_inverse=True)
+    for i, lang in enumerate(langs.tolist()):
+        for whole in T.slices(batch.column("text").take(pa.array(np.flatnonzero(codes == i))), SLICE):
+            for t in _cut(whole):
+                data = T.LOWER[t.data]
+                start, end, piece = _spans(T.Texts(0, data, t.offsets))
+                if len(start):
+                    yield lang, data, start, end, _word_hashes(data, start, end), piece
+
+
+def count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of lang and text, hashes of pairs with their counts out."""
+
+    def given(held: Container) -> Iterator[pa.RecordBatch]:
+        keys, n = held.sorted()
+        for at in range(0, len(keys), RUN_ROWS):
+            yield pa.RecordBatch.from_arrays([pa.array(keys[at:at + RUN_ROWS]), pa.array(n[at:at + RUN_ROWS])],
+                                             names=["h", "f"])
+
+    held = Container(0)
+    for batch in batches:
+        for lang, _, _, _, hashes, piece in _words_of(batch):
+            held.add(*np.unique(pair_hashes(lang, hashes)[piece[1:] == piece[:-1]], return_counts=True))
+            if held.size > HELD:
+                yield from given(held)
+                held = Container(0)
+    yield from given(held)
+
+
+def count_phrases(bits=None):
+    """A step from batches of lang and text to sorted runs of phrases with their
+    counts; ``bits`` is a broadcast filter of pairs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = Counter()
         for batch in batches:
-            langs, codes = np.unique(batch.column("lang").to_numpy(zero_copy_only=False).astype(str), return_inverse=True)
-            for i, lang in enumerate(langs.tolist()):
-                for whole in T.slices(batch.column("text").take(pa.array(np.flatnonzero(codes == i))), SLICE):
-                    for t in _cut(whole):
-                        data = T.LOWER[t.data]
-                        start, end, piece = _spans(T.Texts(0, data, t.offsets))
-                        if not len(start):
-                            continue
-                        hashes = _word_hashes(data, start, end)
-                        may = None
-                        if bits is not None and len(hashes) > 1:
-                            at = pair_hashes(lang, hashes)
-                            may = (bits.value[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
-                        word, forms = _distinct_words(data, start, end, hashes)
-                        if len(counter.ids) + len(forms) >= 1 << ID_BITS:
-                            yield from counter.spill(0)
-                        keys = _phrase_keys(counter.word_ids(forms)[word], piece, lengths, may)
-                        if lang not in counter.tries:
-                            counter.tries[lang] = Trie()
-                        counter.tries[lang].add(keys)
-                        if counter.full():
-                            yield from counter.spill(0)
-                        elif counter.entries > HELD:
-                            yield from counter.spill(HELD // 2)
+            for lang, data, start, end, hashes, piece in _words_of(batch):
+                may = None
+                if bits is not None and len(hashes) > 1:
+                    at = pair_hashes(lang, hashes) & (FILTER_BITS - 1)
+                    may = (bits.value[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
+                word, forms = _distinct_words(data, start, end, hashes)
+                if len(counter.ids) + len(forms) >= 1 << ID_BITS:
+                    yield from counter.spill(0)
+                keys = _phrase_keys(counter.word_ids(forms)[word], piece, may)
+                if lang not in counter.tries:
+                    counter.tries[lang] = Trie()
+                counter.tries[lang].add(keys)
+                if counter.full():
+                    yield from counter.spill(0)
+                elif counter.entries > HELD:
+                    yield from counter.spill(HELD // 2)
         yield from counter.spill(0)
 
     return run
 
 
-def pair_filter(pairs: DataFrame) -> np.ndarray:
-    """``FILTER_BITS`` bits, set for the (lang, phrase) of two words."""
-
-    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            langs = np.array(batch.column("lang").to_pylist(), object)
-            for t in T.slices(batch.column("phrase")):
-                w = T.words(t)
-                hashes = _word_hashes(t.data, w.start, w.end)
-                own = langs[t.first:t.first + t.rows]
-                for lang in set(own):
-                    first = w.first[:-1][own == lang]
-                    two = np.stack([hashes[first], hashes[first + 1]], 1).ravel()
-                    yield pa.RecordBatch.from_arrays([pa.array(pair_hashes(lang, two)[::2])], names=["bit"])
-
+def pair_filter(rows: DataFrame, min_count: int) -> np.ndarray:
+    """``FILTER_BITS`` bits, set for the pairs of words found ``min_count`` times."""
+    bit = F.col("h").bitwiseAND(FILTER_BITS - 1) + 1        # Spark's buckets begin at 1
+    often = (rows.mapInArrow(tidy(count_pairs), "h long, f long").groupBy("h").agg(F.sum("f").alias("f"))
+             .where(F.col("f") >= min_count))
     # Bitmaps of 4 KB, as many as the filter has at most.
-    bit = F.col("bit") + 1                          # Spark's buckets begin at 1
-    maps = (pairs.select("lang", "phrase").mapInArrow(tidy(places), "bit long")
-            .groupBy(F.bitmap_bucket_number(bit).alias("bucket"))
+    maps = (often.groupBy(F.bitmap_bucket_number(bit).alias("bucket"))
             .agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("map"))).toArrow()
     out = np.zeros(max(FILTER_BITS // 8, 4096), np.uint8)
     for bucket, bitmap in zip(maps.column("bucket").to_pylist(), maps.column("map").to_pylist()):
@@ -350,31 +362,23 @@ def pair_filter(pairs: DataFrame) -> np.ndarray:
     return out
 
 
-def merged(runs: DataFrame, *parts: str) -> DataFrame:
-    """The runs of all tasks by prefix partition (words and pairs are prefixes of
-    their own), counts of equal phrases added."""
-    return (runs.repartition("lang", *(parts or ["phrase"])).groupBy("lang", *parts, "phrase")
-            .agg(F.sum("f").alias("f")))
-
-
 def phrase_counts(docs: DataFrame, min_count: int = MIN_COUNT) -> tuple[DataFrame, DataFrame]:
     """(lang, phrase, words, f) of the phrases found ``min_count`` times or more, and
     (lang, n): how many words a language has."""
     rows = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"),
                        F.col("text").cast("string").alias("text")).where("length(text) > 0")
-    schema = "lang string, phrase string, f long"
+    bits = docs.sparkSession.sparkContext.broadcast(pair_filter(rows, min_count))
+    runs = rows.mapInArrow(tidy(count_phrases(bits)), "lang string, phrase string, f long")
     words = (F.length("phrase") - F.length(F.replace(F.col("phrase"), F.lit(" "), F.lit("")))) + 1
-    short = merged(rows.mapInArrow(tidy(count_phrases(range(1, 3))), schema))
+    part = F.when(words > 2, F.pmod(F.xxhash64("phrase"), F.lit(SPLIT))).otherwise(F.lit(0)).cast("int")
+    merged = (runs.select("*", words.alias("words"), F.substring_index("phrase", " ", 2).alias("prefix"), part.alias("part"))
+              .repartition("lang", "prefix", "part").groupBy("lang", "prefix", "part", "phrase", "words")
+              .agg(F.sum("f").alias("f")))
     # What is rarer counts only as a word of its language.
-    kept = saved(short.select("lang", "f", words.alias("words"), F.when(F.col("f") >= min_count, F.col("phrase")).alias("phrase"))
+    kept = saved(merged.select("lang", "words", F.when(F.col("f") >= min_count, F.col("phrase")).alias("phrase"), "f")
                  .groupBy("lang", "words", "phrase").agg(F.sum("f").alias("f")), "phrase_counts")
-    often = kept.where("phrase IS NOT NULL").select("lang", "phrase", "words", "f")
-    bits = docs.sparkSession.sparkContext.broadcast(pair_filter(often.where("words = 2")))
-    longer = merged(rows.mapInArrow(tidy(count_phrases(range(3, MAX_WORDS + 1), bits)), schema)
-                    .withColumns({"prefix": F.substring_index("phrase", " ", 2),
-                                  "part": F.pmod(F.xxhash64("phrase"), F.lit(SPLIT)).cast("int")}), "prefix", "part")
-    longer = saved(longer.where(F.col("f") >= min_count).select("lang", "phrase", words.alias("words"), "f"), "long_phrases")
-    return (often.unionByName(longer), kept.where("words = 1").groupBy("lang").agg(F.sum("f").alias("n")))
+    return (kept.where("phrase IS NOT NULL").select("lang", "phrase", "words", "f"),
+            kept.where("words = 1").groupBy("lang").agg(F.sum("f").alias("n")))
 
 
 def _side(parts: DataFrame, counts: DataFrame, text: str, name: str) -> DataFrame:

@@ -456,25 +456,30 @@ def jaccard_edges(docs: DataFrame, described: DataFrame, common: DataFrame, n_wo
         "a1 long, a2 long, b1 long, b2 long, n_links long"), "jaccard_edges")
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """(s1, s2, r1, r2): the smallest class connected with each class that has an
-    edge. Alternates large stars and small stars until nothing changes; the
-    number of rounds grows with the logarithm of the longest path."""
-    now = saved(edges.select(F.struct(F.col("a1").alias("x"), F.col("a2").alias("y")).alias("u"),
-                             F.struct(F.col("b1").alias("x"), F.col("b2").alias("y")).alias("v"))
-                .where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-                .distinct(), "stars")
+def star_edges(edges: DataFrame) -> DataFrame:
+    """The edges between different classes as (u, v) with u > v."""
+    return (edges.select(F.struct(F.col("a1").alias("x"), F.col("a2").alias("y")).alias("u"),
+                         F.struct(F.col("b1").alias("x"), F.col("b2").alias("y")).alias("v"))
+            .where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
+
+
+def star_rounds(now: DataFrame, most: int | None = None) -> DataFrame:
+    """Alternates large stars and small stars on edges (u, v) until nothing changes, or
+    ``most`` times: the edges then connect the same classes as before. The number
+    of rounds grows with the logarithm of the longest path."""
+    now = saved(now, "stars")
 
     def mark(df: DataFrame):
         r = df.agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("u.x", "u.y", "v.x", "v.y")).alias("x")).first()
         return r.n, r.x
 
-    seen = mark(now)
-    while seen[0]:
+    seen, done = mark(now), 0
+    while seen[0] and done != most:
+        done += 1
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = (both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-                 .where("u <> v").distinct())
+                 .where("u <> v").repartition("u"))
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = (large.join(low, "u").select(F.explode(F.array(
             F.struct(F.col("v").alias("u"), F.col("m").alias("v")),
@@ -485,10 +490,21 @@ def components(edges: DataFrame) -> DataFrame:
         if new == seen:
             break
         seen = new
+    return now
+
+
+def roots(now: DataFrame) -> DataFrame:
+    """(s1, s2, r1, r2): the smallest class that a class has an edge to. A class
+    without one, in the middle of a star, is its own root."""
     low = now.groupBy("u").agg(F.min("v").alias("m"))
-    every = low.unionByName(low.select(F.col("m").alias("u"), F.col("m")).distinct())
-    return every.select(F.col("u.x").alias("s1"), F.col("u.y").alias("s2"),
-                        F.col("m.x").alias("r1"), F.col("m.y").alias("r2"))
+    return low.select(F.col("u.x").alias("s1"), F.col("u.y").alias("s2"),
+                      F.col("m.x").alias("r1"), F.col("m.y").alias("r2"))
+
+
+def components(edges: DataFrame) -> DataFrame:
+    """(s1, s2, r1, r2): the smallest class connected with each class, of those that
+    are not the smallest themselves."""
+    return roots(star_rounds(star_edges(edges)))
 
 
 def jaccard_components(docs: DataFrame, n_words: int = WORDS, percent: int = PERCENT) -> DataFrame:

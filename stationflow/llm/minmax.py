@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stationflow.llm import textarrays as T
-from stationflow.llm.jaccard import _by_tile, _distinct_columns, _link_tile, _longs, components, shingle_sets, signature
+from stationflow.llm.jaccard import _by_tile, _distinct_columns, _link_tile, _longs, roots, shingle_sets, signature, star_edges, star_rounds
 from stationflow.llm.store import joined_by_class, saved, tidy
 from stationflow.session import broadcast_max_rows
 
@@ -45,6 +45,9 @@ PERCENT = 85
 PERMUTATIONS = 80
 ROWS = 5
 BLOCK = 256
+# Rounds of stars on the leaders' edges before the rest is compared; more would only
+# spare comparisons.
+EARLY_ROUNDS = 2
 # Values of a signature, four bytes each.
 VALUES = 2 * PERMUTATIONS
 # Deviations below the threshold from which a pair of signatures is dropped.
@@ -159,11 +162,10 @@ def _sets(n_words: int):
     return run
 
 
-def whole_sets(docs: DataFrame, rows: DataFrame, wanted: DataFrame, n_words: int) -> DataFrame:
+def whole_sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame, n_words: int) -> DataFrame:
     """(s1, s2, shingles) of the wanted classes, from the text of one document each."""
-    giver = saved(rows.join(wanted, ["s1", "s2"], "left_semi").groupBy("s1", "s2")
-                  .agg(F.min(F.struct("doc_id", "th")).alias("g"))
-                  .select("s1", "s2", F.col("g.doc_id").alias("d"), F.col("g.th").alias("t")), "minmax_givers")
+    giver = saved(classes.select("s1", "s2", F.col("doc_id").alias("d"), F.col("th").alias("t"))
+                  .join(wanted, ["s1", "s2"], "left_semi"), "minmax_givers")
     if giver.count() <= broadcast_max_rows(docs.sparkSession):      # four numbers a row
         giver = F.broadcast(giver)
     texts = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("th"))
@@ -171,7 +173,7 @@ def whole_sets(docs: DataFrame, rows: DataFrame, wanted: DataFrame, n_words: int
     return texts.mapInArrow(tidy(_sets(n_words)), "s1 long, s2 long, shingles binary").dropDuplicates(["s1", "s2"])
 
 
-def _confirmed(docs: DataFrame, rows: DataFrame, classes: DataFrame, tiles: DataFrame, n_words: int, percent: int,
+def _confirmed(docs: DataFrame, classes: DataFrame, tiles: DataFrame, n_words: int, percent: int,
                name: str) -> DataFrame:
     """Edges between classes that link, of all pairs of the tiles: signatures first,
     then whole sets."""
@@ -179,7 +181,7 @@ def _confirmed(docs: DataFrame, rows: DataFrame, classes: DataFrame, tiles: Data
     # The tile's numbers go with the rows, so that its survivors keep them.
     near = saved(_in_tiles(marked.withColumns({"a": F.col("ti"), "b": F.col("tj")}),
                            ["block", "s1", "s2", "sketch", "a", "b"], _sketch_tile(percent), _MEMBER), name + "_near")
-    sets = whole_sets(docs, rows, near.select("s1", "s2").distinct(), n_words)
+    sets = whole_sets(docs, classes, near.select("s1", "s2"), n_words)
     full = near.join(sets, ["s1", "s2"]).withColumn("cols", F.array().cast("array<long>"))
     return saved(_in_tiles(full, ["block", "s1", "s2", "shingles", "cols"], _link_tile(percent, False),
                            "a1 long, a2 long, b1 long, b2 long, n_links long").drop("n_links"), name + "_edges")
@@ -192,21 +194,21 @@ def _leader_tiles(members: DataFrame) -> DataFrame:
     pairs = saved(members.join(lead, "h").where("s1 <> lead.s1 OR s2 <> lead.s2")
                   .select(F.col("lead.s1").alias("l1"), F.col("lead.s2").alias("l2"), "s1", "s2").distinct(),
                   "minmax_leaders")
-    size = pairs.groupBy("l1", "l2").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).cast("long").alias("k"))
-    key = F.xxhash64("l1", "l2").alias("h")
-    block = F.pmod(F.xxhash64("s1", "s2"), F.col("k"))
-    own = joined_by_class(pairs, size, ["l1", "l2"]).select(
-        key, F.lit(-1).cast("long").alias("ti"), block.alias("tj"), block.alias("block"), "s1", "s2")
-    lead = size.select(key, F.lit(-1).cast("long").alias("ti"),
-                       F.explode(F.sequence(F.lit(0).cast("long"), F.col("k") - 1)).alias("tj"),
-                       F.lit(-1).cast("long").alias("block"), F.col("l1").alias("s1"), F.col("l2").alias("s2"))
-    return own.unionByName(lead)
-
-
-def _open_tiles(members: DataFrame, edges: DataFrame) -> DataFrame:
-    """Tiles of the buckets with several components: each pair of blocks of which one
-    at least is outside the bucket's largest component."""
-    rooted = saved(members.select("h", "s1", "s2").join(components(edges), ["s1", "s2"], "left").select(
+    # As many blocks as the leader with the most classes needs; the others' classes are
+    # spread over them, and a leader goes only where it has one.
+    most = pairs.groupBy("l1", "l2").count().agg(F.max("count")).first()[0] or 0
+    block = F.pmod(F.xxhash64("s1", "s2"), F.lit(-(-most // BLOCK) or 1))
+    own = pairs.select("l1", "l2", F.xxhash64("l1", "l2").alias("h"), F.lit(-1).cast("long").alias("ti"),
+                       block.alias("tj"), block.alias("block"), "s1", "s2")
+    lead = own.select("h", "ti", "tj", F.lit(-1).cast("long").alias("block"), F.col("l1").alias("s1"),
+                      F.col("l2").alias("s2")).distinct()
+    return own.drop("l1", "l2").unionByName(lead)
+
+
+def _open_tiles(members: DataFrame, found: DataFrame) -> DataFrame:
+    """Tiles of the buckets with several components (as far as known): each pair of
+    blocks of which one at least is outside the bucket's largest component."""
+    rooted = saved(members.select("h", "s1", "s2").join(roots(found), ["s1", "s2"], "left").select(
         "h", "s1", "s2", F.coalesce("r1", "s1").alias("r1"), F.coalesce("r2", "s2").alias("r2")), "minmax_rooted")
     size = rooted.groupBy("h", "r1", "r2").agg(F.count(F.lit(1)).alias("n"))
     core = size.groupBy("h").agg(F.max(F.struct("n", "r1", "r2")).alias("core"), F.sum("n").alias("m")).where("core.n < m")
@@ -215,7 +217,7 @@ def _open_tiles(members: DataFrame, edges: DataFrame) -> DataFrame:
                          F.ceil(F.col("core.n") / F.lit(BLOCK)).cast("long").alias("held"))
     inside = F.expr("r1 = c1 AND r2 = c2")
     spread = F.xxhash64("s1", "s2")
-    placed = joined_by_class(rooted, blocks, ["h"]).select(
+    placed = rooted.join(blocks, "h").select(
         "h", "s1", "s2",
         F.when(inside, F.col("free") + F.pmod(spread, F.col("held"))).otherwise(F.pmod(spread, F.col("free"))).alias("block"),
         F.explode(F.sequence(F.lit(0).cast("long"),
@@ -228,18 +230,18 @@ def near_components(docs: DataFrame, n_words: int = WORDS, percent: int = PERCEN
     """doc_id, n_shingles and component_id of every document."""
     rows = described(docs, n_words)
     worded = rows.where("n > 0")
-    classes = saved(worded.select("s1", "s2", "bands", "sketch").dropDuplicates(["s1", "s2"]), "minmax_classes")
+    classes = saved(worded.drop("n").dropDuplicates(["s1", "s2"]), "minmax_classes")
     members = saved(_distinct_columns(classes.select(F.explode("bands").alias("h"), "s1", "s2"), "minmax_columns"),
                     "minmax_members")
-    edges = _confirmed(docs, worded, classes, _leader_tiles(members), n_words, percent, "minmax_leader")
-    edges = edges.unionByName(
-        _confirmed(docs, worded, classes, _open_tiles(members, edges), n_words, percent, "minmax_open"))
+    edges = _confirmed(docs, classes, _leader_tiles(members), n_words, percent, "minmax_leader")
+    stars = star_rounds(star_edges(edges), EARLY_ROUNDS)
+    edges = _confirmed(docs, classes, _open_tiles(members, stars), n_words, percent, "minmax_open")
+    stars = star_rounds(stars.unionByName(star_edges(edges)).distinct())
     own = worded.groupBy("s1", "s2").agg(F.min("doc_id").alias("least"))
-    rooted = saved(own.join(components(edges), ["s1", "s2"], "left").select(
+    rooted = saved(own.join(roots(stars), ["s1", "s2"], "left").select(
         "s1", "s2", "least", F.coalesce("r1", "s1").alias("r1"), F.coalesce("r2", "s2").alias("r2")), "minmax_roots")
     total = rooted.groupBy("r1", "r2").agg(F.min("least").alias("component_id"))
-    answer = joined_by_class(rooted.select("s1", "s2", "r1", "r2"), total, ["r1", "r2"]).select(
-        "s1", "s2", "component_id")
+    answer = rooted.select("s1", "s2", "r1", "r2").join(total, ["r1", "r2"]).select("s1", "s2", "component_id")
     sized = worded.select("doc_id", "n", "s1", "s2")
     return joined_by_class(sized, answer, ["s1", "s2"]).select(
         "doc_id", F.col("n").alias("n_shingles"), "component_id").unionByName(

@@ -271,11 +271,10 @@ def test_counts_do_not_depend_on_bursts_and_spills(monkeypatch):
         for start in range(0, 124, 31):
             batch = pa.RecordBatch.from_arrays([pa.array(langs[start:start + 31]), pa.array(texts[start:start + 31])],
                                                names=["lang", "text"])
-            for lengths, own in ((range(1, 3), None), (range(3, 4), bits)):
-                for b in collocations.count_phrases(lengths, own)(iter([batch])):
-                    assert b.column("phrase").to_pylist() and b.num_rows <= collocations.RUN_ROWS
-                    for r in b.to_pylist():
-                        total[r["lang"], r["phrase"]] += r["f"]
+            for b in collocations.count_phrases(bits)(iter([batch])):
+                assert 0 < b.num_rows <= collocations.RUN_ROWS
+                for r in b.to_pylist():
+                    total[r["lang"], r["phrase"]] += r["f"]
         return total
 
     want = collections.Counter()
@@ -293,15 +292,19 @@ def test_counts_do_not_depend_on_bursts_and_spills(monkeypatch):
     assert counted() == want
 
 
-def test_pair_filter_lets_every_frequent_phrase_through(spark):
-    pairs = [("en", "a b"), ("en", "b c"), ("de", "a b"), ("en", "é \U0001f600"), ("und", "x" * 5000 + " y")]
-    frame = spark.createDataFrame(pairs, "lang string, phrase string")
-    bits = types.SimpleNamespace(value=collocations.pair_filter(frame))
-    batch = pa.RecordBatch.from_arrays([pa.array(["en", "de", "und"]), pa.array(["a b c, b c d", "a b c", "x y z"])],
-                                       names=["lang", "text"])
-    got = [(r["lang"], r["phrase"]) for b in collocations.count_phrases(range(3, 4), bits)(iter([batch])) for r in b.to_pylist()]
-    assert got == [("en", "a b c")]
-    assert not collocations.pair_filter(frame.where("false")).any()
+def test_pair_filter_lets_every_frequent_phrase_through(spark, monkeypatch):
+    store.ship(spark)
+    texts = [("en", "a b c."), ("en", "b c, a b"), ("de", "a b c"), ("en", "é \U0001f600 é \U0001f600"),
+             ("und", ("x" * 5000 + " y ") * 2)]
+    frame = spark.createDataFrame(texts, "lang string, text string")
+    for held in (collocations.HELD, 1):
+        monkeypatch.setattr(collocations, "HELD", held)
+        bits = types.SimpleNamespace(value=collocations.pair_filter(frame, 2))
+        batch = pa.RecordBatch.from_arrays(
+            [pa.array(["en", "de", "und"]), pa.array(["a b c, b c d", "a b c", "x y z"])], names=["lang", "text"])
+        got = {(r["lang"], r["phrase"]) for b in collocations.count_phrases(bits)(iter([batch])) for r in b.to_pylist()}
+        assert {p for p in got if " " in p[1]} == {("en", "a b"), ("en", "b c"), ("en", "a b c")}
+    assert not collocations.pair_filter(frame.where("false"), 2).any()
 
 
 def test_scores_are_exact(spark):
