@@ -10,7 +10,7 @@
 3. The runs are merged per prefix partition: a phrase belongs to the partition of its
    first two words (longer phrases to one of ``SPLIT`` parts of it, so that a very
    frequent prefix is many tasks).
-4. Before that, one pass counts 64-bit hashes of all pairs of words. A phrase is
+4. Before that, one pass counts 48-bit hashes of all pairs of words. A phrase is
    frequent only if all its pairs are; a bit for each frequent hash, ``FILTER_BITS``
    bits at any size of the input, tells the trie which phrases cannot be. A fuller
    filter only lets more phrases through to be counted.
@@ -49,7 +49,7 @@ SCALE = 1_000_000
 
 # Entries of a container before it bursts, entries and words of a task before it spills.
 BURST = 1 << 17
-HELD = 2_000_000
+HELD = 1_500_000
 ID_BITS = 63 // MAX_WORDS
 WORDS_HELD = 500_000
 WORD_BYTES_HELD = 32 << 20
@@ -85,7 +85,7 @@ class Container:
     def add(self, keys: np.ndarray, n: np.ndarray) -> None:
         if 2 * (self.size + len(keys)) > len(self.keys):
             held, counts = self.sorted()
-            self.__init__(self.low, 2 * (len(held) + len(keys)))
+            self.__init__(self.low, len(held) + len(keys))
             self._put(held, counts)
         self._put(keys, n)
 
@@ -121,7 +121,7 @@ class Container:
                 break
         out = []
         for low, a, b in ((self.low, 0, cut), (bound, cut, len(keys))):
-            out.append(Container(low, 2 * (b - a)))
+            out.append(Container(low, b - a))
             out[-1].add(keys[a:b], n[a:b])
         return out
 
@@ -264,9 +264,9 @@ def _cut(t: T.Texts) -> Iterator[T.Texts]:
 
 
 def pair_hashes(lang: str, hashes: np.ndarray) -> np.ndarray:
-    """64 bits, not 0, for every two consecutive words."""
+    """48 bits for every two consecutive words, below a bit that is always set."""
     salt = np.uint64(zlib.crc32(lang.encode()) * 2 + 1)
-    return (T.combine(hashes ^ salt, 2) | np.uint64(1 << 63)).astype(np.int64)
+    return (T.combine(hashes ^ salt, 2) >> np.uint64(16) | np.uint64(1 << 48)).astype(np.int64)
 
 
 def _phrase_keys(ids: np.ndarray, piece: np.ndarray, may: np.ndarray | None) -> np.ndarray:
@@ -300,14 +300,24 @@ def _words_of(batch: pa.RecordBatch) -> Iterator[tuple]:
                     yield lang, data, start, end, _word_hashes(data, start, end), piece
 
 
+def _packed(values: np.ndarray, edge: np.ndarray) -> pa.Array:
+    """Runs of an array as binary values."""
+    offsets = (edge * values.itemsize).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(edge) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(values)])
+
+
 def count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Batches of lang and text, hashes of pairs with their counts out."""
+    """Batches of lang and text; out come the counts of pairs by hash, a row for each
+    16 bits of hash with the other 32 bits and the counts (65535: or more) of all."""
 
     def given(held: Container) -> Iterator[pa.RecordBatch]:
         keys, n = held.sorted()
-        for at in range(0, len(keys), RUN_ROWS):
-            yield pa.RecordBatch.from_arrays([pa.array(keys[at:at + RUN_ROWS]), pa.array(n[at:at + RUN_ROWS])],
-                                             names=["h", "f"])
+        segment = keys >> 32
+        edge = np.flatnonzero(np.concatenate(([True], segment[1:] != segment[:-1], [True])))
+        if len(keys):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(segment[edge[:-1]]), _packed(keys.astype(np.uint32), edge),
+                 _packed(np.minimum(n, 65535).astype(np.uint16), edge)], names=["segment", "low", "n"])
 
     held = Container(0)
     for batch in batches:
@@ -319,6 +329,40 @@ def count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from given(held)
 
 
+def often(min_count: int):
+    """From rows of ``count_pairs`` in the order of their segments to the bits of pairs
+    found ``min_count`` times. Holds the distinct hashes of one segment."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, low, n, added = None, [], [], 0
+
+        def together() -> tuple[np.ndarray, np.ndarray]:
+            keys, back = np.unique(np.concatenate(low), return_inverse=True)
+            return keys, np.bincount(back, np.concatenate(n), len(keys))
+
+        def bits() -> pa.RecordBatch:
+            keys, total = together()
+            keys = keys[total >= min(min_count, 65535)].astype(np.int64) | np.int64(at) << 32
+            return pa.RecordBatch.from_arrays([pa.array(keys & (FILTER_BITS - 1))], names=["bit"])
+
+        for batch in batches:
+            for segment, a, b in zip(*(batch.column(c).to_pylist() for c in ("segment", "low", "n"))):
+                if segment != at:
+                    if low:
+                        yield bits()
+                    at, low, n, added = segment, [], [], 0
+                low.append(np.frombuffer(a, np.uint32))
+                n.append(np.frombuffer(b, np.uint16))
+                added += len(low[-1])
+                if added > max(HELD, len(low[0])):
+                    keys, total = together()
+                    low, n, added = [keys], [total], 0
+        if low:
+            yield bits()
+
+    return run
+
+
 def count_phrases(bits=None):
     """A step from batches of lang and text to sorted runs of phrases with their
     counts; ``bits`` is a broadcast filter of pairs."""
@@ -349,11 +393,11 @@ def count_phrases(bits=None):
 
 def pair_filter(rows: DataFrame, min_count: int) -> np.ndarray:
     """``FILTER_BITS`` bits, set for the pairs of words found ``min_count`` times."""
-    bit = F.col("h").bitwiseAND(FILTER_BITS - 1) + 1        # Spark's buckets begin at 1
-    often = (rows.mapInArrow(tidy(count_pairs), "h long, f long").groupBy("h").agg(F.sum("f").alias("f"))
-             .where(F.col("f") >= min_count))
+    counted = rows.mapInArrow(tidy(count_pairs), "segment long, low binary, n binary")
+    bits = counted.repartition("segment").sortWithinPartitions("segment").mapInArrow(tidy(often(min_count)), "bit long")
+    bit = F.col("bit") + 1                          # Spark's buckets begin at 1
     # Bitmaps of 4 KB, as many as the filter has at most.
-    maps = (often.groupBy(F.bitmap_bucket_number(bit).alias("bucket"))
+    maps = (bits.groupBy(F.bitmap_bucket_number(bit).alias("bucket"))
             .agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("map"))).toArrow()
     out = np.zeros(max(FILTER_BITS // 8, 4096), np.uint8)
     for bucket, bitmap in zip(maps.column("bucket").to_pylist(), maps.column("map").to_pylist()):
