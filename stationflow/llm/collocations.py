@@ -7,9 +7,11 @@
    id by the ids of the next word.
 2. When a task holds ``HELD`` entries, it spills whole subtrees, the largest first,
    as sorted runs, until half are left. Word ids end there: runs hold texts.
-3. The runs are merged per prefix partition: a phrase belongs to the partition of its
-   first two words (longer phrases to one of ``SPLIT`` parts of it, so that a very
-   frequent prefix is many tasks).
+3. The runs are merged per prefix partition: a phrase belongs to the partition that a
+   hash of its first two words gives (longer phrases to one of ``SPLIT`` partitions for
+   these words, so that a very frequent prefix is many tasks). A run is a row for each
+   partition, with its phrases and counts; a task goes through its partitions in
+   order and holds the distinct phrases of one.
 4. Before that, one pass counts 48-bit hashes of all pairs of words. A phrase is
    frequent only if all its pairs are; a bit for each frequent hash, ``FILTER_BITS``
    bits at any size of the input, tells the trie which phrases cannot be. A fuller
@@ -27,6 +29,7 @@ UTF-8 order; an empty table gives no row; extra columns are ignored.
 
 from __future__ import annotations
 
+import collections
 import hashlib
 import zlib
 from collections.abc import Iterator
@@ -35,7 +38,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stationflow.llm import textarrays as T
@@ -55,10 +58,13 @@ WORDS_HELD = 500_000
 WORD_BYTES_HELD = 32 << 20
 SLICE = 2 << 20
 FILTER_BITS = 1 << 28
-RUN_ROWS = 1 << 16
+PART_BITS = 16
+TOGETHER = 1 << 18
 SPLIT = 64
 # Parts of the first step of a top list.
 TOP_PARTS = 64
+# Copies of the count of a single word.
+COPIES = 8
 
 # What ends a piece (and a word), and what ends a word only.
 _END = np.zeros(256, bool)
@@ -153,37 +159,48 @@ class Counter:
     def __init__(self):
         self.tries: dict[str, Trie] = {}
         self.ids: dict[bytes, int] = {}
+        self.hashes: list[np.ndarray] = []          # of the words, in the order of their ids
         self.word_bytes = 0
 
     @property
     def entries(self) -> int:
         return sum(t.entries for t in self.tries.values())
 
-    def word_ids(self, words: list[bytes]) -> np.ndarray:
+    def word_ids(self, words: list[bytes], hashes: np.ndarray) -> np.ndarray:
         """Ids from 1 on; 0 stands behind the last word of a phrase."""
-        out = np.empty(len(words), np.int64)
+        out, known = np.empty(len(words), np.int64), len(self.ids)
         for i, w in enumerate(words):
             found = self.ids.get(w)
             if found is None:
                 found = self.ids[w] = len(self.ids) + 1
                 self.word_bytes += len(w)
             out[i] = found
+        self.hashes.append(hashes[out > known])
         return out
 
     def full(self) -> bool:
         return len(self.ids) > WORDS_HELD or self.word_bytes > WORD_BYTES_HELD
 
     def _run(self, lang: str, keys: np.ndarray, n: np.ndarray, names: pa.Array) -> Iterator[pa.RecordBatch]:
-        """A sorted run, a phrase a row."""
+        """A sorted run: a row for each prefix partition."""
+        if not len(keys):
+            return
         mask = (1 << ID_BITS) - 1
-        for at in range(0, len(keys), RUN_ROWS):
-            own = keys[at:at + RUN_ROWS]
-            ids = [(own >> (ID_BITS * (MAX_WORDS - 1 - i))) & mask for i in range(MAX_WORDS)]
-            words = [names.take(pa.array(np.maximum(x - 1, 0), mask=x == 0)) for x in ids]
-            phrase = pc.binary_join_element_wise(*words, b" ", null_handling="skip")
-            yield pa.RecordBatch.from_arrays(
-                [pa.DictionaryArray.from_arrays(pa.array(np.zeros(len(own), np.int32)), pa.array([lang])).cast(pa.string()),
-                 phrase.cast(pa.string()), pa.array(n[at:at + RUN_ROWS])], names=["lang", "phrase", "f"])
+        ids = [(keys >> (ID_BITS * (MAX_WORDS - 1 - i))) & mask for i in range(MAX_WORDS)]
+        hashes = np.concatenate([np.zeros(1, np.uint64), *self.hashes])
+        at = hashes[ids[0]] * np.uint64(3) + hashes[ids[1]]
+        for x in ids[2:]:
+            at = at * np.uint64(5) + hashes[x] % np.uint64(SPLIT)
+        part = (T.mix(at) >> np.uint64(64 - PART_BITS)).astype(np.int64)
+        order = np.argsort(part, kind="stable")
+        part = part[order]
+        words = [names.take(pa.array(np.maximum(x[order] - 1, 0), mask=x[order] == 0)) for x in ids]
+        phrase = pc.binary_join_element_wise(*words, b" ", null_handling="skip")
+        edge = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1], [True])))
+        text = pc.binary_join(pa.ListArray.from_arrays(pa.array(edge.astype(np.int32)), phrase), b"\n")
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([lang] * (len(edge) - 1), pa.string()), pa.array(part[edge[:-1]]), text, _packed(n[order], edge)],
+            names=["lang", "part", "phrases", "n"])
 
     def spill(self, keep: int) -> Iterator[pa.RecordBatch]:
         """Give whole subtrees, the largest first, until ``keep`` entries are left;
@@ -200,7 +217,13 @@ class Counter:
             leaves[at] = Container(low)
             left -= size
         if not left:
-            self.tries, self.ids, self.word_bytes = {}, {}, 0
+            self.tries, self.ids, self.hashes, self.word_bytes = {}, {}, [], 0
+
+
+def _packed(values: np.ndarray, edge: np.ndarray) -> pa.Array:
+    """Runs of an array as binary values."""
+    offsets = (edge * values.itemsize).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(edge) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(values)])
 
 
 def _spans(t: T.Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -236,13 +259,13 @@ def _word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.nda
 
 
 def _distinct_words(data: np.ndarray, start: np.ndarray, end: np.ndarray,
-                    hashes: np.ndarray) -> tuple[np.ndarray, list[bytes]]:
-    """For every word the number of its form, and the forms. Forms are told apart by
+                    hashes: np.ndarray) -> tuple[np.ndarray, list[bytes], np.ndarray]:
+    """For every word the number of its form, the forms and their hashes. Forms are told apart by
     64 bits of hash within a slice."""
     codes, distinct = pd.factorize(hashes)
     place = np.zeros(len(distinct), np.int64)
     place[codes[::-1]] = np.arange(len(codes))[::-1]
-    return codes, [data[a:b].tobytes() for a, b in zip(start[place].tolist(), end[place].tolist())]
+    return codes, [data[a:b].tobytes() for a, b in zip(start[place].tolist(), end[place].tolist())], distinct
 
 
 def _cut(t: T.Texts) -> Iterator[T.Texts]:
@@ -300,12 +323,6 @@ def _words_of(batch: pa.RecordBatch) -> Iterator[tuple]:
                     yield lang, data, start, end, _word_hashes(data, start, end), piece
 
 
-def _packed(values: np.ndarray, edge: np.ndarray) -> pa.Array:
-    """Runs of an array as binary values."""
-    offsets = (edge * values.itemsize).astype(np.int32)
-    return pa.Array.from_buffers(pa.binary(), len(edge) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(values)])
-
-
 def count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Batches of lang and text; out come the counts of pairs by hash, a row for each
     16 bits of hash with the other 32 bits and the counts (65535: or more) of all."""
@@ -334,22 +351,23 @@ def often(min_count: int):
     found ``min_count`` times. Holds the distinct hashes of one segment."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, low, n, added = None, [], [], 0
+        at, low, n, added, found = None, [], [], 0, []
 
         def together() -> tuple[np.ndarray, np.ndarray]:
             keys, back = np.unique(np.concatenate(low), return_inverse=True)
             return keys, np.bincount(back, np.concatenate(n), len(keys))
 
-        def bits() -> pa.RecordBatch:
+        def bits() -> None:
             keys, total = together()
             keys = keys[total >= min(min_count, 65535)].astype(np.int64) | np.int64(at) << 32
-            return pa.RecordBatch.from_arrays([pa.array(keys & (FILTER_BITS - 1))], names=["bit"])
+            if len(keys):
+                found.append(keys & (FILTER_BITS - 1))
 
         for batch in batches:
             for segment, a, b in zip(*(batch.column(c).to_pylist() for c in ("segment", "low", "n"))):
                 if segment != at:
                     if low:
-                        yield bits()
+                        bits()
                     at, low, n, added = segment, [], [], 0
                 low.append(np.frombuffer(a, np.uint32))
                 n.append(np.frombuffer(b, np.uint16))
@@ -357,8 +375,13 @@ def often(min_count: int):
                 if added > max(HELD, len(low[0])):
                     keys, total = together()
                     low, n, added = [keys], [total], 0
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found))], names=["bit"])
+                found.clear()
         if low:
-            yield bits()
+            bits()
+        if found:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found))], names=["bit"])
 
     return run
 
@@ -375,10 +398,10 @@ def count_phrases(bits=None):
                 if bits is not None and len(hashes) > 1:
                     at = pair_hashes(lang, hashes) & (FILTER_BITS - 1)
                     may = (bits.value[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
-                word, forms = _distinct_words(data, start, end, hashes)
+                word, forms, own = _distinct_words(data, start, end, hashes)
                 if len(counter.ids) + len(forms) >= 1 << ID_BITS:
                     yield from counter.spill(0)
-                keys = _phrase_keys(counter.word_ids(forms)[word], piece, may)
+                keys = _phrase_keys(counter.word_ids(forms, own)[word], piece, may)
                 if lang not in counter.tries:
                     counter.tries[lang] = Trie()
                 counter.tries[lang].add(keys)
@@ -406,42 +429,96 @@ def pair_filter(rows: DataFrame, min_count: int) -> np.ndarray:
     return out
 
 
+def merged(min_count: int):
+    """From rows of runs, in the order of language and partition, to the counts of all
+    phrases found ``min_count`` times, and of all other words in one sum (a null
+    phrase). Takes whole partitions together, ``TOGETHER`` phrases or the distinct
+    phrases of one partition at most."""
+
+    def together(rows: list[tuple]) -> tuple[pa.Table, list[str]]:
+        """Phrases, each once per language (by its number), and their counts."""
+        langs = sorted({r[0] for r in rows})
+        number = {lang: i for i, lang in enumerate(langs)}
+        n = np.concatenate([np.frombuffer(r[3], np.int64) for r in rows])
+        own = np.repeat([number[r[0]] for r in rows], [len(r[3]) // 8 for r in rows])
+        t = pa.table({"lang": own, "phrase": pa.array(b"\n".join(r[2] for r in rows).split(b"\n"), pa.binary()), "f": n})
+        return t.group_by(["lang", "phrase"]).aggregate([("f", "sum")]), langs
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rare: collections.Counter = collections.Counter()
+
+        def counts(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
+            t, langs = together(rows)
+            often = pc.greater_equal(t.column("f_sum"), min_count)
+            single = pc.equal(pc.count_substring(t.column("phrase"), b" "), 0)
+            rest = t.filter(pc.and_(pc.invert(often), single))
+            for i, f in zip(rest.column("lang").to_pylist(), rest.column("f_sum").to_pylist()):
+                rare[langs[i]] += f
+            some = t.filter(often)
+            yield from pa.table({"lang": pa.array(langs, pa.string()).take(some.column("lang").combine_chunks()),
+                                 "phrase": some.column("phrase").cast(pa.string()), "f": some.column("f_sum")}).to_batches()
+
+        done, last, added = [], [], 0               # rows of whole partitions, rows of the last one
+        for batch in batches:
+            for row in zip(*(batch.column(c).to_pylist() for c in ("lang", "part", "phrases", "n"))):
+                if last and row[:2] != last[0][:2]:
+                    done += last
+                    last = []
+                    if added > TOGETHER:
+                        yield from counts(done)
+                        done, added = [], 0
+                last.append(row)
+                added += len(row[3]) // 8
+                if len(last) > 1 and added > 2 * max(HELD, len(last[0][3]) // 8):
+                    if done:
+                        yield from counts(done)
+                        done = []
+                    t, _ = together(last)
+                    last = [(*row[:2], b"\n".join(t.column("phrase").to_pylist()),
+                             t.column("f_sum").to_numpy().astype(np.int64).tobytes())]
+                    added = t.num_rows
+        if done or last:
+            yield from counts(done + last)
+        if rare:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(list(rare), pa.string()), pa.nulls(len(rare), pa.string()),
+                 pa.array(list(rare.values()), pa.int64())], names=["lang", "phrase", "f"])
+
+    return run
+
+
 def phrase_counts(docs: DataFrame, min_count: int = MIN_COUNT) -> tuple[DataFrame, DataFrame]:
     """(lang, phrase, words, f) of the phrases found ``min_count`` times or more, and
     (lang, n): how many words a language has."""
     rows = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"),
                        F.col("text").cast("string").alias("text")).where("length(text) > 0")
     bits = docs.sparkSession.sparkContext.broadcast(pair_filter(rows, min_count))
-    runs = rows.mapInArrow(tidy(count_phrases(bits)), "lang string, phrase string, f long")
-    words = (F.length("phrase") - F.length(F.replace(F.col("phrase"), F.lit(" "), F.lit("")))) + 1
-    part = F.when(words > 2, F.pmod(F.xxhash64("phrase"), F.lit(SPLIT))).otherwise(F.lit(0)).cast("int")
-    merged = (runs.select("*", words.alias("words"), F.substring_index("phrase", " ", 2).alias("prefix"), part.alias("part"))
-              .repartition("lang", "prefix", "part").groupBy("lang", "prefix", "part", "phrase", "words")
-              .agg(F.sum("f").alias("f")))
-    # What is rarer counts only as a word of its language.
-    kept = saved(merged.select("lang", "words", F.when(F.col("f") >= min_count, F.col("phrase")).alias("phrase"), "f")
-                 .groupBy("lang", "words", "phrase").agg(F.sum("f").alias("f")), "phrase_counts")
+    runs = rows.mapInArrow(tidy(count_phrases(bits)), "lang string, part long, phrases binary, n binary")
+    counts = (runs.repartition("lang", "part").sortWithinPartitions("lang", "part")
+              .mapInArrow(tidy(merged(min_count)), "lang string, phrase string, f long"))
+    words = F.length("phrase") - F.length(F.replace(F.col("phrase"), F.lit(" "), F.lit(""))) + 1
+    kept = saved(counts.withColumn("words", words), "phrase_counts")
     return (kept.where("phrase IS NOT NULL").select("lang", "phrase", "words", "f"),
-            kept.where("words = 1").groupBy("lang").agg(F.sum("f").alias("n")))
+            kept.where("coalesce(words, 1) = 1").groupBy("lang").agg(F.sum("f").alias("n")))
 
 
-def _side(parts: DataFrame, counts: DataFrame, text: str, name: str) -> DataFrame:
-    """``parts`` with the count of their column ``text`` as ``name``. Single words
-    are in very many phrases: their counts are repeated and the phrases dealt."""
-    spread = F.when(F.instr(F.col(text), " ") > 0, F.lit(0)).otherwise(F.pmod(F.xxhash64("phrase"), F.lit(16)).cast("int"))
-    copies = F.when(F.col("words") > 1, F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.lit(15)))
-    known = counts.select("lang", F.col("phrase").alias(text), F.col("f").alias(name), F.explode(copies).alias("salt"))
-    return parts.withColumn("salt", spread).join(known, ["lang", text, "salt"]).drop("salt", text)
+def _side(parts: DataFrame, counts: DataFrame, text: Column, name: str) -> DataFrame:
+    """``parts`` with the count of the phrase ``text`` as ``name``. Single words are in
+    very many phrases: their counts are repeated and the phrases dealt."""
+    spread = F.when(F.instr(text, " ") > 0, F.lit(0)).otherwise(F.pmod(F.xxhash64("phrase"), F.lit(COPIES)).cast("int"))
+    copies = F.when(F.col("words") > 1, F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.lit(COPIES - 1)))
+    known = counts.select(F.col("lang").alias("own"), F.col("phrase").alias("part"), F.col("f").alias(name),
+                          F.explode(copies).alias("salt"))
+    return parts.join(known, (F.col("lang") == F.col("own")) & (text == F.col("part")) & (spread == F.col("salt"))) \
+        .drop("own", "part", "salt")
 
 
 def scored(counts: DataFrame, min_words: int = 2) -> DataFrame:
     """lang, phrase, words, a, l, r and score of every candidate, by its worst cut."""
     cands = counts.where(F.col("words") >= min_words).select("lang", "phrase", "words", F.col("f").alias("a"))
-    tokens = F.split("phrase", " ")
-    cuts = (cands.select("*", F.explode(F.sequence(F.lit(1), F.col("words") - 1)).alias("k"))
-            .select("*", F.concat_ws(" ", F.slice(tokens, F.lit(1), F.col("k"))).alias("head"),
-                    F.concat_ws(" ", F.slice(tokens, F.col("k") + 1, F.col("words"))).alias("rest")))
-    both = _side(_side(cuts, counts, "head", "l"), counts, "rest", "r")
+    cuts = cands.select("*", F.explode(F.sequence(F.lit(1), F.col("words") - 1)).alias("k"))
+    head, rest = F.expr("substring_index(phrase, ' ', k)"), F.expr("substring_index(phrase, ' ', k - words)")
+    both = _side(_side(cuts, counts, head, "l"), counts, rest, "r")
     # Counts below 10 ** 15, so that both sides have 38 digits at most.
     a, l, r = (f"CAST({c} AS DECIMAL(15,0))" for c in "alr")
     value = F.expr(f"(CAST({SCALE} AS DECIMAL(7,0)) * CAST({a} * {a} AS DECIMAL(30,0))) div ({l} * {r})")

@@ -251,15 +251,28 @@ def collocations_brute(given, min_count, percent, top):
     return sorted(map(repr, out))
 
 
-def test_collocations(docs, empty):
+def test_collocations(docs, empty, monkeypatch):
     given = [(lang, text) for _, text, lang, _, _ in rows()]
-    for min_count, top in ((2, 50), (10, 2000)):
+    for min_count, top, limits in ((2, 50, {}), (10, 2000, {}), (3, 2000, {"HELD": 20, "TOGETHER": 50, "PART_BITS": 2})):
+        for name, value in limits.items():
+            monkeypatch.setattr(collocations, name, value)
         got = collocations.collocations(docs, min_count=min_count, top=top)
         assert got.columns == ["lang", "rank", "phrase", "a", "l", "r", "n", "score"]
         assert sorted(map(repr, map(tuple, got.collect()))) == collocations_brute(given, min_count, 50, top)
     assert collocations.op13_rows(empty).count() == 0
 
 
+def phrases_of(run):
+    """The phrases of a batch of runs with their counts."""
+    out = collections.Counter()
+    for r in run.to_pylist():
+        phrases, n = r["phrases"].decode().split("\n"), np.frombuffer(r["n"], np.int64)
+        assert len(phrases) == len(n) > 0
+        for p, f in zip(phrases, n.tolist()):
+            out[r["lang"], p] += f
+    return out
+
+
 def test_counts_do_not_depend_on_bursts_and_spills(monkeypatch):
     rng = np.random.default_rng(2)
     texts = [" ".join(f"é{k}" if k % 3 else "the," for k in rng.zipf(1.4, 200) % 300) for _ in range(120)]
@@ -272,9 +285,7 @@ def test_counts_do_not_depend_on_bursts_and_spills(monkeypatch):
             batch = pa.RecordBatch.from_arrays([pa.array(langs[start:start + 31]), pa.array(texts[start:start + 31])],
                                                names=["lang", "text"])
             for b in collocations.count_phrases(bits)(iter([batch])):
-                assert 0 < b.num_rows <= collocations.RUN_ROWS
-                for r in b.to_pylist():
-                    total[r["lang"], r["phrase"]] += r["f"]
+                total.update(phrases_of(b))
         return total
 
     want = collections.Counter()
@@ -286,7 +297,7 @@ def test_counts_do_not_depend_on_bursts_and_spills(monkeypatch):
     assert counted() == want
     full = types.SimpleNamespace(value=np.full(collocations.FILTER_BITS // 8, 255, np.uint8))
     assert counted(full) == want
-    for name, value in (("BURST", 4), ("HELD", 500), ("RUN_ROWS", 64), ("WORDS_HELD", 150), ("SLICE", 1 << 10)):
+    for name, value in (("BURST", 4), ("HELD", 500), ("PART_BITS", 3), ("WORDS_HELD", 150), ("SLICE", 1 << 10)):
         monkeypatch.setattr(collocations, name, value)
     monkeypatch.setattr(T, "SLICE_BYTES", 1 << 10)
     assert counted() == want
@@ -302,7 +313,7 @@ def test_pair_filter_lets_every_frequent_phrase_through(spark, monkeypatch):
         bits = types.SimpleNamespace(value=collocations.pair_filter(frame, 2))
         batch = pa.RecordBatch.from_arrays(
             [pa.array(["en", "de", "und"]), pa.array(["a b c, b c d", "a b c", "x y z"])], names=["lang", "text"])
-        got = {(r["lang"], r["phrase"]) for b in collocations.count_phrases(bits)(iter([batch])) for r in b.to_pylist()}
+        got = {p for b in collocations.count_phrases(bits)(iter([batch])) for p in phrases_of(b)}
         assert {p for p in got if " " in p[1]} == {("en", "a b"), ("en", "b c"), ("en", "a b c")}
     assert not collocations.pair_filter(frame.where("false"), 2).any()
 
