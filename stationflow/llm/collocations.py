@@ -58,11 +58,13 @@ WORDS_HELD = 500_000
 WORD_BYTES_HELD = 32 << 20
 SLICE = 2 << 20
 FILTER_BITS = 1 << 28
-PART_BITS = 16
+# Prefix partitions: one for so many frequent pairs, within these numbers of bits.
+PAIRS_A_PART = 512
+PART_BITS = (4, 20)
 TOGETHER = 1 << 18
 SPLIT = 64
 # Parts of the first step of a top list.
-TOP_PARTS = 64
+TOP_PARTS = 16
 # Copies of the count of a single word.
 COPIES = 8
 
@@ -156,7 +158,8 @@ class Trie:
 class Counter:
     """The tries of a task, one per language, and the ids of its words."""
 
-    def __init__(self):
+    def __init__(self, part_bits: int):
+        self.part_bits = part_bits
         self.tries: dict[str, Trie] = {}
         self.ids: dict[bytes, int] = {}
         self.hashes: list[np.ndarray] = []          # of the words, in the order of their ids
@@ -191,7 +194,7 @@ class Counter:
         at = hashes[ids[0]] * np.uint64(3) + hashes[ids[1]]
         for x in ids[2:]:
             at = at * np.uint64(5) + hashes[x] % np.uint64(SPLIT)
-        part = (T.mix(at) >> np.uint64(64 - PART_BITS)).astype(np.int64)
+        part = (T.mix(at) >> np.uint64(64 - self.part_bits)).astype(np.int64)
         order = np.argsort(part, kind="stable")
         part = part[order]
         words = [names.take(pa.array(np.maximum(x[order] - 1, 0), mask=x[order] == 0)) for x in ids]
@@ -386,12 +389,13 @@ def often(min_count: int):
     return run
 
 
-def count_phrases(bits=None):
+def count_phrases(bits=None, part_bits: int = PART_BITS[0]):
     """A step from batches of lang and text to sorted runs of phrases with their
-    counts; ``bits`` is a broadcast filter of pairs."""
+    counts, in ``2 ** part_bits`` prefix partitions; ``bits`` is a broadcast filter of
+    pairs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = Counter()
+        counter = Counter(part_bits)
         for batch in batches:
             for lang, data, start, end, hashes, piece in _words_of(batch):
                 may = None
@@ -492,8 +496,10 @@ def phrase_counts(docs: DataFrame, min_count: int = MIN_COUNT) -> tuple[DataFram
     (lang, n): how many words a language has."""
     rows = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"),
                        F.col("text").cast("string").alias("text")).where("length(text) > 0")
-    bits = docs.sparkSession.sparkContext.broadcast(pair_filter(rows, min_count))
-    runs = rows.mapInArrow(tidy(count_phrases(bits)), "lang string, part long, phrases binary, n binary")
+    found = pair_filter(rows, min_count)
+    parts = int(np.bitwise_count(found).sum()) // PAIRS_A_PART
+    bits = docs.sparkSession.sparkContext.broadcast(found)
+    runs = rows.mapInArrow(tidy(count_phrases(bits, min(max(parts.bit_length(), PART_BITS[0]), PART_BITS[1]))), "lang string, part long, phrases binary, n binary")
     counts = (runs.repartition("lang", "part").sortWithinPartitions("lang", "part")
               .mapInArrow(tidy(merged(min_count)), "lang string, phrase string, f long"))
     words = F.length("phrase") - F.length(F.replace(F.col("phrase"), F.lit(" "), F.lit(""))) + 1

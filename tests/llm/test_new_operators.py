@@ -253,7 +253,7 @@ def collocations_brute(given, min_count, percent, top):
 
 def test_collocations(docs, empty, monkeypatch):
     given = [(lang, text) for _, text, lang, _, _ in rows()]
-    for min_count, top, limits in ((2, 50, {}), (10, 2000, {}), (3, 2000, {"HELD": 20, "TOGETHER": 50, "PART_BITS": 2})):
+    for min_count, top, limits in ((2, 50, {}), (10, 2000, {}), (3, 2000, {"HELD": 20, "TOGETHER": 50, "PAIRS_A_PART": 1})):
         for name, value in limits.items():
             monkeypatch.setattr(collocations, name, value)
         got = collocations.collocations(docs, min_count=min_count, top=top)
@@ -297,7 +297,7 @@ def test_counts_do_not_depend_on_bursts_and_spills(monkeypatch):
     assert counted() == want
     full = types.SimpleNamespace(value=np.full(collocations.FILTER_BITS // 8, 255, np.uint8))
     assert counted(full) == want
-    for name, value in (("BURST", 4), ("HELD", 500), ("PART_BITS", 3), ("WORDS_HELD", 150), ("SLICE", 1 << 10)):
+    for name, value in (("BURST", 4), ("HELD", 500), ("WORDS_HELD", 150), ("SLICE", 1 << 10)):
         monkeypatch.setattr(collocations, name, value)
     monkeypatch.setattr(T, "SLICE_BYTES", 1 << 10)
     assert counted() == want
