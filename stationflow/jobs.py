@@ -18,7 +18,7 @@ import argparse
 import json
 import sys
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Observation, SparkSession
 
 
 def _session() -> SparkSession:
@@ -106,13 +106,14 @@ def _history(spark: SparkSession, path: str, fmt: str):
 
 def cmd_train(spark: SparkSession, args) -> dict:
     from stationflow.operators import model as ML
+    counts = Observation("training")
     rows = ML.training_rows(_history(spark, args.history, args.history_format),
-                            grain=args.grain).persist()
+                            grain=args.grain, counts=counts).persist()
     try:
         train, test = (ML.random_split(rows) if args.split == "random"
                        else ML.window_split(rows))
         model = ML.train(train)
-        result = {"train_rows": train.count(), "test_rows": test.count(),
+        result = {"null_rows": counts.get["null_rows"], "train_rows": train.count(), "test_rows": test.count(),
                   "rmse": ML.evaluate(model, test), **ML.coefficients(model)}
         ML.save(model, args.model)
     finally:

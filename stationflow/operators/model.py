@@ -18,7 +18,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import LinearRegression
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from stationflow.schemas import FEATURE_COLUMNS, LABEL_COLUMN
@@ -27,15 +27,22 @@ TRAIN_FRACTION = 0.7
 SEED = 42
 
 
-def training_rows(report: DataFrame, *, grain: str = "station") -> DataFrame:
-    """Features, label and window_start from the report, NULLs dropped.
+def training_rows(report: DataFrame, *, grain: str = "station", counts: Observation | None = None) -> DataFrame:
+    """Features, label and window_start from the report, NULLs dropped. ``counts``
+    gets ``rows`` and ``null_rows``, those dropped, from the job that reads the rows,
+    such as the fit.
 
     ``grain="station"`` keeps one row per station per window, as the report
     has them (windows weigh by their station count); ``grain="window"`` keeps
     one row per distinct window / weather / label.
     """
     cols = [*FEATURE_COLUMNS, LABEL_COLUMN, "window_start"]
-    rows = report.select(*cols).dropna(subset=[*FEATURE_COLUMNS, LABEL_COLUMN])
+    needed = [*FEATURE_COLUMNS, LABEL_COLUMN]
+    rows = report.select(*cols)
+    if counts is not None:
+        some_null = F.exists(F.array(*[F.col(c).isNull() for c in needed]), lambda x: x)
+        rows = rows.observe(counts, F.count(F.lit(1)).alias("rows"), F.count_if(some_null).alias("null_rows"))
+    rows = rows.dropna(subset=needed)
     if grain == "window":
         rows = rows.dropDuplicates()
     elif grain != "station":

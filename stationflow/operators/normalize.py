@@ -13,6 +13,8 @@ are routed to a quarantine frame instead of being dropped silently.
 
 from __future__ import annotations
 
+import copy
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -82,17 +84,26 @@ def flatten_station_payloads(payloads: DataFrame, variant: str, *,
 
 # --- S5: weather payloads --------------------------------------------------------
 
+_BAD = "_unreadable"
+
+
+def _object(payload_col: str, schema) -> Column:
+    """The parsed payload, with the text in ``_BAD`` if it is no JSON object of the
+    schema's types."""
+    fields = schema.add(_BAD, "string") if _BAD not in schema.names else schema
+    return F.from_json(payload_col, fields, {"columnNameOfCorruptRecord": _BAD})
+
+
 def flatten_weather_payloads(payloads: DataFrame, *, payload_col: str = "payload",
                              stamp_col: str = "stamp", with_quarantine: bool = False):
     """One keyed message per weather reading: ``{id}_{stamp}`` or, without an
-    id, ``weather_{stamp}``. Missing nested fields become NULL values. A payload
-    that is no weather document (unreadable, or without ``main``) gives no
+    id, ``weather_{stamp}``. Missing fields, ``main`` included, become NULL values. A
+    payload that is no JSON object, or holds a value of another type, gives no
     message; it goes to the quarantine (reason, stamp, payload) when
     ``with_quarantine`` is set. Output: key, value (JSON text)."""
-    w = F.from_json(payload_col, S.WEATHER_PAYLOAD)
-    every = payloads.select(F.col(stamp_col).alias("_stamp"), F.col(payload_col).alias("_payload"),
-                            w.alias("w"))
-    p, unreadable = split(every, F.col("w.main").isNotNull())
+    every = parsed_once(payloads, F.col(stamp_col).alias("_stamp"), F.col(payload_col).alias("_payload"),
+                        _object(payload_col, copy.deepcopy(S.WEATHER_PAYLOAD)).alias("w"))
+    p, unreadable = split(every, F.col("w").isNotNull() & F.col(f"w.{_BAD}").isNull())
     value = F.struct(F.col("w.main.temp").cast("float").alias("temperature"),
                      F.col("w.wind.speed").cast("float").alias("windspeed"),
                      F.col("w.clouds.all").cast("float").alias("clouds"),
@@ -101,7 +112,7 @@ def flatten_weather_payloads(payloads: DataFrame, *, payload_col: str = "payload
                     F.to_json(value, _KEEP_NULLS).alias("value"))
     if not with_quarantine:
         return msgs
-    return msgs, unreadable.select(F.lit("no main").alias("reason"), F.col("_stamp").alias("stamp"),
+    return msgs, unreadable.select(F.lit("no weather document").alias("reason"), F.col("_stamp").alias("stamp"),
                                    F.col("_payload").alias("payload"))
 
 
@@ -116,24 +127,32 @@ def _forecast_cols(e: Column) -> list[Column]:
 
 
 def flatten_forecast(payloads: DataFrame, *, horizons: str = "first",
-                     payload_col: str = "payload") -> DataFrame:
+                     payload_col: str = "payload", with_quarantine: bool = False):
     """Forecast payload -> scoring rows ``temperature double, wind_speed double,
     cloudiness int, forecast_time timestamp`` (+ ``horizon`` for ``"all"``).
 
-    ``"first"`` keeps the first element of each list (an empty or missing list
-    gives no row); ``"all"`` keeps every horizon. Missing cloudiness is 0.
+    ``"first"`` keeps the first element of each list; ``"all"`` keeps every horizon.
+    Missing cloudiness is 0. A payload without a list, or with an empty one, gives no
+    row; it goes to the quarantine (reason, the other columns, payload) when
+    ``with_quarantine`` is set.
     """
-    lst = F.from_json(payload_col, S.FORECAST_PAYLOAD).getField("list")
     keep = [c for c in payloads.columns if c != payload_col]
+    every = parsed_once(payloads, *[F.col(c) for c in keep], F.col(payload_col).alias("_payload"),
+                        F.from_json(payload_col, S.FORECAST_PAYLOAD).getField("list").alias("_list"))
     if horizons == "first":
-        first = F.try_element_at(lst, F.lit(1))
-        return (parsed_once(payloads, *[F.col(c) for c in keep], first.alias("_f"))
-                .where(F.col("_f").isNotNull())
-                .select(*keep, *_forecast_cols(F.col("_f"))))
-    if horizons == "all":
-        return (payloads.select(*keep, F.posexplode(lst).alias("horizon", "_f"))
+        first = every.select(*keep, F.try_element_at("_list", F.lit(1)).alias("_f")).where(F.col("_f").isNotNull())
+        rows = first.select(*keep, *_forecast_cols(F.col("_f")))
+    elif horizons == "all":
+        rows = (every.select(*keep, F.posexplode("_list").alias("horizon", "_f"))
                 .select(*keep, "horizon", *_forecast_cols(F.col("_f"))))
-    raise ValueError(f"horizons must be 'first' or 'all', not {horizons!r}")
+    else:
+        raise ValueError(f"horizons must be 'first' or 'all', not {horizons!r}")
+    if not with_quarantine:
+        return rows
+    some = F.exists(F.col("_list"), lambda e: e.isNotNull()) if horizons == "all" else \
+        F.try_element_at("_list", F.lit(1)).isNotNull()
+    _, without = split(every, some)
+    return rows, without.select(F.lit("no forecast list").alias("reason"), *keep, F.col("_payload").alias("payload"))
 
 
 # --- P1-P4: parse messages ---------------------------------------------------------

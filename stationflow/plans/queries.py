@@ -4,9 +4,10 @@ events-derived feeds) and runs over all of their rows."""
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from stationflow.functions import iso_utc, safe_timestamp
@@ -14,8 +15,11 @@ from stationflow.operators import join as J
 from stationflow.operators import metrics as M
 from stationflow.operators import model as ML
 from stationflow.operators import normalize as N
-from stationflow.operators.history import combine_history, distinct_values
+from stationflow.operators.history import (
+    append_daily, combine_history, distinct_values, read_days, start_compaction_stream,
+)
 from stationflow.plans import oracle_sql as O
+from stationflow.plans import slices as SL
 from stationflow.plans.utilization import (
     feeds_from_events, flatten_window, joined_from_events, land_feed_messages,
     report_from_events, report_from_messages, stream_report_from_events,
@@ -23,7 +27,9 @@ from stationflow.plans.utilization import (
 from stationflow.schemas import REPORT_COLUMNS
 from stationflow.session import shared_path
 from stationflow.sources import events as E
+from stationflow.sources.history import read_csv
 from stationflow.sources.sinks import append_csv, flatten_structs
+from stationflow.streaming.scoring import start_score_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -353,19 +359,20 @@ def q_split_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("random_split_counts", O.with_blocks("report", "," + O.training_rows() + """
-SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_on_both_sides, TRUE AS train_near_70_percent
+SELECT count(*) AS n_rows, count(*) AS n_on_the_sides, CAST(0 AS BIGINT) AS n_on_both_sides, TRUE AS train_near_70_percent
 FROM rows"""))
 def q_random_split_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M4 with randomSplit([0.7, 0.3], seed=42): which rows a side gets depends on
     the partitioning, so what holds for any of them is returned: every row is on
-    a side, none on both. The rows are written once and read by both sides."""
+    a side, so the sizes of the sides add up, none is on both. The rows are written once
+    and read by both sides."""
     path = shared_path(spark, "split")
     _training(spark, sf_dir).withColumn("row_id", F.monotonically_increasing_id()).write.parquet(path)
     train, test = ML.random_split(spark.read.parquet(path))
     sides = (train.select("row_id", F.lit(1).alias("train"))
              .unionByName(test.select("row_id", F.lit(0).alias("train")))
              .groupBy("row_id").agg(F.max("train").alias("train"), F.count("*").alias("n")))
-    return sides.agg(F.count("*").alias("n_rows"),
+    return sides.agg(F.count("*").alias("n_rows"), F.sum("n").alias("n_on_the_sides"),
                      F.count_if(F.col("n") > 1).alias("n_on_both_sides"),
                      (F.abs(F.avg("train") - 0.7) < 0.1).alias("train_near_70_percent"))
 
@@ -383,19 +390,40 @@ def q_ols_coefficients_window_grain(spark: SparkSession, sf_dir: str) -> DataFra
     return _coefficients_frame(spark, _fit(spark, sf_dir, grain="window")[0])
 
 
-@register("rmse", _model_sql("""
+def _fit_on_written(spark: SparkSession, sf_dir: str):
+    """The training rows are written once and read by the fit and the test side."""
+    path = shared_path(spark, "training")
+    _training(spark, sf_dir).write.parquet(path)
+    train, test = ML.window_split(spark.read.parquet(path))
+    return ML.train(train), test
+
+
+RMSE_SQL = _model_sql("""
 SELECT round(sqrt(avg(power(b0 + b1 * x1 + b2 * x2 + b3 * x3 - y, 2))), 8) AS rmse
-FROM rows, coef WHERE side = 'test'"""))
+FROM rows, coef WHERE side = 'test'""")
+
+
+@register("rmse", RMSE_SQL)
 def q_rmse(spark: SparkSession, sf_dir: str) -> DataFrame:
     """RMSE of the fitted model on the test side."""
-    model, test = _fit(spark, sf_dir)
+    model, test = _fit_on_written(spark, sf_dir)
     return ML.rmse(model.transform(test)).select(F.round("rmse", 8).alias("rmse"))
 
 
-@register("score_forecasts", _model_sql("""
+@register("evaluate_model", RMSE_SQL)
+def q_evaluate_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M6: the same RMSE from Spark's evaluator."""
+    model, test = _fit_on_written(spark, sf_dir)
+    return spark.createDataFrame([(round(ML.evaluate(model, test), 8),)], "rmse double")
+
+
+SCORE_SQL = _model_sql("""
 SELECT day, horizon, forecast_time, temperature, wind_speed, cloudiness,
        round(b0 + b1 * temperature + b2 * wind_speed + b3 * cloudiness, 8) AS prediction
-FROM fc, coef""", extra=O.FORECAST.rstrip() + ","))
+FROM fc, coef""", extra=O.FORECAST.rstrip() + ",")
+
+
+@register("score_forecasts", SCORE_SQL)
 def q_score_forecasts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M7-M9: save the fitted pipeline, load it back and score every forecast
     horizon derived from the weather feed."""
@@ -417,3 +445,210 @@ def q_landed_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = report_from_messages(spark, paths["info"], paths["status"], paths["weather"])
     return round9(as_ntz(out, "window_start", "window_end"),
                   "avg_utilization", "std_dev_docking_station_utilisation")
+
+
+# --- streams in many batches ----------------------------------------------------------
+
+SLICE = f"CAST(floor((epoch({{ts}}) + {SL.SHIFT_SECONDS}) / {SL.SLICE_SECONDS}) AS BIGINT)"
+
+SLICED_REPORT_SQL = O.with_blocks("joined", f""",
+hourly AS (
+  SELECT {SLICE.format(ts="timestamp")} AS slice, time_bucket(INTERVAL '1 hour', timestamp) AS window_start,
+         station_id, capacity, temperature, wind_speed, cloudiness,
+         sum(coalesce(num_bikes_available, 0)) AS bikes, sum(capacity) AS total
+  FROM joined GROUP BY ALL),
+util AS (SELECT *, CAST(total - bikes AS DOUBLE) / NULLIF(total, 0) AS station_utilization_rate FROM hourly),
+totals AS (
+  SELECT slice, window_start, CAST(sum(total) - sum(bikes) AS DOUBLE) / NULLIF(sum(total), 0) AS citywide_utilization_rate,
+         min(station_utilization_rate) AS min_utilization, max(station_utilization_rate) AS max_utilization,
+         {O.r9('avg(station_utilization_rate)', 'avg_utilization')},
+         {O.r9('stddev_samp(station_utilization_rate)', 'std_dev_docking_station_utilisation')}
+  FROM util GROUP BY ALL)
+SELECT station_id, temperature, wind_speed, cloudiness, station_utilization_rate, t.* EXCLUDE (slice, window_start),
+       u.window_start, u.window_start + INTERVAL 1 HOUR AS window_end
+FROM util u JOIN totals t ON u.slice = t.slice AND u.window_start = t.window_start""")
+
+
+def _sliced(spark: SparkSession, sf_dir: str, mode: str) -> DataFrame:
+    ensure_utc(spark)
+    out = spark.read.parquet(SL.run_slices(spark, sf_dir, mode)["report"]).select(*REPORT_COLUMNS)
+    return round9(as_ntz(out, "window_start", "window_end"),
+                  "avg_utilization", "std_dev_docking_station_utilisation")
+
+
+@register("stream_slices_snapshot", SLICED_REPORT_SQL)
+def q_stream_slices_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The snapshot job over a landing zone read slice by slice, one
+    micro-batch each; an hour that is cut has partial rows from two batches."""
+    return _sliced(spark, sf_dir, "snapshot")
+
+
+@register("stream_slices_event_time", CLOSED_REPORT_SQL)
+def q_stream_slices_event_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The event-time job over the slices; each closed hour is whole, also where
+    two batches bring it."""
+    return _sliced(spark, sf_dir, "event_time")
+
+
+@register("late_rows", O.with_blocks("snaps", f""",
+status AS (
+  SELECT station_id, ts AS status_timestamp, {SLICE.format(ts="ts")}
+         + CASE WHEN CAST(station_id AS BIGINT) % {SL.LATE_STATIONS} = 0 AND epoch(ts) % 3600 = 0
+                THEN {SL.DELAY} ELSE 0 END AS slice FROM snaps),
+arrivals AS (SELECT 'status' AS feed, slice, status_timestamp AS ts FROM status UNION ALL
+             SELECT 'info', {SLICE.format(ts="ts")}, ts FROM snaps UNION ALL
+             SELECT 'weather', {SLICE.format(ts="ts")}, ts FROM snaps),
+batches AS (SELECT slice, row_number() OVER (ORDER BY slice) AS batch FROM (SELECT DISTINCT slice FROM arrivals)),
+marks AS (SELECT batch, min(seen) - INTERVAL 1 MINUTE AS watermark
+          FROM (SELECT b.batch, feed, max(ts) AS seen FROM batches b
+                JOIN (SELECT feed, ts, batch FROM arrivals JOIN batches USING (slice)) a ON a.batch <= b.batch - 2
+                GROUP BY ALL) GROUP BY batch)
+SELECT station_id, status_timestamp, slice FROM status JOIN batches USING (slice) JOIN marks USING (batch)
+WHERE status_timestamp <= watermark"""))
+def q_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The status messages that land slices after their own and are dropped by the
+    joins, found in the landing zone by the watermarks in the progress journal."""
+    ensure_utc(spark)
+    return as_ntz(SL.late_status(spark, SL.run_slices(spark, sf_dir, "snapshot", late=True)), "status_timestamp")
+
+
+# --- sinks, quarantine, history as data, scoring streams -------------------------------
+
+
+@register("published_messages", O.with_blocks("info", "SELECT * FROM info"))
+def q_published_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Typed rows -> keyed messages -> the file sink in two batches, each published
+    twice, with a stream that follows the folder in between; what it saw."""
+    from stationflow.sources.feeds import read_messages
+    from stationflow.sources.sinks import write_messages
+
+    base = shared_path(spark, "published")
+    info = E.info_feed(_snapshots(spark, sf_dir)).withColumn("stamp", iso_utc("info_timestamp"))
+    msgs = N.to_messages(info, F.col("key"), ["station_id", F.struct(F.col("stamp").alias("timestamp")).alias("metadata"),
+                                              "capacity"])
+    for batch_id in (0, 1, 0, 1):
+        write_messages(msgs.where(F.pmod(F.xxhash64("key"), F.lit(2)) == batch_id), path=f"{base}/messages",
+                       batch_id=batch_id)
+        query = (read_messages(spark, path=f"{base}/messages").writeStream.format("parquet")
+                 .option("path", f"{base}/seen").option("checkpointLocation", f"{base}/checkpoint")
+                 .trigger(availableNow=True).start())
+        query.awaitTermination()
+    return as_ntz(N.parse_info(spark.read.parquet(f"{base}/seen")), "info_timestamp")
+
+
+_KIND = "CAST(event_id % 5 AS INTEGER)"
+
+
+@register("quarantined_payloads", f"""
+SELECT feed, stamp, reason FROM (
+  SELECT 'info' AS feed, CAST(event_id AS VARCHAR) AS stamp,
+         CASE {_KIND} WHEN 0 THEN 'no data.stations' WHEN 1 THEN 'no data.stations' WHEN 2 THEN 'no station_id' END AS reason
+  FROM events UNION ALL
+  SELECT 'weather', CAST(event_id AS VARCHAR), CASE WHEN {_KIND} IN (0, 2) THEN 'no weather document' END FROM events UNION ALL
+  SELECT 'forecast', CAST(event_id AS VARCHAR), CASE WHEN {_KIND} IN (0, 1, 2) THEN 'no forecast list' END FROM events)
+WHERE reason IS NOT NULL""")
+def q_quarantined_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F2 for the three kinds of payload: broken documents made of every event, and the
+    reason why each of them gave no message."""
+    kind = F.col("event_id") % 5
+    stamped = E.read_table(spark, sf_dir, "events").select(
+        F.col("event_id").cast("string").alias("stamp"), kind.alias("kind"), F.col("event_id").alias("id"))
+
+    def made(*docs: str) -> DataFrame:
+        doc = F.lit(None).cast("string")
+        for i, d in enumerate(docs):
+            doc = F.when(F.col("kind") == i, F.replace(F.lit(d), F.lit("#"), F.col("stamp"))).otherwise(doc)
+        return stamped.select("stamp", doc.alias("payload"))
+
+    station = '{"data": {"stations": [{"station_id": "#", "capacity": 3}]}}'
+    _, info = N.flatten_station_payloads(made(
+        '{"data": {"stations": [', '{"data": {}}', '{"data": {"stations": [{"capacity": 3}]}}', station, station),
+        "info", with_quarantine=True)
+    _, weather = N.flatten_weather_payloads(made(
+        "no json #", '{"id": #, "wind": {"speed": 1.5}}', '{"main": "#"}', '{"main": {"temp": 2}}', "{}"), with_quarantine=True)
+    _, forecast = N.flatten_forecast(made(
+        "", '{"list": []}', "{}", '{"list": [{"dt": 0}]}', '{"list": [{"dt": #}, {"dt": 1}]}'), with_quarantine=True)
+    out = None
+    for feed, bad in (("info", info), ("weather", weather), ("forecast", forecast)):
+        own = bad.select(F.lit(feed).alias("feed"), "stamp", "reason")
+        out = own if out is None else out.unionByName(own)
+    return out
+
+
+@register("read_history", REPORT_SQL)
+def q_read_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report appended as CSV with a header and read with its fixed schema."""
+    ensure_utc(spark)
+    path = shared_path(spark, "csv")
+    append_csv(report_from_events(spark, sf_dir), path)
+    return round9(as_ntz(read_csv(spark, path), "window_start", "window_end"),
+                  "avg_utilization", "std_dev_docking_station_utilisation")
+
+
+@register("report_days", O.with_blocks("report", f"""
+SELECT * EXCLUDE (avg_utilization, std_dev_docking_station_utilisation),
+       {O.r9('avg_utilization', 'avg_utilization')},
+       {O.r9('std_dev_docking_station_utilisation', 'std_dev_docking_station_utilisation')}
+FROM report WHERE CAST(window_start AS DATE) BETWEEN DATE '2024-01-08' AND DATE '2024-01-14'"""))
+def q_report_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report in ``window_date`` partitions, and the rows of one week of it
+    (only its partitions are read)."""
+    ensure_utc(spark)
+    path = shared_path(spark, "daily")
+    append_daily(report_from_events(spark, sf_dir), path)
+    out = read_days(spark, path, dt.date(2024, 1, 8), dt.date(2024, 1, 14))
+    return round9(as_ntz(out, "window_start", "window_end"),
+                  "avg_utilization", "std_dev_docking_station_utilisation")
+
+
+@register("compact_incremental", REPORT_SQL)
+def q_compact_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CSV parts compacted as they come, in three runs of a checkpointed stream;
+    the second brings days of the first again, the third brings nothing."""
+    ensure_utc(spark)
+    base = shared_path(spark, "compaction")
+    report = report_from_events(spark, sf_dir).persist()
+    try:
+        for days in ("day(window.start) <= 20", "day(window.start) >= 10", None):
+            if days is not None:
+                append_csv(report.where(days), f"{base}/parts")
+            start_compaction_stream(spark, f"{base}/parts", f"{base}/table", checkpoint_path=f"{base}/checkpoint",
+                                    trigger={"availableNow": True}).awaitTermination()
+    finally:
+        report.unpersist()
+    out = spark.read.parquet(f"{base}/table").select(*REPORT_COLUMNS)
+    return round9(as_ntz(out, "window_start", "window_end"),
+                  "avg_utilization", "std_dev_docking_station_utilisation")
+
+
+@register("score_stream", SCORE_SQL)
+def q_score_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M9 on a stream: landed forecasts scored by the saved pipeline as they come."""
+    model, _ = _fit(spark, sf_dir)
+    base = shared_path(spark, "scoring")
+    ML.save(model, f"{base}/model")
+    payloads = E.forecast_payloads(E.weather_feed(_snapshots(spark, sf_dir)))
+    payloads.write.json(f"{base}/forecasts")
+    stream = spark.readStream.schema("day date, payload string").json(f"{base}/forecasts")
+    start_score_stream(stream, f"{base}/model", sink_path=f"{base}/scored", checkpoint_path=f"{base}/checkpoint",
+                       trigger={"availableNow": True}).awaitTermination()
+    return as_ntz(spark.read.parquet(f"{base}/scored"), "forecast_time").select(
+        "day", "horizon", "forecast_time", "temperature", "wind_speed", "cloudiness",
+        F.round("prediction", 8).alias("prediction"))
+
+
+@register("training_rows_counted", O.with_blocks("report", """,
+given AS (SELECT * REPLACE (CASE WHEN hour(window_start) % 4 = 0 THEN NULL ELSE wind_speed END AS wind_speed) FROM report)
+SELECT count(*) AS rows, count(*) FILTER (temperature IS NULL OR wind_speed IS NULL OR cloudiness IS NULL
+                                          OR avg_utilization IS NULL) AS null_rows FROM given"""))
+def q_training_rows_counted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many rows the fit got and how many of them it dropped for a NULL
+    (here: the wind speed of every fourth hour), counted by the fit's own pass."""
+    ensure_utc(spark)
+    report = report_from_events(spark, sf_dir)
+    given = report.withColumn("wind_speed", F.when(F.hour("window.start") % 4 != 0, F.col("wind_speed"))) \
+        if "window" in report.columns else \
+        report.withColumn("wind_speed", F.when(F.hour("window_start") % 4 != 0, F.col("wind_speed")))
+    counts = Observation("training")
+    ML.train(ML.training_rows(given, counts=counts))
+    return spark.createDataFrame([(counts.get["rows"], counts.get["null_rows"])], "rows long, null_rows long")

@@ -91,5 +91,53 @@ def local_fs_path(path: str) -> str:
     return path[len("file:"):] if path.startswith("file:") else path
 
 
+def _file_system(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """True if the shared file system has this file or folder."""
+    fs, where = _file_system(spark, path)
+    return fs.exists(where)
+
+
+def publish(spark: SparkSession, staged: str, target: str) -> bool:
+    """Rename a whole folder to its final name; False, and the staged copy goes, if
+    another attempt has published it meanwhile."""
+    fs, source = _file_system(spark, staged)
+    _, final = _file_system(spark, target)
+    fs.mkdirs(final.getParent())
+    if fs.exists(final):
+        fs.delete(source, True)
+        return False
+    if not fs.rename(source, final):
+        raise OSError(f"could not publish {target}")
+    return True
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """A small text file of the shared file system, None if there is none."""
+    fs, where = _file_system(spark, path)
+    if not fs.exists(where):
+        return None
+    stream = fs.open(where)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Create a small text file of the shared file system."""
+    fs, where = _file_system(spark, path)
+    stream = fs.create(where, False)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+
+
 def broadcast_max_rows(spark: SparkSession) -> int:
     return int(spark.conf.get(BROADCAST_MAX_ROWS_KEY, str(BROADCAST_MAX_ROWS_DEFAULT)))

@@ -1,12 +1,16 @@
-"""Sinks (S6, S8-S10): keyed messages, append-only Parquet / CSV, and an
-idempotent per-batch writer for ``foreachBatch``."""
+"""Sinks (S6, S8-S10): keyed messages, append-only Parquet / CSV, and a per-batch
+writer for ``foreachBatch`` that publishes each batch once."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from stationflow.session import exists, publish
+
 
 def write_messages(messages: DataFrame, *, sink: str = "files", path: str | None = None,
                    topic: str | None = None, bootstrap_servers: str | None = None,
@@ -50,18 +54,18 @@ def append_parquet(df: DataFrame, path: str, partition_by: list[str] | None = No
     w.parquet(path)
 
 
-def write_batch(df: DataFrame, path: str, batch_id: int, *, fmt: str = "parquet") -> None:
-    """Write one micro-batch under ``batch_id=<n>`` with dynamic partition
-    overwrite: a batch replayed after a failure replaces its own earlier output
-    instead of duplicating it, so the sink is exactly-once per batch id."""
+def write_batch(df: DataFrame, path: str, batch_id: int, *, fmt: str = "parquet") -> bool:
+    """Publish one micro-batch as the folder ``batch_id=<n>``, once: it is written to a
+    hidden folder, which readers skip, and renamed when it is whole. A batch
+    replayed after a failure finds its folder and leaves it, so batch readers and
+    streams that follow the folder get every row once. False: it was there."""
     if fmt not in ("parquet", "csv", "json"):
         raise ValueError(f"unknown format {fmt!r}")
-    out = df.withColumn("batch_id", F.lit(batch_id).cast("long"))
-    if fmt == "csv":
-        out = flatten_structs(out)
-    w = (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("batch_id"))
-    if fmt == "csv":
-        w.option("header", "true").csv(path)
-    else:
-        w.format(fmt).save(path)
+    spark = df.sparkSession
+    target = f"{path.rstrip('/')}/batch_id={int(batch_id)}"
+    if exists(spark, target):
+        return False
+    staged = f"{path.rstrip('/')}/_staged/{uuid.uuid4().hex}"
+    writer = (flatten_structs(df) if fmt == "csv" else df).write.format(fmt)
+    (writer.option("header", "true") if fmt == "csv" else writer).save(staged)
+    return publish(spark, staged, target)

@@ -30,8 +30,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from stationflow.operators import metrics as M
 from stationflow.operators import normalize as N
-from stationflow.operators.join import buckets_in_span, join_feeds, time_span_seconds
+from stationflow.operators.join import SALT_BUCKETS, buckets_in_span, join_feeds, time_span_seconds
 from stationflow.sources.sinks import write_batch
+from stationflow.streaming.record import check_settings
 
 WATERMARK = "1 minute"
 PREVIEW_ROWS = 20
@@ -145,13 +146,18 @@ def start_feeds_stream(info: DataFrame, status: DataFrame, weather: DataFrame, *
                        sink_path: str, checkpoint_path: str, mode: str = "event_time",
                        window_duration: str = M.WINDOW_DURATION,
                        trigger: dict | None = None, fmt: str = "parquet",
-                       query_name: str | None = None) -> StreamingQuery:
+                       query_name: str | None = None, salt_buckets: int = SALT_BUCKETS,
+                       settings: dict | None = None) -> StreamingQuery:
     """Start the report over parsed, watermarked feed streams (info:
     key, station_id, capacity, info_timestamp; status: key, station_id,
     num_bikes_available, status_timestamp; weather: timestamp, temperature,
     wind_speed, cloudiness) - from ``watermarked_feeds`` or from any typed
-    streaming source with watermarks on those time columns."""
-    joined = join_feeds(info, status, weather)
+    streaming source with watermarks on those time columns. What the state depends on
+    (``settings`` are more of it) is stored beside the checkpoint, and a restart with
+    other values is refused."""
+    check_settings(info.sparkSession, checkpoint_path, {
+        **(settings or {}), "mode": mode, "window_duration": window_duration, "salt_buckets": salt_buckets})
+    joined = join_feeds(info, status, weather, salt_buckets=salt_buckets)
     seconds = M.duration_seconds(window_duration)
     if mode == "snapshot":
         stream, body = joined, _report_batch(_SnapshotReport(window_duration), sink_path,
@@ -179,7 +185,8 @@ def start_utilization_stream(info_msgs: DataFrame, status_msgs: DataFrame,
                              window_duration: str = M.WINDOW_DURATION,
                              trigger: dict | None = None, fmt: str = "parquet",
                              query_name: str | None = None,
-                             dedupe_messages: bool = False) -> StreamingQuery:
+                             dedupe_messages: bool = False,
+                             salt_buckets: int = SALT_BUCKETS) -> StreamingQuery:
     """Start the job on the three keyed message streams; returns the query.
 
     ``trigger`` is passed to ``DataStreamWriter.trigger`` (for example
@@ -191,7 +198,8 @@ def start_utilization_stream(info_msgs: DataFrame, status_msgs: DataFrame,
     return start_feeds_stream(info, status, weather, sink_path=sink_path,
                               checkpoint_path=checkpoint_path, mode=mode,
                               window_duration=window_duration, trigger=trigger, fmt=fmt,
-                              query_name=query_name)
+                              query_name=query_name, salt_buckets=salt_buckets,
+                              settings={"watermark": watermark, "dedupe_messages": dedupe_messages})
 
 
 def dropped_by_watermark(query: StreamingQuery) -> int:

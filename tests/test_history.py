@@ -95,3 +95,37 @@ def test_corrupt_part_is_listed(spark, tmp_shared):
     combine_history(spark, tmp_shared, SCHEMA, quarantine_path=f"{tmp_shared}_bad")
     listed = spark.read.json(f"{tmp_shared}_bad").collect()
     assert len(listed) == 1 and listed[0]._file.endswith("p2.csv.gz")
+
+
+def _add_up(spark, base, n_lines):
+    good, bad = read_csv_parts(spark, base, SCHEMA, with_quarantine=True)
+    rows, listed = [tuple(r) for r in good.collect()], bad.collect()
+    assert len(rows) + sum(r._line is not None for r in listed) == n_lines
+    return rows, listed
+
+
+def test_rows_that_do_not_fit_are_listed(spark, tmp_shared):
+    _write(tmp_shared, "p1.csv", 'a,b,c\nx,1,u\ny,zz,v\n"q\nr",3,w\nk,5\nm,6,n,o\na,b,c\n')
+    rows, listed = _add_up(spark, tmp_shared, 6)
+    assert sorted(rows) == [("q\nr", 3, "w"), ("x", 1, "u")]
+    assert sorted(r._line for r in listed) == ["a,b,c", "k,5", "m,6,n,o", "y,zz,v"]
+    only_a = read_csv_parts(spark, tmp_shared, SCHEMA).select("a").collect()
+    assert sorted(r.a for r in only_a) == ["q\nr", "x"]
+
+
+def test_part_that_breaks_off_is_listed(spark, tmp_shared):
+    import gzip
+    import random
+    draw = random.Random(1)
+    whole = gzip.compress("".join(["a,b,c\n"] + [f"x{draw.random()},{i},u\n" for i in range(50_000)]).encode())
+    folder = local_fs_path(tmp_shared)
+    os.makedirs(folder)
+    for name, data in (("cut.csv.gz", whole[:len(whole) // 2]), ("whole.csv.gz", whole), ("two.csv.gz", whole + gzip.compress(b"y,1,v\n"))):
+        with open(os.path.join(folder, name), "wb") as fh:
+            fh.write(data)
+    good, bad = read_csv_parts(spark, tmp_shared, SCHEMA, with_quarantine=True)
+    listed = bad.collect()
+    assert good.count() == 100_001
+    with pytest.raises(OSError):
+        read_csv_parts(spark, tmp_shared, SCHEMA, skip_unreadable=False)
+    assert [(os.path.basename(r._file), r._reason) for r in listed if r._line is None] == [("cut.csv.gz", "breaks off")]

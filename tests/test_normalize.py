@@ -92,8 +92,22 @@ def test_to_messages_keeps_null_fields(spark):
 
 
 def test_unreadable_weather_is_quarantined(spark):
-    from stationflow.operators import normalize as N
-    rows = spark.createDataFrame([("t1", '{"main": {"temp": 1.5}}'), ("t1", "not json"), ("t1", "{}"), ("t1", None)],
-                                 "stamp string, payload string")
+    rows = spark.createDataFrame(
+        [("t1", '{"main": {"temp": 1.5}}'), ("t1", '{"id": 7, "wind": {"speed": 2.5}, "clouds": {"all": 40}}'), ("t1", "{}"),
+         ("t1", "not json"), ("t1", "[1]"), ("t1", '{"main": 5}'), ("t1", ""), ("t1", None)],
+        "stamp string, payload string")
     good, bad = N.flatten_weather_payloads(rows, with_quarantine=True)
-    assert good.count() == 1 and bad.count() == 3
+    values = sorted((m.key, json.loads(m.value)["temperature"], json.loads(m.value)["windspeed"]) for m in good.collect()
+                    if m.key == "7_t1" or json.loads(m.value)["temperature"])
+    assert values == [("7_t1", None, 2.5), ("weather_t1", 1.5, None)]
+    assert good.count() == 3 and bad.count() == 5
+
+
+def test_forecast_without_a_list_is_quarantined(spark):
+    rows = spark.createDataFrame(
+        [(1, '{"list": [{"dt": 0, "main": {"temp": 1.5}}]}'), (2, '{"list": []}'), (3, "{}"), (4, "no json"), (5, None)],
+        "day int, payload string")
+    for horizons in ("first", "all"):
+        good, bad = N.flatten_forecast(rows, horizons=horizons, with_quarantine=True)
+        assert [r.day for r in good.collect()] == [1]
+        assert sorted(r.day for r in bad.collect()) == [2, 3, 4, 5] and bad.columns == ["reason", "day", "payload"]

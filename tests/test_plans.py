@@ -56,3 +56,23 @@ def test_hot_keys_are_salted_beyond_the_bound(spark, no_auto_broadcast):
         spark.conf.unset("stationflow.broadcast.maxRows")
     assert "BroadcastExchange" not in plan
     assert plan.count("xxhash64(station_id") >= 2  # weather join and totals join
+
+
+def test_weather_payload_is_parsed_once(spark):
+    from stationflow.operators import normalize as N
+    rows = spark.createDataFrame([("t", "{}")], "stamp string, payload string")
+    msgs, bad = N.flatten_weather_payloads(rows, with_quarantine=True)
+    for df in (msgs, bad):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert len(re.findall(r"from_json\(", plan)) == 1
+
+
+def test_days_are_pruned(spark, tmp_shared):
+    import datetime as dt
+    from stationflow.operators.history import append_daily, read_days
+    append_daily(report_from_events(spark, SF_SMALL), tmp_shared)
+    some = read_days(spark, tmp_shared, dt.date(2024, 1, 5), dt.date(2024, 1, 6))
+    plan = _executed(some)
+    assert re.search(r"PartitionFilters: \[.*window_date.*>=.*window_date.*<=", plan)
+    assert {r.d for r in some.selectExpr("to_date(window_start) AS d").distinct().collect()} == \
+        {dt.date(2024, 1, 5), dt.date(2024, 1, 6)}

@@ -66,3 +66,22 @@ def test_scoring_rows_accept_ints(spark):
 def test_ingest_stamp_is_iso_utc(spark):
     stamp = spark.range(1).select(ingest_stamp().alias("s")).first().s
     assert stamp.endswith("Z") and "T" in stamp
+
+
+def test_replayed_batch_reaches_a_stream_once(spark, tmp_shared):
+    """A file stream that follows the folder between two attempts of a batch."""
+    msgs = spark.createDataFrame([("a", "1"), ("b", "2")], "key string, value string")
+
+    def follow():
+        q = (read_messages(spark, path=f"{tmp_shared}/msgs").writeStream.format("json")
+             .option("path", f"{tmp_shared}/seen").option("checkpointLocation", f"{tmp_shared}/ckpt")
+             .trigger(availableNow=True).start())
+        q.awaitTermination()
+        return sorted(r.key for r in spark.read.schema("key string, value string").json(f"{tmp_shared}/seen").collect())
+
+    write_messages(msgs, path=f"{tmp_shared}/msgs", batch_id=7)
+    assert follow() == ["a", "b"]
+    write_messages(msgs, path=f"{tmp_shared}/msgs", batch_id=7)
+    assert follow() == ["a", "b"]
+    write_messages(msgs, path=f"{tmp_shared}/msgs", batch_id=8)
+    assert follow() == ["a", "a", "b", "b"]
