@@ -49,7 +49,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stationflow.llm import textarrays as T
-from stationflow.llm.store import least_step, saved, tidy
+from stationflow.llm.store import joined_by_class, least_step, saved, tidy, with_plain_names
 from stationflow.session import broadcast_max_rows
 
 WORDS = 3
@@ -66,14 +66,12 @@ COLUMNS = 4096
 
 def shingle_sets(t: T.Texts, n: int = WORDS) -> list[np.ndarray]:
     """The sorted distinct shingle hashes of each row (A-Z lower-cased)."""
-    data = T.LOWER[t.data]
-    w = T.words(t)
-    if not len(w.start):
+    hashes, first = T.word_hashes(t, lower=True)
+    if not len(hashes):
         return [np.zeros(0, np.uint64)] * t.rows
-    hashes = T.span_hashes(data, w.start, w.end)
     grams = T.combine(hashes, n)
     out = []
-    for a, b in zip(w.first[:-1].tolist(), w.first[1:].tolist()):
+    for a, b in zip(first[:-1].tolist(), first[1:].tolist()):
         if b - a >= n:
             out.append(np.unique(grams[a:b - n + 1]))
         elif b > a:
@@ -521,10 +519,13 @@ def jaccard_components(docs: DataFrame, n_words: int = WORDS, percent: int = PER
     total = rooted.groupBy("r1", "r2").agg(F.min("least").alias("component_id"))
     answer = rooted.join(total, ["r1", "r2"]).join(degree, ["s1", "s2"], "left").select(
         "s1", "s2", "component_id", "n_links", "r1", "r2")
-    return (described.join(answer, ["s1", "s2"], "left")
-            .select("doc_id", "th", F.col("n").alias("n_shingles"),
-                    F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
-                    F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"), "r1", "r2"))
+    none = F.lit(None).cast("long")
+    return (joined_by_class(described.where("n > 0"), answer, ["s1", "s2"])
+            .select("doc_id", "th", F.col("n").alias("n_shingles"), "component_id",
+                    F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"), "r1", "r2")
+            .unionByName(described.where("n = 0").select(
+                "doc_id", "th", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"),
+                F.lit(0).cast("long").alias("n_links"), none.alias("r1"), none.alias("r2"))))
 
 
 def links(docs: DataFrame, n_words: int = WORDS, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
@@ -536,6 +537,7 @@ def links(docs: DataFrame, n_words: int = WORDS, percent: int = PERCENT) -> tupl
             described.select("doc_id", F.col("n").alias("n_shingles"), "s1", "s2"))
 
 
+@with_plain_names
 def keep_one(docs: DataFrame, n_words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """One row of each component with all its columns: that of the smallest
     doc_id (null ids last; of several texts one, of repeated rows one). Rows

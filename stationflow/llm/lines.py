@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stationflow.llm.store import saved
+from stationflow.llm.store import saved, with_plain_names
 
 SPACE = " \t\n\x0b\x0c\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -135,6 +135,7 @@ def drops(keys: DataFrame, runs: LineRuns, min_docs: int) -> DataFrame:
     return found.groupBy("doc_id", "t").agg(F.collect_set("pos").alias("drop"))
 
 
+@with_plain_names
 def drop_common_lines(docs: DataFrame, min_docs: int) -> DataFrame:
     """All columns of ``docs`` with the common lines gone from ``text``, and
     ``_n_lines`` (before), ``_n_dropped``."""
@@ -149,6 +150,7 @@ def drop_common_lines(docs: DataFrame, min_docs: int) -> DataFrame:
         F.coalesce(F.size("_drop"), F.lit(0)).cast("long").alias("_n_dropped"))
 
 
+@with_plain_names
 def drop_repeated_lines(docs: DataFrame, min_docs: int) -> DataFrame:
     """All columns of ``docs``; of lines whose key ``min_docs`` distinct texts hold,
     those of the first text that holds it stay (by its smallest doc_id, null ids

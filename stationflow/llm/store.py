@@ -10,7 +10,7 @@ import ctypes
 import shutil
 import tempfile
 from collections.abc import Callable, Iterator
-from functools import lru_cache
+from functools import lru_cache, wraps
 from pathlib import Path
 
 import pyarrow as pa
@@ -80,6 +80,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def with_plain_names(step: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """A step on documents that gives back their columns: while it works, the columns
+    other than doc_id and text have names that clash with none of its own."""
+
+    @wraps(step)
+    def run(docs: DataFrame, *args, **kwargs) -> DataFrame:
+        plain = [c if c in ("doc_id", "text") else f"other{i}" for i, c in enumerate(docs.columns)]
+        out = step(docs.toDF(*plain), *args, **kwargs)
+        back = dict(zip(plain, docs.columns))
+        return out.select(*(F.col(c).alias(back.get(c, c)) for c in out.columns))
+
+    return run
+
+
 def least_step(df: DataFrame, step: Column, limit: int, weight: Column | None = None) -> int:
     """The least value of the integer ``step`` (of which there are few) such that
     the rows from it on (or the sum of their ``weight``) are at most ``limit``: a

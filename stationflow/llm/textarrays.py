@@ -117,7 +117,7 @@ def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndar
     return mix(inside + (end - start).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
-def _pieces(data: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
+def pieces(data: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
     """Cut the bytes of one text behind white space into pieces of at most ``limit``
     bytes. A word of ``limit`` bytes or more is a piece of its own."""
     a, n = 0, len(data)
@@ -144,7 +144,7 @@ def word_hashes(texts: Texts, lower: bool = False, limit: int = SLICE_BYTES) ->
         data = LOWER[texts.data] if lower else texts.data
         return span_hashes(data, w.start, w.end) if len(w.start) else np.zeros(0, np.uint64), w.first
     out = []
-    for a, b in _pieces(texts.data, limit):
+    for a, b in pieces(texts.data, limit):
         data = LOWER[texts.data[a:b]] if lower else texts.data[a:b]
         if b - a >= limit and not SPACE[data].any():
             whole = hashlib.blake2b(data.tobytes(), digest_size=8).digest()

@@ -1,15 +1,16 @@
 """Operator 10: toxicity by maximum-scoring segments of token log-odds.
 
-1. Tokens are runs of letters, lower-cased. A token is counted under several
-   names: its whole form and its beginnings of 4 to 8 bytes, so that a rare
-   form can borrow the evidence of its stem. For each name the log-odds between
-   toxic and other labelled documents are taken under a Dirichlet prior in
-   proportion to the name's share of all documents, with their standard error.
-2. A token's score is the log-odds of its most significant name, if that is
-   significant at all; any other token costs ``DRIFT``.
-3. The scan of Ruzzo and Tompa finds all maximal scoring segments of a document
-   in linear time (tokens that only cost are taken a run at a time).
-4. Extreme-value statistics (Karlin-Altschul) turn a segment's score into the
+1. Tokens are runs of letters, lower-cased. For each token of the training rows the
+   log-odds between toxic and other documents are taken from the documents that hold
+   it, under a Dirichlet prior of ``PRIOR`` documents for every token, split as the
+   classes share all tokens. So a token seen once or twice says little, and every
+   counted token has a signed score, however weak. A token that was never seen costs
+   ``DRIFT``.
+2. The scan of Ruzzo and Tompa finds all maximal scoring segments of a document in
+   linear time: only tokens of positive score begin or end one, the others are in
+   the running total; a candidate keeps a link to the nearest earlier one that
+   starts lower, so none is passed over twice.
+3. Extreme-value statistics (Karlin-Altschul) turn a segment's score into the
    number of such segments expected by chance in a clean text of that length.
    The evidence of the significant segments is summed and calibrated to a
    probability on training rows that the scores were not learned from: a
@@ -36,21 +37,18 @@ from pyspark.sql import functions as F
 from stationflow.llm import hashed as H
 from stationflow.llm import textarrays as T
 from stationflow.llm.quality_rank import remainder
-from stationflow.llm.store import least_step, saved
+from stationflow.llm.store import tidy
 
-# Training rows of each label at most.
+# Training rows of each label at most; the tokens of these rows are all that the model holds.
 ROWS_PER_CLASS = 20_000
-# Names with scores at most: those of the highest significance.
-LEXICON = 50_000
 STEMS = (4, 5, 6, 7, 8)
-PRIOR = 10.0
-MIN_DOCS = 3
-MIN_Z = 3.0
-# Common words lean a little to either side with the lengths of documents; only
-# names that are several times likelier in toxic ones tell a passage.
-MIN_ODDS = 1.5
+PRIOR = 2.0
+# Log-odds of a significance (in standard deviations) like this count half.
+FIRM = 8.0
 DRIFT = 0.05
 CUT = 0.5
+# Scores of tokens are counted in steps of 1 / STEPS for the decay of chance scores.
+STEPS = 64
 
 _LETTER = np.zeros(256, bool)
 _LETTER[[*range(65, 91), *range(97, 123), *range(0x80, 0x100)]] = True
@@ -95,22 +93,26 @@ def tokens(t: T.Texts) -> Tokens:
 
 
 def names(k: Tokens) -> list[tuple[np.ndarray, np.ndarray]]:
-    """For each kind of name: the forms that have it, and its hash."""
+    """For each kind of name (the whole form; its first ``STEMS`` bytes, to the end of
+    a character): the forms that have it, and its hash."""
     start, end = k.start[k.place], k.end[k.place]
     if not len(start):
         return []
     out = [(np.arange(len(start)), T.span_hashes(k.data, start, end))]
+    inside = np.append((k.data & 0xC0) == 0x80, np.zeros(4, bool))
     for n in STEMS:
-        long = np.flatnonzero(end - start >= n)
+        stop = start + n
+        for _ in range(3):
+            stop = stop + inside[np.minimum(stop, len(k.data))]
+        long = np.flatnonzero(stop <= end)
         if len(long):
-            h = T.span_hashes(k.data, start[long], start[long] + n)
-            out.append((long, T.mix(h + np.uint64(n))))
+            out.append((long, T.mix(T.span_hashes(k.data, start[long], stop[long]) + np.uint64(n))))
     return out
 
 
 @dataclass(frozen=True)
 class Model:
-    """Sorted name hashes with log-odds and significance, extreme-value
+    """Sorted hashes of names with their log-odds and significance, extreme-value
     parameters, and the calibration of the evidence."""
 
     hash: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint64))
@@ -122,55 +124,70 @@ class Model:
     bias: float = -30.0
 
 
-def form_scores(k: Tokens, model: Model) -> np.ndarray:
-    """Score of each distinct form: the log-odds of its most significant name."""
-    best = np.zeros(len(k.place))
+def token_scores(k: Tokens, model: Model) -> np.ndarray:
+    """Score of each token: the log-odds of its most significant name, as far as they
+    are, or the drift."""
+    if not len(k.codes):
+        return np.zeros(0)
+    best = np.full(len(k.place), -1.0)
     out = np.full(len(k.place), -DRIFT)
     if len(model.hash):
         for who, h in names(k):
             at = np.minimum(np.searchsorted(model.hash, h), len(model.hash) - 1)
-            hit = (model.hash[at] == h) & (model.z[at] > best[who])
-            best[who[hit]] = model.z[at[hit]]
+            hit = (model.hash[at] == h) & (np.abs(model.z[at]) > best[who])
+            best[who[hit]] = np.abs(model.z[at[hit]])
             out[who[hit]] = model.odds[at[hit]]
-    return out
+    return out[k.codes]
 
 
-def maximal_segments(at: list[int], score: list[float], drift: float = DRIFT) -> list[tuple[int, int, float]]:
-    """All maximal scoring segments (first, last, score) of a sequence in which
-    the tokens ``at`` have positive scores and each other token costs ``drift``.
-    Each candidate keeps the running total before it (left) and after it
-    (right); a new one is joined to the nearest earlier one that starts lower,
+def maximal_segments(score: np.ndarray) -> list[tuple[int, int, float]]:
+    """All maximal scoring segments (first, last, score) of a sequence of scores.
+    Each candidate keeps the running total before it (left) and after it (right)
+    and its link; a new one is joined to the nearest earlier one that starts lower,
     unless that one's end is at least as high."""
-    held: list[list] = []               # first, last, left, right
-    total, before = 0.0, -1
-    for p, s in zip(at, score):
-        total -= drift * (p - before - 1)
-        new = [p, p, total, total + s]
-        total, before = total + s, p
+    total = np.concatenate(([0.0], np.cumsum(score)))
+    at = np.flatnonzero(score > 0)
+    held: list[tuple] = []              # first, last, left, right, link
+    for p, left, right in zip(at.tolist(), total[at].tolist(), total[at + 1].tolist()):
+        first, j = p, len(held) - 1
         while True:
-            j = len(held) - 1
-            while j >= 0 and held[j][2] >= new[2]:
-                j -= 1
-            if j < 0 or held[j][3] >= new[3]:
+            while j >= 0 and held[j][2] >= left:
+                j = held[j][4]
+            if j < 0 or held[j][3] >= right:
                 break
-            new[0], new[2] = held[j][0], held[j][2]
+            first, _, left, _, link = held[j]
             del held[j:]
-        held.append(new)
-    return [(a, b, r - left) for a, b, left, r in held]
+            j = link
+        held.append((first, p, left, right, j))
+    return [(a, b, r - left) for a, b, left, r, _ in held]
+
+
+@dataclass(frozen=True)
+class Scored:
+    """Tokens of a run of rows with their scores: token ``i`` of row ``r`` is at
+    ``first[r] + i``."""
+
+    score: np.ndarray
+    start: np.ndarray
+    end: np.ndarray
+    first: np.ndarray
+
+    def segments(self) -> list[list[tuple[int, int, float]]]:
+        """Maximal segments of each row, in tokens of the row."""
+        return [maximal_segments(self.score[a:b]) for a, b in zip(self.first[:-1].tolist(), self.first[1:].tolist())]
 
 
-def segments_of(t: T.Texts, model: Model) -> tuple[list[list[tuple[int, int, float]]], Tokens]:
-    """Maximal segments of each row, in tokens of the row."""
-    k = tokens(t)
-    score = form_scores(k, model)[k.codes] if len(k.codes) else np.zeros(0)
-    hit = np.flatnonzero(score > 0)
-    first = np.searchsorted(hit, k.first)
-    out: list[list[tuple[int, int, float]]] = []
-    for i in range(t.rows):
-        a, b = first[i], first[i + 1]
-        own = hit[a:b]
-        out.append(maximal_segments((own - k.first[i]).tolist(), score[own].tolist()) if b > a else [])
-    return out, k
+def scored_tokens(t: T.Texts, model: Model) -> Scored:
+    """A text longer than a slice is worked in pieces that end at white space."""
+    if t.rows != 1 or len(t.data) <= T.SLICE_BYTES:
+        k = tokens(t)
+        return Scored(token_scores(k, model), k.start, k.end, k.first)
+    parts = []
+    for a, b in T.pieces(t.data, T.SLICE_BYTES):
+        k = tokens(T.Texts(t.first, t.data[a:b], np.array([0, b - a])))
+        parts.append((token_scores(k, model), k.start + a, k.end + a))
+    score, start, end = map(np.concatenate, zip(*parts))
+    return Scored(score, start, end, np.array([0, len(score)]))
 
 
 def evidence(segments: list[tuple[int, int, float]], n: int, model: Model) -> float:
@@ -196,74 +213,67 @@ def solve_rate(values: np.ndarray, weights: np.ndarray) -> float:
 
 
 def lexicon(rows: DataFrame) -> Model:
-    """Log-odds under the Dirichlet prior, from documents that hold a name."""
+    """Log-odds of all names of the (bounded) training rows."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             label = batch.column("label").to_numpy()
-            for t in T.slices(batch.column("text"), 4 << 20):
+            for t in T.slices(batch.column("text")):
                 k = tokens(t)
                 row = np.repeat(np.arange(t.rows), np.diff(k.first))
-                pair = np.unique(row * np.int64(len(k.place) + 1) + k.codes)
-                doc, form = pair // (len(k.place) + 1), pair % (len(k.place) + 1)
-                hashes, toxic = [], []
                 for who, h in names(k):
-                    known = np.zeros(len(k.place), bool)
-                    known[who] = True
-                    own = known[form]
-                    at = np.zeros(len(k.place), np.uint64)
-                    at[who] = h
-                    codes, distinct = pd.factorize(at[form[own]])
-                    one = np.unique(doc[own] * np.int64(len(distinct) + 1) + codes)
-                    hashes.append(distinct[one % (len(distinct) + 1)])
-                    toxic.append(label[t.first + one // (len(distinct) + 1)])
-                if hashes:
-                    codes, distinct = pd.factorize(np.concatenate(hashes))
-                    y = np.concatenate(toxic).astype(np.float64)
-                    n1 = np.bincount(codes, y, len(distinct)).astype(np.int64)
-                    n = np.bincount(codes, minlength=len(distinct))
+                    # Each name once a document: names of the slice by number, 0 for none.
+                    codes, distinct = pd.factorize(h)
+                    number = np.zeros(len(k.place), np.int64)
+                    number[who] = codes + 1
+                    pair = np.unique(row * np.int64(len(distinct) + 1) + number[k.codes])
+                    doc, name = pair // (len(distinct) + 1), pair % (len(distinct) + 1)
+                    n1 = np.bincount(name, label[t.first + doc], len(distinct) + 1).astype(np.int64)[1:]
+                    n = np.bincount(name, minlength=len(distinct) + 1)[1:]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(distinct.astype(np.int64)), pa.array(n - n1), pa.array(n1)],
-                        names=["h", "n0", "n1"])
-
-    size = {r.label: r["count"] for r in rows.groupBy("label").count().collect()}
-    d0, d1 = size.get(0, 0), size.get(1, 0)
-    counted = rows.select("text", "label").mapInArrow(count, "h long, n0 long, n1 long") \
-        .groupBy("h").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
-    prior = PRIOR * (F.col("n0") + F.col("n1")) / (d0 + d1)
-    side = lambda n, d: F.log((n + prior) / (d + PRIOR - n - prior))
-    scored = (counted.where(F.col("n1") >= MIN_DOCS)
-              .withColumn("odds", side(F.col("n1"), d1) - side(F.col("n0"), d0))
-              .withColumn("z", F.col("odds") / F.sqrt(1 / (F.col("n1") + prior) + 1 / (F.col("n0") + prior)))
-              .where((F.col("z") >= MIN_Z) & (F.col("odds") >= MIN_ODDS)).select("h", "odds", "z"))
-    scored = saved(scored, "lexicon")
-    step = F.floor(F.col("z") * 16).cast("int")
-    got = scored.where(step >= least_step(scored, step, LEXICON)).collect()
-    h = np.array([r.h for r in got], np.int64).astype(np.uint64)
-    order = np.argsort(h)
-    return Model(h[order], np.array([r.odds for r in got])[order], np.array([r.z for r in got])[order])
-
-
-def _observed(rows: DataFrame, model: Model) -> list:
-    """Per row: label, tokens, best segment, all segment scores, and how often
-    each score of a name occurs (bounded training rows only)."""
+                        [pa.array(distinct.astype(np.int64)), pa.array(n - n1), pa.array(n1)], names=["h", "n0", "n1"])
+
+    got = rows.select("text", "label").mapInArrow(tidy(count), "h long, n0 long, n1 long") \
+        .groupBy("h").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).toArrow()
+    h, n0, n1 = (got.column(c).to_numpy() for c in ("h", "n0", "n1"))
+    h, order = h.astype(np.uint64), np.argsort(h.astype(np.uint64))
+    share = n1.sum() / max(n1.sum() + n0.sum(), 1)
+    if not 0 < share < 1:
+        return Model()
+    one, zero = n1 + PRIOR * share, n0 + PRIOR * (1 - share)
+    odds = np.log(one / share) - np.log(zero / (1 - share))
+    # Significance: twice the log of the likelihood ratio against no difference.
+    n = n0 + n1
+    ratio = 2 * (n1 * np.log(np.maximum(n1, 1) / (n * share)) + n0 * np.log(np.maximum(n0, 1) / (n * (1 - share))))
+    ratio = np.maximum(ratio, 0)
+    return Model(h[order], (odds * ratio / (ratio + FIRM ** 2))[order], np.sqrt(ratio)[order])
+
+
+def _observed(rows: DataFrame, model: Model) -> tuple[list, dict[int, int]]:
+    """Per training row: label, tokens and the scores of all segments; and how often
+    each score (in steps) of a token occurs in clean rows."""
     shared = rows.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for t in T.slices(batch.column("text")):
-                found, k = segments_of(t, shared.value)
-                score = form_scores(k, shared.value)[k.codes] if len(k.codes) else np.zeros(0)
-                n = np.diff(k.first)
+                k = scored_tokens(t, shared.value)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("label").slice(t.first, t.rows), pa.array(n),
-                     pa.array([[s for _, _, s in f] for f in found], pa.list_(pa.float64())),
-                     pa.array([(lambda v: v[v > 0].tolist())(score[k.first[i]:k.first[i + 1]])
-                               for i in range(t.rows)], pa.list_(pa.float64()))],
-                    names=["label", "n", "scores", "positive"])
+                    [batch.column("label").slice(t.first, t.rows), pa.array(np.diff(k.first)),
+                     pa.array([[s for _, _, s in f] for f in k.segments()], pa.list_(pa.float64()))],
+                    names=["label", "n", "scores"])
+
+    def steps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for t in T.slices(batch.column("text")):
+                own = np.rint(scored_tokens(t, shared.value).score * STEPS).astype(np.int64)
+                step, n = np.unique(own, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(step), pa.array(n)], names=["step", "n"])
 
-    return rows.select("text", "label").mapInArrow(
-        run, "label int, n long, scores array<double>, positive array<double>").collect()
+    seen = rows.select("text", "label").mapInArrow(run, "label int, n long, scores array<double>").collect()
+    counted = rows.where("label = 0").select("text").mapInArrow(steps, "step long, n long") \
+        .groupBy("step").agg(F.sum("n").alias("n")).collect()
+    return seen, {r.step: r.n for r in counted}
 
 
 def train(docs: DataFrame, labels: DataFrame, rows_per_class: int = ROWS_PER_CLASS) -> Model:
@@ -273,14 +283,12 @@ def train(docs: DataFrame, labels: DataFrame, rows_per_class: int = ROWS_PER_CLA
         return Model(bias=30.0 if shares.get(1) else -30.0)
     rows = H.training_rows(docs, labels, rows_per_class)
     words = lexicon(rows.where("fold > 0"))
-    seen = _observed(rows.where("fold = 0"), words)
+    seen, steps = _observed(rows.where("fold = 0"), words)
     label = np.array([r.label for r in seen], np.int64)
     if len(np.unique(label)) < 2:
         return words
     clean = [r for r in seen if r.label == 0]
-    positive = np.array([v for r in clean for v in r.positive])
-    n_clean = sum(r.n for r in clean)
-    rate = solve_rate(np.append(positive, -DRIFT), np.append(np.ones(len(positive)), max(n_clean - len(positive), 1)))
+    rate = solve_rate(np.array(list(steps)) / STEPS, np.array(list(steps.values()), float))
     top = np.array([max(r.scores, default=0.0) for r in clean])
     size = np.array([max(r.n, 1) for r in clean])
     k = len(clean) / max((size * np.exp(-rate * top)).sum(), 1e-9)
@@ -318,8 +326,8 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
         m = shared.value
         for batch in batches:
             for t in T.slices(batch.column("text")):
-                found, k = segments_of(t, m)
-                n = np.diff(k.first).tolist()
+                k = scored_tokens(t, m)
+                found, n = k.segments(), np.diff(k.first).tolist()
                 p = np.array([probability(f, c, m) for f, c in zip(found, n)])
                 passages = [sum(m.rate * s > math.log(max(m.k * max(c, 1), 1e-12)) for _, _, s in f)
                             for f, c in zip(found, n)]
@@ -329,7 +337,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
                     names=["doc_id", "score", "predicted", "n_passages"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        run, "doc_id long, score double, predicted int, n_passages long")
+        tidy(run), "doc_id long, score double, predicted int, n_passages long")
 
 
 def passages(docs: DataFrame, model: Model) -> DataFrame:
@@ -343,8 +351,8 @@ def passages(docs: DataFrame, model: Model) -> DataFrame:
             keys = batch.column("doc_id").to_pylist()
             out = []
             for t in T.slices(batch.column("text")):
-                found, k = segments_of(t, m)
-                for i, own in enumerate(found):
+                k = scored_tokens(t, m)
+                for i, own in enumerate(k.segments()):
                     n, base = int(k.first[i + 1] - k.first[i]), int(k.first[i])
                     for a, b, s in own:
                         expected = m.k * n * math.exp(-m.rate * s)

@@ -7,6 +7,7 @@ import collections
 import hashlib
 import itertools
 import re
+import time
 import types
 import zlib
 
@@ -15,7 +16,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from stationflow.llm import collocations, jaccard, merkle, minmax, store
+from stationflow.llm import collocations, jaccard, lines, merkle, minmax, store, toxicity
 from stationflow.llm import textarrays as T
 from test_operators import BASE, LOW, ROWS, WORDS
 
@@ -327,3 +328,79 @@ def test_scores_are_exact(spark):
     assert got["a b"] == (10 ** 6 * big * big // ((2 * big + 1) * (3 * big + 2)), 2 * big + 1, 3 * big + 2)
     assert got["a b c"] == (0, 2 * big + 1, 12)                  # both cuts floor to 0: the first counts
     assert collocations.not_inside(collocations.scored(counts)).where(F.col("phrase") == "b c").count() == 0
+
+
+# --- operator 10, names of columns ---------------------------------------------------
+
+
+def test_segments_take_linear_time():
+    """Hits far apart, each a candidate of its own, and slowly rising ones."""
+    def seconds(n):
+        score = np.full(100 * n, -0.05)
+        score[::100] = np.linspace(1, 2, n)
+        best = 9.0
+        for _ in range(3):
+            t0 = time.process_time()
+            found = toxicity.maximal_segments(score)
+            best = min(best, time.process_time() - t0)
+        assert len(found) == n
+        return best
+
+    assert seconds(100_000) < 40 * seconds(10_000) + 0.5
+
+
+def test_toxic_scores_equal_a_plain_count(spark):
+    """Log-odds of whole forms and stems from a plain count of documents, then the
+    segments by their definition."""
+    rng = np.random.default_rng(8)
+    rows = [(i, " ".join(["aha", "bee", "cow", "nasty" if i % 4 == 0 and i % 3 else "deer"] + [f"w{rng.integers(30)}" for _ in range(6)]),
+             int(i % 4 == 0)) for i in range(80)]
+    store.ship(spark)
+    model = toxicity.lexicon(spark.createDataFrame(rows, "doc_id long, text string, label int"))
+    counts = {0: collections.Counter(), 1: collections.Counter()}
+    for _, text, label in rows:
+        forms = set(re.findall("[a-z]+", text))
+        counts[label].update({(f, 0) for f in forms} | {(f[:n], n) for f in forms for n in toxicity.STEMS if len(f) >= n})
+    share = sum(counts[1].values()) / (sum(counts[0].values()) + sum(counts[1].values()))
+
+    def name(key):
+        n1, n0 = counts[1][key], counts[0][key]
+        odds = np.log((n1 / share + toxicity.PRIOR) / (n0 / (1 - share) + toxicity.PRIOR))
+        ratio = 2 * sum(c * np.log(c / ((n0 + n1) * p)) for c, p in ((n1, share), (n0, 1 - share)) if c)
+        return ratio, odds * ratio / (ratio + toxicity.FIRM ** 2)
+
+    assert len(model.hash) == len({*counts[0], *counts[1]})
+    t = next(T.slices(pa.array([rows[4][1] + " neverseen"])))
+    scored = toxicity.scored_tokens(t, model)
+    want = []
+    for f in re.findall("[a-z]+", rows[4][1]):
+        keys = [(f, 0)] + [(f[:n], n) for n in toxicity.STEMS if len(f) >= n]
+        want.append(max((name(k) for k in keys), key=lambda x: x[0])[1])
+    assert np.allclose(scored.score, [*want, -toxicity.DRIFT])
+    assert (scored.score[:-1] != -toxicity.DRIFT).all() and scored.score[:-1].min() < 0 < scored.score.max()
+
+
+def test_toxic_passages_of_a_long_text_are_found_in_pieces(monkeypatch):
+    model = toxicity.Model(np.sort(T.span_hashes(np.frombuffer(b"scum", np.uint8), np.array([0]), np.array([4]))),
+                           np.array([3.0]), np.array([9.0]))
+    text = "clean words here, " * 300 + "scum scum é " + "more clean words. " * 300
+    t = next(T.slices(pa.array([text])))
+    whole = toxicity.scored_tokens(t, model)
+    monkeypatch.setattr(T, "SLICE_BYTES", 64)
+    parts = toxicity.scored_tokens(t, model)
+    for a, b in ((whole.score, parts.score), (whole.start, parts.start), (whole.end, parts.end), (whole.first, parts.first)):
+        assert (a == b).all()
+    assert [x[2] for x in parts.segments()[0]] == [6.0]
+
+
+def test_columns_named_like_internal_ones_are_kept(spark):
+    names = ["_rest", "_t1", "_x", "_drop", "_d", "_k0", "_k1", "_k2", "_salt", "_hot", "other0", "th", "n"]
+    store.ship(spark)
+    frame = spark.createDataFrame([(i, "one two three\n" + "x " * i, *[f"{c}{i}" for c in names]) for i in (1, 2, 2, 9)],
+                                  "doc_id long, text string, " + ", ".join(f"{c} string" for c in names))
+    for step in (lines.drop_repeated_lines, lines.drop_common_lines):
+        out = step(frame, 2)
+        assert set(frame.columns) <= set(out.columns)
+        assert all(r[c] == f"{c}{r.doc_id}" for r in out.collect() for c in names)
+    kept = jaccard.keep_one(frame, 5, 80)
+    assert kept.columns == frame.columns and all(r[c] == f"{c}{r.doc_id}" for r in kept.collect() for c in names)

@@ -128,9 +128,8 @@ def test_maximal_segments_equal_the_definition():
         return brute(v[:i], base) + [(base + i, base + j - 1, round(best[0], 6))] + brute(v[j:], base + j)
     rng = np.random.default_rng(5)
     for _ in range(300):
-        v = np.where(rng.random(14) < 0.5, rng.random(14) * 2, -0.7)
-        at = np.flatnonzero(v > 0)
-        got = toxicity.maximal_segments(at.tolist(), v[at].tolist(), 0.7)
+        v = np.where(rng.random(14) < 0.5, rng.random(14) * 2, -rng.random(14) * 1.5)
+        got = toxicity.maximal_segments(v)
         assert [(a, b, round(s, 6)) for a, b, s in got] == brute(v.tolist())
 
 
