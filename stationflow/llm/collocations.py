@@ -58,9 +58,9 @@ WORDS_HELD = 500_000
 WORD_BYTES_HELD = 32 << 20
 SLICE = 2 << 20
 FILTER_BITS = 1 << 28
-# Prefix partitions: one for so many frequent pairs, within these numbers of bits.
-PAIRS_A_PART = 512
-PART_BITS = (4, 20)
+# Prefix partitions of a language, as bits; the same at every size, so that a run has
+# as many rows at most.
+PART_BITS = 12
 TOGETHER = 1 << 18
 SPLIT = 64
 # Parts of the first step of a top list.
@@ -389,7 +389,7 @@ def often(min_count: int):
     return run
 
 
-def count_phrases(bits=None, part_bits: int = PART_BITS[0]):
+def count_phrases(bits=None, part_bits: int = PART_BITS):
     """A step from batches of lang and text to sorted runs of phrases with their
     counts, in ``2 ** part_bits`` prefix partitions; ``bits`` is a broadcast filter of
     pairs."""
@@ -496,10 +496,8 @@ def phrase_counts(docs: DataFrame, min_count: int = MIN_COUNT) -> tuple[DataFram
     (lang, n): how many words a language has."""
     rows = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"),
                        F.col("text").cast("string").alias("text")).where("length(text) > 0")
-    found = pair_filter(rows, min_count)
-    parts = int(np.bitwise_count(found).sum()) // PAIRS_A_PART
-    bits = docs.sparkSession.sparkContext.broadcast(found)
-    runs = rows.mapInArrow(tidy(count_phrases(bits, min(max(parts.bit_length(), PART_BITS[0]), PART_BITS[1]))), "lang string, part long, phrases binary, n binary")
+    bits = docs.sparkSession.sparkContext.broadcast(pair_filter(rows, min_count))
+    runs = rows.mapInArrow(tidy(count_phrases(bits, PART_BITS)), "lang string, part long, phrases binary, n binary")
     counts = (runs.repartition("lang", "part").sortWithinPartitions("lang", "part")
               .mapInArrow(tidy(merged(min_count)), "lang string, phrase string, f long"))
     words = F.length("phrase") - F.length(F.replace(F.col("phrase"), F.lit(" "), F.lit(""))) + 1
