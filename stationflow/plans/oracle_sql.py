@@ -100,10 +100,42 @@ BLOCKS = {"snaps": SNAPS, "info": INFO, "status": STATUS, "weather": WEATHER,
 _ORDER = list(BLOCKS)
 
 
-def with_blocks(upto: str, body: str) -> str:
-    """``WITH`` all feed/report CTEs up to and including ``upto``, then ``body``."""
+def with_blocks(upto: str, body: str, **own: str) -> str:
+    """``WITH`` all feed/report CTEs up to and including ``upto``, then ``body``;
+    blocks given by name take the place of the usual ones."""
     names = _ORDER[: _ORDER.index(upto) + 1]
-    return "WITH " + ",".join(BLOCKS[n] for n in names) + "\n" + body
+    return "WITH " + ",".join((BLOCKS | own)[n] for n in names) + "\n" + body
+
+
+# Feeds that do not fit each other (see ``sources.events.uneven_feeds``).
+UNEVEN = {
+    "info": """
+info AS (
+  SELECT station_id || '_' || strftime(ts, '%Y-%m-%dT%H:%M:%S') || 'Z' AS key,
+         CASE WHEN CAST(station_id AS BIGINT) % 11 <> 5 THEN station_id END AS station_id, capacity,
+         CASE WHEN CAST(station_id AS BIGINT) % 17 <> 6 THEN ts END AS info_timestamp
+  FROM snaps WHERE CAST(station_id AS BIGINT) % 7 <> 3)""",
+    "status": """
+status AS (
+  SELECT CASE WHEN CAST(station_id AS BIGINT) % 11 <> 5 THEN station_id END AS station_id,
+         num_bikes_available + more AS num_bikes_available,
+         CASE WHEN CAST(station_id AS BIGINT) % 17 <> 6 THEN ts END AS status_timestamp
+  FROM snaps JOIN (VALUES (0), (1)) copies (more)
+    ON more = 0 OR CAST(station_id AS BIGINT) % 13 = 2
+  WHERE CAST(station_id AS BIGINT) % 5 <> 1)""",
+    "weather": """
+weather AS (
+  SELECT CASE WHEN n % 6 <> 4 OR more = 0 THEN ts END AS timestamp,
+         CAST((n % 61) * 0.5 - 5 + CASE WHEN n % 6 = 2 THEN more ELSE 0 END AS FLOAT) AS temperature,
+         CAST((n % 17) * 0.5 AS FLOAT) AS wind_speed,
+         CAST((n % 11) * 10 AS FLOAT) AS cloudiness
+  FROM (SELECT DISTINCT ts, CAST(floor(epoch(ts) / 900) AS BIGINT) AS n FROM snaps)
+  JOIN (VALUES (0), (1)) copies (more) ON more = 0 OR n % 6 IN (2, 4)
+  WHERE n % 6 <> 1)"""}
+
+# Joined rows of which some have no time.
+TIMELESS = {"joined": JOINED.replace("p.event_timestamp AS timestamp", """
+         CASE WHEN CAST(p.station_id AS BIGINT) % 9 <> 4 THEN p.event_timestamp END AS timestamp""")}
 
 
 def r9(expr: str, alias: str) -> str:

@@ -21,7 +21,7 @@ from stationflow.operators.history import (
 from stationflow.plans import oracle_sql as O
 from stationflow.plans import slices as SL
 from stationflow.plans.utilization import (
-    feeds_from_events, flatten_window, joined_from_events, land_feed_messages,
+    feeds_from_events, flatten_window, joined_from_events, joined_from_uneven, land_feed_messages,
     report_from_events, report_from_messages, stream_report_from_events,
 )
 from stationflow.schemas import REPORT_COLUMNS
@@ -65,6 +65,14 @@ def q_join_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined_from_events(spark, sf_dir)[0]
 
 
+@register("join_uneven_feeds", O.with_blocks("joined", "SELECT * FROM joined", **O.UNEVEN))
+def q_join_uneven_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readings without a partner, two readings of one instant, NULL
+    stations and NULL times on both sides; only real partners meet."""
+    ensure_utc(spark)
+    return joined_from_uneven(spark, sf_dir)[0]
+
+
 @register("missing_bikes_as_zero", O.with_blocks("joined", """
 SELECT station_id, capacity AS station_capacity,
        coalesce(num_bikes_available, 0) AS num_bikes_available,
@@ -92,6 +100,18 @@ def q_station_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flatten_window(M.station_hourly(M.clean_joined(joined)))
 
 
+@register("hourly_without_times", O.with_blocks("hourly", """
+SELECT * EXCLUDE (window_start), window_start,
+       window_start + INTERVAL 1 HOUR AS window_end
+FROM hourly""", **O.TIMELESS))
+def q_hourly_without_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """joined rows of a ninth of the stations have no time and no window."""
+    joined, _ = joined_from_events(spark, sf_dir)
+    timeless = joined.withColumn("timestamp", F.when(
+        F.col("station_id").cast("bigint") % 9 != 4, F.col("timestamp")))
+    return flatten_window(M.station_hourly(M.clean_joined(timeless)))
+
+
 @register("station_utilization", O.with_blocks("util", """
 SELECT * EXCLUDE (window_start), window_start,
        window_start + INTERVAL 1 HOUR AS window_end
@@ -140,6 +160,19 @@ def q_utilization_report(spark: SparkSession, sf_dir: str) -> DataFrame:
                   "avg_utilization", "std_dev_docking_station_utilisation")
 
 
+UNEVEN_REPORT_SQL = O.with_blocks("report", REPORT_SQL[REPORT_SQL.rindex("\nSELECT * EXCLUDE"):], **O.UNEVEN)
+
+
+@register("report_uneven_feeds", UNEVEN_REPORT_SQL)
+def q_report_uneven_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J1 to J3, A1, W1, W2 over feeds that do not fit each other: a second reading
+    doubles its station rows, a missing one takes them away."""
+    ensure_utc(spark)
+    joined, feeds = joined_from_uneven(spark, sf_dir)
+    return round9(M.utilization_report(joined, windows_bound=feeds.windows_bound()),
+                  "avg_utilization", "std_dev_docking_station_utilisation")
+
+
 # --- normalization: payloads -> messages -> parsed feeds --------------------------
 
 

@@ -54,6 +54,15 @@ def joined_from_events(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Fee
     return joined, feeds
 
 
+def joined_from_uneven(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Feeds]:
+    """The joins over feeds with missing, repeated and NULL-keyed readings."""
+    events = E.read_table(spark, sf_dir, "events")
+    feeds = Feeds(*E.uneven_feeds(E.station_snapshots(events)), events)
+    # At most two readings of an instant.
+    return J.join_feeds(feeds.info, feeds.status, feeds.weather,
+                        weather_rows_bound=2 * feeds.weather_bound), feeds
+
+
 def report_from_events(spark: SparkSession, sf_dir: str,
                        window_duration: str = M.WINDOW_DURATION) -> DataFrame:
     """The flagship: hourly utilization report over the events-derived feeds."""

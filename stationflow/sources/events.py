@@ -73,6 +73,35 @@ def weather_feed(snapshots: DataFrame) -> DataFrame:
                     ((n % 11) * 10).cast("float").alias("cloudiness")))
 
 
+def uneven_feeds(snapshots: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The three feeds as deliveries that do not fit each other (uid = the station's
+    number, n = the instant's 15-minute number): info lacks uid % 7 = 3, status
+    lacks uid % 5 = 1; both have a NULL station for uid % 11 = 5 and a NULL time
+    for uid % 17 = 6; stations of uid % 13 = 2 report a second status (one bike
+    more). Weather lacks n % 6 = 1, has a second reading (one degree more) for
+    n % 6 = 2 and one more without a time for n % 6 = 4."""
+    uid = F.col("station_id").cast("bigint")
+
+    def gaps(feed: DataFrame, time: str) -> DataFrame:
+        return feed.withColumns({"station_id": F.when(uid % 11 != 5, F.col("station_id")),
+                                 time: F.when(uid % 17 != 6, F.col(time))})
+
+    bikes = F.col("num_bikes_available")
+    twice = status_feed(snapshots).where(uid % 5 != 1).withColumn("num_bikes_available", F.explode(
+        F.when(uid % 13 == 2, F.array(bikes, bikes + 1)).otherwise(F.array(bikes))))
+    slot = _epoch_slot("timestamp") % 6
+    at, warm = F.col("timestamp"), F.col("temperature")
+    reading = lambda ts, t: F.struct(ts.alias("ts"), t.cast("float").alias("t"))
+    readings = (F.when(slot == 2, F.array(reading(at, warm), reading(at, warm + 1)))
+                .when(slot == 4, F.array(reading(at, warm), reading(F.when(slot != 4, at), warm)))
+                .otherwise(F.array(reading(at, warm))))
+    weather = (weather_feed(snapshots).where(slot != 1).withColumn("r", F.explode(readings))
+               .select(F.col("r.ts").alias("timestamp"), F.col("r.t").alias("temperature"),
+                       "wind_speed", "cloudiness"))
+    return (gaps(info_feed(snapshots).where(uid % 7 != 3), "info_timestamp"),
+            gaps(twice, "status_timestamp"), weather)
+
+
 # --- landed raw payloads derived from the feeds (test conventions) -----------
 # Station payloads list at most STATIONS_PER_PAYLOAD stations: stations are
 # grouped per snap by floor(user_id / STATIONS_PER_PAYLOAD), so a payload's size
