@@ -10,6 +10,12 @@ a neighbour where it comes near a boundary, are encoded anew; then the sums on
 the way to the root are brought up to date. Edits apply in order, each to the
 text that the one before left.
 
+``token_trees`` gives the leaves of the trees as a table to be kept; ``edit_trees``
+applies a batch of edits to such a table and gives it back with the new leaves, so
+a later batch encodes only what it touches. The sums above the leaves are
+integers that a task adds up again without the tokenizer. ``count_edited`` does
+both for texts whose trees nobody keeps.
+
 Defined results: a null text is empty; null edits are none; a null ``ins`` is
 empty; ``pos`` is brought into 0..length and ``del`` into 0..rest (null: 0); an
 empty table gives no row; repeated rows are counted each on its own; extra
@@ -31,6 +37,8 @@ from stationflow.llm.units import SLICE_BYTES, Units, units_for
 
 SEGMENT_BYTES = 256
 EDITS_TYPE = "array<struct<pos:long,del:long,ins:string>>"
+TREES = "doc_id long, segments array<string>, tokens array<long>"
+COUNTS = "n_before long, n_after long, n_edits long, n_encoded_chars long, n_chars long"
 SCHEMA = "doc_id long, n_before long, n_after long, n_edits long, n_encoded_chars long, n_chars long"
 
 
@@ -191,6 +199,57 @@ def count_edited(docs: DataFrame, encoding: Encoding) -> DataFrame:
     return rows.mapInArrow(run, SCHEMA)
 
 
+def token_trees(docs: DataFrame, encoding: Encoding) -> DataFrame:
+    """``TREES``: the segments of each document and the tokens in each, to be written
+    and kept. A null text has one empty segment; repeated rows have a tree each."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        units = units_for(encoding.path, encoding.kind)
+        for batch in batches:
+            for t in T.slices(batch.column("text"), SLICE_BYTES):
+                yield _leaves(batch.slice(t.first, t.rows).column("doc_id"), trees(units, t))
+
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return rows.mapInArrow(run, TREES)
+
+
+def _leaves(ids: pa.Array, grown: list[Tree], counts: dict[str, list[int]] | None = None) -> pa.RecordBatch:
+    """The leaves of the trees that hold text (at least one), with further counts."""
+    held = [[i for i, s in enumerate(g.texts) if s] or [0] for g in grown]
+    return pa.RecordBatch.from_arrays(
+        [ids, pa.array([[g.texts[i] for i in h] for g, h in zip(grown, held)], pa.list_(pa.string())),
+         pa.array([[g.tokens[g.size + i] for i in h] for g, h in zip(grown, held)], pa.list_(pa.int64())),
+         *(pa.array(v, pa.int64()) for v in (counts or {}).values())],
+        names=["doc_id", "segments", "tokens", *(counts or {})])
+
+
+def with_edits(stored: DataFrame, edits: DataFrame) -> DataFrame:
+    """Stored trees with column ``edits`` from a table (doc_id, edits) that has one row
+    per document; documents without a row get none, rows without a document go."""
+    given = edits.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("edits").cast(EDITS_TYPE).alias("edits"))
+    return stored.select("doc_id", "segments", "tokens").join(given, "doc_id", "left")
+
+
+def edit_trees(stored: DataFrame, encoding: Encoding) -> DataFrame:
+    """``TREES`` after the edits of column ``edits``, and ``COUNTS``. Only the regions
+    of the edits are encoded; documents without edits pass the tokenizer by."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        units = units_for(encoding.path, encoding.kind)
+        for batch in batches:
+            grown = [Tree(s, n) for s, n in zip(batch.column("segments").to_pylist(),
+                                                batch.column("tokens").to_pylist())]
+            before = [g.total for g in grown]
+            edits = [x or [] for x in batch.column("edits").to_pylist()]
+            again = apply_edits(units, grown, edits)
+            yield _leaves(batch.column("doc_id"), grown, {
+                "n_before": before, "n_after": [g.total for g in grown], "n_edits": list(map(len, edits)),
+                "n_encoded_chars": again, "n_chars": [g.chars[1] for g in grown]})
+
+    rows = stored.select("doc_id", "segments", "tokens", F.col("edits").cast(EDITS_TYPE).alias("edits"))
+    return rows.mapInArrow(run, f"{TREES}, {COUNTS}")
+
+
 def derived_edits(text: str = "text"):
     """Two edits for any text, made from the text itself: a run of characters is
     replaced by the first line of the text, then up to 24 characters go."""

@@ -156,7 +156,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, rows_per_class: int) -> Da
     known = (labels.where("doc_id IS NOT NULL AND label IN (0, 1)")
              .groupBy(F.col("doc_id").cast("long").alias("doc_id"))
              .agg(F.max("label").cast("int").alias("label"))
-             .join(docs.select(F.col("doc_id").cast("long").alias("doc_id")).distinct(), "doc_id", "left_semi"))
+             .join(docs.select(F.col("doc_id").cast("long").alias("doc_id")), "doc_id", "left_semi"))
     known = saved(known, "labelled")
     size = {r.label: r["count"] for r in known.groupBy("label").count().collect()}
     h = F.xxhash64(F.lit("train"), "doc_id")
@@ -173,10 +173,11 @@ def training_rows(docs: DataFrame, labels: DataFrame, rows_per_class: int) -> Da
 
 def fit(train: DataFrame, f: Families, make_steps, slope: Slope, start: np.ndarray | None = None) -> np.ndarray:
     """Weights (and bias, last) mixed over the tasks. ``make_steps(labels, seed)``
-    yields the row numbers of each step."""
+    yields the row numbers of each step. Rows are dealt and ordered by doc_id, so
+    that equal rows give equal weights."""
     spark = train.sparkSession
     w = np.zeros(f.size + 1) if start is None else start
-    dealt = train.select("text", "label").repartition(PARTS)
+    dealt = (train.repartition(PARTS, "doc_id").sortWithinPartitions("doc_id").select("text", "label"))
     for r in range(ROUNDS):
         shared = spark.sparkContext.broadcast(w.astype(np.float32))
 
@@ -200,8 +201,9 @@ def fit(train: DataFrame, f: Families, make_steps, slope: Slope, start: np.ndarr
 
 
 def margins(rows: DataFrame, f: Families, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Margins and labels of a bounded table of labelled rows."""
+    """Margins and labels of a bounded table of labelled rows, in order of margin."""
     got = score_table(rows.select("text", "label"), f, weights, "label int").select("label", "margin").collect()
+    got.sort(key=lambda r: (r.margin, r.label))
     return np.array([r.margin for r in got]), np.array([r.label for r in got], np.int64)
 
 

@@ -5,9 +5,14 @@ lower-cased; it is known by two 64-bit hashes. ``LineRuns`` keeps runs of
 (h1, h2, n_docs) sorted by hash, in levels. Every batch of documents adds a run
 to level 0; when a level has ``fan_in`` runs they are merged into one run of the
 next level, so a batch is rewritten only a logarithmic number of times. Runs are
-merged by hash aggregation. As the rule needs the count over all documents, no
-batch is joined with earlier runs: once all are added, every line is joined with
-the total, and those whose key enough documents hold go.
+merged by hash aggregation.
+
+``drop_seen_lines`` takes documents batch by batch: the distinct keys of a batch
+are merge-anti-joined with the runs, a key no run holds stays where it is first
+held, and the batch adds its own run. The rule of ``drop_common_lines`` needs the
+count over all documents, so there no batch is joined with earlier runs: once all
+are added, every line is joined with the total, and those whose key enough
+documents hold go.
 
 Skew: counting combines map-side. In the join, keys held by a large share
 of all lines are few by a counting bound (see ``FREQUENT``) and are sent to
@@ -97,6 +102,14 @@ class LineRuns:
         runs = [r for level in self.levels for r in level]
         return self._merged(runs) if len(runs) > 1 else runs[0] if runs else None
 
+    def unseen(self, keys: DataFrame) -> DataFrame:
+        """Rows of ``keys``, one per (h1, h2), whose key no run holds. The rows are
+        shuffled and sorted once, by the first join, for the joins with all runs."""
+        for level in self.levels:
+            for run in level:
+                keys = keys.join(run.select("h1", "h2").hint("merge"), ["h1", "h2"], "left_anti")
+        return keys
+
     def common(self, min_docs: int) -> DataFrame | None:
         counts = self.counts()
         return None if counts is None else counts.where(F.col("n") >= min_docs)
@@ -189,6 +202,37 @@ def drop_repeated_lines(docs: DataFrame, min_docs: int) -> DataFrame:
                            for c in docs.columns))
 
 
+@with_plain_names
+def drop_seen_lines(docs: DataFrame, runs: LineRuns) -> DataFrame:
+    """All columns of a batch ``docs``, its text without lines whose key an earlier
+    batch of ``runs`` holds or an earlier place of this batch (by smallest doc_id,
+    null ids last, then by hash of the text, then by place), and ``_n_lines``
+    (before), ``_n_dropped``. The batch's keys are added to ``runs``. Blank lines
+    stay; rows that share doc_id and text are one document and get equal answers.
+
+    Keys are brought together map-side before they are shuffled, and answers go
+    back by document, so a line that very many documents hold is hot nowhere."""
+    doc_id = F.col("doc_id").cast("long")
+    here = F.struct(doc_id.isNull().alias("x"), doc_id.alias("id"), F.xxhash64("text").alias("t"),
+                    F.col("pos").alias("pos"))
+    keys = saved(
+        docs.select("doc_id", "text", F.posexplode(line_hashes(F.col("text"))).alias("pos", "k"))
+        .where("k IS NOT NULL").select("k.h1", "k.h2", here.alias("f"))
+        .groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n"), F.min("f").alias("f")), "batch_lines")
+    first = saved(runs.unseen(keys).groupBy(F.col("f.id").alias("_d"), F.col("f.t").alias("_t"))
+                  .agg(F.collect_set("f.pos").alias("_keep")), "first_places")
+    runs.add(keys.select("h1", "h2", "n"))
+    joined = docs.withColumn("_x", F.xxhash64("text")).join(
+        first, F.expr("_x = _t AND CAST(doc_id AS BIGINT) <=> _d"), "left")
+    hashes = line_hashes(F.col("text"))
+    keyed = F.filter(F.transform(hashes, lambda k, i: F.when(k.isNotNull(), i)), lambda i: i.isNotNull())
+    gone = F.array_except(keyed, F.coalesce("_keep", F.array().cast("array<int>")))
+    joined = joined.withColumn("_drop", gone).withColumn("_rest", without_lines(F.col("text"), F.col("_drop")))
+    return joined.select(
+        *(F.col("_rest.text").alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns),
+        F.col("_rest.n").cast("long").alias("_n_lines"), F.size("_drop").cast("long").alias("_n_dropped"))
+
+
 def op5_lines(docs: DataFrame, min_docs: int = 10) -> DataFrame:
     out = drop_common_lines(docs.select("doc_id", "text"), min_docs)
     return out.select("doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_dropped").alias("n_dropped"),

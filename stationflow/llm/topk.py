@@ -35,8 +35,11 @@ SCALE = 256.0
 K = 5
 SHARD_ROWS = 4096
 QUERY_ROWS = 1024
-# Groups of shards; a copy of every query block goes to each.
+# Tiles are dealt by (group of shards, group of query blocks). There are at least
+# GROUPS groups of shards, and as many groups of both as the data needs for about
+# GROUP_BLOCKS blocks in each, so the work of one key stays the same at any size.
 GROUPS = 32
+GROUP_BLOCKS = 16
 FAN_IN = 16
 
 PACK_SCHEMA = "dim int, part int, seq int, n int, ids binary, vectors binary"
@@ -160,13 +163,17 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = K, scale: float = SCALE
     asked = vectors.where(is_query).dropDuplicates(["vec_id", "embedding"])
     queries = saved(pack(asked, QUERY_ROWS, scale), "query_blocks")
     n_shards = shards.count()
+    n_groups = max(GROUPS, math.ceil(n_shards / GROUP_BLOCKS))
+    n_asked = max(1, math.ceil(queries.count() / GROUP_BLOCKS))
     levels = max(1, math.ceil(math.log(max(n_shards, 2), FAN_IN)))
-    group = F.pmod(F.xxhash64("part", "seq"), F.lit(GROUPS))
+    dealt = lambda n: F.pmod(F.xxhash64("part", "seq"), F.lit(n))
+    copies = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
     node = F.pmod(F.xxhash64(F.lit("node"), "part", "seq"), F.lit(FAN_IN ** levels))
-    left = shards.select("dim", "ids", "vectors", node.alias("node"), group.alias("group"))
+    left = shards.select("dim", "ids", "vectors", node.alias("node"), dealt(n_groups).alias("group"),
+                         copies(n_asked).alias("asked"))
     right = queries.select("dim", F.col("ids").alias("q_ids"), F.col("vectors").alias("q_vectors"),
-                           F.explode(F.sequence(F.lit(0).cast("long"), F.lit(GROUPS - 1).cast("long"))).alias("group"))
-    lists = left.join(right, ["dim", "group"]).mapInArrow(
+                           dealt(n_asked).alias("asked"), copies(n_groups).alias("group"))
+    lists = left.join(right, ["dim", "group", "asked"]).mapInArrow(
         _tiles(k), "query_id long, tag long, vec_id long, score long, node long")
     for level in range(levels):
         lists = lists.withColumn("node", F.floor(F.col("node") / FAN_IN))

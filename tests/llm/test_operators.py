@@ -222,6 +222,59 @@ def test_line_runs_compact(spark):
     assert {tuple(r) for r in runs.counts().where("h2 = 1").collect()} == {(1, 1, 5)}
 
 
+def test_unseen_lines_go_batch_by_batch(spark, docs, empty):
+    """Each batch joins the runs of the earlier ones; the first holder keeps a line."""
+    def key(line):
+        return line.strip(" \t\n\x0b\x0c\r").translate(LOW)
+
+    batches = [docs.where("doc_id <= 7"), empty, docs.where("doc_id > 7 OR doc_id IS NULL"), docs.where("doc_id = 13")]
+    runs, seen = lines.LineRuns(spark, fan_in=2), set()
+    for b in batches:
+        b = b.dropDuplicates(["doc_id", "text"]).withColumnRenamed("h", "_keep")
+        want, own_seen = [], set()
+        for r in sorted(b.collect(), key=lambda r: (r.doc_id is None, r.doc_id or 0)):
+            own = (r.text or "").split("\n")
+            keep = []
+            for x in own:
+                if not key(x) or key(x) not in seen | own_seen:
+                    keep.append(x)
+                if key(x):
+                    own_seen.add(key(x))
+            want.append((r.doc_id, "\n".join(keep), len(own), len(own) - len(keep)))
+        seen |= own_seen
+        out = lines.drop_seen_lines(b, runs)
+        assert out.columns == [*b.columns, "_n_lines", "_n_dropped"]
+        got = out.select("doc_id", "text", "_n_lines", "_n_dropped").collect()
+        assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, want))
+    assert runs.counts().count() == len(seen) and len(runs.levels) > 1
+
+
+def test_stored_trees_take_further_edits(spark, docs, empty):
+    """Trees are stored; a later batch of edits reads its regions only."""
+    enc = Encoding(BYTE, "byte")
+    stored = store.saved(edits.token_trees(docs, enc), "trees")
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    assert {r.doc_id: "".join(r.segments) for r in stored.collect()} == texts
+    batches = [{5: [(3, 4, "x y"), (0, 0, "<|endoftext|>")], 12: [(200_000, 9, " new")], 99: [(0, 0, "nobody")]},
+               {5: [(1, 1, "")], 1: [(0, 0, "was null")], 12: [(0, 0, "a"), (10**9, 5, " end")]}, {}]
+    for batch in batches:
+        given = spark.createDataFrame([(i, e) for i, e in batch.items()], f"doc_id long, edits {edits.EDITS_TYPE}")
+        after = store.saved(edits.edit_trees(edits.with_edits(stored, given), enc), "trees")
+        for i, es in batch.items():
+            for pos, cut, ins in es:
+                if i in texts:
+                    pos = min(pos, len(texts[i]))
+                    texts[i] = texts[i][:pos] + ins + texts[i][pos + cut:]
+        rows = after.collect()
+        assert len(rows) == len(ROWS)
+        for r in rows:
+            assert "".join(r.segments) == texts[r.doc_id] and r.n_chars == len(texts[r.doc_id])
+            assert r.n_after == sum(r.tokens) == len(byte_ids(texts[r.doc_id]))
+            assert r.n_encoded_chars < 3000 and (r.n_edits > 0) == (r.doc_id in batch)
+        stored = after.select("doc_id", "segments", "tokens")
+    assert edits.token_trees(empty, enc).count() == 0
+
+
 def test_edit_counts(docs, empty):
     frame = docs.withColumn("edits", edits.derived_edits())
     odd = frame.limit(1).withColumn("edits", F.lit(None).cast(edits.EDITS_TYPE))
@@ -331,6 +384,9 @@ def test_ranks_of_every_size_come_back():
 def test_top_k(spark, monkeypatch):
     monkeypatch.setattr(topk, "SHARD_ROWS", 7)
     monkeypatch.setattr(topk, "FAN_IN", 2)
+    monkeypatch.setattr(topk, "QUERY_ROWS", 1)
+    monkeypatch.setattr(topk, "GROUPS", 2)
+    monkeypatch.setattr(topk, "GROUP_BLOCKS", 2)
     rng = np.random.default_rng(4)
     vectors = [(i, [float(x) for x in np.round(rng.normal(size=4), 1)]) for i in range(120)]
     vectors += [(200, None), (250, [1.0, None, 0.0, 0.0]), (300, [float("nan")] * 4), (301, [float("inf")] * 4),
