@@ -28,11 +28,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stationflow.llm import textarrays as T
 from stationflow.llm.idfiles import Encoding
+from stationflow.llm.store import saved, tidy
 from stationflow.llm.units import SLICE_BYTES, Units, units_for
 
 SEGMENT_BYTES = 256
@@ -199,28 +201,47 @@ def count_edited(docs: DataFrame, encoding: Encoding) -> DataFrame:
     return rows.mapInArrow(run, SCHEMA)
 
 
-def token_trees(docs: DataFrame, encoding: Encoding) -> DataFrame:
+def token_trees(docs: DataFrame, encoding: Encoding, keep: str = "") -> DataFrame:
     """``TREES``: the segments of each document and the tokens in each, to be written
-    and kept. A null text has one empty segment; repeated rows have a tree each."""
+    and kept, and columns ``keep`` (as a schema) of ``docs``. A null text has one
+    empty segment; repeated rows have a tree each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         units = units_for(encoding.path, encoding.kind)
         for batch in batches:
             for t in T.slices(batch.column("text"), SLICE_BYTES):
-                yield _leaves(batch.slice(t.first, t.rows).column("doc_id"), trees(units, t))
+                yield _leaves(batch.slice(t.first, t.rows), trees(units, t), _names(keep))
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return rows.mapInArrow(run, TREES)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *_names(keep))
+    return rows.mapInArrow(tidy(run), ", ".join(filter(None, (TREES, keep))))
 
 
-def _leaves(ids: pa.Array, grown: list[Tree], counts: dict[str, list[int]] | None = None) -> pa.RecordBatch:
+def _names(schema: str) -> list[str]:
+    return [c.split()[0] for c in schema.split(", ") if c]
+
+
+def _leaves(rows: pa.RecordBatch, grown: list[Tree], keep: list[str],
+            counts: dict[str, list[int]] | None = None) -> pa.RecordBatch:
     """The leaves of the trees that hold text (at least one), with further counts."""
     held = [[i for i, s in enumerate(g.texts) if s] or [0] for g in grown]
     return pa.RecordBatch.from_arrays(
-        [ids, pa.array([[g.texts[i] for i in h] for g, h in zip(grown, held)], pa.list_(pa.string())),
+        [rows.column("doc_id"),
+         pa.array([[g.texts[i] for i in h] for g, h in zip(grown, held)], pa.list_(pa.string())),
          pa.array([[g.tokens[g.size + i] for i in h] for g, h in zip(grown, held)], pa.list_(pa.int64())),
-         *(pa.array(v, pa.int64()) for v in (counts or {}).values())],
-        names=["doc_id", "segments", "tokens", *(counts or {})])
+         *(rows.column(c) for c in keep), *(pa.array(v, pa.int64()) for v in (counts or {}).values())],
+        names=["doc_id", "segments", "tokens", *keep, *(counts or {})])
+
+
+def _pieces(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Rows of stored trees, about ``SLICE_BYTES`` of text at a time."""
+    segments = batch.column("segments")
+    ends = np.concatenate(([0], np.cumsum(pc.binary_length(segments.flatten()).to_numpy(zero_copy_only=False))))
+    rows = np.cumsum(pc.list_value_length(segments).to_numpy(zero_copy_only=False))
+    piece = ends[rows.astype(np.int64)] // SLICE_BYTES
+    cuts = [0, *(np.flatnonzero(np.diff(piece)) + 1).tolist(), batch.num_rows]
+    for a, b in zip(cuts, cuts[1:]):
+        if b > a:
+            yield batch.slice(a, b - a)
 
 
 def with_edits(stored: DataFrame, edits: DataFrame) -> DataFrame:
@@ -230,24 +251,41 @@ def with_edits(stored: DataFrame, edits: DataFrame) -> DataFrame:
     return stored.select("doc_id", "segments", "tokens").join(given, "doc_id", "left")
 
 
-def edit_trees(stored: DataFrame, encoding: Encoding) -> DataFrame:
-    """``TREES`` after the edits of column ``edits``, and ``COUNTS``. Only the regions
-    of the edits are encoded; documents without edits pass the tokenizer by."""
+def edit_trees(stored: DataFrame, encoding: Encoding, keep: str = "") -> DataFrame:
+    """``TREES`` after the edits of column ``edits``, columns ``keep`` (as a schema) and
+    ``COUNTS``. Only the regions of the edits are encoded; documents without edits
+    pass the tokenizer by."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         units = units_for(encoding.path, encoding.kind)
         for batch in batches:
-            grown = [Tree(s, n) for s, n in zip(batch.column("segments").to_pylist(),
-                                                batch.column("tokens").to_pylist())]
-            before = [g.total for g in grown]
-            edits = [x or [] for x in batch.column("edits").to_pylist()]
-            again = apply_edits(units, grown, edits)
-            yield _leaves(batch.column("doc_id"), grown, {
-                "n_before": before, "n_after": [g.total for g in grown], "n_edits": list(map(len, edits)),
-                "n_encoded_chars": again, "n_chars": [g.chars[1] for g in grown]})
-
-    rows = stored.select("doc_id", "segments", "tokens", F.col("edits").cast(EDITS_TYPE).alias("edits"))
-    return rows.mapInArrow(run, f"{TREES}, {COUNTS}")
+            for rows in _pieces(batch):
+                grown = [Tree(s, n) for s, n in zip(rows.column("segments").to_pylist(),
+                                                    rows.column("tokens").to_pylist())]
+                before = [g.total for g in grown]
+                edits = [x or [] for x in rows.column("edits").to_pylist()]
+                again = apply_edits(units, grown, edits)
+                yield _leaves(rows, grown, _names(keep), {
+                    "n_before": before, "n_after": [g.total for g in grown], "n_edits": list(map(len, edits)),
+                    "n_encoded_chars": again, "n_chars": [g.chars[1] for g in grown]})
+
+    rows = stored.select("doc_id", "segments", "tokens", *_names(keep),
+                         F.col("edits").cast(EDITS_TYPE).alias("edits"))
+    return rows.mapInArrow(tidy(run), ", ".join(filter(None, (TREES, keep, COUNTS))))
+
+
+def op6_counts(docs: DataFrame, encoding: Encoding) -> DataFrame:
+    """Two edits of every document as two batches on stored trees: the trees are
+    written once, each batch reads those that the one before left."""
+    pending = f"pending {EDITS_TYPE}"
+    trees_of = token_trees(docs.select("doc_id", "text", derived_edits().alias("pending")), encoding, pending)
+    first = saved(edit_trees(saved(trees_of, "token_trees").withColumn("edits", F.slice("pending", 1, 1)),
+                             encoding, pending), "token_trees")
+    done = first.select("doc_id", "segments", "tokens", F.slice("pending", 2, 1).alias("edits"),
+                        F.col("n_before").alias("n0"), F.col("n_edits").alias("e0"), F.col("n_encoded_chars").alias("c0"))
+    second = edit_trees(done, encoding, "n0 long, e0 long, c0 long")
+    return second.select("doc_id", F.col("n0").alias("n_before"), "n_after", (F.col("e0") + F.col("n_edits")).alias("n_edits"),
+                         (F.col("c0") + F.col("n_encoded_chars")).alias("n_encoded_chars"), "n_chars")
 
 
 def derived_edits(text: str = "text"):

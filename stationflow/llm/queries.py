@@ -55,10 +55,9 @@ def q5(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q6(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Token counts after two edits of every document. A null text is empty; repeated rows are counted
-    alike."""
-    docs = documents(spark, sf_dir).withColumn("edits", edits.derived_edits())
-    return edits.count_edited(docs, Encoding(BYTE_FILE, "byte"))
+    """Token counts after two edits of every document, made one after the other on stored trees. A null
+    text is empty; repeated rows are counted alike."""
+    return edits.op6_counts(documents(spark, sf_dir), Encoding(BYTE_FILE, "byte"))
 
 
 def q7(spark: SparkSession, sf_dir: str) -> DataFrame:

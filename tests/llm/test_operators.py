@@ -288,6 +288,12 @@ def test_edit_counts(docs, empty):
         want.append((r.doc_id, len(byte_ids(r.text)), len(byte_ids(t)), len(t)))
     assert sorted(repr((r.doc_id, r.n_before, r.n_after, r.n_chars)) for r in got) == sorted(map(repr, want))
     assert edits.count_edited(empty.withColumn("edits", edits.derived_edits()), Encoding(BYTE, "byte")).count() == 0
+    # The same edits in two batches on stored trees.
+    plain = edits.count_edited(frame, Encoding(BYTE, "byte")).drop("n_encoded_chars")
+    clashing = docs.withColumn("pending", F.lit(1)).withColumn("edits", F.lit("x"))
+    stored = edits.op6_counts(clashing, Encoding(BYTE, "byte")).drop("n_encoded_chars")
+    assert sorted(map(repr, stored.collect())) == sorted(map(repr, plain.collect()))
+    assert edits.op6_counts(empty, Encoding(BYTE, "byte")).count() == 0
 
 
 def test_many_edits_near_boundaries():
