@@ -276,11 +276,12 @@ def edit_trees(stored: DataFrame, encoding: Encoding, keep: str = "") -> DataFra
 
 def op6_counts(docs: DataFrame, encoding: Encoding) -> DataFrame:
     """Two edits of every document as two batches on stored trees: the trees are
-    written once, each batch reads those that the one before left."""
+    written once, the second batch takes those that the first left straight from it,
+    as nothing else reads them. Whoever edits again later writes them between."""
     pending = f"pending {EDITS_TYPE}"
     trees_of = token_trees(docs.select("doc_id", "text", derived_edits().alias("pending")), encoding, pending)
-    first = saved(edit_trees(saved(trees_of, "token_trees").withColumn("edits", F.slice("pending", 1, 1)),
-                             encoding, pending), "token_trees")
+    first = edit_trees(saved(trees_of, "token_trees").withColumn("edits", F.slice("pending", 1, 1)),
+                       encoding, pending)
     done = first.select("doc_id", "segments", "tokens", F.slice("pending", 2, 1).alias("edits"),
                         F.col("n_before").alias("n0"), F.col("n_edits").alias("e0"), F.col("n_encoded_chars").alias("c0"))
     second = edit_trees(done, encoding, "n0 long, e0 long, c0 long")
