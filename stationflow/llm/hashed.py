@@ -173,27 +173,30 @@ def training_rows(docs: DataFrame, labels: DataFrame, rows_per_class: int) -> Da
 
 def fit(train: DataFrame, f: Families, make_steps, slope: Slope, start: np.ndarray | None = None) -> np.ndarray:
     """Weights (and bias, last) mixed over the tasks. ``make_steps(labels, seed)``
-    yields the row numbers of each step. Rows are dealt and ordered by doc_id, so
-    that equal rows give equal weights."""
+    yields the row numbers of each step. Rows are dealt by doc_id to ``PARTS`` groups,
+    however many partitions there are, and ordered, so that equal rows give equal
+    weights and the driver gets ``PARTS`` vectors."""
     spark = train.sparkSession
     w = np.zeros(f.size + 1) if start is None else start
-    dealt = (train.repartition(PARTS, "doc_id").sortWithinPartitions("doc_id").select("text", "label"))
+    part = F.pmod(F.xxhash64(F.lit("deal"), "doc_id"), F.lit(PARTS)).cast("int")
+    dealt = train.select("doc_id", "text", "label", part.alias("part")).groupBy("part")
     for r in range(ROUNDS):
         shared = spark.sparkContext.broadcast(w.astype(np.float32))
 
-        def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            every = list(batches)
-            if not every:
-                return
-            t = pa.Table.from_batches(every)
+        def local(t: pa.Table) -> pa.Table:
+            t = t.sort_by("doc_id")
             labels = t.column("label").to_numpy().astype(np.int64)
-            if len(np.unique(labels)) < 2:
-                return
-            rows = sparse_rows(t.column("text").combine_chunks(), f)
-            got = adagrad(rows, labels, shared.value, slope, make_steps(labels, r))
-            yield pa.RecordBatch.from_arrays([pa.array([got.astype("<f4").tobytes()], pa.binary())], names=["w"])
+            got = []
+            if len(np.unique(labels)) == 2:
+                rows = sparse_rows(t.column("text").combine_chunks(), f)
+                got = [adagrad(rows, labels, shared.value, slope, make_steps(labels, r)).astype("<f4").tobytes()]
+            return pa.table({"part": t.column("part")[:len(got)], "w": pa.array(got, pa.binary())})
 
-        parts = [np.frombuffer(x.w, "<f4") for x in dealt.mapInArrow(tidy(local), "w binary").collect()]
+        def one(t: pa.Table) -> pa.Table:
+            return [*tidy(lambda own: [local(own)])(t)][0]
+
+        found = sorted(dealt.applyInArrow(one, "part int, w binary").collect())
+        parts = [np.frombuffer(x.w, "<f4") for x in found]
         if not parts:
             break
         w = np.mean(parts, axis=0, dtype=np.float64)

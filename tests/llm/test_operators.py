@@ -387,6 +387,17 @@ def test_ranks_of_every_size_come_back():
         assert wordtable.Head.ranks(None, raw).tolist() == ranks.tolist()
 
 
+def test_models_repeat(spark):
+    """Equal rows give equal weights, whatever their order and partitions."""
+    from stationflow.llm import hashed, quality_rules as Q
+    rows = [(i, f"{'good fine' if i % 2 else 'bad poor'} text number {i} " * 5, i % 2) for i in range(60)]
+    train = spark.createDataFrame(rows, "doc_id long, text string, label int")
+    fit = lambda t: hashed.fit(t, Q.FAMILIES, hashed.logistic_steps, hashed.logistic_slope)
+    first = fit(train)
+    assert np.abs(first).max() > 0
+    assert np.array_equal(first, fit(train.orderBy(F.desc("doc_id")).repartition(7)))
+
+
 def test_top_k(spark, monkeypatch):
     monkeypatch.setattr(topk, "SHARD_ROWS", 7)
     monkeypatch.setattr(topk, "FAN_IN", 2)
