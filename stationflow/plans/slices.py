@@ -9,15 +9,17 @@ slices after their own.
 
 from __future__ import annotations
 
+from collections import Counter
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stationflow.operators import normalize as N
-from stationflow.session import _file_system, shared_path
+from stationflow.session import _file_system, shared_path, stored_bytes
 from stationflow.sources import events as E
 from stationflow.sources.feeds import read_messages
 from stationflow.streaming.journal import ProgressJournal, late_rows, read_journal
-from stationflow.streaming.utilization import start_utilization_stream
+from stationflow.streaming.utilization import partitions_for, start_utilization_stream
 
 SLICE_SECONDS = 259_200
 SHIFT_SECONDS = 1_800
@@ -77,6 +79,17 @@ def land_slices(spark: SparkSession, sf_dir: str, base: str, late: bool = False)
     return {feed: f"{base}/feed={feed}" for feed in ("info", "status", "weather")}
 
 
+def largest_slice(spark: SparkSession, feeds: dict[str, str]) -> int:
+    """Bytes of the largest slice, all feeds together."""
+    size: Counter = Counter()
+    for folder in feeds.values():
+        fs, where = _file_system(spark, folder)
+        for f in fs.listStatus(where):
+            if f.isDirectory():
+                size[f.getPath().getName()] += stored_bytes(spark, f.getPath().toString())
+    return max(size.values(), default=0)
+
+
 def run_slices(spark: SparkSession, sf_dir: str, mode: str, late: bool = False) -> dict[str, str]:
     """Run the job over the landed slices, one each micro-batch; the folders of the
     report, the journal and the feeds."""
@@ -84,10 +97,12 @@ def run_slices(spark: SparkSession, sf_dir: str, mode: str, late: bool = False)
     feeds = land_slices(spark, sf_dir, base, late=late)
     journal = ProgressJournal(spark, f"{base}_journal")
     spark.streams.addListener(journal)
+    held = 2 * largest_slice(spark, feeds)         # a slice, and what is kept of the one before
     try:
         query = start_utilization_stream(
             *(read_messages(spark, path=feeds[f], max_files_per_trigger=1) for f in ("info", "status", "weather")),
-            sink_path=f"{base}_report", checkpoint_path=f"{base}_checkpoint", mode=mode, trigger={"availableNow": True})
+            sink_path=f"{base}_report", checkpoint_path=f"{base}_checkpoint", mode=mode, trigger={"availableNow": True},
+            state_partitions=partitions_for(spark, held))
         query.awaitTermination()
         # Events reach listeners after the query has ended.
         spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(60_000)

@@ -106,16 +106,17 @@ def stream_report_from_events(spark: SparkSession, sf_dir: str, mode: str, *,
                               copies: int = 1, dedupe: bool = False) -> DataFrame:
     """Run the streaming job over the landed feeds until all landed data is
     processed (``availableNow``) and return what its sink holds."""
-    from stationflow.session import shared_path
+    from stationflow.session import shared_path, stored_bytes
     from stationflow.sources.feeds import read_messages
-    from stationflow.streaming.utilization import start_utilization_stream
+    from stationflow.streaming.utilization import partitions_for, start_utilization_stream
 
     base = shared_path(spark, f"stream_{mode}")
     paths = land_feed_messages(spark, sf_dir, base, copies=copies)
     query = start_utilization_stream(
         *(read_messages(spark, path=paths[f]) for f in ("info", "status", "weather")),
         sink_path=f"{base}/report", checkpoint_path=f"{base}/checkpoint", mode=mode,
-        trigger={"availableNow": True}, dedupe_messages=dedupe)
+        trigger={"availableNow": True}, dedupe_messages=dedupe,
+        state_partitions=partitions_for(spark, sum(stored_bytes(spark, p) for p in paths.values())))
     query.awaitTermination()
     return spark.read.parquet(f"{base}/report")
 

@@ -103,6 +103,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(where)
 
 
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of all files below a folder of the shared file system."""
+    fs, where = _file_system(spark, path)
+    return fs.getContentSummary(where).getLength()
+
+
 def publish(spark: SparkSession, staged: str, target: str) -> bool:
     """Rename a whole folder to its final name; False, and the staged copy goes, if
     another attempt has published it meanwhile."""

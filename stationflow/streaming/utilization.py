@@ -12,6 +12,10 @@ Modes
                passes the end of the hour; all groups of one hour close in the
                same micro-batch, where the window totals are computed and joined.
 
+Partitions: every micro-batch opens and commits every state store of every
+partition, whatever it holds, so ``state_partitions`` follows the data of a
+micro-batch (``partitions_for``) and not the session's setting for batch jobs.
+
 State: the info/status join is keyed on (station_id, event time) and every
 input carries a watermark, so join and aggregation state is purged as event
 time advances (RocksDB state store, see ``session.DEFAULT_CONF``). Rows older
@@ -24,7 +28,7 @@ checkpoint and re-runs the batch, whose output partition is overwritten.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -36,6 +40,16 @@ from stationflow.streaming.record import check_settings
 
 WATERMARK = "1 minute"
 PREVIEW_ROWS = 20
+SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
+# Bytes of landed messages that a state partition holds (some 100,000 messages).
+STATE_BYTES = 16 << 20
+
+
+def partitions_for(spark: SparkSession, landed_bytes: int) -> int:
+    """State partitions for a micro-batch (and what its state keeps of earlier ones) of
+    so many bytes: at least one for each core, at most the session's shuffle partitions."""
+    need = max(spark.sparkContext.defaultParallelism, -(-landed_bytes // STATE_BYTES))
+    return max(1, min(int(spark.conf.get(SHUFFLE_PARTITIONS)), need))
 
 
 def drop_batch_copies(messages: DataFrame) -> DataFrame:
@@ -147,14 +161,16 @@ def start_feeds_stream(info: DataFrame, status: DataFrame, weather: DataFrame, *
                        window_duration: str = M.WINDOW_DURATION,
                        trigger: dict | None = None, fmt: str = "parquet",
                        query_name: str | None = None, salt_buckets: int = SALT_BUCKETS,
-                       settings: dict | None = None) -> StreamingQuery:
+                       settings: dict | None = None,
+                       state_partitions: int | None = None) -> StreamingQuery:
     """Start the report over parsed, watermarked feed streams (info:
     key, station_id, capacity, info_timestamp; status: key, station_id,
     num_bikes_available, status_timestamp; weather: timestamp, temperature,
     wind_speed, cloudiness) - from ``watermarked_feeds`` or from any typed
     streaming source with watermarks on those time columns. What the state depends on
     (``settings`` are more of it) is stored beside the checkpoint, and a restart with
-    other values is refused."""
+    other values is refused. ``state_partitions`` (default: the session's shuffle
+    partitions) holds for the first start; the checkpoint keeps it."""
     check_settings(info.sparkSession, checkpoint_path, {
         **(settings or {}), "mode": mode, "window_duration": window_duration, "salt_buckets": salt_buckets})
     joined = join_feeds(info, status, weather, salt_buckets=salt_buckets)
@@ -175,7 +191,16 @@ def start_feeds_stream(info: DataFrame, status: DataFrame, weather: DataFrame, *
         writer = writer.queryName(query_name)
     if trigger:
         writer = writer.trigger(**trigger)
-    return writer.start()
+    if state_partitions is None:
+        return writer.start()
+    # The query works in a copy of the session that it makes when it starts.
+    spark = info.sparkSession
+    before = spark.conf.get(SHUFFLE_PARTITIONS)
+    spark.conf.set(SHUFFLE_PARTITIONS, str(state_partitions))
+    try:
+        return writer.start()
+    finally:
+        spark.conf.set(SHUFFLE_PARTITIONS, before)
 
 
 def start_utilization_stream(info_msgs: DataFrame, status_msgs: DataFrame,
@@ -186,7 +211,8 @@ def start_utilization_stream(info_msgs: DataFrame, status_msgs: DataFrame,
                              trigger: dict | None = None, fmt: str = "parquet",
                              query_name: str | None = None,
                              dedupe_messages: bool = False,
-                             salt_buckets: int = SALT_BUCKETS) -> StreamingQuery:
+                             salt_buckets: int = SALT_BUCKETS,
+                             state_partitions: int | None = None) -> StreamingQuery:
     """Start the job on the three keyed message streams; returns the query.
 
     ``trigger`` is passed to ``DataStreamWriter.trigger`` (for example
@@ -199,6 +225,7 @@ def start_utilization_stream(info_msgs: DataFrame, status_msgs: DataFrame,
                               checkpoint_path=checkpoint_path, mode=mode,
                               window_duration=window_duration, trigger=trigger, fmt=fmt,
                               query_name=query_name, salt_buckets=salt_buckets,
+                              state_partitions=state_partitions,
                               settings={"watermark": watermark, "dedupe_messages": dedupe_messages})
 
 

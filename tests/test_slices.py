@@ -6,10 +6,11 @@ from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from stationflow.plans import slices as SL
+from stationflow.session import _file_system
 from stationflow.sources import events as E
 from stationflow.sources.feeds import read_messages
 from stationflow.streaming.journal import ProgressJournal, read_journal
-from stationflow.streaming.utilization import start_utilization_stream
+from stationflow.streaming.utilization import STATE_BYTES, partitions_for, start_utilization_stream
 
 
 @pytest.fixture(scope="module")
@@ -77,3 +78,12 @@ def test_journal_holds_the_exception_of_a_failed_query(spark, tmp_shared):
         spark.streams.removeListener(journal)
     errors = [r.error for r in read_journal(spark, f"{tmp_shared}/journal").collect() if r.error]
     assert len(errors) == 1 and "broken batch" in errors[0]
+
+
+def test_state_partitions_follow_the_data_of_a_batch(spark, run):
+    fs, where = _file_system(spark, f"{run['checkpoint']}/state/0")
+    held = [f.getPath().getName() for f in fs.listStatus(where) if f.isDirectory() and f.getPath().getName().isdigit()]
+    # the session deals batch shuffles over 8; a slice here is far smaller than one partition may be
+    assert len(held) == spark.sparkContext.defaultParallelism == 4
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "8"
+    assert partitions_for(spark, 6 * STATE_BYTES) == 6 and partitions_for(spark, 100 * STATE_BYTES) == 8
