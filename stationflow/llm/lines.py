@@ -26,6 +26,8 @@ table gives no row; extra columns are kept by ``drop_common_lines``.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -77,24 +79,28 @@ class LineRuns:
         self.spark, self.fan_in = spark, fan_in
         self.levels: list[list[DataFrame]] = []
 
+    @staticmethod
+    def run(counts: DataFrame, level: int = 0) -> DataFrame:
+        """A sorted run, written: rows (h1, h2, n), one per key, and maybe other columns."""
+        return saved(counts.sortWithinPartitions("h1", "h2"), f"line_run_{level}")
+
     def add(self, counts: DataFrame) -> None:
         """Add a batch: rows (h1, h2, n), one per key."""
-        self._put(0, counts)
+        self.put(self.run(counts))
 
-    def _put(self, level: int, run: DataFrame) -> None:
+    def put(self, run: DataFrame, level: int = 0) -> None:
+        """Add a written run to a level."""
         while len(self.levels) <= level:
             self.levels.append([])
-        self.levels[level].append(saved(run.sortWithinPartitions("h1", "h2"), f"line_run_{level}"))
+        self.levels[level].append(run)
         if len(self.levels[level]) == self.fan_in:
             merged = self._merged(self.levels[level])
             self.levels[level] = []
-            self._put(level + 1, merged)
+            self.put(self.run(merged, level + 1), level + 1)
 
     @staticmethod
     def _merged(runs: list[DataFrame]) -> DataFrame:
-        every = runs[0]
-        for r in runs[1:]:
-            every = every.unionByName(r)
+        every = reduce(DataFrame.unionByName, [r.select("h1", "h2", "n") for r in runs])
         return every.groupBy("h1", "h2").agg(F.sum("n").alias("n"))
 
     def counts(self) -> DataFrame | None:
@@ -163,26 +169,47 @@ def drop_common_lines(docs: DataFrame, min_docs: int) -> DataFrame:
         F.coalesce(F.size("_drop"), F.lit(0)).cast("long").alias("_n_dropped"))
 
 
+def ranges(docs: DataFrame, batches: int) -> Column:
+    """The batch of a struct ``d`` (x: no id, id): ranges of doc_id in ascending order,
+    about equal in rows; null ids are in the last."""
+    cuts = docs.select(F.col("doc_id").cast("long").alias("id")).approxQuantile(
+        "id", [i / batches for i in range(1, batches)], 0.01)
+    past = F.lit(0)
+    for c in cuts:
+        past = past + F.when(F.col("d.id") > int(c), 1).otherwise(0)
+    return F.when(F.col("d.x"), F.lit(batches - 1)).otherwise(past)
+
+
 @with_plain_names
-def drop_repeated_lines(docs: DataFrame, min_docs: int) -> DataFrame:
+def drop_repeated_lines(docs: DataFrame, min_docs: int, batches: int = BATCHES) -> DataFrame:
     """All columns of ``docs``; of lines whose key ``min_docs`` distinct texts hold,
     those of the first text that holds it stay (by its smallest doc_id, null ids
     last, then by hash), the others go. Rows of one text count once and get equal
     answers, so copies stay whole or lose the same lines, and no line is lost in
-    every text."""
+    every text.
+
+    Texts come in batches, in the order of their ids. A batch's keys are
+    merge-anti-joined with the runs: those that no run holds have their first text
+    in this batch. Then the batch adds its own run, and the runs give the counts."""
+    spark = docs.sparkSession
     ids = {"t1": F.xxhash64("text"), "t2": F.xxhash64(F.lit("second"), "text")}
     doc_id = F.col("doc_id").cast("long")
     texts = saved(
         docs.select(*(v.alias(k) for k, v in ids.items()),
                     F.struct(doc_id.isNull().alias("x"), doc_id.alias("id")).alias("d"),
                     line_hashes(F.col("text")).alias("lines"))
-        .groupBy("t1", "t2").agg(F.min("d").alias("d"), F.first("lines").alias("lines")), "line_texts")
+        .groupBy("t1", "t2").agg(F.min("d").alias("d"), F.first("lines").alias("lines"))
+        .withColumn("batch", ranges(docs, batches)), "line_texts")
     distinct = F.array_distinct(F.filter("lines", lambda x: x.isNotNull()))
-    common = saved(
-        texts.select(F.struct("d.x", "d.id", "t1", "t2").alias("t"), F.explode(distinct).alias("k"))
-        .groupBy("k.h1", "k.h2").agg(F.count(F.lit(1)).alias("n"), F.min("t").alias("f"))
-        .where(F.col("n") >= min_docs)
-        .select("h1", "h2", "n", F.col("f.t1").alias("f1"), F.col("f.t2").alias("f2")), "first_lines")
+    runs, first = LineRuns(spark), []
+    for b in range(batches):
+        own = runs.run(
+            texts.where(F.col("batch") == b)
+            .select(F.struct("d.x", "d.id", "t1", "t2").alias("t"), F.explode(distinct).alias("k"))
+            .groupBy("k.h1", "k.h2").agg(F.count(F.lit(1)).alias("n"), F.min("t").alias("f")))
+        first.append(runs.unseen(own).select("h1", "h2", F.col("f.t1").alias("f1"), F.col("f.t2").alias("f2")))
+        runs.put(own)
+    common = saved(runs.common(min_docs).join(reduce(DataFrame.unionByName, first), ["h1", "h2"]), "first_lines")
     pairs = common.agg(F.sum("n")).first()[0] or 0
     limit = max(min_docs, pairs // FREQUENT + 1)
     frequent, other = common.where(F.col("n") >= limit).drop("n"), common.where(F.col("n") < limit).drop("n")

@@ -404,3 +404,34 @@ def test_columns_named_like_internal_ones_are_kept(spark):
         assert all(r[c] == f"{c}{r.doc_id}" for r in out.collect() for c in names)
     kept = jaccard.keep_one(frame, 5, 80)
     assert kept.columns == frame.columns and all(r[c] == f"{c}{r.doc_id}" for r in kept.collect() for c in names)
+
+
+def test_repeated_lines_are_found_by_runs_of_batches(spark, monkeypatch):
+    """The line stage of the pipeline anti-joins every batch with the runs before it and
+    adds its own run; where a line stays does not depend on the batches."""
+    rows = [(i, "\n".join(["Common", f"own {i}", f"pair {i // 12}", ""])) for i in range(40)]
+    rows += [(None, "common\nlast"), (7, rows[30][1]), (99, None), (50, "late"), (50, "common\nlate")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    joined, added = [], []
+    unseen, put = lines.LineRuns.unseen, lines.LineRuns.put
+    monkeypatch.setattr(lines.LineRuns, "unseen", lambda self, k: joined.append(sum(map(len, self.levels))) or unseen(self, k))
+    monkeypatch.setattr(lines.LineRuns, "put", lambda self, r, level=0: added.append(level) or put(self, r, level))
+
+    def key(line):
+        return line.strip().lower()
+
+    ids = {}
+    for d, t in rows:
+        if t is not None:
+            ids[t] = min(ids.get(t, (True, 0)), (d is None, d or 0))
+    holders = {}
+    for t in ids:
+        for k in {key(x) for x in t.split("\n")} - {""}:
+            holders.setdefault(k, []).append((ids[t], t))
+    expected = sorted(
+        (d is None, d or 0, "\n".join(x for x in (t or "").split("\n")
+                                      if len(h := holders.get(key(x), [])) < 10 or min(h)[1] == t)) for d, t in rows)
+    for batches in (4, 3):
+        got = lines.drop_repeated_lines(docs, 10, batches).collect()
+        assert sorted((r.doc_id is None, r.doc_id or 0, r.text) for r in got) == expected
+    assert joined == [0, 1, 2, 3, 0, 1, 2] and added.count(0) == 7 and 1 in added
