@@ -18,14 +18,18 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stationflow.llm import textarrays as T
 from stationflow.llm.store import hash_below, saved, tidy
 
-# Tasks that share the training rows, and rounds of mixing.
+# Tasks that share the training rows (more when a task would have more than
+# ``PART_ROWS``), and rounds of mixing.
 PARTS = 4
+PART_ROWS = 1500
+# Pieces in which the tasks' weights are averaged.
+BLOCKS = 64
 ROUNDS = 2
 EPOCHS = 6
 BATCH = 64
@@ -147,8 +151,8 @@ def adagrad(rows: Rows, labels: np.ndarray, start: np.ndarray, slope: Slope,
     return w
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, rows_per_class: int) -> DataFrame:
-    """About ``rows_per_class`` labelled documents of each class at most, those
+def training_rows(docs: DataFrame, labels: DataFrame, rows_per_class: int | None = None) -> DataFrame:
+    """All labelled documents, or about ``rows_per_class`` of each class at most, those
     whose id's hash lies in the share of hashes that this number is of the class:
     columns doc_id, text, label, fold (0..4). ``labels`` has doc_id and label
     (others than 0 and 1 are left out; of several labels of a document the
@@ -157,15 +161,18 @@ def training_rows(docs: DataFrame, labels: DataFrame, rows_per_class: int) -> Da
              .groupBy(F.col("doc_id").cast("long").alias("doc_id"))
              .agg(F.max("label").cast("int").alias("label"))
              .join(docs.select(F.col("doc_id").cast("long").alias("doc_id")), "doc_id", "left_semi"))
-    known = saved(known, "labelled")
-    size = {r.label: r["count"] for r in known.groupBy("label").count().collect()}
-    h = F.xxhash64(F.lit("train"), "doc_id")
-    picked = known.where(F.lit(False))
-    for c, n in sorted(size.items()):
-        picked = picked.unionByName(known.where((F.col("label") == c) & hash_below(h, rows_per_class / n)))
-    # The two lists are bounded by the parameter, so they may go to every task.
-    joined = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-              .join(F.broadcast(picked), "doc_id"))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    if rows_per_class is None:
+        joined = texts.join(known, "doc_id")
+    else:
+        known = saved(known, "labelled")
+        size = {r.label: r["count"] for r in known.groupBy("label").count().collect()}
+        h = F.xxhash64(F.lit("train"), "doc_id")
+        picked = known.where(F.lit(False))
+        for c, n in sorted(size.items()):
+            picked = picked.unionByName(known.where((F.col("label") == c) & hash_below(h, rows_per_class / n)))
+        # The two lists are bounded by the parameter, so they may go to every task.
+        joined = texts.join(F.broadcast(picked), "doc_id")
     one = joined.groupBy("doc_id", "label").agg(F.min("text").alias("text"))
     return saved(one.withColumn("fold", F.pmod(F.xxhash64(F.lit("fold"), "doc_id"), F.lit(5)).cast("int")),
                  "training")
@@ -173,12 +180,14 @@ def training_rows(docs: DataFrame, labels: DataFrame, rows_per_class: int) -> Da
 
 def fit(train: DataFrame, f: Families, make_steps, slope: Slope, start: np.ndarray | None = None) -> np.ndarray:
     """Weights (and bias, last) mixed over the tasks. ``make_steps(labels, seed)``
-    yields the row numbers of each step. Rows are dealt by doc_id to ``PARTS`` groups,
-    however many partitions there are, and ordered, so that equal rows give equal
-    weights and the driver gets ``PARTS`` vectors."""
+    yields the row numbers of each step. Rows are dealt by doc_id to groups, as many as
+    the rows ask for however many partitions there are, and ordered, so that equal rows
+    give equal weights. The groups' weights are averaged piece by piece in tasks; the
+    driver gets one vector."""
     spark = train.sparkSession
     w = np.zeros(f.size + 1) if start is None else start
-    part = F.pmod(F.xxhash64(F.lit("deal"), "doc_id"), F.lit(PARTS)).cast("int")
+    parts = max(PARTS, -(-train.count() // PART_ROWS))
+    part = F.pmod(F.xxhash64(F.lit("deal"), "doc_id"), F.lit(parts)).cast("int")
     dealt = train.select("doc_id", "text", "label", part.alias("part")).groupBy("part")
     for r in range(ROUNDS):
         shared = spark.sparkContext.broadcast(w.astype(np.float32))
@@ -189,17 +198,24 @@ def fit(train: DataFrame, f: Families, make_steps, slope: Slope, start: np.ndarr
             got = []
             if len(np.unique(labels)) == 2:
                 rows = sparse_rows(t.column("text").combine_chunks(), f)
-                got = [adagrad(rows, labels, shared.value, slope, make_steps(labels, r)).astype("<f4").tobytes()]
-            return pa.table({"part": t.column("part")[:len(got)], "w": pa.array(got, pa.binary())})
+                got = np.array_split(adagrad(rows, labels, shared.value, slope, make_steps(labels, r)).astype("<f4"), BLOCKS)
+            return pa.table({"block": pa.array(range(len(got)), pa.int32()),
+                             "part": pa.array([t.column("part")[0].as_py()] * len(got), pa.int32()),
+                             "w": pa.array([x.tobytes() for x in got], pa.binary())})
 
         def one(t: pa.Table) -> pa.Table:
             return [*tidy(lambda own: [local(own)])(t)][0]
 
-        found = sorted(dealt.applyInArrow(one, "part int, w binary").collect())
-        parts = [np.frombuffer(x.w, "<f4") for x in found]
-        if not parts:
+        def mean(t: pa.Table) -> pa.Table:
+            own = [np.frombuffer(x.as_py(), "<f4") for x in t.sort_by("part").column("w")]
+            return pa.table({"block": t.column("block")[:1],
+                             "w": pa.array([np.mean(own, axis=0, dtype=np.float64).tobytes()], pa.binary())})
+
+        found = sorted(dealt.applyInArrow(one, "block int, part int, w binary")
+                       .groupBy("block").applyInArrow(mean, "block int, w binary").collect())
+        if not found:
             break
-        w = np.mean(parts, axis=0, dtype=np.float64)
+        w = np.concatenate([np.frombuffer(x.w, "<f8") for x in found])
     return w
 
 
@@ -279,3 +295,50 @@ def platt(margin: np.ndarray, labels: np.ndarray, weight: np.ndarray | None = No
         if np.abs(step).max() < 1e-8:
             break
     return float(theta[0]), float(theta[1])
+
+
+# Digits in which sums over tables are exact, so that their order shows nowhere.
+EXACT = "decimal(38, 18)"
+
+
+def platt_table(scored: DataFrame, weight: dict[int, float]) -> tuple[float, float]:
+    """``platt`` over a written table of any size (columns label, margin), with one
+    weight for each label: every step sums in the tasks."""
+    def sums(**terms: Column) -> dict[str, float]:
+        row = scored.agg(*(F.sum(t.cast(EXACT)).alias(k) for k, t in terms.items())).first()
+        return {k: float(row[k]) for k in terms}
+
+    x, one = F.col("margin"), F.lit(1.0)
+    good = F.col("label") == 1
+    w = F.when(good, F.lit(weight[1])).otherwise(F.lit(weight[0]))
+    s = sums(n=one, a=F.abs(x), aa=x * x, p=F.when(good, w).otherwise(0.0), w=w)
+    p, n = s["p"], s["w"] - s["p"]
+    target = F.when(good, F.lit((p + 1) / (p + 2))).otherwise(F.lit(1 / (n + 2)))
+    spread = max(0.0, s["aa"] / s["n"] - (s["a"] / s["n"]) ** 2) ** 0.5
+    theta = np.array([1.0, 0.0]) / max(1.0, spread)
+    for _ in range(50):
+        z = F.greatest(F.lit(-40.0), F.least(F.lit(40.0), x * float(theta[0]) + float(theta[1])))
+        q = one / (one + F.exp(-z))
+        miss, curve = w * (q - target), w * q * (one - q)
+        s = sums(g1=miss * x, g0=miss, h2=curve * x * x, h1=curve * x, h0=curve)
+        h = np.array([[s["h2"], s["h1"]], [s["h1"], s["h0"]]]) + 1e-6 * np.eye(2)
+        step = np.linalg.solve(h, np.array([s["g1"], s["g0"]]))
+        step *= min(1.0, 2.0 / max(1e-12, np.abs(step).max()))
+        theta = theta - step
+        if np.abs(step).max() < 1e-8:
+            break
+    return float(theta[0]), float(theta[1])
+
+
+def quantiles(scored: DataFrame, rows: int, levels: int) -> np.ndarray:
+    """The ``levels`` + 1 quantiles of all margins (interpolated as numpy does), by
+    their places in the sorted table."""
+    at = np.linspace(0, 1, levels + 1) * (rows - 1)
+    low = np.floor(at).astype(np.int64)
+    high = np.minimum(low + 1, rows - 1)
+    wanted = {*low.tolist(), *high.tolist()}
+    got = {i: r.margin for r, i in scored.select("margin").orderBy("margin").rdd.zipWithIndex()
+           .filter(lambda x: x[1] in wanted).collect()}
+    a, b = (np.array([got[i] for i in k.tolist()]) for k in (low, high))
+    t = at - low
+    return np.where(t < 0.5, a + (b - a) * t, b - (b - a) * (1 - t))

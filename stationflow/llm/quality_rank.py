@@ -24,11 +24,9 @@ from pyspark.sql import functions as F
 
 from stationflow.llm import hashed as H
 from stationflow.llm import textarrays as T
-from stationflow.llm.store import tidy
+from stationflow.llm.store import saved, tidy
 
 FAMILIES = H.Families(words=(1, 2), chars=(3, 5))
-# Training rows of each label at most.
-ROWS_PER_CLASS = 3000
 CUT = 0.7
 LEVELS = 400
 
@@ -40,28 +38,45 @@ class Model:
     slope: float = 1.0
 
 
-def quantile_threshold(margin: np.ndarray, label: np.ndarray, weight: np.ndarray) -> float:
-    """The quantile of the scores with the least weighted error; of several
-    neighbouring best levels the middle one."""
-    levels = np.quantile(margin, np.linspace(0, 1, LEVELS + 1))
-    error = np.array([(weight * ((margin >= q) != (label == 1))).sum() for q in levels])
+def quantile_threshold(scored: DataFrame, rows: int, weight: dict[int, float]) -> float:
+    """The quantile of the scores with the least weighted error over all rows of the
+    written table ``scored`` (label, margin); of several neighbouring best levels the
+    middle one. The driver gets the levels and a count for each."""
+    levels = H.quantiles(scored, rows, LEVELS)
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            passed = np.searchsorted(levels, b.column("margin").to_numpy(), "right")
+            yield pa.RecordBatch.from_arrays([b.column("label"), pa.array(passed, pa.int64())], names=["label", "passed"])
+
+    count = np.zeros((2, len(levels) + 1), np.int64)
+    for r in scored.select("label", "margin").mapInArrow(place, "label int, passed long").groupBy("label", "passed").count().collect():
+        count[r.label, r.passed] = r["count"]
+    # A row is above a level if it has passed it: bad ones above and good ones below are wrong.
+    below = count.cumsum(axis=1)[:, :-1]
+    error = weight[1] * below[1] + weight[0] * (count[0].sum() - below[0])
     best = np.flatnonzero(error <= error.min() + 1e-12)
     return float(levels[best[len(best) // 2]])
 
 
-def train(docs: DataFrame, labels: DataFrame, rows_per_class: int = ROWS_PER_CLASS) -> Model:
-    """``labels`` has doc_id and label (1: good)."""
-    rows = H.training_rows(docs, labels, rows_per_class)
+def train(docs: DataFrame, labels: DataFrame) -> Model:
+    """``labels`` has doc_id and label (1: good). Weights, slope and threshold come
+    from all labelled rows: four fifths for the weights, the others for the rest."""
+    rows = H.training_rows(docs, labels)
     shares = {r.label: r["count"] for r in labels.where("label IN (0, 1)").groupBy("label").count().collect()}
     if len(shares) < 2:
         return Model(None)
     weights = H.fit(rows.where("fold > 0"), FAMILIES, H.pair_steps, H.pair_slope)
-    margin, label = H.margins(rows.where("fold = 0"), FAMILIES, weights)
-    if len(np.unique(label)) < 2:
+    scored = saved(H.score_table(rows.where("fold = 0").select("text", "label"), FAMILIES, weights, "label int"),
+                   "margins")
+    held = {r.label: r["count"] for r in scored.groupBy("label").count().collect()}
+    if len(held) < 2:
         return Model(weights)
-    weight = np.where(label == 1, shares[1] / (label == 1).sum(), shares[0] / (label == 0).sum())
-    slope, _ = H.platt(margin, label, weight * len(label) / weight.sum())
-    return Model(weights, quantile_threshold(margin, label, weight), max(slope, 1e-6))
+    n = sum(held.values())
+    weight = {c: shares[c] / held[c] for c in (0, 1)}
+    each = {c: weight[c] * n / sum(shares.values()) for c in (0, 1)}
+    slope, _ = H.platt_table(scored, each)
+    return Model(weights, quantile_threshold(scored, n, weight), max(slope, 1e-6))
 
 
 def text_scores(t: T.Texts, model: Model) -> np.ndarray:

@@ -435,3 +435,23 @@ def test_repeated_lines_are_found_by_runs_of_batches(spark, monkeypatch):
         got = lines.drop_repeated_lines(docs, 10, batches).collect()
         assert sorted((r.doc_id is None, r.doc_id or 0, r.text) for r in got) == expected
     assert joined == [0, 1, 2, 3, 0, 1, 2] and added.count(0) == 7 and 1 in added
+
+
+def test_rank_model_and_threshold_use_every_labelled_row(spark):
+    from stationflow.llm import hashed, quality_rank
+
+    docs = spark.range(8000).selectExpr("id AS doc_id", "concat('word', id % 50, ' text') AS text")
+    labels = spark.range(8000).selectExpr("id AS doc_id", "CAST(id % 50 > 20 AS INT) AS label")
+    assert hashed.training_rows(docs, labels).count() == 8000
+    rng = np.random.default_rng(1)
+    label = rng.integers(0, 2, 9000)
+    margin = np.round(rng.normal(label, 1.0), 2)
+    scored = spark.createDataFrame([(int(c), float(m)) for c, m in zip(label, margin)], "label int, margin double")
+    weight = {0: 0.5, 1: 1.25}
+    levels = np.quantile(margin, np.linspace(0, 1, quality_rank.LEVELS + 1))
+    assert np.allclose(hashed.quantiles(scored, 9000, quality_rank.LEVELS), levels, rtol=0, atol=1e-12)
+    each = np.where(label == 1, weight[1], weight[0])
+    error = np.array([(each * ((margin >= q) != (label == 1))).sum() for q in levels])
+    best = np.flatnonzero(error <= error.min() + 1e-9)
+    assert quality_rank.quantile_threshold(scored, 9000, weight) == levels[best[len(best) // 2]]
+    assert np.allclose(hashed.platt_table(scored, weight), hashed.platt(margin, label, each), rtol=1e-6)
