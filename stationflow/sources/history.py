@@ -125,13 +125,20 @@ def read_csv_parts(spark: SparkSession, paths, schema: StructType = REPORT_SCHEM
     def reader() -> DataFrameReader:
         return spark.read.option("ignoreCorruptFiles", str(skip_unreadable).lower())
 
+    def broken_off(files) -> set[str]:
+        packed = [unquote(r.file) for r in files if r.file.endswith(".gz")]
+        return {r.file for r in _broken_off(spark, packed).collect()} if packed else set()
+
+    if not skip_unreadable:
+        # Before the headers are read, which may fail with Spark's own error.
+        broken = broken_off(spark.read.format("binaryFile").load(paths)
+                            .select(F.col("_metadata.file_path").alias("file")).collect())
+        if broken:
+            raise OSError(f"parts that break off: {sorted(broken)}")
     headers = _part_headers(reader(), paths)
     if not headers:
         raise FileNotFoundError(f"no CSV parts under {paths}")
-    packed = [unquote(r.file) for r in headers if r.file.endswith(".gz")]
-    broken = {r.file for r in _broken_off(spark, packed).collect()} if packed else set()
-    if broken and not skip_unreadable:
-        raise OSError(f"parts that break off: {sorted(broken)}")
+    broken = broken_off(headers) if skip_unreadable else set()
     parts: dict[tuple[str, ...], list[str]] = {}
     for r in headers:
         if r.file in broken:
