@@ -20,7 +20,9 @@ State: the info/status join is keyed on (station_id, event time) and every
 input carries a watermark, so join and aggregation state is purged as event
 time advances (RocksDB state store, see ``session.DEFAULT_CONF``). Rows older
 than the watermark are dropped and counted by Spark
-(``numRowsDroppedByWatermark`` in the query progress).
+(``numRowsDroppedByWatermark`` in the query progress). A micro-batch's own rows are all
+in the state until the next one, so a backlog should come in micro-batches that follow
+event time (``plans.utilization.land_feed_backlog``) and not in a single one.
 
 Failures: an error in a batch fails the query; it restarts from the
 checkpoint and re-runs the batch, whose output partition is overwritten.
@@ -41,6 +43,7 @@ from stationflow.streaming.record import check_settings
 WATERMARK = "1 minute"
 PREVIEW_ROWS = 20
 SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
+MIN_BATCHES = "spark.sql.streaming.minBatchesToRetain"
 # Bytes of landed messages that a state partition holds (some 100,000 messages).
 STATE_BYTES = 16 << 20
 
@@ -162,7 +165,8 @@ def start_feeds_stream(info: DataFrame, status: DataFrame, weather: DataFrame, *
                        trigger: dict | None = None, fmt: str = "parquet",
                        query_name: str | None = None, salt_buckets: int = SALT_BUCKETS,
                        settings: dict | None = None,
-                       state_partitions: int | None = None) -> StreamingQuery:
+                       state_partitions: int | None = None,
+                       retain_batches: int | None = None) -> StreamingQuery:
     """Start the report over parsed, watermarked feed streams (info:
     key, station_id, capacity, info_timestamp; status: key, station_id,
     num_bikes_available, status_timestamp; weather: timestamp, temperature,
@@ -170,7 +174,9 @@ def start_feeds_stream(info: DataFrame, status: DataFrame, weather: DataFrame, *
     streaming source with watermarks on those time columns. What the state depends on
     (``settings`` are more of it) is stored beside the checkpoint, and a restart with
     other values is refused. ``state_partitions`` (default: the session's shuffle
-    partitions) holds for the first start; the checkpoint keeps it."""
+    partitions) holds for the first start; the checkpoint keeps it. ``retain_batches``
+    (default: the session's ``minBatchesToRetain``) batches can be gone back to; older
+    state files are deleted."""
     check_settings(info.sparkSession, checkpoint_path, {
         **(settings or {}), "mode": mode, "window_duration": window_duration, "salt_buckets": salt_buckets})
     joined = join_feeds(info, status, weather, salt_buckets=salt_buckets)
@@ -191,16 +197,18 @@ def start_feeds_stream(info: DataFrame, status: DataFrame, weather: DataFrame, *
         writer = writer.queryName(query_name)
     if trigger:
         writer = writer.trigger(**trigger)
-    if state_partitions is None:
-        return writer.start()
     # The query works in a copy of the session that it makes when it starts.
-    spark = info.sparkSession
-    before = spark.conf.get(SHUFFLE_PARTITIONS)
-    spark.conf.set(SHUFFLE_PARTITIONS, str(state_partitions))
+    conf = info.sparkSession.conf
+    own = {k: str(v) for k, v in ((SHUFFLE_PARTITIONS, state_partitions), (MIN_BATCHES, retain_batches))
+           if v is not None}
+    before = {k: conf.get(k) for k in own}
     try:
+        for k, v in own.items():
+            conf.set(k, v)
         return writer.start()
     finally:
-        spark.conf.set(SHUFFLE_PARTITIONS, before)
+        for k, v in before.items():
+            conf.set(k, v)
 
 
 def start_utilization_stream(info_msgs: DataFrame, status_msgs: DataFrame,
@@ -212,7 +220,8 @@ def start_utilization_stream(info_msgs: DataFrame, status_msgs: DataFrame,
                              query_name: str | None = None,
                              dedupe_messages: bool = False,
                              salt_buckets: int = SALT_BUCKETS,
-                             state_partitions: int | None = None) -> StreamingQuery:
+                             state_partitions: int | None = None,
+                             retain_batches: int | None = None) -> StreamingQuery:
     """Start the job on the three keyed message streams; returns the query.
 
     ``trigger`` is passed to ``DataStreamWriter.trigger`` (for example
@@ -225,7 +234,7 @@ def start_utilization_stream(info_msgs: DataFrame, status_msgs: DataFrame,
                               checkpoint_path=checkpoint_path, mode=mode,
                               window_duration=window_duration, trigger=trigger, fmt=fmt,
                               query_name=query_name, salt_buckets=salt_buckets,
-                              state_partitions=state_partitions,
+                              state_partitions=state_partitions, retain_batches=retain_batches,
                               settings={"watermark": watermark, "dedupe_messages": dedupe_messages})
 
 
