@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from stationflow.operators import join as J
 from stationflow.plans import utilization as U
-from stationflow.plans.queries import q_stream_dedupe
+from stationflow.plans.queries import q_stream_dedupe, q_stream_event_time
 from stationflow.session import _file_system
 from stationflow.sources.feeds import read_messages
 from stationflow.streaming.journal import ProgressJournal, read_journal
@@ -34,7 +34,7 @@ def _rows(df):
     return sorted(tuple(map(str, r)) for r in df.withColumns({**times, **rates}).select(*sorted(df.columns)).collect())
 
 
-@pytest.mark.parametrize("query", [q_stream_dedupe])
+@pytest.mark.parametrize("query", [q_stream_event_time, q_stream_dedupe])
 def test_state_holds_slices_of_a_backlog_and_the_report_is_whole(spark, events, tmp_shared, query):
     retained = spark.conf.get("spark.sql.streaming.minBatchesToRetain")
     journal = ProgressJournal(spark, f"{tmp_shared}/journal")
